@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.plans import prose
+from docspark.plans import layout, prose
 
-MODULES = [prose]
+MODULES = [prose, layout]
 
 
 def _widen(df: DataFrame) -> DataFrame:
