@@ -5,41 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docspark.functions.text import strip
-
-# fixed values: accepted date shapes, each with its parse format
-DATE_SHAPES = (
-    (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", "yyyy-M-d"),
-    (r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy"),
-    (r"[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}", "M-d-yyyy"),
-    (r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}", "M.d.yyyy"),
-    (r"[A-Za-z]{3,9} [0-9]{1,2}, [0-9]{4}", None),
-    (r"[0-9]{1,2} [A-Za-z]{3,9} [0-9]{4}", None),
-)
-_SEX_SUFFIX = r"\s*/\s*[MFmfUu]\s*$"
-_MONTH_FIRST = r"([A-Za-z]{3})[A-Za-z]* ([0-9]{1,2}), ([0-9]{4})"
-_DAY_FIRST = r"([0-9]{1,2}) ([A-Za-z]{3})[A-Za-z]* ([0-9]{4})"
+from docspark.functions.text import let
+
+# fixed values: accepted shapes of a full date
+ISO_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+US_DATE = r"[0-9]{1,2}[/.-][0-9]{1,2}[/.-][0-9]{4}"
+MONTH_FIRST = r"[A-Za-z]{3,9} [0-9]{1,2}, [0-9]{4}"
+DAY_FIRST = r"[0-9]{1,2} [A-Za-z]{3,9} [0-9]{4}"
+
+_ANY_DATE = f"({ISO_DATE}|{US_DATE}|{MONTH_FIRST}|{DAY_FIRST})"
+_NAMED = r"^(?:([0-9]{1,2}) )?([A-Za-z]{3})[A-Za-z]*(?: ([0-9]{1,2}),)? ([0-9]{4})$"
 
 
 def date_text(c: Column) -> Column:
-    """The first part of a text that looks like a full date, else null."""
-    body = F.regexp_replace(strip(c), _SEX_SUFFIX, "")
-    shape = "(" + "|".join(s for s, _ in DATE_SHAPES) + ")"
-    return F.nullif(F.regexp_extract(body, shape, 1), F.lit(""))
+    """The first part of a text that looks like a full date, else null.
+
+    Whatever stands around it is left out: time of day, zone, a sex letter.
+    """
+    return F.nullif(F.regexp_extract(c, _ANY_DATE, 1), F.lit(""))
 
 
 def to_iso_date(c: Column) -> Column:
     """ISO ``yyyy-MM-dd`` text of the date in ``c``; null if none or impossible.
 
-    The time of day, the zone and a trailing sex letter are dropped, never
-    used to shift the day. A partial date is null.
+    The time and the zone never shift the day. A partial date is null.
     """
-    d = date_text(c)
-    month_first = F.initcap(F.regexp_replace(d, _MONTH_FIRST, "$1 $2 $3"))
-    day_first = F.initcap(F.regexp_replace(d, _DAY_FIRST, "$2 $1 $3"))
-    tries = [
-        F.when(d.rlike("^" + s + "$"), F.try_to_date(d, fmt)) for s, fmt in DATE_SHAPES if fmt
-    ]
-    named = "^[A-Z][a-z]{2} [0-9]{1,2} [0-9]{4}$"
-    tries += [F.when(t.rlike(named), F.try_to_date(t, "MMM d yyyy")) for t in (month_first, day_first)]
-    return F.date_format(F.coalesce(*tries), "yyyy-MM-dd")
+
+    def parse(d: Column) -> Column:
+        named = F.initcap(F.regexp_replace(d, _NAMED, "$2 $1$3 $4"))
+        return F.date_format(
+            F.when(d.rlike("^" + ISO_DATE), F.try_to_date(d, "yyyy-M-d"))
+            .when(d.rlike("^" + US_DATE), F.try_to_date(F.translate(d, ".-", "//"), "M/d/yyyy"))
+            .when(d.isNotNull(), F.try_to_date(named, "MMM d yyyy")),
+            "yyyy-MM-dd",
+        )
+
+    return let(date_text(c), parse)

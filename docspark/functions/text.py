@@ -5,7 +5,7 @@ Offsets are 0-based, half open and counted in characters, as ``length`` does.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ _LINE_START = r"(?<=\n|\x0b|\x0c|\x1c|\x1d|\x1e|\x85|\u2028|\u2029|\r(?!\n))"
 SPAN_TYPE = "array<struct<start:int,end:int,text:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression that uses a costly value several times, computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Remove blanks at both ends."""
     return F.btrim(c, F.lit(BLANKS))

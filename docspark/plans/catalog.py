@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.plans import layout, prose
+from docspark.plans import layout, prose, reports
 
-MODULES = [prose, layout]
+MODULES = [prose, layout, reports]
 
 
 def _widen(df: DataFrame) -> DataFrame:
