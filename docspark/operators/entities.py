@@ -301,7 +301,7 @@ def candidates(
         text_key(F.col("text")).alias("text_key"),
         "section",
         at.alias("at"),
-        F.struct("page_number", "seq", "text", "excerpt").alias("first"),
+        F.struct("page_number", "seq", "text", "excerpt", "block_id").alias("first"),
         F.when(field.isNotNull(), F.struct("page_number", "seq", field.alias("field"))).alias("hint"),
         "page_number",
         "source_model",
@@ -337,6 +337,7 @@ def candidates(
         "n_occurrences",
         "pages",
         F.col("first.excerpt").alias("evidence_excerpt"),
+        F.col("first.block_id").alias("evidence_block"),
         "source_models",
         "confidence",
         F.concat(

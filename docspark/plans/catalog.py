@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.plans import layout, prose, reports
+from docspark.plans import layout, prose, quality, reports
 
-MODULES = [prose, layout, reports]
+MODULES = [prose, layout, reports, quality]
 
 
 def _widen(df: DataFrame) -> DataFrame:

@@ -104,6 +104,46 @@ def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select(k.alias("doc_id"), F.inline_outer(rows)).filter(F.col("text").isNotNull())
 
 
+def gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The right record of each report, from the key alone."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    text = k.cast("string")
+    none = F.lit(None).cast("string")
+    collected = _date("2020-01-01", k * 37 % 1500)
+    first = _choose(k, *[n.title() for n in FIRST])
+    last = _choose(k, *[n.title() for n in LAST])
+    confidence = F.when((k % 5).isin(1, 2), 0.8).when((k % 9 != 0) & (k % 3 == 2), 0.9).otherwise(0.95)
+    record = {
+        "total_pages": F.lit(2),
+        "report_title": _choose(k, "Final Report", "Molecular Genetics", "Colorectal Sample"),
+        "llm_confidence_score": confidence,
+        "Patient_MRN": _choose(k, F.concat(F.lit("00"), text), F.concat(F.lit("M"), text), none, none, none, F.concat(F.lit("R"), text)),
+        "Patient_First_Name": first,
+        "Patient_Last_Name": F.initcap("c_mktsegment"),
+        "Patient_DOB": _date("1940-01-01", k * 101 % 20000).cast("string"),
+        "Vendor_Name": _choose(k, "Tempus", "Tempus", "Foundation Medicine", none, "NeoGenomics"),
+        "Collection_Date": collected.cast("string"),
+        "Received_Date": F.date_add(collected, 1).cast("string"),
+        "Report_Date": F.when((k % 7).isin(0, 1, 2, 6), F.date_add(collected, 5).cast("string")),
+        "Test_Name": _choose(k, "JAK2 V617F Mutation Analysis", "Molecular profiling"),
+        "Procedure": _choose(k, "Quantitative PCR", "Next Generation Sequencing | IHC", none, none),
+        "Ordering_Provider_First_Name": first,
+        "Ordering_Provider_Last_Name": last,
+        "Ordering_Provider_NPI": F.when(k % 3 == 0, F.lit("1234567893")),
+        "Ordering_Provider_Title": F.when(k % 3 == 0, F.lit("M.D.")).otherwise(F.lit("Dr.")),
+        "Practice_Name": F.when(k % 8 != 5, F.concat(F.lit("Nation "), nation.cast("string"), F.lit(" Oncology Clinic"))),
+        "Practice_NPI": none,
+        "Practice_Street_Address_1": F.concat(text, _choose(k, " Baxter Rd.", " Main St.")),
+        "Practice_Street_Address_2": F.when(k % 2 == 0, F.concat(F.lit("Suite "), (nation + 100).cast("string"))),
+        "Practice_City": _choose(k, "Murrieta", "San Diego", "Austin"),
+        "Practice_State": _choose(k, "CA", "CA", "TX"),
+        "Practice_ZIP_5digit": _choose(k, "92563", "92101", "78701"),
+        "Practice_ZIP_4digit": _choose(k, none, "1234", none),
+    }
+    return customers.select(k.alias("doc_id"), *[v.alias(n) for n, v in record.items()])
+
+
 # The right record of each customer's report, in SQL over the customer table.
 GOLD_SQL = """
 SELECT c_custkey AS doc_id, CAST(2 AS BIGINT) AS total_pages,
