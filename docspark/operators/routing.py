@@ -87,7 +87,7 @@ def run_results(inputs: DataFrame, runs: DataFrame, extractions: DataFrame) -> D
             "doc_id",
             "uri",
             "pipeline_version",
-            F.coalesce("verdict", F.lit("errored")).alias("verdict"),
+            F.when(F.col("run_id").isNull(), F.lit("errored")).otherwise(F.col("verdict")).alias("verdict"),
             F.coalesce("verdict_reason", F.lit("")).alias("verdict_reason"),
             "artifacts_prefix",
             "run_id",

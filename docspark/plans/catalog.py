@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.plans import layout, prose, quality, reports
+from docspark.plans import layout, ledger, prose, quality, reports, scoring
 
-MODULES = [prose, layout, reports, quality]
+MODULES = [prose, layout, reports, quality, ledger, scoring]
 
 
 def _widen(df: DataFrame) -> DataFrame:
