@@ -16,12 +16,10 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_BLANK_RUN = "[" + BLANKS + "]+"
+_OTHER_BLANKS = BLANKS.replace(" ", "")
 
-# fixed value: blanks, zero-width marks and punctuation ignored when matching text
-_LOOSE_RUN = (
-    "[" + BLANKS + "\u200b\u200c\u200d\u2060\ufeff" + r"\.,:;!\?\(\)\[\]\{\}\"'/\\\-\u2013\u2014]+"
-)
+# fixed value: zero-width marks and punctuation ignored, as blanks are, when matching text
+PUNCTUATION = "\u200b\u200c\u200d\u2060\ufeff" + ".,:;!?()[]{}\"'/\\-\u2013\u2014"
 
 # a new line starts after each of these
 _LINE_START = r"(?<=\n|\x0b|\x0c|\x1c|\x1d|\x1e|\x85|\u2028|\u2029|\r(?!\n))"
@@ -44,9 +42,19 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) == ""
 
 
+def _collapse(c: Column, blanks: str) -> Column:
+    """One space for each run of the given characters and spaces, none at the ends.
+
+    Mapping the characters first leaves a plain expression, several times faster
+    than one over the whole set.
+    """
+    spaced = F.translate(c, blanks, " " * len(blanks))
+    return F.btrim(F.regexp_replace(spaced, " {2,}", " "))
+
+
 def squash(c: Column) -> Column:
     """Collapse each run of blanks to one space and strip."""
-    return F.btrim(F.regexp_replace(c, _BLANK_RUN, " "))
+    return _collapse(c, _OTHER_BLANKS)
 
 
 def text_key(c: Column) -> Column:
@@ -56,7 +64,7 @@ def text_key(c: Column) -> Column:
 
 def match_key(c: Column) -> Column:
     """Like :func:`text_key`, with punctuation treated as blank."""
-    return F.btrim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), _LOOSE_RUN, " "))
+    return _collapse(F.lower(F.coalesce(c, F.lit(""))), _OTHER_BLANKS + PUNCTUATION)
 
 
 def words(key: Column) -> Column:

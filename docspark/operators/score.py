@@ -1,8 +1,7 @@
 """Scoring records against gold records, field by field.
 
-Both sides are rows with typed JSON values: ``(doc_id, field, value, kind)``,
-where ``kind`` is the JSON type name and ``value`` the text. A field that is
-absent has no row; a null field has a row with a null value.
+Both sides are one JSON record per document. They meet in one join on the
+document, and the fields are compared inside the joined row.
 """
 
 from __future__ import annotations
@@ -14,21 +13,18 @@ from docspark.functions.dates import to_iso_date
 from docspark.functions.text import text_key
 from docspark.vocab import DATE_FIELDS, SCORE_THRESHOLD, STRICT_FIELDS, UNSCORED_FIELDS
 
-_ROW = "array<struct<field:string,value:string,kind:string>>"
+_KIND = (
+    "CASE WHEN {x} IS NULL OR schema_of_variant({x}) = 'VOID' THEN 'null' "
+    "WHEN schema_of_variant({x}) = 'STRING' THEN 'str' WHEN schema_of_variant({x}) = 'BOOLEAN' THEN 'bool' "
+    "WHEN schema_of_variant({x}) = 'BIGINT' THEN 'int' WHEN startswith(schema_of_variant({x}), 'OBJECT') THEN 'dict' "
+    "WHEN startswith(schema_of_variant({x}), 'ARRAY') THEN 'list' ELSE 'float' END"
+)
 
 
-def json_rows(df: DataFrame, column: str = "record") -> DataFrame:
-    """Members of JSON records as rows; works inside each record."""
-    m = f"try_variant_get(try_parse_json({column}), '$', 'map<string,variant>')"
-    entry = (
-        "named_struct('field', k, 'value', try_variant_get(x, '$', 'string'), 'kind', "
-        "CASE WHEN schema_of_variant(x) = 'VOID' THEN 'null' WHEN schema_of_variant(x) = 'STRING' THEN 'str' "
-        "WHEN schema_of_variant(x) = 'BOOLEAN' THEN 'bool' WHEN schema_of_variant(x) = 'BIGINT' THEN 'int' "
-        "WHEN startswith(schema_of_variant(x), 'OBJECT') THEN 'dict' WHEN startswith(schema_of_variant(x), 'ARRAY') THEN 'list' "
-        "ELSE 'float' END)"
-    )
-    rows = f"map_values(transform_values({m}, (k, x) -> {entry}))"
-    return df.select("doc_id", F.expr(f"inline_outer({rows})")).filter(F.col("field").isNotNull())
+def _members(column: str) -> Column:
+    """A JSON record as ``map<string,variant>``; an unreadable one is empty."""
+    parsed = F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")
+    return F.coalesce(parsed, F.expr("CAST(map() AS map<string,variant>)"))
 
 
 def _compare(expected: Column, actual: Column, ekind: Column, akind: Column, field: Column, lenient: bool) -> Column:
@@ -74,32 +70,39 @@ def _compare(expected: Column, actual: Column, ekind: Column, akind: Column, fie
 
 
 def compare_fields(gold: DataFrame, actual: DataFrame, lenient: bool = False) -> DataFrame:
-    """One comparison per document and field.
+    """One comparison per document of ``gold(doc_id, record)`` and field.
 
-    Every gold field counts, extracted or not. A field that only the record has
-    fails as an extra; the lenient form ignores extras, and knows neither strict
-    nor date fields. Confidence and provenance are not scored.
+    Every gold field counts, whether it was extracted or not. A field that only
+    ``actual(doc_id, record)`` has fails as an extra; the lenient form ignores
+    extras, and knows neither strict nor date fields. Confidence and provenance
+    are not scored.
     """
     skipped = ("llm_confidence_score",) if lenient else UNSCORED_FIELDS
-    g = gold.filter(~F.col("field").isin(*skipped)).select(
-        "doc_id", "field", F.col("value").alias("expected"), F.col("kind").alias("ekind"), F.lit(True).alias("in_gold")
-    )
-    a = actual.filter(~F.col("field").isin(*skipped)).select(
-        "doc_id", "field", F.col("value").alias("actual"), F.col("kind").alias("akind")
-    )
-    # records of documents without gold are no extras
-    both = g.join(a, ["doc_id", "field"], "left") if lenient else g.join(
-        a.join(gold.select("doc_id").distinct(), "doc_id", "left_semi"), ["doc_id", "field"], "full_outer"
+    names = F.map_keys("g") if lenient else F.array_union(F.map_keys("g"), F.map_keys("a"))
+    rows = (
+        gold.select("doc_id", F.col("record").alias("_gold"))
+        .join(actual.select("doc_id", F.col("record").alias("_actual")), "doc_id", "left")
+        .select("doc_id", _members("_gold").alias("g"), _members("_actual").alias("a"))
+        .select("doc_id", "g", "a", F.explode_outer(names).alias("field"))
+        .filter(F.col("field").isNotNull() & ~F.col("field").isin(*skipped))
+        .select(
+            "doc_id", "field", F.map_contains_key("g", F.col("field")).alias("in_gold"), F.expr("g[field]").alias("x"), F.expr("a[field]").alias("y")
+        )
+        .select(
+            "doc_id",
+            "field",
+            "in_gold",
+            F.try_variant_get("x", "$", "string").alias("expected"),
+            F.try_variant_get("y", "$", "string").alias("actual"),
+            F.expr(_KIND.format(x="x")).alias("ekind"),
+            F.expr(_KIND.format(x="y")).alias("akind"),
+        )
     )
-    extra = F.col("in_gold").isNull()
     compared = _compare(F.col("expected"), F.col("actual"), F.col("ekind"), F.col("akind"), F.col("field"), lenient)
-    result = F.when(
-        extra,
-        F.struct(
-            F.lit(False).alias("passed"), F.lit("fail").alias("match_type"), F.lit("extra field: not in gold record").alias("notes")
-        ),
-    ).otherwise(compared)
-    return both.select("doc_id", "field", "expected", "actual", result.alias("r")).select(
+    extra = F.struct(
+        F.lit(False).alias("passed"), F.lit("fail").alias("match_type"), F.lit("extra field: not in gold record").alias("notes")
+    )
+    return rows.withColumn("r", F.when(F.col("in_gold"), compared).otherwise(extra)).select(
         "doc_id", "field", "expected", "actual", "r.passed", "r.match_type", "r.notes"
     )
 

@@ -59,9 +59,12 @@ def _rules_literal(rules: Sequence[Rule]) -> str:
     return "array(" + ", ".join(rows) + ")"
 
 
-def _json_type(v: str) -> str:
-    """JSON type name of a variant; a whole number is an integer however it is written."""
-    kind = f"schema_of_variant({v})"
+def _json_type(v: str, kind: str | None = None) -> str:
+    """JSON type name of a variant; a whole number is an integer however it is written.
+
+    ``kind`` is its schema if that is at hand.
+    """
+    kind = kind or f"schema_of_variant({v})"
     number = f"try_variant_get({v}, '$', 'double')"
     return (
         f"CASE WHEN {v} IS NULL THEN 'missing' WHEN {kind} = 'VOID' THEN 'null' WHEN {kind} = 'STRING' THEN 'string' "
@@ -104,8 +107,9 @@ def _check_object(section: str, members: str, rules: Sequence[Rule], path: str,
         ok = f"(rlike({as_text}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND try_to_date({as_text}, 'yyyy-MM-dd') IS NOT NULL)"
         checks.append(when(f"{typed} = 'string' AND {v}.r.format = 'date' AND NOT {ok}", "format", "'not an ISO date'"))
     own = (
-        f"flatten(transform(transform(transform({_rules_literal(rules)}, {r} -> named_struct('r', {r}, 'x', {members}[{r}.field])), "
-        f"{v} -> named_struct('r', {v}.r, 'x', {v}.x, 't', {_json_type(val)})), {v} -> array_compact(array({', '.join(checks)}))))"
+        f"flatten(transform(transform(transform({_rules_literal(rules)}, {r} -> "
+        f"named_struct('r', {r}, 'x', {members}[{r}.field], 'k', schema_of_variant({members}[{r}.field]))), "
+        f"{v} -> named_struct('r', {v}.r, 'x', {v}.x, 't', {_json_type(val, v + '.k')})), {v} -> array_compact(array({', '.join(checks)}))))"
     )
     parts = [own]
     if any(isinstance(x.items, str) for x in rules):

@@ -13,6 +13,7 @@ from docspark.operators import validate as V
 from docspark.plans import prose, sqltext as S
 from docspark.sources import tables as T
 from docspark.sources.reports import GOLD_SQL, gold_records
+from docspark.sources.scratch import stage
 from docspark.vocab import SECTION_RULES
 
 QUERIES: dict = {}
@@ -30,7 +31,8 @@ def query(fn):
 def faulty_envelopes(spark: SparkSession, d: str) -> DataFrame:
     """Envelopes of customer records with faults chosen by the key."""
     k = F.col("doc_id")
-    r = FI.record_json(gold_records(spark, d))
+    gold = gold_records(spark, d)
+    r = FI.record_json(gold)
     r = (
         F.when(k % 8 == 1, F.regexp_replace(r, '"Practice_City":"[^"]*",', ""))
         .when(k % 8 == 2, F.concat(F.lit('{"Extra_B":1,"Extra_A":null,'), F.substr(r, F.lit(2))))
@@ -51,13 +53,14 @@ def faulty_envelopes(spark: SparkSession, d: str) -> DataFrame:
     )
     env = V.envelope_json(r, Genomic_Variant_umbrella=variants, tested_biomarker_umbrella=panel)
     cut = F.when(k % 101 == 100, F.left(env, F.length(env) - 1)).otherwise(env)
-    return gold_records(spark, d).select("doc_id", cut.alias("envelope"))
+    return gold.select("doc_id", cut.alias("envelope"))
 
 
 @query
 def envelopes(spark, d):
     """Envelopes of the records that are complete, as they are stored."""
-    return gold_records(spark, d).select("doc_id", V.envelope_json(FI.record_json(gold_records(spark, d))).alias("envelope")).select(
+    r = gold_records(spark, d)
+    return r.select("doc_id", V.envelope_json(FI.record_json(r)).alias("envelope")).select(
         "doc_id",
         F.get_json_object("envelope", "$.count_of_extracted_objects").cast("bigint").alias("objects"),
         F.get_json_object("envelope", "$.report_metadata.Practice_City").alias("city"),
@@ -176,7 +179,9 @@ SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 4 <> 3 THEN '{"id": ' || c_cus
 
 
 def _checklist(spark, d) -> DataFrame:
-    return E.of_section(prose.prose_candidates(spark, d), "report_metadata")
+    """Record candidates, written once: the audit reads them several times."""
+    cands = E.of_section(prose.prose_candidates(spark, d), "report_metadata")
+    return stage(cands.select("doc_id", "text_key", "text", "field_hint", "evidence_block"), "checklist")
 
 
 def prose_rows(cands: DataFrame) -> DataFrame:
@@ -240,8 +245,8 @@ def checklist_misses(spark, d):
 ORACLE["checklist_misses"] = f"{_ROWS} SELECT doc_id, text, field_hint FROM misses"
 
 
-def prose_audit(spark, d) -> DataFrame:
-    cands = _checklist(spark, d)
+def prose_audit(spark, d, cands: DataFrame | None = None) -> DataFrame:
+    cands = _checklist(spark, d) if cands is None else cands
     return A.audit(T.documents(spark, d), cands, prose_rows(cands), prose.prose_blocks(spark, d))
 
 
@@ -277,9 +282,9 @@ policies AS (SELECT *, NOT coverage_ok OR gap_signal AS conflict,
 ORACLE["audit_policy"] = f"{_POLICY} SELECT doc_id, conflict, policy FROM policies"
 
 
-def prose_verdicts(spark, d) -> DataFrame:
+def prose_verdicts(spark, d, cands: DataFrame | None = None) -> DataFrame:
     """Team verdicts; documents with an id divisible by 15 lost their hints."""
-    policies = A.choose_policy(prose_audit(spark, d))
+    policies = A.choose_policy(prose_audit(spark, d, cands))
     hints = F.when(F.col("doc_id") % 15 == 0, F.lit(0)).otherwise(F.col("missed") + F.col("spurious"))
     reasoning = F.concat(F.lit("missed="), F.col("missed").cast("string"))
     return A.team_verdicts(policies.withColumn("hints", hints).withColumn("reasoning", reasoning))
@@ -329,7 +334,7 @@ def reextracted_rows(spark, d):
             "doc_id", "field", F.col("c.text").alias("value"), F.col("c.evidence_block").alias("block_id")
         )
 
-    return A.reextract_once(prose_rows(cands), prose_verdicts(spark, d), second_pass)
+    return A.reextract_once(prose_rows(cands), prose_verdicts(spark, d, cands), second_pass)
 
 
 ORACLE["reextracted_rows"] = f"""{_VERDICT}

@@ -14,6 +14,7 @@ from docspark.operators import score as SC
 from docspark.plans import prose, quality, reports, sqltext as S
 from docspark.sources import tables as T
 from docspark.sources.reports import GOLD_SQL, gold_records
+from docspark.sources.scratch import stage
 from docspark.vocab import DATE_FIELDS, RECORD_FIELDS, STRICT_FIELDS
 
 QUERIES: dict = {}
@@ -28,12 +29,12 @@ def query(fn):
 # --- scoring -----------------------------------------------------------------
 
 
-def gold_rows(spark: SparkSession, d: str) -> DataFrame:
+def gold_json(spark: SparkSession, d: str) -> DataFrame:
     r = gold_records(spark, d)
-    return SC.json_rows(r.select("doc_id", FI.record_json(r).alias("record")))
+    return r.select("doc_id", FI.record_json(r).alias("record"))
 
 
-def altered_rows(spark: SparkSession, d: str) -> DataFrame:
+def altered_json(spark: SparkSession, d: str) -> DataFrame:
     """Extracted records: gold records with one kind of change per key."""
     k = F.col("doc_id")
     g = gold_records(spark, d)
@@ -56,12 +57,12 @@ def altered_rows(spark: SparkSession, d: str) -> DataFrame:
         .when(k % 9 == 8, F.regexp_replace(r, '"Test_Name":"[^"]*"', '"Test_Name":7'))
         .otherwise(r)
     )
-    return SC.json_rows(g.select("doc_id", r.alias("record")))
+    return g.select("doc_id", r.alias("record"))
 
 
 @query
 def field_scores(spark, d):
-    return SC.compare_fields(gold_rows(spark, d), altered_rows(spark, d))
+    return SC.compare_fields(gold_json(spark, d), altered_json(spark, d))
 
 
 def _scores_sql(lenient: bool) -> str:
@@ -104,7 +105,7 @@ ORACLE["field_scores"] = _scores_sql(False)
 
 @query
 def doc_scores(spark, d):
-    return SC.score_documents(SC.compare_fields(gold_rows(spark, d), altered_rows(spark, d)), 0.98)
+    return SC.score_documents(SC.compare_fields(gold_json(spark, d), altered_json(spark, d)), 0.98)
 
 
 def _doc_scores(sql: str, threshold: float) -> str:
@@ -119,7 +120,7 @@ ORACLE["doc_scores"] = _doc_scores(_scores_sql(False), 0.98)
 
 @query
 def lenient_scores(spark, d):
-    return SC.score_documents(SC.compare_fields(gold_rows(spark, d), altered_rows(spark, d), lenient=True))
+    return SC.score_documents(SC.compare_fields(gold_json(spark, d), altered_json(spark, d), lenient=True))
 
 
 ORACLE["lenient_scores"] = _doc_scores(_scores_sql(True), 0.80)
@@ -127,7 +128,7 @@ ORACLE["lenient_scores"] = _doc_scores(_scores_sql(True), 0.80)
 
 @query
 def comparison_table(spark, d):
-    return RV.comparison_table(SC.compare_fields(gold_rows(spark, d), altered_rows(spark, d)))
+    return RV.comparison_table(SC.compare_fields(gold_json(spark, d), altered_json(spark, d)))
 
 
 ORACLE["comparison_table"] = f"""
@@ -139,8 +140,8 @@ FROM ({_scores_sql(False)})"""
 def extraction_scores(spark, d):
     """Extracted records of all reports against their gold records."""
     r = reports.records(spark, d)
-    extracted = SC.json_rows(r.select("doc_id", FI.record_json(r).alias("record")))
-    return SC.score_documents(SC.compare_fields(gold_rows(spark, d), extracted))
+    extracted = r.select("doc_id", FI.record_json(r).alias("record"))
+    return SC.score_documents(SC.compare_fields(gold_json(spark, d), extracted))
 
 
 ORACLE["extraction_scores"] = """
@@ -166,7 +167,7 @@ FROM ({GOLD_SQL})"""
 def prose_views(spark: SparkSession, d: str) -> DataFrame:
     """Block views of the prose documents."""
     resolved = E.resolve_sections(prose.prose_gated(spark, d), T.PROSE_TABLES)
-    cands = E.candidates(resolved, T.PROSE_TABLES, keep_occurrences=True)
+    cands = stage(E.candidates(resolved, T.PROSE_TABLES, keep_occurrences=True), "candidates")
     occ = cands.select("doc_id", "section", "text", "source_models", F.inline_outer(
         F.transform("occurrences", lambda o: F.struct(o["page_number"].alias("page_number"), o["seq"].alias("seq"), o["block_id"].alias("block_id")))
     ))
