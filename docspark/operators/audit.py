@@ -40,13 +40,16 @@ def missed_fields(cands: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def spurious_fields(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Values that the block they cite does not contain, or that cite no known block."""
-    cited = rows.filter(F.col("value").isNotNull())
+    """Values that the block they cite does not contain, or that cite no known block.
+
+    The inner join comes first: it can be planned from the side of the few
+    values, which an outer join could not, so the block texts need not travel.
+    """
+    cited = rows.filter(F.col("value").isNotNull()).select("doc_id", "field", "value", "block_id")
     texts = blocks.select("doc_id", "block_id", F.col("text").alias("block_text"))
     found = F.contains(text_key(F.col("block_text")), text_key(F.col("value")))
-    return cited.join(texts, ["doc_id", "block_id"], "left").filter(~F.coalesce(found, F.lit(False))).select(
-        "doc_id", "field", "value", "block_id"
-    )
+    grounded = texts.join(cited, ["doc_id", "block_id"]).filter(found).select("doc_id", "field")
+    return cited.join(grounded, ["doc_id", "field"], "left_anti")
 
 
 def checklist_misses(cands: DataFrame, rows: DataFrame) -> DataFrame:

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.text import cut, is_blank, strip
+from docspark.operators.running import running_total
+from docspark.sources.scratch import stage
 
 BlockPredicate = Callable[[Column], Column]
 SPAN_ROWS = "array<struct<block_id:string,start:int,end:int>>"
@@ -169,24 +171,18 @@ def span_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def block_offsets(blocks: DataFrame) -> DataFrame:
+def block_offsets(blocks: DataFrame, chunk: int = 10_000) -> DataFrame:
     """Spans of blocks in their page text, for pages too long for one value.
 
-    Only lengths travel: the running offset is a window sum per page.
+    Only lengths travel, and a very long page is summed up in chunks of blocks.
     """
-    length = F.length(strip(F.col("text")))
-    before = (
-        Window.partitionBy("doc_id", "page_number")
-        .orderBy("ord")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows = blocks.filter(~is_blank(F.col("text"))).select(
+        "doc_id", "page_number", "ord", "block_id", F.length(strip(F.col("text"))).alias("n")
     )
-    return (
-        blocks.filter(~is_blank(F.col("text")))
-        .select("doc_id", "page_number", "ord", "block_id", length.alias("n"))
-        .withColumn("start", F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0)).cast("int"))
-        .select(
-            "doc_id", "page_number", "block_id", "start", (F.col("start") + F.col("n")).alias("end")
-        )
+    placed = running_total(rows, ["doc_id", "page_number"], "ord", F.col("n") + 1, "before", chunk)
+    start = F.col("before").cast("int")
+    return placed.select(
+        "doc_id", "page_number", "block_id", start.alias("start"), (start + F.col("n")).alias("end")
     )
 
 
@@ -237,7 +233,8 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
 
     Walks one level per round by joining the previous level with its
     children, so a parent with very many children is split like any skewed
-    join. A node is emitted if it has text or a box, but its children are
+    join. Every level is written before the next one reads it, so a deep tree
+    costs one join per level. A node is emitted if it has text or a box, but its children are
     walked in any case. ``path`` is ``page_<n>/<kind>/<kind>...``; ``order_key``
     is the array of child positions, which sorts depth first.
 
@@ -259,7 +256,7 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
             F.col("path").alias("up"),
             F.col("order_key").alias("above"),
         )
-        level = children.join(parent, "parent_id").select(
+        below = children.join(parent, "parent_id").select(
             "node_id",
             "page",
             "text",
@@ -267,6 +264,7 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
             F.concat_ws("/", "up", "kind").alias("path"),
             F.concat("above", F.array(F.col("pos").cast("long"))).alias("order_key"),
         )
+        level = stage(below, "tree")
         if level.isEmpty():
             break
         found = found.unionByName(level)

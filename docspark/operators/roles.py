@@ -6,9 +6,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.operators.running import number_in_order
 from docspark.vocab import (
     DEFAULT_ROLE,
     NO_SECTION,
@@ -154,30 +155,6 @@ def scorer_payload(blocks: DataFrame) -> DataFrame:
     return blocks.select("doc_id", "block_id", "page_number", "ord", "section_path", capped.alias("text"))
 
 
-def number_in_order(
-    df: DataFrame, key: str, order: str, chunk: int = 10_000, name: str = "row_no"
-) -> DataFrame:
-    """0-based position of each row within its key, also for very large keys.
-
-    Rows are numbered within chunks of the order value, and chunk sizes are
-    summed up, so no single task sorts a whole large key. ``order`` is a
-    non-negative integer, unique within the key.
-    """
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
-    sizes = chunked.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = sizes.select(key, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(order))
-    return (
-        chunked.withColumn("_i", within)
-        .join(starts, [key, "_chunk"])
-        .withColumn(name, (F.col("_start") + F.col("_i") - 1).cast("long"))
-        .drop("_chunk", "_i", "_start")
-    )
-
-
 def batches(blocks: DataFrame, size: int = SCORER_BATCH_SIZE) -> DataFrame:
     """Give each block its batch number: ``size`` consecutive blocks of a document."""
     return (

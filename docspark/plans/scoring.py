@@ -166,11 +166,11 @@ FROM ({GOLD_SQL})"""
 
 def prose_views(spark: SparkSession, d: str) -> DataFrame:
     """Block views of the prose documents."""
+    key = ["doc_id", "text_key", "section"]
     resolved = E.resolve_sections(prose.prose_gated(spark, d), T.PROSE_TABLES)
-    cands = stage(E.candidates(resolved, T.PROSE_TABLES, keep_occurrences=True), "candidates")
-    occ = cands.select("doc_id", "section", "text", "source_models", F.inline_outer(
-        F.transform("occurrences", lambda o: F.struct(o["page_number"].alias("page_number"), o["seq"].alias("seq"), o["block_id"].alias("block_id")))
-    ))
+    resolved = stage(resolved, "mentions")
+    cands = E.candidates(resolved, T.PROSE_TABLES)
+    occ = E.candidate_occurrences(resolved).join(cands.select(*key, "text", "source_models"), key)
     rows = quality.prose_rows(E.of_section(cands, "report_metadata"))
     fields = RV.field_rows(rows.select("doc_id", "field", "block_id", F.lit("verbatim").alias("type")), rows)
     return RV.block_views(prose.prose_blocks(spark, d), prose.prose_profiles(spark, d), occ, fields)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.operators.blocks import envelope
+from docspark.sources.scratch import stage
 
 # fixed values: tags whose own text makes a block
 HTML_TAGS = ("title", "h1", "p", "li", "a", "b", "div", "footer")
@@ -37,8 +38,9 @@ def layout_blocks(docs: DataFrame, max_depth: int = 64) -> DataFrame:
     """Flatten cached layout JSON ``docs(doc_id, layout string)`` to block rows.
 
     Keys may be camelCase or snake_case. A child without a page takes the page
-    of its parent. One round per level, each of them row by row; JSON that does
-    not parse gives no blocks. Raises ValueError rather than dropping blocks
+    of its parent. One round per level, each of them row by row; the nested rest
+    is written between rounds, so the JSON is parsed once. JSON that does not
+    parse gives no blocks. Raises ValueError rather than dropping blocks
     below ``max_depth``.
     """
     b = F.col("b")
@@ -81,12 +83,13 @@ def layout_blocks(docs: DataFrame, max_depth: int = 64) -> DataFrame:
             F.try_variant_get(t, "$.text", "string").alias("text"),
         )
         out = here if out is None else out.unionByName(here)
-        level = rows.select(
+        nested = rows.select(
             "doc_id",
             F.col("page_number").alias("up_page"),
             F.col("order_key").alias("above"),
             F.try_variant_get(t, "$.blocks", "array<variant>").alias("nested"),
-        ).filter(F.size("nested") > 0)
+        )
+        level = stage(nested.filter(F.size("nested") > 0), "layout")
         if level.isEmpty():
             return out
     raise ValueError(f"layout is deeper than {max_depth} levels")
