@@ -22,12 +22,19 @@ EXTRACTION_COLUMNS = (
 
 def read_ledger(spark: SparkSession, path: str, columns: str) -> DataFrame:
     """All rows of a ledger, with the batch that wrote them."""
-    return spark.read.schema(columns + ", batch_id bigint").parquet(path)
+    return spark.read.schema(columns + ", batch string").parquet(path)
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def _batch_key(spark: SparkSession, batch_id: int) -> str:
+    """Names a batch across restarts: batches count per query, and a query keeps
+    its id as long as its checkpoint lives."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
+
+
+def _write_batch(rows: DataFrame, path: str, key: str) -> None:
     """Write the rows of one batch to a folder of its own; a replay replaces it."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/batch={key}")
 
 
 def ingest(
@@ -50,17 +57,17 @@ def ingest(
     run_columns = RUN_COLUMNS.format(id=id_type)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        done = spark.createDataFrame([], run_columns + ", batch_id bigint")
+        key = _batch_key(spark, batch_id)
+        new = batch.dropDuplicates(["doc_id"])
         if _exists(spark, storage.runs):
-            done = read_ledger(spark, storage.runs, run_columns)
-        earlier = done.filter(
-            (F.col("batch_id") != batch_id) & (F.col("pipeline_version") == storage.version)
-        )
-        new = batch.dropDuplicates(["doc_id"]).join(earlier.select("doc_id"), "doc_id", "left_anti")
+            done = read_ledger(spark, storage.runs, run_columns).filter(
+                (F.col("batch") != key) & (F.col("pipeline_version") == storage.version)
+            )
+            new = new.join(done.select("doc_id"), "doc_id", "left_anti")
         results = process(new).persist()
         try:
-            _write_batch(extraction_rows(results, storage), storage.extractions, batch_id)
-            _write_batch(run_rows(results, storage), storage.runs, batch_id)
+            _write_batch(extraction_rows(results, storage), storage.extractions, key)
+            _write_batch(run_rows(results, storage), storage.runs, key)
         finally:
             results.unpersist()
 
