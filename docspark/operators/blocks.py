@@ -195,7 +195,9 @@ def text_of_segments(full_text: Column, segments: Column) -> Column:
         F.transform(
             segments,
             lambda s: cut(
-                full_text, F.coalesce(s["start"], F.lit(0)), F.coalesce(s["end"], F.lit(0))
+                full_text,
+                F.greatest(F.coalesce(s["start"], F.lit(0)), F.lit(0)),
+                F.coalesce(s["end"], F.lit(0)),
             ),
         ),
         "",
