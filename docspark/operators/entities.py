@@ -64,6 +64,18 @@ class Tables:
         set_(self, "stoplist", tuple(s.strip().lower() for s in self.stoplist))
         set_(self, "vendor_names", tuple(v.lower() for v in self.vendor_names))
 
+    @classmethod
+    def from_mapping(cls, raw: Mapping) -> "Tables":
+        """Tables out of a parsed configuration file; missing parts are empty."""
+        rules = [HintRule(r.get("entity_label", ""), tuple(r.get("near_labels") or ()), r["field"]) for r in raw.get("field_hint_rules") or ()]
+        return cls(
+            label_sections=dict(raw.get("label_to_sections") or {}),
+            drop_roles=tuple(raw.get("drop_roles") or ()),
+            stoplist=tuple(map(str, raw.get("stoplist") or ())),
+            hint_rules=tuple(rules),
+            vendor_names=tuple(map(str, raw.get("vendor_names") or ())),
+        )
+
 
 # --- recognition -------------------------------------------------------------
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,14 @@ class Storage:
         return F.concat(F.lit(base), doc_id.cast("string"), F.lit("/"))
 
 
+def load_storage(configs: Mapping[str, Mapping[str, str]], phase: str) -> Storage:
+    """The storage of one phase out of a configuration of all phases."""
+    if phase not in configs:
+        raise KeyError(f"no storage configured for {phase!r}; there is {sorted(configs)}")
+    block = configs[phase]
+    return Storage(block["pipeline_version"], block["root"])
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of each key that is last by ``order``.
 

@@ -167,6 +167,24 @@ def check_envelopes(df: DataFrame, column: str = "envelope", check_dates: bool =
     return base.withColumn("errors", F.expr(errors)).drop("_root", *[f"_{n}" for n in SECTION_RULES])
 
 
+def check_sections(df: DataFrame, check_dates: bool = False) -> DataFrame:
+    """Check single candidates ``df(section, candidate string)``: adds ``ok`` and ``errors``.
+
+    An unknown section is an error of its own.
+    """
+    base = df.withColumn("_m", F.try_variant_get(F.try_parse_json("candidate"), "$", "map<string,variant>"))
+    root = "CAST(array() AS array<string>)"
+    whens = " ".join(
+        f"WHEN section = '{name}' THEN {_check_object(f'{chr(39)}{name}{chr(39)}', '_m', rules, root, 0, check_dates)}"
+        for name, rules in SECTION_RULES.items()
+    )
+    known = "', '".join(SECTION_RULES)
+    unknown = _error("section", root, "section", "'unknown section'")
+    unreadable = _error("section", root, "type", "'not a JSON object'")
+    errors = f"CASE WHEN section IS NULL OR section NOT IN ('{known}') THEN array({unknown}) WHEN _m IS NULL THEN array({unreadable}) {whens} END"
+    return base.withColumn("errors", F.expr(errors)).withColumn("ok", F.size("errors") == 0).drop("_m")
+
+
 def violation_rows(checked: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per breach."""
     return checked.select(key, F.posexplode_outer("errors").alias("no", "e")).filter(F.col("e").isNotNull()).select(key, "no", "e.*")

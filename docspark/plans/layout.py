@@ -165,6 +165,41 @@ UNION ALL
 SELECT vec_id, 'b' || vec_id || '-2', 99, 'second', '0.1', NULL, NULL, NULL, NULL FROM embeddings WHERE vec_id % 17 <> 16"""
 
 
+def line_table_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Layout JSON of the prose documents: a heading, then a table of the other lines.
+
+    The second line is the header row; every further line is a body row of two
+    cells, the line and, under it as a child, its length.
+    """
+    lines = F.split("text", "\n", -1)
+    page = F.struct(F.lit(2).alias("page_start"))
+    child = lambda x: F.struct(F.struct(F.length(x).cast("string").alias("text"), F.lit("count").alias("type")).alias("text_block"))
+    leaf = lambda x, i: F.struct(
+        F.concat(F.lit("r"), i.cast("string")).alias("block_id"), page.alias("page_span"), F.struct(x.alias("text"), F.array(child(x)).alias("blocks")).alias("text_block")
+    )
+    row = lambda x, i: F.struct(F.array(F.struct(F.array(leaf(x, i)).alias("blocks"))).alias("cells"))
+    rows = F.transform(lines, row)
+    table = F.struct(F.slice(rows, 2, 1).alias("header_rows"), F.when(F.size(lines) > 2, F.slice(rows, F.lit(3), F.size(lines))).alias("body_rows"))
+    heading = F.struct(F.lit("h").alias("block_id"), F.struct(F.get(lines, F.lit(0)).alias("text"), F.lit("heading").alias("type")).alias("text_block"))
+    grid = F.struct(F.lit("t").alias("block_id"), table.alias("table_block"))
+    blocks = F.concat(F.array(F.parse_json(F.to_json(heading))), F.array(F.parse_json(F.to_json(grid))))
+    layout = F.to_json(F.struct(F.struct(blocks.alias("blocks")).alias("document_layout")))
+    return T.documents(spark, d).select("doc_id", layout.alias("layout"))
+
+
+@query
+def layout_table_blocks(spark, d):
+    out = LA.parse_layout(line_table_layout(spark, d))
+    return out.select("doc_id", "block_id", "page_number", "section_path", "text", F.array_join("order_key", ".").alias("order_key"))
+
+
+ORACLE["layout_table_blocks"] = f"""
+WITH {S.LINES}
+SELECT doc_id, 'h' AS block_id, CAST(1 AS BIGINT) AS page_number, 'page_1/heading' AS section_path, text, '0' AS order_key FROM lines WHERE ord = 0 AND text <> ''
+UNION ALL SELECT doc_id, 'r' || ord, 2, 'page_1/table/text', text, '1.' || (ord - 1) FROM lines WHERE ord > 0 AND text <> ''
+UNION ALL SELECT doc_id, '', 1, 'page_1/table/text/count', CAST(length(text) AS VARCHAR), '1.' || (ord - 1) || '.0' FROM lines WHERE ord > 0"""
+
+
 # --- anchors, fallback, geometry ---------------------------------------------
 
 

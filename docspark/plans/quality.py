@@ -155,6 +155,25 @@ SELECT doc_id, 'schema_validator' AS verifier_name, flag OR n = 0 AS passed, CAS
 FROM s"""
 
 
+@query
+def section_checks(spark, d):
+    """Event props as candidates for sections, one of them unknown."""
+    k = F.col("event_id")
+    section = F.when(k % 3 == 0, F.lit("report_metadata")).when(k % 3 == 1, F.lit("other_molecular_biomarker_umbrella")).otherwise(F.lit("summary"))
+    empty = F.lit('{"count":0,"llm_confidence_score":null,"other_molecular_biomarkers":[]}')
+    candidate = F.when(k % 6 == 1, empty).otherwise(F.col("props"))
+    df = T.table(spark, d, "events").select("event_id", section.alias("section"), candidate.alias("candidate"))
+    return V.check_sections(df).select("event_id", "section", "ok", F.size("errors").alias("errors"), F.array_distinct(F.transform("errors", lambda e: e["rule"])).alias("r")).select(
+        "event_id", "section", "ok", "errors", F.array_join("r", ",").alias("rules")
+    )
+
+
+ORACLE["section_checks"] = """
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'report_metadata' WHEN 1 THEN 'other_molecular_biomarker_umbrella' ELSE 'summary' END AS section,
+       event_id % 6 = 1 AS ok, CAST(CASE WHEN event_id % 3 = 0 THEN 26 WHEN event_id % 6 = 1 THEN 0 WHEN event_id % 3 = 1 THEN 4 ELSE 1 END AS BIGINT) AS errors,
+       CASE WHEN event_id % 6 = 1 THEN '' WHEN event_id % 3 = 2 THEN 'section' ELSE 'required,additionalProperties' END AS rules FROM events"""
+
+
 @query
 def answer_records(spark, d):
     """JSON records out of model-like answers: bare, fenced, wrapped in prose, broken."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.text import is_blank
-from docspark.operators.ledger import latest_per_key
+from docspark.operators.ledger import latest_per_key, recent_runs
 
 CORRUPT = "_corrupt_record"
 
@@ -140,6 +140,22 @@ def read_latest_extractions(spark: SparkSession, path: str) -> DataFrame:
     return latest_per_key(rows, ["doc_id"], ["extracted_at", "extraction_id"])
 
 
+# --- ledgers in a warehouse ---
+
+
+def warehouse_runs(spark: SparkSession, table: str, limit: int = 200) -> DataFrame:
+    """The newest runs of a catalog table."""
+    return recent_runs(spark.table(table), limit)
+
+
+def warehouse_extractions(spark: SparkSession, table: str, doc_ids: DataFrame | None = None) -> DataFrame:
+    """The last extraction of each document of a catalog table, or of some documents."""
+    rows = spark.table(table)
+    if doc_ids is not None:
+        rows = rows.join(doc_ids, "doc_id", "left_semi")
+    return latest_per_key(rows, ["doc_id"], ["extracted_at", "extraction_id"])
+
+
 # --- gold records and envelopes ----------------------------------------------
 
 

@@ -34,62 +34,121 @@ def _either(v: Column, camel: str, snake: str, kind: str) -> Column:
     return F.coalesce(F.try_variant_get(v, f"$.{camel}", kind), F.try_variant_get(v, f"$.{snake}", kind))
 
 
-def layout_blocks(docs: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Flatten cached layout JSON ``docs(doc_id, layout string)`` to block rows.
+def _members(v: Column, *names: str, kind: str) -> Column:
+    return F.coalesce(*[F.try_variant_get(v, f"$.{n}", kind) for n in names])
 
-    Keys may be camelCase or snake_case. A child without a page takes the page
-    of its parent. One round per level, each of them row by row; the nested rest
-    is written between rounds, so the JSON is parsed once. JSON that does not
-    parse gives no blocks. Raises ValueError rather than dropping blocks
-    below ``max_depth``.
+
+def _cell_blocks(rows: Column) -> Column:
+    """Blocks of all cells of some table rows, in reading order."""
+    none = F.expr("CAST(array() AS array<variant>)")
+    of_cell = lambda c: F.coalesce(F.try_variant_get(c, "$.blocks", "array<variant>"), none)
+    of_row = lambda r: F.flatten(F.transform(F.coalesce(F.try_variant_get(r, "$.cells", "array<variant>"), none), of_cell))
+    return F.flatten(F.transform(F.coalesce(rows, none), of_row))
+
+
+def _vertex_box(poly: Column) -> Column:
+    vertex = "array<struct<x:double,y:double>>"
+    return envelope(_either(poly, "normalizedVertices", "normalized_vertices", vertex), F.try_variant_get(poly, "$.vertices", vertex))
+
+
+def _walk(docs: DataFrame, max_depth: int, inherit_page: bool, tables: bool) -> DataFrame:
+    """All nodes of layout JSON, one round per level and each round row by row.
+
+    The nested rest is written between rounds, so the JSON is parsed once.
     """
-    b = F.col("b")
+    b, t, table = F.col("b"), F.col("t"), F.col("table")
     root = F.try_parse_json("layout")
     top = F.coalesce(
         F.try_variant_get(root, "$.documentLayout.blocks", "array<variant>"),
         F.try_variant_get(root, "$.document_layout.blocks", "array<variant>"),
     )
-    level = docs.select("doc_id", F.lit(1).alias("up_page"), F.array().cast("array<int>").alias("above"), top.alias("nested"))
+    level = docs.select(
+        "doc_id",
+        F.lit(1).alias("up_page"),
+        F.lit(None).cast("string").alias("up_path"),
+        F.array().cast("array<int>").alias("above"),
+        top.alias("nested"),
+    )
     out = None
     for _ in range(max_depth):
-        text_block = _either(b, "textBlock", "text_block", "variant")
-        page = F.coalesce(
-            F.try_variant_get(b, "$.pageSpan.pageStart", "int"),
-            F.try_variant_get(b, "$.page_span.page_start", "int"),
-            F.col("up_page"),
+        own_page = F.coalesce(
+            F.try_variant_get(b, "$.pageSpan.pageStart", "int"), F.try_variant_get(b, "$.page_span.page_start", "int")
+        )
+        kind = (
+            F.when(t.isNotNull(), F.coalesce(F.try_variant_get(t, "$.type", "string"), F.lit("text")))
+            .when(table.isNotNull(), F.lit("table"))
+            .when(_either(b, "listBlock", "list_block", "variant").isNotNull(), F.lit("list"))
+            .when(_either(b, "imageBlock", "image_block", "variant").isNotNull(), F.lit("image"))
+            .otherwise(F.lit("unknown"))
         )
         rows = (
-            level.select("doc_id", "up_page", "above", F.posexplode_outer("nested").alias("i", "b"))
+            level.select("doc_id", "up_page", "up_path", "above", F.posexplode_outer("nested").alias("i", "b"))
             .filter(b.isNotNull())
+            .select(
+                "*",
+                _either(b, "textBlock", "text_block", "variant").alias("t"),
+                _either(b, "tableBlock", "table_block", "variant").alias("table"),
+                F.coalesce(own_page, F.col("up_page") if inherit_page else F.lit(1)).alias("page_number"),
+            )
             .select(
                 "doc_id",
-                _either(b, "blockId", "block_id", "string").alias("block_id"),
-                page.alias("page_number"),
+                F.coalesce(_either(b, "blockId", "block_id", "string"), F.lit("")).alias("block_id"),
+                "page_number",
                 F.concat("above", F.array("i")).alias("order_key"),
-                text_block.alias("t"),
+                F.concat_ws("/", F.coalesce("up_path", F.concat(F.lit("page_"), "page_number")), kind).alias("section_path"),
+                _either(b, "boundingBox", "bounding_box", "variant").alias("box"),
+                "t",
+                "table",
             )
         )
-        t = F.col("t")
-        poly = F.coalesce(*[F.try_variant_get(t, f"$.layout.{p}", "variant") for p in ("boundingPoly", "bounding_poly")])
-        vertex = "array<struct<x:double,y:double>>"
-        normalized = _either(poly, "normalizedVertices", "normalized_vertices", vertex)
-        raw = F.try_variant_get(poly, "$.vertices", vertex)
-        here = rows.filter(F.coalesce("block_id", F.lit("")) != "").select(
+        layout_box = _members(F.try_variant_get(t, "$.layout", "variant"), "boundingPoly", "bounding_poly", kind="variant")
+        here = rows.select(
             "doc_id",
             "block_id",
             "page_number",
             "order_key",
-            envelope(normalized, raw).alias("bbox"),
-            F.try_variant_get(t, "$.text", "string").alias("text"),
+            "section_path",
+            _vertex_box(F.coalesce("box", layout_box)).alias("bbox"),
+            F.coalesce(F.try_variant_get(t, "$.text", "string"), F.lit("")).alias("text"),
         )
         out = here if out is None else out.unionByName(here)
-        nested = rows.select(
+        children = F.try_variant_get(t, "$.blocks", "array<variant>")
+        if tables:
+            header = _either(table, "headerRows", "header_rows", "array<variant>")
+            body = _either(table, "bodyRows", "body_rows", "array<variant>")
+            cells = F.concat(_cell_blocks(header), _cell_blocks(body))
+            children = F.when(F.size(children) > 0, children).otherwise(cells)
+        below = rows.select(
             "doc_id",
             F.col("page_number").alias("up_page"),
+            F.col("section_path").alias("up_path"),
             F.col("order_key").alias("above"),
-            F.try_variant_get(t, "$.blocks", "array<variant>").alias("nested"),
+            children.alias("nested"),
         )
-        level = stage(nested.filter(F.size("nested") > 0), "layout")
+        level = stage(below.filter(F.size("nested") > 0), "layout")
         if level.isEmpty():
             return out
     raise ValueError(f"layout is deeper than {max_depth} levels")
+
+
+def layout_blocks(docs: DataFrame, max_depth: int = 64) -> DataFrame:
+    """Blocks of cached layout JSON ``docs(doc_id, layout string)``, by id.
+
+    Keys may be camelCase or snake_case. A child without a page takes the page
+    of its parent; blocks without an id are left out, but not their children.
+    JSON that does not parse gives no blocks. Raises ValueError rather than
+    dropping blocks below ``max_depth``.
+    """
+    nodes = _walk(docs, max_depth, inherit_page=True, tables=False)
+    return nodes.filter(F.col("block_id") != "").drop("section_path")
+
+
+def parse_layout(docs: DataFrame, max_depth: int = 64) -> DataFrame:
+    """Blocks of fresh layout JSON, depth first, with ``section_path``.
+
+    A node is a block if it has text or a box. The walk goes on into the
+    children of text and into the cells of tables, header rows first.
+    ``order_key`` sorts the blocks of a document.
+    """
+    nodes = _walk(docs, max_depth, inherit_page=False, tables=True)
+    return nodes.filter((F.col("text") != "") | (F.size("bbox") > 0))

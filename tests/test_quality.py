@@ -195,3 +195,16 @@ def test_severity_and_summary(spark):
     runs = spark.createDataFrame([("a", "auto_accept", 5), ("a", "sme_flag", 7), ("b", "errored", 1), ("b", "sme_flag", 1), ("c", None, 2)], "batch string, verdict string, latency_ms bigint")
     assert {tuple(r) for r in RO.severity(runs, "batch").collect()} == {("a", 1), ("b", 2), ("c", 0)}
     assert {tuple(r) for r in RO.run_summary(runs).collect()} == {("auto_accept", 1, 5), ("sme_flag", 2, 8), ("errored", 1, 1), ("(none)", 1, 2)}
+
+
+def test_single_sections(spark):
+    rows = [
+        ("report_metadata", json.dumps(record()), 0),
+        ("report_metadata", "{}", 25),
+        ("tested_biomarker_umbrella", json.dumps({"count_of_tested_biomarkers": 0, "page_numbers": [0], "llm_confidence_score": None, "tested_biomarkers": []}), 1),
+        ("nowhere", "{}", 1),
+        ("report_metadata", "oops", 1),
+        (None, "{}", 1),
+    ]
+    df = spark.createDataFrame(rows, "section string, candidate string, want int")
+    assert all(len(r["errors"]) == r["want"] and r["ok"] == (r["want"] == 0) for r in V.check_sections(df).collect())

@@ -161,3 +161,46 @@ def test_review_defaults(spark):
     single = spark.createDataFrame([([], "x"), (None, None), (["a"], "x")], "h array<string>, s string").select(RV.hint_list(F.col("h"), F.col("s")))
     assert [r[0] for r in single.collect()] == [["x"], ["none"], ["a"]]
     assert R.role_legend(spark.createDataFrame([("d", 1, "other")] * 3, "doc_id string, page_number int, text_role string")).first()["blocks"] == 3
+
+
+def test_parse_layout_kinds_cells_and_boxes(spark):
+    cell = lambda i, t: {"blocks": [{"block_id": i, "text_block": {"text": t}}]}
+    table = {"block_id": "t", "table_block": {"body_rows": [{"cells": [cell("x", "1"), cell("y", "2")]}], "header_rows": [{"cells": [cell("h", "head")]}]}}
+    image = {"block_id": "i", "image_block": {}, "bounding_box": {"normalized_vertices": [{"x": 0.1, "y": 0.2}, {"x": 0.5}]}}
+    listed = {"block_id": "l", "list_block": {"list_entries": []}}
+    top = {"block_id": "p", "page_span": {"page_start": 2}, "text_block": {"type": "heading", "text": "", "blocks": [table, image, listed]}}
+    docs = [("d", json.dumps({"document_layout": {"blocks": [top]}}))]
+    out = LA.parse_layout(spark.createDataFrame(docs, "doc_id string, layout string")).orderBy("order_key").collect()
+    assert [(r["block_id"], r["page_number"], r["section_path"]) for r in out] == [
+        ("h", 1, "page_2/heading/table/text"),
+        ("x", 1, "page_2/heading/table/text"),
+        ("y", 1, "page_2/heading/table/text"),
+        ("i", 1, "page_2/heading/image"),
+    ]
+    assert list(out[3]["bbox"]) == [0.1, 0.0, 0.5, 0.2]
+
+
+def test_configuration(spark):
+    from docspark.operators.entities import Tables
+
+    t = Tables.from_mapping({"label_to_sections": {"A": ["report_metadata"]}, "stoplist": [" DNA ", 5], "vendor_names": ["Quest"], "field_hint_rules": [{"near_labels": ["Dob"], "field": "Patient_DOB"}]})
+    assert t.stoplist == ("dna", "5") and t.vendor_names == ("quest",) and t.hint_rules[0].field == "Patient_DOB" and t.drop_roles == ()
+    configs = {"phase_1": {"pipeline_version": "v1", "root": "/x/"}}
+    s = LE.load_storage(configs, "phase_1")
+    assert (s.runs, s.artifacts("blocks")) == ("/x/runs_v1", "/x/artifacts_v1/blocks")
+    try:
+        LE.load_storage(configs, "phase_9")
+        raise AssertionError("expected KeyError")
+    except KeyError:
+        pass
+
+
+def test_warehouse_tables(spark):
+    rows = [(f"e{i}", f"d{i % 2}", f"2024-01-0{i + 1}") for i in range(4)]
+    df = spark.createDataFrame(rows, "extraction_id string, doc_id string, extracted_at string")
+    df.createOrReplaceTempView("extractions_test")
+    assert {r["extraction_id"] for r in FS.warehouse_extractions(spark, "extractions_test").collect()} == {"e2", "e3"}
+    one = spark.createDataFrame([("d1",)], "doc_id string")
+    assert [r["extraction_id"] for r in FS.warehouse_extractions(spark, "extractions_test", one).collect()] == ["e3"]
+    df.select(F.col("extraction_id").alias("run_id"), F.col("extracted_at").alias("completed_at")).createOrReplaceTempView("runs_test")
+    assert [r["run_id"] for r in FS.warehouse_runs(spark, "runs_test", 2).collect()] == ["e3", "e2"]
