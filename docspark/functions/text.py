@@ -96,47 +96,71 @@ def lines_with_ends(c: Column) -> Column:
     return F.filter(F.split(c, _LINE_START), lambda x: x != "")
 
 
-def _spans(gaps: Column, hits: Column) -> Column:
-    """Spans of ``hits``, given the text pieces between them.
+def prefix_sums(lengths: Column, chunk: int = 512) -> Column:
+    """For each element of an int array the sum of the elements before it.
 
-    One pass over the hits of one text; only positions are added up.
+    Long arrays are summed in chunks. Growing one array element by element
+    copies it every time, which for very long ones would be quadratic.
     """
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.array().cast(SPAN_TYPE).alias("spans"),
-    )
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["pos"] + x["gap"]
-        end = begin + F.length(x["hit"])
-        return F.when(x["hit"].isNull(), acc).otherwise(
-            F.struct(
-                end.alias("pos"),
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("text"))),
-                ).alias("spans"),
+    def small(a: Column) -> Column:
+        start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return F.struct(
+                (acc["pos"] + x).alias("pos"), F.concat(acc["out"], F.array(acc["pos"])).alias("out")
             )
-        )
 
+        return F.aggregate(a, start, step, lambda acc: acc["out"])
+
+    def large(a: Column) -> Column:
+        last = F.floor((F.size(a) - 1) / chunk).cast("int")
+        cuts = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(a, c * chunk + 1, chunk))
+
+        def joined(parts: Column) -> Column:
+            totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda acc, x: acc + x))
+            return F.flatten(
+                F.zip_with(parts, small(totals), lambda p, s: F.transform(small(p), lambda x: x + s))
+            )
+
+        return let(cuts, joined)
+
+    return let(lengths, lambda a: F.when(F.size(a) <= chunk, small(a)).otherwise(large(a)))
+
+
+def spans_between(gaps: Column, hits: Column) -> Column:
+    """Spans of ``hits``, given the text pieces between them; one piece follows the last hit."""
     pairs = F.zip_with(
-        gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit"))
+        gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("n"), h.alias("hit"))
     )
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
 
+    def place(found: Column) -> Column:
+        before = prefix_sums(F.transform(found, lambda x: x["gap"] + x["n"]))
+        return F.zip_with(
+            found,
+            before,
+            lambda x, s: F.struct(
+                (s + x["gap"]).alias("start"), (s + x["gap"] + x["n"]).alias("end"), x["hit"].alias("text")
+            ),
+        )
 
-def pattern_spans(c: Column, pattern: str, needs: str | None = None) -> Column:
-    """All matches of a pattern as ``array<struct<start,end,text>>``.
+    return let(F.filter(pairs, lambda x: x["hit"].isNotNull()), place)
 
-    The matches and the pieces between them come from two scans of the text,
-    made only where the pattern occurs at all. ``needs`` is a literal part of
-    every match that is looked for first.
-    """
-    found = _spans(
-        F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    )
-    hit = c.rlike(pattern) if needs is None else F.contains(c, F.lit(needs)) & c.rlike(pattern)
-    return F.when(hit, found).otherwise(F.array().cast(SPAN_TYPE))
+
+def occurs(c: Column, pattern: str, needs: str | None = None) -> Column:
+    """Whether a pattern occurs; ``needs`` is a literal part of every match, looked for first."""
+    return c.rlike(pattern) if needs is None else F.contains(c, F.lit(needs)) & c.rlike(pattern)
+
+
+def pieces_and_hits(c: Column, pattern: str) -> list[Column]:
+    """The pieces between the matches of a pattern, and the matches, from two scans."""
+    return [F.split(c, pattern, -1), F.regexp_extract_all(c, F.lit(pattern), F.lit(0))]
+
+
+def pattern_spans(c: Column, pattern: str, needs: str | None = None) -> Column:
+    """All matches of a pattern as ``array<struct<start,end,text>>``."""
+    found = spans_between(*pieces_and_hits(c, pattern))
+    return F.when(occurs(c, pattern, needs), found).otherwise(F.array().cast(SPAN_TYPE))
 
 
 def literal_spans(c: Column, query: Column, limit: int | None = None) -> Column:
@@ -149,7 +173,7 @@ def literal_spans(c: Column, query: Column, limit: int | None = None) -> Column:
     pieces = F.split(low, quoted, -1 if limit is None else limit + 1)
     n = F.size(pieces) - 1
     hits = F.array_repeat(q, n)
-    spans = _spans(F.slice(pieces, 1, F.greatest(n, F.lit(0))), hits)
+    spans = spans_between(F.slice(pieces, 1, F.greatest(n, F.lit(0))), hits)
     real = F.transform(
         spans,
         lambda s: F.struct(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.functions.text import cut, is_blank, strip
+from docspark.functions.text import cut, is_blank, prefix_sums, strip
 from docspark.operators.running import running_total
 from docspark.sources.scratch import stage
 
@@ -130,29 +130,26 @@ def assemble_pages(
             *(describe(b) if describe else []),
         )
 
-    def lay(acc: Column, b: Column) -> Column:
-        end = acc["pos"] + F.length(b["text"])
-        span = F.struct(
+    extra = T.DataType.fromDDL(span_type).elementType.names[3:]
+
+    def span(b: Column, start: Column) -> Column:
+        return F.struct(
             b["block_id"].alias("block_id"),
-            acc["pos"].alias("start"),
-            end.alias("end"),
+            start.alias("start"),
+            (start + F.length(b["text"])).alias("end"),
             *[b[n].alias(n) for n in extra],
         )
-        return F.struct(
-            (end + 1).alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans")
-        )
 
-    span_type = T.DataType.fromDDL(span_type)
-    extra = span_type.elementType.names[3:]
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(span_type).alias("spans"))
-    # a projection of its own: both uses of the kept blocks below share it
-    kept = groups.withColumn("kept", F.transform(F.filter("blocks", keep), tidy))
+    # projections of their own: what several columns use is computed once
+    kept = groups.withColumn("kept", F.transform(F.filter("blocks", keep), tidy)).withColumn(
+        "starts", prefix_sums(F.transform("kept", lambda b: F.length(b["text"]) + 1))
+    )
     return kept.select(
         "doc_id",
         "page_number",
         F.array_join(F.transform("kept", lambda b: b["text"]), "\n").alias("text"),
         F.transform("blocks", lambda b: b["block_id"]).alias("block_ids"),
-        F.aggregate("kept", start, lay, lambda acc: acc["spans"]).alias("block_spans"),
+        F.zip_with("kept", "starts", span).cast(span_type).alias("block_spans"),
     )
 
 

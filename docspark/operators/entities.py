@@ -13,8 +13,10 @@ from docspark.functions.text import (
     context,
     contains_any,
     cut,
-    pattern_spans,
+    occurs,
+    pieces_and_hits,
     quoted,
+    spans_between,
     squash,
     text_key,
 )
@@ -88,22 +90,36 @@ def recognise(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     later steps need of the page, so the page text itself goes no further.
     """
     models = list(dict.fromkeys(p.model for p in patterns))
+    text = F.col("text")
+
+    def cut_up(i: int, p: Pattern) -> Column:
+        gaps, hits = pieces_and_hits(text, p.regex)
+        found = F.struct(
+            F.lit(models.index(p.model)).alias("model_no"),
+            F.lit(i).alias("pattern_no"),
+            F.lit(p.label).alias("label"),
+            F.lit(p.model).alias("model"),
+            gaps.alias("gaps"),
+            hits.alias("hits"),
+        )
+        return F.when(occurs(text, p.regex, p.needs), found)
 
-    def tagged(i: int, p: Pattern) -> Column:
+    def placed(x: Column) -> Column:
         return F.transform(
-            pattern_spans(F.col("text"), p.regex, p.needs),
+            spans_between(x["gaps"], x["hits"]),
             lambda s: F.struct(
-                F.lit(models.index(p.model)).alias("model_no"),
+                x["model_no"].alias("model_no"),
                 s["start"].alias("char_start"),
-                F.lit(i).alias("pattern_no"),
+                x["pattern_no"].alias("pattern_no"),
                 s["end"].alias("char_end"),
                 s["text"].alias("text"),
-                F.lit(p.label).alias("label"),
-                F.lit(p.model).alias("source_model"),
+                x["label"].alias("label"),
+                x["model"].alias("source_model"),
             ),
         )
 
-    found = F.array_sort(F.concat(*[tagged(i, p) for i, p in enumerate(patterns)]))
+    cuts = F.array_compact(F.array(*[cut_up(i, p) for i, p in enumerate(patterns)]))
+    found = F.array_sort(F.flatten(F.transform(cuts, placed)))
     others = [c for c in pages.columns if c != "text"]
     hit = F.col("hit")
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.functions.text import is_blank, lines_with_ends, strip
+from docspark.functions.text import is_blank, lines_with_ends, prefix_sums, strip
 from docspark.vocab import NOISE_PATTERNS
 
 Patterns = Sequence[tuple[str, str]]
@@ -65,22 +65,16 @@ def strip_noise_lines(docs: DataFrame, patterns: Patterns = NOISE_PATTERNS) -> D
 
     ``removed`` is ``array<struct<start,end>>`` in the original text.
     """
-    scanned = docs.withColumn("_lines", _scan(F.col("text"), patterns))
-
-    def walk(acc: Column, x: Column) -> Column:
-        end = acc["pos"] + F.length(x["line"])
-        span = F.array(F.struct(acc["pos"].alias("start"), end.alias("end")))
-        return F.struct(
-            end.alias("pos"),
-            F.when(x["noise"], F.concat(acc["cut"], span)).otherwise(acc["cut"]).alias("cut"),
-        )
-
-    start = F.struct(
-        F.lit(0).alias("pos"), F.array().cast("array<struct<start:int,end:int>>").alias("cut")
+    scanned = docs.withColumn("_lines", _scan(F.col("text"), patterns)).withColumn(
+        "_starts", prefix_sums(F.transform("_lines", lambda x: F.length(x["line"])))
     )
+
+    def span(x: Column, start: Column) -> Column:
+        end = start + F.length(x["line"])
+        return F.struct(x["noise"].alias("noise"), F.struct(start.alias("start"), end.alias("end")).alias("span"))
+
     kept = F.transform(F.filter("_lines", lambda x: ~x["noise"]), lambda x: x["line"])
+    cut = F.filter(F.zip_with("_lines", "_starts", span), lambda x: x["noise"])
     return scanned.select(
-        "doc_id",
-        F.array_join(kept, "").alias("text"),
-        F.aggregate("_lines", start, walk, lambda acc: acc["cut"]).alias("removed"),
+        "doc_id", F.array_join(kept, "").alias("text"), F.transform(cut, lambda x: x["span"]).alias("removed")
     )

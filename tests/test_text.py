@@ -95,3 +95,22 @@ def test_json_of_answer(spark):
     values = ['{"a":1}', 'x\n```json\n{"a":1}\n```', '```\n{"a":{"b":2}}\n```', 'It is {"a":1}.', "{", "", None]
     want = ['{"a":1}', '{"a":1}', '{"a":{"b":2}}', '{"a":1}', None, None, None]
     assert many(spark, values, answers.json_of_answer(F.col("t"))) == want
+
+
+def test_prefix_sums_of_short_and_long_arrays(spark):
+    cases = [[], [5], list(range(9)), list(range(10)), list(range(11)), [3] * 57]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, a array<int>")
+    got = {r["i"]: list(r["p"]) for r in df.select("i", text.prefix_sums(F.col("a"), 5).alias("p")).collect()}
+    assert got == {i: [sum(a[:j]) for j in range(len(a))] for i, a in enumerate(cases)}
+
+
+def test_very_many_matches_in_one_text(spark):
+    import time
+
+    n = 200_000
+    df = spark.createDataFrame([("1 " * n,)], "t string")
+    start = time.time()
+    spans = df.select(text.pattern_spans(F.col("t"), "[0-9]").alias("s"))
+    r = spans.select(F.size("s").alias("n"), F.element_at("s", -1).alias("last")).first()
+    assert r["n"] == n and (r["last"]["start"], r["last"]["end"]) == (2 * n - 2, 2 * n - 1)
+    assert time.time() - start < 60
