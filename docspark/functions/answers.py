@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docspark.functions.text import strip
 
-_FENCED = r"(?s)```(?:json)?\s*(\{.*\})\s*```"
+_FENCED = r"(?s)```(?:json)?\s*(\{.*?\})\s*```"
 _BRACED = r"(?s)(\{.*\})"
 PARTS_TYPE = "array<struct<type:string,text:string>>"
 

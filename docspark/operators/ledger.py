@@ -154,3 +154,19 @@ def record_kpis(rows: DataFrame) -> DataFrame:
         F.count_if(filled & ~F.col("field").isin(*UNSCORED_FIELDS)).alias("extracted"),
         F.count(F.lit(1)).alias("fields"),
     )
+
+
+def envelope_counts(df: DataFrame, column: str = "envelope") -> DataFrame:
+    """Add the declared object counts of the three array sections, 0 where there is none."""
+    root = F.try_parse_json(column)
+
+    def count(path: str) -> Column:
+        return F.coalesce(F.try_variant_get(root, path, "bigint"), F.lit(0))
+
+    return df.withColumns(
+        {
+            "variants": count("$.Genomic_Variant_umbrella.count_of_Genomic_Variants"),
+            "biomarkers": count("$.other_molecular_biomarker_umbrella.count"),
+            "tested": count("$.tested_biomarker_umbrella.count_of_tested_biomarkers"),
+        }
+    )

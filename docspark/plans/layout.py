@@ -221,25 +221,26 @@ SELECT doc_id, substr(text, 1, length(text) // 10) || substr(text, length(text)
 
 @query
 def fallback_blocks(spark, d):
-    """Conversations as pages of paragraphs, with layout blocks for some of them."""
-    pages = T.table(spark, d, "conversations").select(
-        F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page_number"), F.split("text", "\n", -1).alias("paragraphs")
+    """Conversations as pages of paragraphs; those with a system turn also have layout blocks."""
+    turns = T.table(spark, d, "conversations").select(
+        F.col("conv_id").alias("doc_id"),
+        (F.col("turn") + 1).cast("int").alias("page_number"),
+        F.split("text", "\n", -1).alias("paragraphs"),
+        "role",
     )
-    fallback = B.paragraph_blocks(pages)
-    layout = fallback.filter((F.col("doc_id") % 3 == 0) & (F.col("ord") == 0)).withColumn(
-        "block_id", F.concat(F.lit("layout-"), "block_id")
-    )
-    return B.prefer_layout(layout, fallback, pages.select("doc_id").distinct())
+    layout = B.paragraph_blocks(turns.filter("role = 'system'")).withColumn("block_id", F.concat(F.lit("layout-"), "block_id"))
+    return B.prefer_layout(layout, B.paragraph_blocks(turns), turns.select("doc_id").distinct())
 
 
 ORACLE["fallback_blocks"] = """
 WITH fallback AS (
   SELECT conv_id AS doc_id, i - 1 AS ord, 'p' || (turn + 1) || '-para-' || (i - 1) AS block_id, turn + 1 AS page_number,
-         'page_' || (turn + 1) || '/paragraph' AS section_path, text
-  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS text,
+         'page_' || (turn + 1) || '/paragraph' AS section_path, text, role
+  FROM (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS text,
                generate_subscripts(string_split(text, chr(10)), 1) AS i FROM conversations))
-SELECT doc_id, ord, CASE WHEN doc_id % 3 = 0 THEN 'layout-' ELSE '' END || block_id AS block_id, page_number, section_path, text
-FROM fallback WHERE doc_id % 3 <> 0 OR ord = 0"""
+SELECT doc_id, ord, block_id, page_number, section_path, text FROM fallback
+WHERE doc_id NOT IN (SELECT doc_id FROM fallback WHERE role = 'system')
+UNION ALL SELECT doc_id, ord, 'layout-' || block_id, page_number, section_path, text FROM fallback WHERE role = 'system'"""
 
 
 def boxed(spark: SparkSession, d: str) -> DataFrame:

@@ -271,15 +271,17 @@ SELECT c_custkey, CASE WHEN c_custkey % 3 < 2 THEN '{"name":"' || c_name || '"}'
 
 @query
 def artifact_presence(spark, d):
-    """Kinds of event a document (user) has."""
-    a = T.table(spark, d, "events").filter(F.col("event_id") % 40 == 0).select(F.col("user_id").alias("doc_id"), F.col("event_type").alias("kind"))
-    users = T.table(spark, d, "events").select(F.col("user_id").alias("doc_id")).distinct()
-    return FS.artifact_presence(users, a, ("view", "click", "error"))
+    """Kinds of artifact a document (user) has: event types by the size of their value."""
+    events = T.table(spark, d, "events")
+    kind = F.concat_ws("-", "event_type", F.floor(F.col("value") / 20).cast("string"))
+    a = events.select(F.col("user_id").alias("doc_id"), kind.alias("kind"))
+    users = events.select(F.col("user_id").alias("doc_id")).distinct()
+    return FS.artifact_presence(users, a, ("view-0", "click-3", "error-5"))
 
 
 ORACLE["artifact_presence"] = """
-SELECT doc_id, kind, coalesce(bool_or(event_type = kind AND event_id % 40 = 0), false) AS present
-FROM (SELECT DISTINCT user_id AS doc_id, unnest(['view', 'click', 'error']) AS kind FROM events) JOIN events ON user_id = doc_id GROUP BY ALL"""
+SELECT doc_id, kind, bool_or(event_type || '-' || CAST(floor(value / 20) AS BIGINT) = kind) AS present
+FROM (SELECT DISTINCT user_id AS doc_id, unnest(['view-0', 'click-3', 'error-5']) AS kind FROM events) JOIN events ON user_id = doc_id GROUP BY ALL"""
 
 
 # --- streaming ---------------------------------------------------------------

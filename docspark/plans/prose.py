@@ -241,10 +241,11 @@ FROM (SELECT *, {S.strip("text")} AS t FROM lines) WHERE NOT (t <> '' AND {_NOIS
 
 def _flaky_scores(blocks: DataFrame) -> DataFrame:
     """Profiles as an unreliable model would return them: some lost, some doubled, some renamed."""
-    scored = R.score_by_rules(blocks, T.PROSE_ROLES).filter(F.col("ord") % 11 != 5)
-    renamed = F.when(F.col("ord") % 13 == 7, F.concat("block_id", F.lit("x"))).otherwise(F.col("block_id"))
-    copies = F.when(F.col("ord") % 17 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return scored.withColumn("block_id", renamed).withColumn("copy", F.explode(copies)).drop("copy")
+    ord_ = F.col("ord")
+    renamed = F.when(ord_ % 13 == 7, F.concat("block_id", F.lit("x"))).otherwise(F.col("block_id"))
+    copies = F.when(ord_ % 11 == 5, 0).when(ord_ % 17 == 3, 2).otherwise(1)
+    scored = R.score_by_rules(blocks, T.PROSE_ROLES).withColumn("block_id", renamed)
+    return scored.withColumn("copy", F.explode(F.array_repeat(F.lit(True), copies))).drop("copy")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docspark.operators import audit as A
 from docspark.operators import entities as E
 from docspark.operators import fields as FI
+from docspark.operators import ledger as LE
 from docspark.operators import routing as RO
 from docspark.operators import validate as V
 from docspark.plans import prose, sqltext as S
@@ -125,6 +126,16 @@ def _violations_sql() -> str:
 ORACLE["validate_records"] = _violations_sql()
 
 
+@query
+def envelope_counts(spark, d):
+    return LE.envelope_counts(faulty_envelopes(spark, d)).drop("envelope")
+
+
+ORACLE["envelope_counts"] = """
+SELECT c_custkey AS doc_id, CAST(CASE WHEN c_custkey % 10 = 3 AND c_custkey % 101 <> 100 THEN 2 ELSE 0 END AS BIGINT) AS variants,
+       CAST(0 AS BIGINT) AS biomarkers, CAST(CASE WHEN c_custkey % 10 = 4 AND c_custkey % 101 <> 100 THEN -1 ELSE 0 END AS BIGINT) AS tested FROM customer"""
+
+
 @query
 def scorecards(spark, d):
     k = F.col("doc_id")

@@ -92,8 +92,8 @@ def test_identifiers(spark):
 
 
 def test_json_of_answer(spark):
-    values = ['{"a":1}', 'x\n```json\n{"a":1}\n```', '```\n{"a":{"b":2}}\n```', 'It is {"a":1}.', "{", "", None]
-    want = ['{"a":1}', '{"a":1}', '{"a":{"b":2}}', '{"a":1}', None, None, None]
+    values = ['```json\n{"a":\n1}\n```\nor\n```json\n{"b":2}\n```', '{"a":1}', 'x\n```json\n{"a":1}\n```', '```\n{"a":{"b":2}}\n```', 'It is {"a":1}.', "{", "", None]
+    want = ['{"a":\n1}', '{"a":1}', '{"a":1}', '{"a":{"b":2}}', '{"a":1}', None, None, None]
     assert many(spark, values, answers.json_of_answer(F.col("t"))) == want
 
 
