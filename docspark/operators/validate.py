@@ -147,24 +147,30 @@ def check_envelopes(df: DataFrame, column: str = "envelope", check_dates: bool =
     no JSON object gives one error. ``check_dates`` also enforces the declared
     date format.
     """
-    root = F.try_variant_get(F.try_parse_json(column), "$", "map<string,variant>")
-    base = df.withColumn("_root", root)
-    for name in SECTION_RULES:
-        base = base.withColumn(f"_{name}", F.try_variant_get(F.col("_root")[name], "$", "map<string,variant>"))
     parts = []
     for name, rules in SECTION_RULES.items():
         missing = _error(f"'{name}'", f"array('{name}')", "required", "'section missing from envelope'")
         wrong = _error(f"'{name}'", f"array('{name}')", "type", "'section is not an object'")
-        inner = _check_object(f"'{name}'", f"`_{name}`", rules, "CAST(array() AS array<string>)", 0, check_dates)
-        parts.append(
-            f"CASE WHEN _root['{name}'] IS NULL THEN array({missing}) WHEN `_{name}` IS NULL THEN array({wrong}) ELSE {inner} END"
-        )
+        inner = _check_object(f"'{name}'", "sec", rules, "CAST(array() AS array<string>)", 0, check_dates)
+        members = f"try_variant_get(root['{name}'], '$', 'map<string,variant>')"
+        body = f"CASE WHEN root['{name}'] IS NULL THEN array({missing}) WHEN sec IS NULL THEN array({wrong}) ELSE {inner} END"
+        parts.append(_bind(members, "sec", body))
     known = "array('count_of_extracted_objects', " + ", ".join(f"'{n}'" for n in SECTION_RULES) + ")"
-    count = f"map_filter(_root, (k, x) -> NOT array_contains({known}, k) OR k = 'count_of_extracted_objects')"
-    outer = _check_object(f"'{ROOT}'", count, (ENVELOPE_COUNT,), "CAST(array() AS array<string>)", 0, check_dates)
+    others = f"map_filter(root, (k, x) -> NOT array_contains({known}, k) OR k = 'count_of_extracted_objects')"
+    outer = _check_object(f"'{ROOT}'", "sec", (ENVELOPE_COUNT,), "CAST(array() AS array<string>)", 0, check_dates)
     unreadable = _error(f"'{ROOT}'", "CAST(array() AS array<string>)", "type", "'not a JSON object'")
-    errors = f"CASE WHEN _root IS NULL THEN array({unreadable}) ELSE concat({', '.join(parts)}, {outer}) END"
-    return base.withColumn("errors", F.expr(errors)).drop("_root", *[f"_{n}" for n in SECTION_RULES])
+    errors = f"CASE WHEN root IS NULL THEN array({unreadable}) ELSE concat({', '.join(parts)}, {_bind(others, 'sec', outer)}) END"
+    root = f"try_variant_get(try_parse_json(`{column}`), '$', 'map<string,variant>')"
+    return df.withColumn("errors", F.expr(_bind(root, "root", errors)))
+
+
+def _bind(value: str, name: str, body: str) -> str:
+    """SQL that computes a value once under a name, inside one expression.
+
+    A column of its own would be substituted wherever a filter on the errors is
+    pushed down, and the JSON parsed again for each mention of it.
+    """
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 def check_sections(df: DataFrame, check_dates: bool = False) -> DataFrame:
@@ -172,17 +178,18 @@ def check_sections(df: DataFrame, check_dates: bool = False) -> DataFrame:
 
     An unknown section is an error of its own.
     """
-    base = df.withColumn("_m", F.try_variant_get(F.try_parse_json("candidate"), "$", "map<string,variant>"))
     root = "CAST(array() AS array<string>)"
     whens = " ".join(
-        f"WHEN section = '{name}' THEN {_check_object(f'{chr(39)}{name}{chr(39)}', '_m', rules, root, 0, check_dates)}"
+        f"WHEN section = '{name}' THEN {_check_object(f'{chr(39)}{name}{chr(39)}', 'sec', rules, root, 0, check_dates)}"
         for name, rules in SECTION_RULES.items()
     )
     known = "', '".join(SECTION_RULES)
     unknown = _error("section", root, "section", "'unknown section'")
     unreadable = _error("section", root, "type", "'not a JSON object'")
-    errors = f"CASE WHEN section IS NULL OR section NOT IN ('{known}') THEN array({unknown}) WHEN _m IS NULL THEN array({unreadable}) {whens} END"
-    return base.withColumn("errors", F.expr(errors)).withColumn("ok", F.size("errors") == 0).drop("_m")
+    errors = f"CASE WHEN section IS NULL OR section NOT IN ('{known}') THEN array({unknown}) WHEN sec IS NULL THEN array({unreadable}) {whens} END"
+    members = "try_variant_get(try_parse_json(candidate), '$', 'map<string,variant>')"
+    checked = df.withColumn("errors", F.expr(_bind(members, "sec", errors)))
+    return checked.withColumn("ok", F.size("errors") == 0)
 
 
 def violation_rows(checked: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -190,10 +197,10 @@ def violation_rows(checked: DataFrame, key: str = "doc_id") -> DataFrame:
     return checked.select(key, F.posexplode_outer("errors").alias("no", "e")).filter(F.col("e").isNotNull()).select(key, "no", "e.*")
 
 
-def scorecards(checked: DataFrame, key: str = "doc_id") -> DataFrame:
+def scorecards(checked: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
     """One scorecard per document from its errors and the team's outcome.
 
-    A document the team flagged passes without a check, since it goes to review
+    ``keep`` names other columns to carry along. A document the team flagged passes without a check, since it goes to review
     anyway. Errors beyond the cap are counted in the notes, not listed.
     ``checked`` may carry ``team_verdict`` and ``team_reason``.
     """
@@ -220,6 +227,7 @@ def scorecards(checked: DataFrame, key: str = "doc_id") -> DataFrame:
     )
     return checked.select(
         key,
+        *keep,
         F.lit("schema_validator").alias("verifier_name"),
         (flagged | (n == 0)).alias("passed"),
         F.when(flagged, F.slice("errors", 1, 0)).otherwise(F.slice("errors", 1, ERROR_CAP)).alias("field_errors"),

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.operators import fields as FI
+from docspark.operators import ledger as LE
 from docspark.operators import noise as N
 from docspark.operators import roles as R
+from docspark.operators import routing as RO
+from docspark.operators import validate as V
 from docspark.sources import tables as T
 from docspark.sources.reports import GOLD_SQL, report_blocks
+from docspark.sources.scratch import stage
 from docspark.vocab import NOISE_ROLE, RECORD_FIELDS
 
 QUERIES: dict = {}
@@ -152,3 +156,41 @@ SELECT o_orderkey, CASE o_orderkey % 10
   CASE WHEN o_orderkey % 10 NOT IN (7, 8) THEN strftime(o_orderdate, '%Y-%m-%d') END AS iso, o_orderkey % 10 NOT IN (7, 8) AS ok,
   CASE o_orderkey % 10 WHEN 7 THEN 'no full date' WHEN 8 THEN 'impossible date' END AS reason
 FROM orders"""
+
+
+def report_results(spark: SparkSession, d: str) -> DataFrame:
+    """Reports from printed blocks to verdicts: one shuffle, for the record."""
+    r = records(spark, d)
+    state = r.select(
+        "doc_id",
+        F.col("llm_confidence_score").alias("confidence"),
+        V.envelope_json(FI.record_json(r)).alias("envelope"),
+        F.lit("committed").alias("team_verdict"),
+        F.lit("").alias("team_reason"),
+    )
+    kept = ["confidence", "envelope", "team_verdict", "team_reason"]
+    cards = V.scorecards(V.check_envelopes(state), keep=kept)
+    return RO.route(cards).withColumn(
+        "verifier_scorecards", F.array(F.struct("verifier_name", "passed", "n_errors", "notes"))
+    )
+
+
+@query
+def report_runs(spark, d):
+    """Run rows of all reports, with the record's city where an extraction is stored."""
+    storage = LE.Storage("v1", "/ledger")
+    results = stage(report_results(spark, d), "results")
+    runs = LE.run_rows(results, storage)
+    stored = LE.extraction_rows(results, storage).select("run_id", F.get_json_object("envelope", "$.report_metadata.Practice_City").alias("city"))
+    return runs.join(stored, "run_id", "left").select(
+        "doc_id", "run_id", "verdict", "verdict_reason", "verifier_scorecards", "artifacts_prefix", "city"
+    )
+
+
+ORACLE["report_runs"] = f"""
+SELECT doc_id, sha256(doc_id || chr(31) || 'v1' || chr(31) || 'run') AS run_id, CASE WHEN c < 0.85 THEN 'sme_flag' ELSE 'auto_accept' END AS verdict,
+  CASE WHEN c < 0.85 THEN 'llm_confidence_score=0.80 is below auto-accept threshold 0.85'
+       ELSE 'All verifiers passed and llm_confidence_score (' || CAST(c AS VARCHAR) || ') is at least 0.85' END AS verdict_reason,
+  '[{{"verifier_name":"schema_validator","passed":true,"n_errors":0,"notes":"Envelope validated against schema v2."}}]' AS verifier_scorecards,
+  '/ledger/artifacts_v1/' || doc_id || '/' AS artifacts_prefix, CASE WHEN c >= 0.85 THEN Practice_City END AS city
+FROM (SELECT *, CAST(llm_confidence_score AS DOUBLE) AS c FROM ({GOLD_SQL}))"""
