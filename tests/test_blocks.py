@@ -28,7 +28,7 @@ def block_rows(texts, doc="d", per_page=3):
     return [(doc, i, f"b{i}", i // per_page + 1, f"page_{i // per_page + 1}/paragraph", t) for i, t in enumerate(texts)]
 
 
-def reference_spans(rows, excluded=()):
+def expected_spans(rows, excluded=()):
     out = {}
     for d, _, b, p, _, t in rows:
         text, spans = out.setdefault((d, p), ["", []])
@@ -48,10 +48,10 @@ def as_dict(pages):
 def test_spans_with_blanks_exclusion_and_unicode(spark):
     rows = block_rows(["  lead", "", "trail \t", None, "naïve é", "\xa0nb\xa0", "x", " ", "漢字 text", "last"])
     df = spark.createDataFrame(rows, BLOCKS)
-    assert as_dict(B.pages_from_blocks(df)) == reference_spans(rows)
+    assert as_dict(B.pages_from_blocks(df)) == expected_spans(rows)
     dropped = {"b0", "b4"}
     pages = B.pages_from_blocks(df, drop=lambda b: b["block_id"].isin(*dropped))
-    assert as_dict(pages) == reference_spans(rows, dropped)
+    assert as_dict(pages) == expected_spans(rows, dropped)
     for r in pages.collect():
         assert len(r["block_ids"]) in (1, 3)
 
