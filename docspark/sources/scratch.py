@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, or a new local one where it is unset.
+    """The shared folder in ``spark.checkpoint.dir``; on one machine, where it is unset, a new local one.
 
-    The local folder is for tests on one machine only.
+    Other executors cannot read a local folder, so a cluster without the
+    setting is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
