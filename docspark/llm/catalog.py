@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docspark.llm import packing
+from docspark.llm import licenses, ngram_join, packing, quality
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -16,13 +17,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of the highest grade and the decision for every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, quality.grades_of_labels(_table(spark, sf_dir, "labels")))
+    return quality.score(docs, model).select(
+        "doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= quality.KEEP).alias("keep")
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of at least 0.85 on four-word shingles."""
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}
