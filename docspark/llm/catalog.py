@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import licenses, ngram_join, packing, quality
+from docspark.llm import html_text, language, licenses, ngram_join, packing, quality, sharding, vector_forest
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,6 +31,28 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 16, its slot there, and its shard of 17."""
+    return sharding.assign(_table(spark, sf_dir, "documents"), n_shards=16)
+
+
+def op5_vector_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return vector_forest.digest(*vector_forest.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    profiles = language.learn(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return language.predict(docs, profiles, keep=("doc_id", "held_out"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a similarity of at least 0.85 on four-word shingles."""
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
@@ -44,6 +66,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_hash_tree_sharding": op4_hash_tree_sharding,
+    "op5_vector_forest": op5_vector_forest,
+    "op6_language_id": op6_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
 }
