@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import html_text, language, licenses, ngram_join, packing, quality, sharding, vector_forest
+from docspark.llm import decontam, html_text, language, licenses, ngram_join, packing, pseudonyms, quality, sharding, vector_forest
+
+#: The secret of the pseudonyms; a real run brings its own.
+KEY = "an example key, not a secret"
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,6 +56,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, profiles, keep=("doc_id", "held_out"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, and where."""
+    return decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms in its text."""
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with a similarity of at least 0.85 on four-word shingles."""
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
@@ -70,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hash_tree_sharding": op4_hash_tree_sharding,
     "op5_vector_forest": op5_vector_forest,
     "op6_language_id": op6_language_id,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
 }

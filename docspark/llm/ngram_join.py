@@ -86,13 +86,34 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Per cell of a small table, whether it holds an odd number of a set's tokens; about two cells a token.
+
+    Where the tables of two sets differ, a token is in one set only, so the
+    cells that differ are no more than such tokens.
+    """
+    cells = max(8, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else 8
+    spots = np.bincount((tokens >> np.uint64(20) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((spots & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of tokens that are in one of two sets only."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) > len(a):  # a table folds onto one of half the cells
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Tokens that a set of ``n`` shares at least with any set at the threshold."""
     return -(-percent * n // 100)
 
 
 def _scan(size: int):
-    """Per text its set's size and fingerprint; at the end of a task the token counts it has seen."""
+    """Per text its set's size, fingerprint and parities; at the end of a task the token counts it has seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH_CELLS, np.uint32)
@@ -116,9 +137,9 @@ def _scan(size: int):
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array(prints, pa.int64()),
                         pa.nulls(n, pa.int32()),
-                        pa.nulls(n, pa.binary()),
+                        pa.array([parity(x) for x in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "id", "part", "counts"],
+                    names=["doc_id", "n", "id", "part", "data"],
                 )
         if seen:
             parts = []
@@ -134,7 +155,7 @@ def _scan(size: int):
                     pa.array(range(k), pa.int32()),
                     pa.array(parts, pa.binary()),
                 ],
-                names=["doc_id", "n", "id", "part", "counts"],
+                names=["doc_id", "n", "id", "part", "data"],
             )
 
     return run
@@ -294,6 +315,32 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _may_link(percent: int):
+    """Pairs whose parities leave the threshold possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y, n, m in zip(batch["x"], batch["y"], batch["n"].to_numpy(), batch["m"].to_numpy()):
+                # with an overlap of o the sets differ in n + m - 2 o tokens, and o reaches percent of n + m - o
+                least = -(-percent * int(n + m) // (100 + percent))
+                near.append(least_difference(x.as_py(), y.as_py()) <= n + m - 2 * least)
+            mask = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
+
+    return run
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` that parities cannot rule out."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    used = stage(sketches.join(ids, "id", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("parity").alias("parity")), "jaccard-parities")
+    both = pairs.join(used.select(F.col("id").alias("a"), "n", F.col("parity").alias("x")), "a").join(
+        used.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y")), "b"
+    )
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(_may_link(percent), "a bigint, b bigint")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """``a, b, linked`` for all ``pairs(a, b)`` of fingerprints; sets are taken from the texts."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -316,9 +363,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, counts binary"), "jaccard-scan")
+    scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, data binary"), "jaccard-scan")
     nodes = scanned.where("n is not null").select("doc_id", "n", "id")
-    levels = spark.sparkContext.broadcast(token_levels(scanned.where("part is not null").select("part", "id", "counts")))
+    sketches = scanned.where("n > 0").select("id", "n", F.col("data").alias("parity"))
+    levels = spark.sparkContext.broadcast(token_levels(scanned.where("part is not null").select("part", "id", F.col("data").alias("counts"))))
 
     postings = stage(docs.select("text").mapInArrow(_sign(size, percent, levels), "signature bigint, id bigint, n int"), "jaccard-postings")
     shared = (
@@ -358,7 +406,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
         pairs = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if compared is not None:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        done = _verify(docs, stage(pairs, "jaccard-pairs"), size, percent)
+        near = stage(_plausible(stage(pairs, "jaccard-pairs"), sketches, percent), "jaccard-near")
+        done = _verify(docs, near, size, percent)
         compared = done if compared is None else compared.unionByName(done)
 
     joined = components(compared.where("linked").select("a", "b"))
@@ -369,3 +418,19 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     linked = keyed.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     lone = nodes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(lone)
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Of rows that repeat an id, one stays. Rows with a null id cannot be told
+    apart by it and all stay.
+    """
+    found = stage(jaccard_components(docs, size, percent), "jaccard-found")
+    gone = stage(found.where("doc_id is not null and doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
+    rest = docs.join(gone, "doc_id", "left_anti")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        again = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rest = rest.join(repeated, "doc_id", "left_anti").unionByName(again)
+    return rest.select(*docs.columns)
