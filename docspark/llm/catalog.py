@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import decontam, html_text, language, licenses, ngram_join, packing, pseudonyms, quality, sharding, vector_forest
+from docspark.llm import decontam, html_text, language, licenses, ngram_join, oracles, packing, pseudonyms, quality, sharding, vector_forest
 
 #: The secret of the pseudonyms; a real run brings its own.
 KEY = "an example key, not a secret"
@@ -89,4 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_vector_forest": oracles.VECTORS,
+    "op7_benchmark_decontamination": oracles.DECONTAMINATION,
+    "op9_ngram_jaccard_join": oracles.jaccard(4, 85),
+    "op10_license_scan": oracles.license_scan(),
+}

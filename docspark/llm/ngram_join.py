@@ -25,7 +25,9 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,8 @@ from docspark.sources.scratch import stage
 SKETCH_CELLS, SKETCH_PARTS = 1 << 20, 64
 #: Bits of the filter that keeps sets without a candidate pair from being sent.
 FILTER_BITS = 1 << 26
+#: Columns that hold the parities of 64 cells each.
+COARSE = tuple(f"b{i}" for i in range(8))
 #: Sets smaller than this use single tokens only.
 SMALLEST_CELLED = 32
 
@@ -86,13 +90,14 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def parity(tokens: np.ndarray) -> bytes:
+def parity(tokens: np.ndarray, cells: int = 0) -> bytes:
     """Per cell of a small table, whether it holds an odd number of a set's tokens; about two cells a token.
 
     Where the tables of two sets differ, a token is in one set only, so the
     cells that differ are no more than such tokens.
     """
-    cells = max(8, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else 8
+    if not cells:
+        cells = max(8, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else 8
     spots = np.bincount((tokens >> np.uint64(20) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
     return np.packbits((spots & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -112,6 +117,12 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def _coarse(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Parities of 512 cells as numbers, one Arrow column for each of ``COARSE``."""
+    words = np.frombuffer(b"".join(parity(x, 64 * len(COARSE)) for x in sets), np.int64).reshape(-1, len(COARSE))
+    return [pa.array(np.ascontiguousarray(column)) for column in words.T]
+
+
 def _scan(size: int):
     """Per text its set's size, fingerprint and parities; at the end of a task the token counts it has seen."""
 
@@ -138,8 +149,9 @@ def _scan(size: int):
                         pa.array(prints, pa.int64()),
                         pa.nulls(n, pa.int32()),
                         pa.array([parity(x) for x in sets], pa.binary()),
+                        *_coarse(sets),
                     ],
-                    names=["doc_id", "n", "id", "part", "data"],
+                    names=["doc_id", "n", "id", "part", "data", *COARSE],
                 )
         if seen:
             parts = []
@@ -154,8 +166,9 @@ def _scan(size: int):
                     pa.array([next(iter(seen))] * k, pa.int64()),
                     pa.array(range(k), pa.int32()),
                     pa.array(parts, pa.binary()),
+                    *[pa.nulls(k, pa.int64())] * len(COARSE),
                 ],
-                names=["doc_id", "n", "id", "part", "data"],
+                names=["doc_id", "n", "id", "part", "data", *COARSE],
             )
 
     return run
@@ -234,7 +247,7 @@ def _sign(size: int, percent: int, levels):
         table = levels.value
         for batch in batches:
             for block in bytewords.blocks(batch["text"]):
-                found, ids, sizes = [], [], []
+                found, ids, sizes, rare = [], [], [], []
                 for tokens in shingle_sets(block, size):
                     if len(tokens):
                         p = fingerprint(tokens)
@@ -243,6 +256,7 @@ def _sign(size: int, percent: int, levels):
                             found.append(signatures(tokens, table, percent))
                             ids.append(p)
                             sizes.append(len(tokens))
+                            rare.append(int((table[(tokens & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)] == 0).sum()))
                 if found:
                     counts = [len(x) for x in found]
                     yield pa.RecordBatch.from_arrays(
@@ -250,8 +264,9 @@ def _sign(size: int, percent: int, levels):
                             pa.array(_signed(np.concatenate(found))),
                             pa.array(np.repeat(np.array(ids, np.int64), counts)),
                             pa.array(np.repeat(np.array(sizes, np.int32), counts)),
+                            pa.array(np.repeat(np.array(rare, np.int32), counts)),
                         ],
-                        names=["signature", "id", "n"],
+                        names=["signature", "id", "n", "rare"],
                     )
 
     return run
@@ -363,19 +378,19 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, data binary"), "jaccard-scan")
+    scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, data binary, " + ", ".join(f"{b} bigint" for b in COARSE)), "jaccard-scan")
     nodes = scanned.where("n is not null").select("doc_id", "n", "id")
-    sketches = scanned.where("n > 0").select("id", "n", F.col("data").alias("parity"))
+    sketches = scanned.where("n > 0").select("id", "n", F.col("data").alias("parity"), *COARSE)
     levels = spark.sparkContext.broadcast(token_levels(scanned.where("part is not null").select("part", "id", F.col("data").alias("counts"))))
 
-    postings = stage(docs.select("text").mapInArrow(_sign(size, percent, levels), "signature bigint, id bigint, n int"), "jaccard-postings")
+    postings = stage(docs.select("text").mapInArrow(_sign(size, percent, levels), "signature bigint, id bigint, n int, rare int"), "jaccard-postings")
     shared = (
         postings.groupBy("signature")
-        .agg(F.min(F.struct("n", "id")).alias("low"), F.min("id").alias("first"), F.max("id").alias("last"))
+        .agg(F.min(F.struct("rare", "n", "id")).alias("low"), F.min("id").alias("first"), F.max("id").alias("last"))
         .where("first != last")
     )
     groups = stage(
-        postings.join(shared, "signature").select("signature", "id", "n", F.col("low.id").alias("lead"), F.col("low.n").alias("lead_n")),
+        postings.join(shared, "signature").select("signature", "id", "n", "rare", F.col("low.id").alias("lead"), F.col("low.n").alias("lead_n")),
         "jaccard-groups",
     )
     compared = None
@@ -383,11 +398,13 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     for turn in range(star_rounds + 1):
         if turn:  # members of groups that still hold several components
             joined = components(compared.where("linked").select("a", "b"))
-            placed = groups.select("signature", "id", "n").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            placed = groups.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            leads = joined.select(F.col("id").alias("lead"), F.col("component").alias("lead_component"))
+            placed = placed.join(leads, "lead", "left").withColumn("lead_component", F.coalesce("lead_component", "lead"))
             mixed = placed.groupBy("signature").agg(
                 F.min("component").alias("c1"),
                 F.max("component").alias("c2"),
-                F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(turn))).alias("low"),
+                F.min_by(F.struct("id", "n", "component"), F.struct((F.col("lead") == F.col("id")) | (F.col("component") == F.col("lead_component")), "rare", "n", "id")).alias("low"),
             )
             in_groups = placed.join(mixed.where("c1 != c2").select("signature", "low"), "signature")
         if turn < star_rounds:
@@ -396,12 +413,19 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
             apart = F.lit(True) if not turn else F.col("component") != F.col("low.component")
             ends = in_groups.where((F.col("id") != lead) & _close(F.col("n"), lead_n, percent) & apart).select(F.col("id").alias("x"), lead.alias("y"))
         else:
-            left = in_groups.select("signature", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-            right = in_groups.select("signature", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))
+            used = in_groups.select("id").distinct()
+            coarse = sketches.join(used, "id", "left_semi").groupBy("id").agg(*[F.first(b).alias(b) for b in COARSE])
+            members = stage(in_groups.select("signature", "id", "n", "component").join(coarse, "id"), "jaccard-members")
+            left = members.select("signature", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", *COARSE)])
+            right = members.select("signature", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "component", *COARSE)])
+            apart = reduce(add, [F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in COARSE])
+            both = F.col("x_n") + F.col("y_n")
+            most = both - 2 * F.ceil(both * percent / (100 + percent))  # tokens in one of two linked sets only
             ends = (
                 left.join(right, "signature")
-                .where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & _close(F.col("xn"), F.col("yn"), percent))
-                .select("x", "y")
+                .where((F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component")))
+                .where(_close(F.col("x_n"), F.col("y_n"), percent) & (apart <= most))
+                .select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
             )
         pairs = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if compared is not None:
