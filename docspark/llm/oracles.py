@@ -15,7 +15,7 @@ def jaccard(size: int = 4, percent: int = 85) -> str:
     """All pairs of documents that share a shingle, counted."""
     return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size - 2}), i -> array_to_string(w[i:i + {size - 1}], ' '))
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
@@ -44,7 +44,7 @@ def license_scan(threshold: float = 0.9, window: int = 64) -> str:
     return f"""
 WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents), w AS (SELECT doc_id, regexp_extract_all(t, {word}) AS w FROM d),
 ph AS ({phrases}), te AS ({templates}),
-places AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), i -> w[i + 1:i + len(p)] = p)) AS i FROM w, ph WHERE list_has_all(w, p)),
+places AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i FROM w, ph WHERE list_has_all(w, p)),
 lines AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), {word}) AS w FROM d),
 blocks AS (SELECT doc_id, list_distinct(w[k * {step} + 1:k * {step} + {window}]) AS b
   FROM (SELECT doc_id, w, unnest(range(1 + greatest(0, CAST(ceil((len(w) - {window}) / {step}) AS BIGINT)))) AS k FROM lines WHERE len(w) > 0)),
@@ -59,8 +59,8 @@ FROM w LEFT JOIN base USING (doc_id) LEFT JOIN al USING (doc_id)"""
 
 #: Every alignment of a document and an item, by the tokens that agree.
 DECONTAMINATION = r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
 dw AS (SELECT doc_id, len(w) AS n, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS p FROM d),
 bw AS (SELECT item_id, len(w) AS m, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS q FROM b WHERE len(w) >= 5),
 s AS (SELECT doc_id, item_id, p - q AS shift, p, n, m, least(13, m) AS win FROM dw JOIN bw USING (t)),
