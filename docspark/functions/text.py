@@ -168,19 +168,12 @@ def literal_spans(c: Column, query: Column, limit: int | None = None) -> Column:
 
     Does not find overlapping occurrences. ``query`` must not be empty.
     """
-    low, q = F.lower(c), F.lower(query)
-    quoted = F.concat(F.lit("\\Q"), F.replace(q, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    pieces = F.split(low, quoted, -1 if limit is None else limit + 1)
+    quoted = F.concat(F.lit("(?iu)\\Q"), F.replace(query, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    pieces = F.split(c, quoted, -1 if limit is None else limit + 1)
+    hits = F.regexp_extract_all(c, quoted, F.lit(0))
     n = F.size(pieces) - 1
-    hits = F.array_repeat(q, n)
-    spans = spans_between(F.slice(pieces, 1, F.greatest(n, F.lit(0))), hits)
-    real = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), cut(c, s["start"], s["end"]).alias("text")
-        ),
-    )
-    return F.when(F.contains(low, q), real).otherwise(F.array().cast(SPAN_TYPE))
+    spans = spans_between(F.slice(pieces, 1, F.greatest(n, F.lit(0))), F.slice(hits, 1, F.greatest(n, F.lit(0))))
+    return F.when(F.rlike(c, quoted), spans).otherwise(F.array().cast(SPAN_TYPE))
 
 
 def quoted(c: Column) -> Column:

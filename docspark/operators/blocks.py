@@ -227,7 +227,7 @@ def without_geometry(blocks: DataFrame) -> DataFrame:
 # --- trees -------------------------------------------------------------------
 
 
-def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
+def flatten_tree(nodes: DataFrame) -> DataFrame:
     """Depth-first flatten of ``nodes(node_id, parent_id, pos, kind, page, text, bbox)``.
 
     Walks one level per round by joining the previous level with its
@@ -237,7 +237,9 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
     walked in any case. ``path`` is ``page_<n>/<kind>/<kind>...``; ``order_key``
     is the array of child positions, which sorts depth first.
 
-    Raises ValueError rather than dropping nodes below ``max_depth``.
+    Trees of any depth are walked to the end. Nodes that no root leads to are not
+    part of a tree; :func:`loose_nodes` gives them. Raises ValueError where a
+    repeated ``node_id`` makes a node its own ancestor.
     """
     level = nodes.filter(F.col("parent_id").isNull()).select(
         "node_id",
@@ -248,8 +250,8 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
         F.array(F.col("pos").cast("long")).alias("order_key"),
     )
     children = nodes.filter(F.col("parent_id").isNotNull())
-    found = level
-    for _ in range(max_depth):
+    found, depth, most = level, 0, None
+    while True:
         parent = level.select(
             F.col("node_id").alias("parent_id"),
             F.col("path").alias("up"),
@@ -266,13 +268,21 @@ def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
         level = stage(below, "tree")
         if level.isEmpty():
             break
-        found = found.unionByName(level)
-    else:
-        raise ValueError(f"tree is deeper than {max_depth} levels")
+        found, depth = found.unionByName(level), depth + 1
+        if depth % 64 == 0:  # no path is longer than there are nodes
+            most = nodes.count() if most is None else most
+            if depth >= most:
+                raise ValueError("a node is its own ancestor")
     has_text = F.coalesce(F.col("text"), F.lit("")) != ""
     return found.filter(has_text | (F.coalesce(F.size("bbox"), F.lit(0)) > 0))
 
 
+def loose_nodes(nodes: DataFrame) -> DataFrame:
+    """Nodes whose parent is not in the table: with all below them, they hang on no root."""
+    ids = nodes.select(F.col("node_id").alias("parent_id")).distinct()
+    return nodes.filter(F.col("parent_id").isNotNull()).join(ids, "parent_id", "left_anti")
+
+
 # --- document text for a model -----------------------------------------------
 
 

@@ -68,10 +68,21 @@ class Tables:
 
     @classmethod
     def from_mapping(cls, raw: Mapping) -> "Tables":
-        """Tables out of a parsed configuration file; missing parts are empty."""
+        """Tables out of a parsed configuration file; other missing parts are empty.
+
+        The labels' sections stand under ``label_to_umbrellas`` or
+        ``label_to_sections``. Without them every mention would be dropped, so
+        they must be there; a key that is not known is refused as well.
+        """
+        labels = raw.get("label_to_umbrellas", raw.get("label_to_sections"))
+        if labels is None:
+            raise KeyError("no label_to_umbrellas in the configuration")
+        unknown = set(raw) - {"label_to_umbrellas", "label_to_sections", "drop_roles", "stoplist", "field_hint_rules", "vendor_names"}
+        if unknown:
+            raise KeyError(f"unknown keys in the configuration: {sorted(unknown)}")
         rules = [HintRule(r.get("entity_label", ""), tuple(r.get("near_labels") or ()), r["field"]) for r in raw.get("field_hint_rules") or ()]
         return cls(
-            label_sections=dict(raw.get("label_to_sections") or {}),
+            label_sections=dict(labels),
             drop_roles=tuple(raw.get("drop_roles") or ()),
             stoplist=tuple(map(str, raw.get("stoplist") or ())),
             hint_rules=tuple(rules),

@@ -53,7 +53,7 @@ def _clues(blocks: DataFrame) -> DataFrame:
     """What the rules look at in a block, each computed once."""
     text = F.col("text")
     low = F.lower(text)
-    explicit = F.coalesce(*[F.when(F.contains(low, F.lit(n)), F.lit(v)) for n, v in VENDOR_CANONICAL])
+    explicit = F.coalesce(*[F.when(F.contains(low, F.lit(n)) & low.rlike(rf"\b{n}\b"), F.lit(v)) for n, v in VENDOR_CANONICAL])
     marker = F.coalesce(*[F.when(text.rlike(rf"\b{m}\b"), F.lit(v)) for m, v in PRODUCT_MARKERS])
     procedures = F.array(*[F.when(low.rlike(rf"\b{p}\b"), F.lit(v)) for p, v in PROCEDURES])
     footer = F.col("text_role") == "page_footer"

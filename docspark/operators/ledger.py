@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docspark.sources.scratch import stage
 from docspark.vocab import UNSCORED_FIELDS
 
 
@@ -87,7 +88,7 @@ def run_rows(results: DataFrame, storage: Storage, completed_at: Column | None =
 
     cards = F.to_json("verifier_scorecards") if "verifier_scorecards" in have else F.lit("[]")
     errors = F.to_json("preprocessing_errors") if "preprocessing_errors" in have else F.lit("[]")
-    prefix = F.coalesce(F.col("artifacts_prefix"), storage.doc_prefix(F.col("doc_id"))) if "artifacts_prefix" in have else storage.doc_prefix(F.col("doc_id"))
+    prefix = F.coalesce(F.col("artifacts_gcs_prefix"), storage.doc_prefix(F.col("doc_id"))) if "artifacts_gcs_prefix" in have else storage.doc_prefix(F.col("doc_id"))
     run_id = F.col("run_id") if "run_id" in have else key_id("doc_id", F.lit(storage.version), F.lit("run"))
     return results.select(
         run_id.alias("run_id"),
@@ -100,7 +101,7 @@ def run_rows(results: DataFrame, storage: Storage, completed_at: Column | None =
         col("otel_trace_id", "string"),
         errors.alias("preprocessing_errors"),
         cards.alias("verifier_scorecards"),
-        prefix.alias("artifacts_prefix"),
+        prefix.alias("artifacts_gcs_prefix"),
         (F.current_timestamp() if completed_at is None else completed_at).alias("completed_at"),
     )
 
@@ -114,23 +115,37 @@ def extraction_rows(results: DataFrame, storage: Storage, extracted_at: Column |
         run_id.alias("run_id"),
         "doc_id",
         F.lit(storage.version).alias("pipeline_version"),
-        "envelope",
+        F.col("envelope").alias("genomic_pathology_extraction"),
         (F.current_timestamp() if extracted_at is None else extracted_at).alias("extracted_at"),
     )
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists on whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
 def write_artifacts(artifacts: DataFrame, storage: Storage, kind: str, buckets: int = 256) -> None:
-    """Replace the artifacts of one kind, for the buckets of the documents written.
+    """Put in or replace the artifacts of one kind of the documents written; those of others stay.
 
-    One folder per hash bucket, never one per document. A bucket is written
-    whole: pass all documents of a bucket, or merge with :func:`merged_artifacts`.
+    One folder per hash bucket, never one per document. Only the buckets of
+    these documents are read, merged, written to the shared scratch folder, and
+    then put in place whole.
     """
     path = storage.artifacts(kind)
+    spark = artifacts.sparkSession
     bucketed = artifacts.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    if folder_exists(spark, path):
+        bucketed = stage(bucketed, "artifacts-new")
+        touched = [r[0] for r in bucketed.select("doc_bucket").distinct().collect()]  # at most one per bucket
+        old = spark.read.parquet(path).filter(F.col("doc_bucket").isin(touched))
+        kept = old.join(bucketed.select("doc_id").distinct(), "doc_id", "left_anti")
+        bucketed = stage(kept.unionByName(bucketed, allowMissingColumns=True), "artifacts-merged")
     (
         bucketed.repartition("doc_bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(8)))
         .write.mode("overwrite")

@@ -124,17 +124,18 @@ def comparison_table(comparisons: DataFrame) -> DataFrame:
     )
 
 
-def conversation_trace(turns: DataFrame) -> DataFrame:
+def conversation_trace(turns: DataFrame, max_chars: int | None = None) -> DataFrame:
     """Trace entries of ``turns(doc_id, turn, role, parts, tools)``, one per turn.
 
-    The text parts become one text of at most 2,000 characters, the format of a
-    trace entry. Entries stay rows in the order of ``turn``, so a long
+    The text parts become one text, whole unless ``max_chars`` cuts it for
+    display (``TRACE_TEXT_LIMIT`` is the usual cut). Entries stay rows in the order of ``turn``, so a long
     conversation is not collected anywhere.
     """
+    content = parts_to_text(F.col("parts"))
     return turns.select(
         "doc_id",
         F.col("turn").alias("entry_no"),
         "role",
-        F.left(parts_to_text(F.col("parts")), F.lit(TRACE_TEXT_LIMIT)).alias("content"),
+        (content if max_chars is None else F.left(content, F.lit(max_chars))).alias("content"),
         F.array_join("tools", ", ").alias("tools"),
     )

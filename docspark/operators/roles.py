@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.operators.running import number_in_order
+from docspark.sources.scratch import stage
 from docspark.vocab import (
     DEFAULT_ROLE,
     NO_SECTION,
     NOISE_ROLE,
-    PROMPT_TEXT_LIMIT,
     SCORER_BATCH_SIZE,
     SECTIONS,
     TEXT_ROLES,
@@ -130,28 +130,43 @@ def profile_blocks(blocks: DataFrame, noise: Column, rules: Sequence[RoleRule] =
     )
 
 
+def accept_scores(sent: DataFrame, scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Scored profiles that are right, and a quarantine of the rest.
+
+    Right is a profile of a block that was sent, scored once, within the
+    vocabularies. The quarantine lists ``doc_id, block_id, problem``: blocks
+    that were lost, made up, scored more than once, or scored out of range.
+    """
+    keys = ["doc_id", "block_id"]
+    wrong = parity_violations(sent, scored).select(*keys, "problem")
+    wrong = wrong.unionByName(vocabulary_violations(scored).select(*keys, "problem"))
+    return scored.join(wrong, keys, "left_anti"), wrong
+
+
 def profile_with_model(
     blocks: DataFrame,
     noise: Column,
     scorer: Callable[[pd.DataFrame], pd.DataFrame],
     size: int = SCORER_BATCH_SIZE,
-) -> DataFrame:
-    """Profiles by a model, which never gets to see the noise blocks."""
+) -> tuple[DataFrame, DataFrame]:
+    """Profiles by a model, which never gets to see the noise blocks, and the quarantine of its answers.
+
+    The model's answers are written once, so that both parts are of the same run.
+    """
     tagged = blocks.withColumn("_noise", noise)
-    scored = score_blocks(tagged.filter(~F.col("_noise")), scorer, size)
-    return noise_profiles(tagged.filter("_noise")).drop("ord").unionByName(scored)
+    sent = tagged.filter(~F.col("_noise"))
+    accepted, wrong = accept_scores(sent, stage(score_blocks(sent, scorer, size), "scored-blocks"))
+    return noise_profiles(tagged.filter("_noise")).drop("ord").unionByName(accepted), wrong
 
 
-def scorer_payload(blocks: DataFrame) -> DataFrame:
-    """What a model gets to see of a block: no box, text capped for the prompt.
+def scorer_payload(blocks: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """What a model gets to see of a block: no box, the whole text.
 
-    The cap is part of the payload format; the block itself stays whole.
+    ``max_chars`` cuts longer texts for a model with a small prompt
+    (``PROMPT_TEXT_LIMIT`` is the usual cut); the block itself stays whole.
     """
     t = F.coalesce("text", F.lit(""))
-    capped = F.when(
-        F.length(t) > PROMPT_TEXT_LIMIT,
-        F.concat(F.left(t, F.lit(PROMPT_TEXT_LIMIT)), F.lit("…")),
-    ).otherwise(t)
+    capped = t if max_chars is None else F.when(F.length(t) > max_chars, F.concat(F.left(t, F.lit(max_chars)), F.lit("…"))).otherwise(t)
     return blocks.select("doc_id", "block_id", "page_number", "ord", "section_path", capped.alias("text"))
 
 

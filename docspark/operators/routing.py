@@ -30,7 +30,7 @@ def route(docs: DataFrame, threshold: float = AUTO_ACCEPT_CONFIDENCE) -> DataFra
                 F.lit("' failed with "),
                 F.coalesce("n_errors", F.lit(0)).cast("string"),
                 F.lit(" error(s): "),
-                F.left(F.coalesce("notes", F.lit("")), F.lit(300)),
+                F.coalesce("notes", F.lit("")),
             ),
         )
         .when(low, F.concat(F.lit("llm_confidence_score="), F.format_string("%.2f", conf), F.lit(" is below auto-accept threshold "), limit))
@@ -78,7 +78,7 @@ def run_results(inputs: DataFrame, runs: DataFrame, extractions: DataFrame) -> D
     A document without a run has verdict ``errored``.
     """
     e = extractions.select("run_id", "extraction_id")
-    r = runs.select("doc_id", "run_id", "pipeline_version", "verdict", "verdict_reason", "artifacts_prefix", "latency_ms", "cost_usd")
+    r = runs.select("doc_id", "run_id", "pipeline_version", "verdict", "verdict_reason", "artifacts_gcs_prefix", "latency_ms", "cost_usd")
     # runs meet their extractions first: after the outer join, inputs without a
     # run would share one null key
     return (
@@ -89,7 +89,7 @@ def run_results(inputs: DataFrame, runs: DataFrame, extractions: DataFrame) -> D
             "pipeline_version",
             F.when(F.col("run_id").isNull(), F.lit("errored")).otherwise(F.col("verdict")).alias("verdict"),
             F.coalesce("verdict_reason", F.lit("")).alias("verdict_reason"),
-            "artifacts_prefix",
+            "artifacts_gcs_prefix",
             "run_id",
             "extraction_id",
             F.coalesce("latency_ms", F.lit(0)).alias("latency_ms"),

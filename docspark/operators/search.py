@@ -9,23 +9,22 @@ from docspark.functions.text import context, literal_spans
 
 STATE_TABLES = ("doc_profile", "parser_hypothesis", "block_profiles")
 EXCERPT_PAD = 40
-MAX_RESULTS = 50
 
 
-def text_search(blocks: DataFrame, query: str, max_results: int = 5) -> DataFrame:
+def text_search(blocks: DataFrame, query: str, max_results: int | None = 5) -> DataFrame:
     """Case-insensitive occurrences of a literal in each block, with an excerpt.
 
-    The first ``max_results`` (1 to 50) per document, in block order. A block
-    cannot give more than that, so each block stops there, and the window
-    keeps no more per task either.
+    The first ``max_results`` per document, in block order; None gives all, with
+    no rank. A block cannot give more than that, so each block stops there, and
+    the window keeps no more per task either.
     """
     if not query:
         raise ValueError("query must not be empty")
-    if not 1 <= max_results <= MAX_RESULTS:
-        raise ValueError(f"max_results must be between 1 and {MAX_RESULTS}")
+    if max_results is not None and max_results < 1:
+        raise ValueError("max_results must be at least 1")
     hit = F.col("hit")
     first = Window.partitionBy("doc_id").orderBy("ord", "match_start")
-    return (
+    found = (
         blocks.select(
             "doc_id",
             "ord",
@@ -47,9 +46,42 @@ def text_search(blocks: DataFrame, query: str, max_results: int = 5) -> DataFram
             hit["end"].alias("match_end"),
             context(F.col("text"), hit["start"], hit["end"], EXCERPT_PAD).alias("excerpt"),
         )
-        .withColumn("rank", F.row_number().over(first))
-        .filter(F.col("rank") <= max_results)
     )
+    if max_results is None:
+        return found
+    return found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= max_results)
+
+
+def search_all(blocks: DataFrame, queries: DataFrame, max_queries: int = 10_000) -> DataFrame:
+    """All occurrences of many literals at once: ``queries(query)``, in one pass over the blocks.
+
+    The distinct queries go into every row of the pass, so their number is
+    checked; more of them are searched for in several passes of ``max_queries``.
+    Offsets and excerpts are those of :func:`text_search`.
+    """
+    asked = queries.select("query").filter(F.coalesce(F.col("query"), F.lit("")) != "").distinct()
+    parts = max(1, -(-asked.count() // max_queries))
+    out = None
+    for part in range(parts):
+        some = asked.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == part)
+        pairs = blocks.join(F.broadcast(some), F.contains(F.lower("text"), F.lower("query")))
+        hit = F.col("hit")
+        found = pairs.select(
+            "doc_id", "query", "ord", "block_id", "page_number", "section_path", "text", F.explode_outer(literal_spans(F.col("text"), F.col("query"))).alias("hit")
+        ).filter(hit.isNotNull())
+        rows = found.select(
+            "doc_id",
+            "query",
+            "ord",
+            "block_id",
+            "page_number",
+            "section_path",
+            hit["start"].alias("match_start"),
+            hit["end"].alias("match_end"),
+            context(F.col("text"), hit["start"], hit["end"], EXCERPT_PAD).alias("excerpt"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def load_pages(requests: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.vocab import ENVELOPE_COUNT, ERROR_CAP, SECTION_RULES, Rule
+from docspark.vocab import ENVELOPE_COUNT, SECTION_RULES, Rule
 
 ROOT = "<root>"
 _NONE = "CAST(NULL AS STRING)"
@@ -197,11 +197,12 @@ def violation_rows(checked: DataFrame, key: str = "doc_id") -> DataFrame:
     return checked.select(key, F.posexplode_outer("errors").alias("no", "e")).filter(F.col("e").isNotNull()).select(key, "no", "e.*")
 
 
-def scorecards(checked: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
+def scorecards(checked: DataFrame, key: str = "doc_id", keep: Sequence[str] = (), max_errors: int | None = None) -> DataFrame:
     """One scorecard per document from its errors and the team's outcome.
 
     ``keep`` names other columns to carry along. A document the team flagged passes without a check, since it goes to review
-    anyway. Errors beyond the cap are counted in the notes, not listed.
+    anyway. All errors are listed; for display, ``max_errors`` lists only the first ones and counts the rest
+    in the notes.
     ``checked`` may carry ``team_verdict`` and ``team_reason``.
     """
     flagged = F.lit(False)
@@ -225,12 +226,13 @@ def scorecards(checked: DataFrame, key: str = "doc_id", keep: Sequence[str] = ()
         .when(n == 0, F.lit("Envelope validated against schema v2."))
         .otherwise(failed)
     )
+    listed = F.col("errors") if max_errors is None else F.slice("errors", 1, max_errors)
     return checked.select(
         key,
         *keep,
         F.lit("schema_validator").alias("verifier_name"),
         (flagged | (n == 0)).alias("passed"),
-        F.when(flagged, F.slice("errors", 1, 0)).otherwise(F.slice("errors", 1, ERROR_CAP)).alias("field_errors"),
+        F.when(flagged, F.slice("errors", 1, 0)).otherwise(listed).alias("field_errors"),
         F.when(flagged, F.lit(0)).otherwise(n).alias("n_errors"),
         notes.alias("notes"),
     )

@@ -30,7 +30,7 @@ def html_blocks(spark, d):
     return LA.html_blocks(T.spread(T.table(spark, d, "pages").select("page_id", "html")))
 
 
-_TAG = "'<(" + "|".join(LA.HTML_TAGS) + ")[^>]*>([^<]+)'"
+_TAG = f"'{LA.HTML_TEXT}'"
 
 ORACLE["html_blocks"] = f"""
 SELECT page_id AS doc_id, i - 1 AS ord, page_id || '-' || (i - 1) AS block_id, 'page_1/' || tag AS section_path, text

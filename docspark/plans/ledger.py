@@ -39,7 +39,7 @@ def event_runs(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("from "), kind).alias("verdict_reason"),
         F.lit(0.0).alias("cost_usd"),
         F.round(F.col("value") * 1000).cast("bigint").alias("latency_ms"),
-        F.concat(F.lit("artifacts/"), F.col("user_id").cast("string"), F.lit("/")).alias("artifacts_prefix"),
+        F.concat(F.lit("artifacts/"), F.col("user_id").cast("string"), F.lit("/")).alias("artifacts_gcs_prefix"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("completed_at"),
     )
 
@@ -48,7 +48,7 @@ _RUNS = """
 runs AS (SELECT event_id AS run_id, user_id AS doc_id, 'v1' AS pipeline_version,
   CASE WHEN event_type IN ('view', 'click') THEN 'auto_accept' WHEN event_type = 'purchase' THEN 'sme_flag' WHEN event_type = 'error' THEN 'errored' END AS verdict,
   'from ' || event_type AS verdict_reason, CAST(0 AS DOUBLE) AS cost_usd, CAST(round(value * 1000) AS BIGINT) AS latency_ms,
-  'artifacts/' || user_id || '/' AS artifacts_prefix, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS completed_at FROM events)"""
+  'artifacts/' || user_id || '/' AS artifacts_gcs_prefix, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS completed_at FROM events)"""
 
 
 @query
@@ -140,17 +140,17 @@ def _run_and_extraction_rows(spark, d) -> tuple[DataFrame, DataFrame]:
 def ledger_rows(spark, d):
     """The run row of every document and, if accepted, its extraction row."""
     runs, extractions = _run_and_extraction_rows(spark, d)
-    e = extractions.select("run_id", "extraction_id", "envelope")
+    e = extractions.select("run_id", "extraction_id", F.col("genomic_pathology_extraction").alias("envelope"))
     return runs.join(e, "run_id", "left").select(
         "run_id", "doc_id", "pipeline_version", "verdict", "verdict_reason", "cost_usd", "latency_ms", "preprocessing_errors",
-        "artifacts_prefix", "envelope", "extraction_id",
+        "artifacts_gcs_prefix", "envelope", "extraction_id",
     )
 
 
 ORACLE["ledger_rows"] = f"""
 WITH {_RUNS},
 last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY completed_at DESC, run_id DESC) AS rn FROM runs) WHERE rn = 1)
-SELECT run_id, doc_id, pipeline_version, verdict, verdict_reason, cost_usd, latency_ms, '[]' AS preprocessing_errors, artifacts_prefix,
+SELECT run_id, doc_id, pipeline_version, verdict, verdict_reason, cost_usd, latency_ms, '[]' AS preprocessing_errors, artifacts_gcs_prefix,
   CASE WHEN verdict = 'auto_accept' AND run_id % 3 <> 0 THEN props END AS envelope,
   CASE WHEN verdict = 'auto_accept' AND run_id % 3 <> 0 THEN sha256(doc_id || chr(31) || 'v1' || chr(31) || 'extraction') END AS extraction_id
 FROM last JOIN events ON event_id = run_id"""
@@ -165,7 +165,7 @@ def run_results(spark, d):
 
 ORACLE["run_results"] = f"""
 SELECT d.doc_id, 'in/' || d.doc_id || '.pdf' AS uri, pipeline_version, CASE WHEN run_id IS NULL THEN 'errored' ELSE verdict END AS verdict,
-       coalesce(verdict_reason, '') AS verdict_reason, artifacts_prefix, run_id, extraction_id, coalesce(latency_ms, 0) AS latency_ms,
+       coalesce(verdict_reason, '') AS verdict_reason, artifacts_gcs_prefix, run_id, extraction_id, coalesce(latency_ms, 0) AS latency_ms,
        coalesce(cost_usd, 0.0) AS cost_usd, CASE WHEN run_id IS NULL THEN 'no run row' END AS error
 FROM documents d LEFT JOIN ({ORACLE["ledger_rows"]}) USING (doc_id)"""
 
@@ -311,7 +311,7 @@ def ingest_stream(spark, d):
     IN.ingest(arrivals, judge, storage, f"{root}/checkpoint").awaitTermination()
     runs = IN.read_ledger(spark, storage.runs, IN.RUN_COLUMNS.format(id="bigint"))
     extractions = IN.read_ledger(spark, storage.extractions, IN.EXTRACTION_COLUMNS.format(id="bigint"))
-    return runs.join(extractions.select("run_id", "envelope"), "run_id", "left").select(
+    return runs.join(extractions.select("run_id", F.col("genomic_pathology_extraction").alias("envelope")), "run_id", "left").select(
         "doc_id", "pipeline_version", "verdict", "verdict_reason", "envelope"
     )
 

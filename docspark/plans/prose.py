@@ -235,7 +235,7 @@ def role_batches(spark, d):
 ORACLE["role_batches"] = f"""
 WITH {S.LINES}
 SELECT doc_id, block_id, ord, (row_number() OVER (PARTITION BY doc_id ORDER BY ord) - 1) // 25 AS batch,
-       CASE WHEN length(text) > 600 THEN left(text, 600) || '…' ELSE text END AS text
+       text
 FROM (SELECT *, {S.strip("text")} AS t FROM lines) WHERE NOT (t <> '' AND {_NOISE_SQL})"""
 
 

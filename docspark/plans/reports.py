@@ -128,8 +128,8 @@ FROM checked"""
 
 @query
 def date_normalise(spark, d):
-    """Order dates printed in ten ways, two of them not full dates."""
-    t, k = F.col("o_orderdate"), F.col("o_orderkey") % 10
+    """Order dates printed in fifteen ways, some of them no full date, or none at all."""
+    t, k = F.col("o_orderdate"), F.col("o_orderkey") % 15
     shapes = {
         0: F.date_format(t, "MM/dd/yyyy"),
         1: F.concat(F.date_format(t, "MM/dd/yyyy"), F.lit(" 01:15:00 PM PDT")),
@@ -141,21 +141,30 @@ def date_normalise(spark, d):
         7: F.date_format(t, "MMMM yyyy"),
         8: F.concat(F.lit("13/"), F.date_format(t, "dd/yyyy")),
         9: F.concat(F.date_format(t, "yyyy-MM-dd"), F.lit("T23:59:59-08:00")),
+        10: F.date_format(t, "d-MMM-yyyy"),
+        11: F.date_format(t, "MMM. d, yyyy"),
+        12: F.date_format(t, "MMMM d yyyy"),
+        13: F.date_format(t, "MM/dd/yy"),
+        14: F.concat(F.lit("id 5"), F.date_format(t, "yyyy-MM-dd"), F.lit("5")),
     }
     raw = F.coalesce(*[F.when(k == i, s) for i, s in shapes.items()])
     return FI.normalise_dates(T.table(spark, d, "orders").select("o_orderkey", raw.alias("raw")), "raw")
 
 
 ORACLE["date_normalise"] = """
-SELECT o_orderkey, CASE o_orderkey % 10
+SELECT o_orderkey, CASE o_orderkey % 15
     WHEN 0 THEN strftime(o_orderdate, '%m/%d/%Y') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') || ' 01:15:00 PM PDT'
     WHEN 2 THEN strftime(o_orderdate, '%-m/%-d/%Y') || ' / M' WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d')
     WHEN 4 THEN 'on ' || strftime(o_orderdate, '%B %-d, %Y') WHEN 5 THEN strftime(o_orderdate, '%-d %b %Y')
     WHEN 6 THEN strftime(o_orderdate, '%m-%d-%Y') WHEN 7 THEN strftime(o_orderdate, '%B %Y')
-    WHEN 8 THEN '13/' || strftime(o_orderdate, '%d/%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T23:59:59-08:00' END AS raw,
-  CASE WHEN o_orderkey % 10 NOT IN (7, 8) THEN strftime(o_orderdate, '%Y-%m-%d') END AS iso, o_orderkey % 10 NOT IN (7, 8) AS ok,
-  CASE o_orderkey % 10 WHEN 7 THEN 'no full date' WHEN 8 THEN 'impossible date' END AS reason
-FROM orders"""
+    WHEN 8 THEN '13/' || strftime(o_orderdate, '%d/%Y') WHEN 9 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T23:59:59-08:00'
+    WHEN 10 THEN strftime(o_orderdate, '%-d-%b-%Y') WHEN 11 THEN strftime(o_orderdate, '%b. %-d, %Y')
+    WHEN 12 THEN strftime(o_orderdate, '%B %-d %Y') WHEN 13 THEN strftime(o_orderdate, '%m/%d/%y')
+    ELSE 'id 5' || strftime(o_orderdate, '%Y-%m-%d') || '5' END AS raw, iso, iso IS NOT NULL AS ok,
+  CASE WHEN iso IS NULL THEN CASE o_orderkey % 15 WHEN 8 THEN 'impossible date' ELSE 'no full date' END END AS reason
+FROM (SELECT *, CASE o_orderkey % 15 WHEN 7 THEN NULL WHEN 14 THEN NULL
+    WHEN 8 THEN CASE WHEN day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%Y-%d-13') END
+    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso FROM orders)"""
 
 
 def report_results(spark: SparkSession, d: str) -> DataFrame:
@@ -181,9 +190,9 @@ def report_runs(spark, d):
     storage = LE.Storage("v1", "/ledger")
     results = stage(report_results(spark, d), "results")
     runs = LE.run_rows(results, storage)
-    stored = LE.extraction_rows(results, storage).select("run_id", F.get_json_object("envelope", "$.report_metadata.Practice_City").alias("city"))
+    stored = LE.extraction_rows(results, storage).select("run_id", F.get_json_object("genomic_pathology_extraction", "$.report_metadata.Practice_City").alias("city"))
     return runs.join(stored, "run_id", "left").select(
-        "doc_id", "run_id", "verdict", "verdict_reason", "verifier_scorecards", "artifacts_prefix", "city"
+        "doc_id", "run_id", "verdict", "verdict_reason", "verifier_scorecards", "artifacts_gcs_prefix", "city"
     )
 
 
@@ -192,5 +201,5 @@ SELECT doc_id, sha256(doc_id || chr(31) || 'v1' || chr(31) || 'run') AS run_id,
   CASE WHEN c < 0.85 THEN 'llm_confidence_score=0.80 is below auto-accept threshold 0.85'
        ELSE 'All verifiers passed and llm_confidence_score (' || CAST(c AS VARCHAR) || ') is at least 0.85' END AS verdict_reason,
   '[{{"verifier_name":"schema_validator","passed":true,"n_errors":0,"notes":"Envelope validated against schema v2."}}]' AS verifier_scorecards,
-  '/ledger/artifacts_v1/' || doc_id || '/' AS artifacts_prefix, CASE WHEN c >= 0.85 THEN Practice_City END AS city
+  '/ledger/artifacts_v1/' || doc_id || '/' AS artifacts_gcs_prefix, CASE WHEN c >= 0.85 THEN Practice_City END AS city
 FROM (SELECT *, CAST(llm_confidence_score AS DOUBLE) AS c FROM ({GOLD_SQL}))"""

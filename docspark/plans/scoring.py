@@ -250,6 +250,6 @@ def conversation_trace(spark, d):
 
 ORACLE["conversation_trace"] = """
 SELECT conv_id AS doc_id, turn AS entry_no, role,
-       left(array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: i % 2 = 1), lambda i: p[i]), ''), 2000) AS content,
+       array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: i % 2 = 1), lambda i: p[i]), '') AS content,
        CASE WHEN role = 'assistant' THEN 'pdf_text_search, date_parser' ELSE '' END AS tools
 FROM (SELECT *, string_split(text, chr(10)) AS p FROM conversations)"""

@@ -11,13 +11,16 @@ from docspark.sources.scratch import stage
 # fixed values: tags whose own text makes a block
 HTML_TAGS = ("title", "h1", "p", "li", "a", "b", "div", "footer")
 
+#: One of these tags, whole, and the text behind it.
+HTML_TEXT = "<(" + "|".join(HTML_TAGS) + r")(?:[\s/][^>]*)?>([^<]+)"
+
 
 def html_blocks(pages: DataFrame) -> DataFrame:
     """Leaf text of marked-up pages as blocks, in order of appearance.
 
     ``pages(page_id, html)``. A block is an opening tag followed by text.
     """
-    pattern = "<(" + "|".join(HTML_TAGS) + ")[^>]*>([^<]+)"
+    pattern = HTML_TEXT
     tags = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
     texts = F.regexp_extract_all("html", F.lit(pattern), F.lit(2))
     found = pages.select("page_id", F.posexplode_outer(F.arrays_zip(tags.alias("tag"), texts.alias("text"))).alias("ord", "b"))
@@ -51,7 +54,7 @@ def _vertex_box(poly: Column) -> Column:
     return envelope(_either(poly, "normalizedVertices", "normalized_vertices", vertex), F.try_variant_get(poly, "$.vertices", vertex))
 
 
-def _walk(docs: DataFrame, max_depth: int, inherit_page: bool, tables: bool) -> DataFrame:
+def _walk(docs: DataFrame, inherit_page: bool, tables: bool) -> DataFrame:
     """All nodes of layout JSON, one round per level and each round row by row.
 
     The nested rest is written between rounds, so the JSON is parsed once.
@@ -70,7 +73,7 @@ def _walk(docs: DataFrame, max_depth: int, inherit_page: bool, tables: bool) ->
         top.alias("nested"),
     )
     out = None
-    for _ in range(max_depth):
+    while True:
         own_page = F.coalesce(
             F.try_variant_get(b, "$.pageSpan.pageStart", "int"), F.try_variant_get(b, "$.page_span.page_start", "int")
         )
@@ -128,27 +131,26 @@ def _walk(docs: DataFrame, max_depth: int, inherit_page: bool, tables: bool) ->
         level = stage(below.filter(F.size("nested") > 0), "layout")
         if level.isEmpty():
             return out
-    raise ValueError(f"layout is deeper than {max_depth} levels")
 
 
-def layout_blocks(docs: DataFrame, max_depth: int = 64) -> DataFrame:
+def layout_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of cached layout JSON ``docs(doc_id, layout string)``, by id.
 
     Keys may be camelCase or snake_case. A child without a page takes the page
     of its parent; blocks without an id are left out, but not their children.
-    JSON that does not parse gives no blocks. Raises ValueError rather than
-    dropping blocks below ``max_depth``.
+    JSON that does not parse gives no blocks. Nesting of any depth is walked to
+    the end.
     """
-    nodes = _walk(docs, max_depth, inherit_page=True, tables=False)
+    nodes = _walk(docs, inherit_page=True, tables=False)
     return nodes.filter(F.col("block_id") != "").drop("section_path")
 
 
-def parse_layout(docs: DataFrame, max_depth: int = 64) -> DataFrame:
+def parse_layout(docs: DataFrame) -> DataFrame:
     """Blocks of fresh layout JSON, depth first, with ``section_path``.
 
     A node is a block if it has text or a box. The walk goes on into the
     children of text and into the cells of tables, header rows first.
     ``order_key`` sorts the blocks of a document.
     """
-    nodes = _walk(docs, max_depth, inherit_page=False, tables=True)
+    nodes = _walk(docs, inherit_page=False, tables=True)
     return nodes.filter((F.col("text") != "") | (F.size("bbox") > 0))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from docspark.sources.tables import spread, table
 
-FIRST = ("STANLEY", "Jennifer", "Wanda", "Jorge")
-LAST = ("SCHINKE", "Walker", "Nguyen", "Thomas", "Doyle")
+FIRST = ("ORVEN", "Tilda", "Mirka", "Pavo")
+LAST = ("QUILLON", "Brandt", "Osei", "Lindqvar", "Farrow")
 
 
 def _choose(k: Column, *values) -> Column:
@@ -78,11 +78,11 @@ def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         _choose(k, "NPI: 1234567893", "NPI: 1234567890", "NPI: 12345"),
         F.when(k % 8 != 5, F.concat(F.lit("Practice: Nation "), nation.cast("string"), F.lit(" Oncology Clinic"))),
-        _choose(k, F.concat(text, F.lit(" Baxter Rd. Suite "), (nation + 100).cast("string")), F.concat(text, F.lit(" Main St."))),
-        _choose(k, "Murrieta, CA 92563", "San Diego, ca 92101-1234", "Austin, TX 78701"),
-        _choose(k, "Test: JAK2 V617F Mutation Analysis", "Panel: Molecular profiling"),
-        _choose(k, "Methodology: quantitative PCR and probe analysis", "Method: Next Generation Sequencing and IHC", "Methodology: proprietary", none),
-        _choose(k, "JAK2 p.V617F Detected", "KRAS p.G12D Not Detected"),
+        _choose(k, F.concat(text, F.lit(" Juniper Rd. Suite "), (nation + 100).cast("string")), F.concat(text, F.lit(" Main St."))),
+        _choose(k, "Eastmere, CA 40011", "Port Calder, ca 40022-1234", "Wellbrook, TX 40033"),
+        _choose(k, "Test: ABC1 V100F Mutation Analysis", "Panel: Molecular profiling"),
+        _choose(k, "Methodology: measured by quantitative PCR", "Method: Next Generation Sequencing and IHC", "Methodology: proprietary", none),
+        _choose(k, "ABC1 p.V100F Detected", "KRAS p.G12D Not Detected"),
         F.when(
             (k % 3 == 2) | (k % 10 == 0),
             F.concat(F.lit("PATIENT: "), first, F.lit(" "), segment, F.lit("  CASE NUMBER: "), text, F.lit("  PHYSICIAN: Dr. "), first, F.lit(" "), last),
@@ -126,7 +126,7 @@ def gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Collection_Date": collected.cast("string"),
         "Received_Date": F.date_add(collected, 1).cast("string"),
         "Report_Date": F.when((k % 7).isin(0, 1, 2, 6), F.date_add(collected, 5).cast("string")),
-        "Test_Name": _choose(k, "JAK2 V617F Mutation Analysis", "Molecular profiling"),
+        "Test_Name": _choose(k, "ABC1 V100F Mutation Analysis", "Molecular profiling"),
         "Procedure": _choose(k, "Quantitative PCR", "Next Generation Sequencing | IHC", none, none),
         "Ordering_Provider_First_Name": first,
         "Ordering_Provider_Last_Name": last,
@@ -134,11 +134,11 @@ def gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Ordering_Provider_Title": F.when(k % 3 == 0, F.lit("M.D.")).otherwise(F.lit("Dr.")),
         "Practice_Name": F.when(k % 8 != 5, F.concat(F.lit("Nation "), nation.cast("string"), F.lit(" Oncology Clinic"))),
         "Practice_NPI": none,
-        "Practice_Street_Address_1": F.concat(text, _choose(k, " Baxter Rd.", " Main St.")),
+        "Practice_Street_Address_1": F.concat(text, _choose(k, " Juniper Rd.", " Main St.")),
         "Practice_Street_Address_2": F.when(k % 2 == 0, F.concat(F.lit("Suite "), (nation + 100).cast("string"))),
-        "Practice_City": _choose(k, "Murrieta", "San Diego", "Austin"),
+        "Practice_City": _choose(k, "Eastmere", "Port Calder", "Wellbrook"),
         "Practice_State": _choose(k, "CA", "CA", "TX"),
-        "Practice_ZIP_5digit": _choose(k, "92563", "92101", "78701"),
+        "Practice_ZIP_5digit": _choose(k, "40011", "40022", "40033"),
         "Practice_ZIP_4digit": _choose(k, none, "1234", none),
     }
     return customers.select(k.alias("doc_id"), *[v.alias(n) for n, v in record.items()])
@@ -155,19 +155,19 @@ SELECT c_custkey AS doc_id, CAST(2 AS BIGINT) AS total_pages,
   CASE c_custkey % 5 WHEN 0 THEN 'Tempus' WHEN 1 THEN 'Tempus' WHEN 2 THEN 'Foundation Medicine' WHEN 4 THEN 'NeoGenomics' END AS Vendor_Name,
   CAST(collected AS VARCHAR) AS Collection_Date, CAST(collected + 1 AS VARCHAR) AS Received_Date,
   CASE WHEN c_custkey % 7 IN (0, 1, 2, 6) THEN CAST(collected + 5 AS VARCHAR) END AS Report_Date,
-  CASE c_custkey % 2 WHEN 0 THEN 'JAK2 V617F Mutation Analysis' ELSE 'Molecular profiling' END AS Test_Name,
+  CASE c_custkey % 2 WHEN 0 THEN 'ABC1 V100F Mutation Analysis' ELSE 'Molecular profiling' END AS Test_Name,
   CASE c_custkey % 4 WHEN 0 THEN 'Quantitative PCR' WHEN 1 THEN 'Next Generation Sequencing | IHC' END AS Procedure,
   first AS Ordering_Provider_First_Name, last AS Ordering_Provider_Last_Name,
   CASE WHEN c_custkey % 3 = 0 THEN '1234567893' END AS Ordering_Provider_NPI,
   CASE c_custkey % 3 WHEN 0 THEN 'M.D.' ELSE 'Dr.' END AS Ordering_Provider_Title,
   CASE WHEN c_custkey % 8 <> 5 THEN 'Nation ' || c_nationkey || ' Oncology Clinic' END AS Practice_Name,
   CAST(NULL AS VARCHAR) AS Practice_NPI,
-  c_custkey || CASE c_custkey % 2 WHEN 0 THEN ' Baxter Rd.' ELSE ' Main St.' END AS Practice_Street_Address_1,
+  c_custkey || CASE c_custkey % 2 WHEN 0 THEN ' Juniper Rd.' ELSE ' Main St.' END AS Practice_Street_Address_1,
   CASE c_custkey % 2 WHEN 0 THEN 'Suite ' || (c_nationkey + 100) END AS Practice_Street_Address_2,
-  CASE c_custkey % 3 WHEN 0 THEN 'Murrieta' WHEN 1 THEN 'San Diego' ELSE 'Austin' END AS Practice_City,
+  CASE c_custkey % 3 WHEN 0 THEN 'Eastmere' WHEN 1 THEN 'Port Calder' ELSE 'Wellbrook' END AS Practice_City,
   CASE c_custkey % 3 WHEN 2 THEN 'TX' ELSE 'CA' END AS Practice_State,
-  CASE c_custkey % 3 WHEN 0 THEN '92563' WHEN 1 THEN '92101' ELSE '78701' END AS Practice_ZIP_5digit,
+  CASE c_custkey % 3 WHEN 0 THEN '40011' WHEN 1 THEN '40022' ELSE '40033' END AS Practice_ZIP_5digit,
   CASE c_custkey % 3 WHEN 1 THEN '1234' END AS Practice_ZIP_4digit
-FROM (SELECT *, ['Stanley', 'Jennifer', 'Wanda', 'Jorge'][c_custkey % 4 + 1] AS first,
-             ['Schinke', 'Walker', 'Nguyen', 'Thomas', 'Doyle'][c_custkey % 5 + 1] AS last,
+FROM (SELECT *, ['Orven', 'Tilda', 'Mirka', 'Pavo'][c_custkey % 4 + 1] AS first,
+             ['Quillon', 'Brandt', 'Osei', 'Lindqvar', 'Farrow'][c_custkey % 5 + 1] AS last,
              DATE '2020-01-01' + CAST(c_custkey * 37 % 1500 AS INTEGER) AS collected FROM customer)"""

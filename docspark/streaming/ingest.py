@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docspark.operators.ledger import Storage, extraction_rows, run_rows
+from docspark.operators.ledger import Storage, extraction_rows, folder_exists, run_rows
 
 RUN_COLUMNS = (
     "run_id string, doc_id {id}, pipeline_version string, verdict string, verdict_reason string, cost_usd double, "
     "latency_ms bigint, otel_trace_id string, preprocessing_errors string, verifier_scorecards string, "
-    "artifacts_prefix string, completed_at timestamp"
+    "artifacts_gcs_prefix string, completed_at timestamp"
 )
 EXTRACTION_COLUMNS = (
-    "extraction_id string, run_id string, doc_id {id}, pipeline_version string, envelope string, extracted_at timestamp"
+    "extraction_id string, run_id string, doc_id {id}, pipeline_version string, genomic_pathology_extraction string, extracted_at timestamp"
 )
 
 
@@ -37,6 +37,14 @@ def _write_batch(rows: DataFrame, path: str, key: str) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={key}")
 
 
+def first_copies(batch: DataFrame) -> DataFrame:
+    """One row per document: of several copies always the same one, whatever order a replay reads them in."""
+    rest = F.struct(*[c for c in batch.columns if c != "doc_id"])
+    text = F.to_json(rest)
+    one = batch.groupBy("doc_id").agg(F.min_by(rest, F.struct(F.xxhash64(text), text)).alias("row"))
+    return one.select("doc_id", "row.*").select(*batch.columns)
+
+
 def ingest(
     arrivals: DataFrame,
     process: Callable[[DataFrame], DataFrame],
@@ -58,8 +66,8 @@ def ingest(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         key = _batch_key(spark, batch_id)
-        new = batch.dropDuplicates(["doc_id"])
-        if _exists(spark, storage.runs):
+        new = first_copies(batch)
+        if folder_exists(spark, storage.runs):
             done = read_ledger(spark, storage.runs, run_columns).filter(
                 (F.col("batch") != key) & (F.col("pipeline_version") == storage.version)
             )
@@ -77,9 +85,3 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists on whatever file system the path names."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

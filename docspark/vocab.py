@@ -56,7 +56,6 @@ COVERAGE_GAP_TOLERANCE = 0.10
 SCORE_THRESHOLD = 0.80
 SCORER_BATCH_SIZE = 300
 PROMPT_TEXT_LIMIT = 600
-ERROR_CAP = 25
 DROP_EXAMPLES = 5
 
 # --- fixed values: transport noise patterns ---------------------------------

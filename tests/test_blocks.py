@@ -1,5 +1,7 @@
 import random
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators import blocks as B
@@ -117,11 +119,17 @@ def test_tree_order_and_empty_nodes(spark):
         ("a1", "page_2/table/text"),
         ("b", "page_1/text"),
     ]
-    try:
-        B.flatten_tree(df, max_depth=1)
-        raise AssertionError("expected ValueError")
-    except ValueError:
-        pass
+    assert B.loose_nodes(df.unionByName(spark.createDataFrame([("x", "gone", 0, "text", 1, "lost", None)], schema))).first()["node_id"] == "x"
+
+
+def test_trees_of_any_depth(spark):
+    schema = "node_id string, parent_id string, pos int, kind string, page int, text string, bbox array<double>"
+    chain = [(f"n{i}", f"n{i - 1}" if i else None, 0, "text", 1, f"t{i}" if i % 50 == 0 else "", None) for i in range(201)]
+    deep = B.flatten_tree(spark.createDataFrame(chain, schema)).collect()
+    assert sorted(len(r["order_key"]) for r in deep) == [1, 51, 101, 151, 201]
+    loop = [("r", None, 0, "text", 1, "r", None), ("a", "r", 0, "text", 1, "a", None), ("a", "a", 0, "text", 1, "a", None)]
+    with pytest.raises(ValueError):
+        B.flatten_tree(spark.createDataFrame(loop, schema))
 
 
 def test_batches_of_one_very_large_document(spark):
@@ -140,14 +148,15 @@ def test_model_scorer_gets_batches_without_noise(spark):
     df = spark.createDataFrame(rows, BLOCKS)
 
     def scorer(pdf):
-        assert len(pdf) <= 4 and not pdf["text"].str.contains("INBOUND").any() and pdf["text"].str.len().max() <= 601
+        assert len(pdf) <= 4 and not pdf["text"].str.contains("INBOUND").any() and pdf["text"].str.len().max() <= 700
         out = pdf[["doc_id", "block_id", "page_number"]].copy()
         out["text_role"], out["confidence"], out["rationale"] = "other", 0.5, "model"
         out["hints"] = [["none"]] * len(out)
         return out
 
     noise = N.is_noise(F.col("text"))
-    profiles = R.profile_with_model(df, noise, scorer, size=4)
+    profiles, wrong = R.profile_with_model(df, noise, scorer, size=4)
+    assert wrong.isEmpty()
     assert R.parity_violations(df, profiles).isEmpty() and R.vocabulary_violations(profiles).isEmpty()
     merged = R.merge_in_order(df, profiles).orderBy("ord").collect()
     assert [r["ord"] for r in merged] == list(range(10))
@@ -155,3 +164,23 @@ def test_model_scorer_gets_batches_without_noise(spark):
     bad = profiles.withColumn("hints", F.array(F.lit("none"), F.lit("report_metadata")))
     assert {r["problem"] for r in R.vocabulary_violations(bad).collect()} == {"none not alone"}
     assert [r["problem"] for r in R.parity_violations(df, profiles.filter("block_id <> 'b3'")).collect()] == ["missing"]
+
+
+def test_wrong_scores_are_set_apart(spark):
+    df = spark.createDataFrame(block_rows(["Final Report"] + ["body"] * 5), BLOCKS)
+
+    def scorer(pdf):
+        out = pdf[["doc_id", "block_id", "page_number"]].copy()
+        out["text_role"], out["confidence"], out["rationale"] = "other", 0.5, "model"
+        out["hints"] = [["none"]] * len(out)
+        ids = list(out["block_id"])
+        out.loc[out["block_id"] == ids[0], "confidence"] = 7.0
+        out.loc[out["block_id"] == ids[1], "block_id"] = "made-up"
+        return pd.concat([out, out[out["block_id"] == ids[2]]])
+
+    accepted, wrong = R.profile_with_model(df, F.lit(False), scorer, size=100)
+    problems = sorted(r["problem"] for r in wrong.collect())
+    assert problems == ["confidence", "count", "extra", "missing"]
+    assert accepted.count() == 3
+    long = R.scorer_payload(spark.createDataFrame(block_rows(["x" * 700]), BLOCKS), max_chars=600).first()["text"]
+    assert len(long) == 601

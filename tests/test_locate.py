@@ -128,7 +128,8 @@ def test_search_first_hits_of_a_large_document(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     hot = [(r["ord"], r["match_start"], r["match_end"]) for r in out.filter("doc_id = 'hot'").orderBy("rank").collect()]
     assert hot == [(0, 0, 3), (0, 8, 11), (0, 13, 16), (3, 0, 3)]
-    for bad in (0, 51):
+    assert SE.text_search(df, "A.B", None).filter("doc_id = 'hot'").count() == 3 * df.filter("doc_id = 'hot'").count()
+    for bad in (0, -1):
         try:
             SE.text_search(df, "x", bad)
             raise AssertionError("expected ValueError")
@@ -136,6 +137,15 @@ def test_search_first_hits_of_a_large_document(spark):
             pass
 
 
+def test_search_for_a_table_of_queries(spark):
+    rows = [("d", 0, "b0", 1, "p", "İİİ the cat. The CAT?"), ("d", 1, "b1", 1, "p", "no"), ("e", 0, "b0", 1, "p", None)]
+    df = spark.createDataFrame(rows, "doc_id string, ord int, block_id string, page_number int, section_path string, text string")
+    asked = spark.createDataFrame([("the",), ("cat",), ("cat",), ("",), (None,), ("cat?",)], "query string")
+    for size in (100, 1):
+        got = sorted((r["query"], r["match_start"], r["match_end"]) for r in SE.search_all(df, asked, max_queries=size).collect())
+        assert got == [("cat", 8, 11), ("cat", 17, 20), ("cat?", 17, 21), ("the", 4, 7), ("the", 13, 16)]
+
+
 def test_state_read_allows_three_tables(spark):
     df = spark.range(1)
     assert SE.state_read({"doc_profile": df}, "doc_profile") is df

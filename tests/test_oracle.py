@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from docspark.plans import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 DUCK_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
@@ -37,6 +38,7 @@ def duck(small):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

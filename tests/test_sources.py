@@ -1,5 +1,7 @@
 import json
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from docspark.operators import ledger as LE
@@ -91,8 +93,8 @@ def test_ledger_rows_and_artifacts(spark, tmp_path):
     LE.append(LE.run_rows(results, storage), storage.runs)
     LE.append(LE.extraction_rows(results, storage), storage.extractions)
     runs = spark.read.parquet(storage.runs)
-    assert runs.count() == 3 and set(runs.columns) >= {"run_id", "artifacts_prefix", "completed_at", "verifier_scorecards"}
-    assert runs.first()["artifacts_prefix"].startswith(str(tmp_path))
+    assert runs.count() == 3 and set(runs.columns) >= {"run_id", "artifacts_gcs_prefix", "completed_at", "verifier_scorecards"}
+    assert runs.first()["artifacts_gcs_prefix"].startswith(str(tmp_path))
     x = spark.read.parquet(storage.extractions).join(runs.select("run_id", "verdict"), "run_id").collect()
     assert [(r["doc_id"], r["verdict"]) for r in x] == [("a", "auto_accept")]
     todo = spark.createDataFrame([("a", "v1"), ("a", "v2"), ("z", "v1")], "doc_id string, pipeline_version string")
@@ -100,10 +102,8 @@ def test_ledger_rows_and_artifacts(spark, tmp_path):
 
     first = spark.createDataFrame([(f"d{i}", "[1]") for i in range(50)], "doc_id string, content string")
     LE.write_artifacts(first, storage, "blocks", buckets=4)
-    old = FS.read_artifacts(spark, f"{tmp_path}/artifacts_v1", "blocks")
     new = spark.createDataFrame([("d1", "[2]"), ("e", "{")], "doc_id string, content string")
-    merged = stage(LE.merged_artifacts(old, new), "test")
-    LE.write_artifacts(merged, storage, "blocks", buckets=4)
+    LE.write_artifacts(new, storage, "blocks", buckets=4)
     back = FS.parsed_artifacts(FS.read_artifacts(spark, f"{tmp_path}/artifacts_v1", "blocks"))
     got = {r["doc_id"]: r["t"] for r in back.select("doc_id", F.to_json("content").alias("t")).collect()}
     assert len(got) == 51 and got["d1"] == "[2]" and got["d2"] == "[1]" and got["e"] is None
@@ -127,6 +127,7 @@ class Session:
 
     def __init__(self, **settings):
         self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+        self.sparkContext = SimpleNamespace(master="local[2]")
 
 
 def test_scratch_root_follows_the_session(spark):
@@ -183,6 +184,11 @@ def test_parse_layout_kinds_cells_and_boxes(spark):
 def test_configuration(spark):
     from docspark.operators.entities import Tables
 
+    with pytest.raises(KeyError):
+        Tables.from_mapping({"stoplist": []})
+    with pytest.raises(KeyError):
+        Tables.from_mapping({"label_to_umbrellas": {}, "stop_list": []})
+    assert Tables.from_mapping({"label_to_umbrellas": {"A": ["x"]}}).label_sections == {"A": ["x"]}
     t = Tables.from_mapping({"label_to_sections": {"A": ["report_metadata"]}, "stoplist": [" DNA ", 5], "vendor_names": ["Quest"], "field_hint_rules": [{"near_labels": ["Dob"], "field": "Patient_DOB"}]})
     assert t.stoplist == ("dna", "5") and t.vendor_names == ("quest",) and t.hint_rules[0].field == "Patient_DOB" and t.drop_roles == ()
     configs = {"phase_1": {"pipeline_version": "v1", "root": "/x/"}}
@@ -204,3 +210,21 @@ def test_warehouse_tables(spark):
     assert [r["extraction_id"] for r in FS.warehouse_extractions(spark, "extractions_test", one).collect()] == ["e3"]
     df.select(F.col("extraction_id").alias("run_id"), F.col("extracted_at").alias("completed_at")).createOrReplaceTempView("runs_test")
     assert [r["run_id"] for r in FS.warehouse_runs(spark, "runs_test", 2).collect()] == ["e3", "e2"]
+
+
+def test_ledgers_are_read_as_they_are_written(spark, tmp_path):
+    storage = LE.Storage("v1", str(tmp_path))
+    results = spark.createDataFrame([("a", "auto_accept", "ok", '{"x":1}')], "doc_id string, verdict string, verdict_reason string, envelope string")
+    LE.run_rows(results, storage).write.json(f"{tmp_path}/runs")
+    LE.extraction_rows(results, storage).write.json(f"{tmp_path}/extractions")
+    run = spark.read.schema(FS.RUNS_SCHEMA).json(f"{tmp_path}/runs").first()
+    assert run["artifacts_gcs_prefix"].endswith("/a/")
+    assert spark.read.schema(FS.EXTRACTIONS_SCHEMA).json(f"{tmp_path}/extractions").first()["genomic_pathology_extraction"] == '{"x":1}'
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    cluster, shared = Session(), Session(spark_checkpoint_dir="hdfs://x/y/")
+    cluster.sparkContext.master = shared.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        scratch_root(cluster)
+    assert scratch_root(shared) == "hdfs://x/y"

@@ -38,6 +38,8 @@ def test_pattern_spans_match_a_scan(spark):
 
 def test_literal_spans_are_literal_and_capped(spark):
     values = ["A.b a.B", "a-b", "", "A.B" * 7, "x\\Ey"]
+    turkish = many(spark, ["İİİ the cat"], text.literal_spans(F.col("t"), F.lit("THE")))[0]
+    assert [tuple(s) for s in turkish] == [(4, 7, "the")]
     spans = many(spark, values, text.literal_spans(F.col("t"), F.lit("a.b"), 3))
     want = [[m.span() for m in re.finditer(re.escape("a.b"), v, re.I)][:3] for v in values]
     assert [[(s["start"], s["end"]) for s in g] for g in spans] == want
@@ -74,6 +76,15 @@ def test_dates(spark):
         "": None,
         None: None,
         "soon": None,
+        "12-Aug-2025": "2025-08-12",
+        "Aug. 12, 2025": "2025-08-12",
+        "August 12 2025": "2025-08-12",
+        "01/25/41": "2041-01-25",
+        "01/25/81": "1981-01-25",
+        "25/12/2024": "2024-12-25",
+        "112/05/2024": None,
+        "2024-01-155": None,
+        "id 5512024-01-15": None,
     }
     assert many(spark, list(cases), dates.to_iso_date(F.col("t"))) == list(cases.values())
 
