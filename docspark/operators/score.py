@@ -74,19 +74,20 @@ def compare_fields(gold: DataFrame, actual: DataFrame, lenient: bool = False) ->
 
     Every gold field counts, whether it was extracted or not. A field that only
     ``actual(doc_id, record)`` has fails as an extra; the lenient form ignores
-    extras, and knows neither strict nor date fields. Confidence and provenance
-    are not scored.
+    extras, and knows neither strict nor date fields. A document without a gold
+    record has extras only. Confidence and provenance are not scored.
     """
     skipped = ("llm_confidence_score",) if lenient else UNSCORED_FIELDS
-    names = F.map_keys("g") if lenient else F.array_union(F.map_keys("g"), F.map_keys("a"))
+    keys = lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>"))
+    names = keys("g") if lenient else F.array_union(keys("g"), keys("a"))
     rows = (
         gold.select("doc_id", F.col("record").alias("_gold"))
-        .join(actual.select("doc_id", F.col("record").alias("_actual")), "doc_id", "left")
+        .join(actual.select("doc_id", F.col("record").alias("_actual")), "doc_id", "full")
         .select("doc_id", _members("_gold").alias("g"), _members("_actual").alias("a"))
         .select("doc_id", "g", "a", F.explode_outer(names).alias("field"))
         .filter(F.col("field").isNotNull() & ~F.col("field").isin(*skipped))
         .select(
-            "doc_id", "field", F.map_contains_key("g", F.col("field")).alias("in_gold"), F.expr("g[field]").alias("x"), F.expr("a[field]").alias("y")
+            "doc_id", "field", F.coalesce(F.map_contains_key("g", F.col("field")), F.lit(False)).alias("in_gold"), F.expr("g[field]").alias("x"), F.expr("a[field]").alias("y")
         )
         .select(
             "doc_id",

@@ -77,6 +77,14 @@ def test_breaches(spark):
     assert breaches(spark, envelope(record(Patient_DOB="1941")), check_dates=True) == [("report_metadata", "Patient_DOB", "format")]
 
 
+def test_a_document_without_gold_has_extras_only(spark):
+    gold = spark.createDataFrame([("a", '{"F":"x"}')], "doc_id string, record string")
+    got = spark.createDataFrame([("a", '{"F":"x"}'), ("b", '{"F":"x"}')], "doc_id string, record string")
+    rows = {(r["doc_id"], r["field"], r["passed"]) for r in SC.compare_fields(gold, got).collect()}
+    assert rows == {("a", "F", True), ("b", "F", False)}
+    assert {r["doc_id"] for r in SC.compare_fields(gold, got, lenient=True).collect()} == {"a"}
+
+
 def test_scorecard_lists_all_errors(spark):
     r = {f"x{i:02}": 1 for i in range(60)}
     df = spark.createDataFrame([("d", json.dumps(envelope({**record(), **r})))], "doc_id string, envelope string")
@@ -142,7 +150,7 @@ def score(spark, gold, actual, **kw):
     s = "doc_id string, record string"
     g = spark.createDataFrame([("d", json.dumps(gold))], s)
     a = spark.createDataFrame([] if actual is None else [("d", json.dumps(actual)), ("other", json.dumps(gold))], s)
-    cmp = SC.compare_fields(g, a, **kw)
+    cmp = SC.compare_fields(g, a, **kw).filter("doc_id = 'd'")
     r = SC.score_documents(cmp).first()
     return (r["passed"], r["total_fields"], r["meets_threshold"]), {x["field"]: x for x in cmp.collect()}
 
