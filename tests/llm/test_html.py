@@ -22,6 +22,8 @@ TEXT = "First paragraph, long enough, of the story. It goes on. Second & last, w
         ("<article><p>a  b\n\tc<br>d<p>e&nbsp;f</article>", "a b c d e f"),
         ("<article><p>x &lt;b&gt; y</p></article>", "x <b> y"),
         ("plain text, no tags", "plain text, no tags"),
+        ("<p title=\"a > b\" class='x'>in, here</p>", "in, here"),
+        ("<p>x <a " + "\"" * 61, 'x <a ' + '"' * 61),
         ("<p>a < b and c<", "a < b and c<"),
         ("<script>only this", ""),
         ("", ""),
