@@ -349,7 +349,7 @@ def _may_link(percent: int):
 def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` that parities cannot rule out."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    used = stage(sketches.join(ids, "id", "left_semi").groupBy("id").agg(F.first("n").alias("n"), F.first("parity").alias("parity")), "jaccard-parities")
+    used = stage(sketches.select("id", "n", "parity").join(ids, "id", "left_semi"), "jaccard-parities")
     both = pairs.join(used.select(F.col("id").alias("a"), "n", F.col("parity").alias("x")), "a").join(
         used.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y")), "b"
     )
@@ -380,7 +380,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     docs = docs.select("doc_id", "text")
     scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, data binary, " + ", ".join(f"{b} bigint" for b in COARSE)), "jaccard-scan")
     nodes = scanned.where("n is not null").select("doc_id", "n", "id")
-    sketches = scanned.where("n > 0").select("id", "n", F.col("data").alias("parity"), *COARSE)
+    kept = {"n": "n", "data": "parity", **{b: b for b in COARSE}}
+    sketches = stage(scanned.where("n > 0").groupBy("id").agg(*[F.first(c).alias(name) for c, name in kept.items()]), "jaccard-sketches")
     levels = spark.sparkContext.broadcast(token_levels(scanned.where("part is not null").select("part", "id", F.col("data").alias("counts"))))
 
     postings = stage(docs.select("text").mapInArrow(_sign(size, percent, levels), "signature bigint, id bigint, n int, rare int"), "jaccard-postings")
@@ -413,9 +414,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
             apart = F.lit(True) if not turn else F.col("component") != F.col("low.component")
             ends = in_groups.where((F.col("id") != lead) & _close(F.col("n"), lead_n, percent) & apart).select(F.col("id").alias("x"), lead.alias("y"))
         else:
-            used = in_groups.select("id").distinct()
-            coarse = sketches.join(used, "id", "left_semi").groupBy("id").agg(*[F.first(b).alias(b) for b in COARSE])
-            members = stage(in_groups.select("signature", "id", "n", "component").join(coarse, "id"), "jaccard-members")
+            members = stage(in_groups.select("signature", "id", "n", "component").join(sketches.select("id", *COARSE), "id"), "jaccard-members")
             left = members.select("signature", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", *COARSE)])
             right = members.select("signature", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "component", *COARSE)])
             apart = reduce(add, [F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in COARSE])
@@ -438,7 +437,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
     keyed = stage(
         nodes.where("n > 0").join(joined, "id", "left").select("doc_id", "n", F.coalesce("component", "id").alias("component")), "jaccard-nodes"
     )
-    least = keyed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = stage(keyed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     linked = keyed.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     lone = nodes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(lone)
