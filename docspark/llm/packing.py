@@ -122,9 +122,12 @@ def _epoch(capacity: int, population: int, generations: int):
         solver = Solver([int(n) for n in own["length"]], capacity, seed=(block * 1009 + island) * 31 + epoch)
         start = []
         if epoch:
-            place = pd.Series(own.index, index=own["piece_uid"])
-            for _, packing in rows.groupby("origin", sort=True):
-                start.append([place[b["piece_uid"]].tolist() for _, b in packing.groupby("bin", sort=True)])
+            place = {uid: i for i, uid in enumerate(own["piece_uid"].tolist())}
+            for _, packing in rows.sort_values(["bin", "piece_uid"]).groupby("origin", sort=True):
+                held: dict[int, list[int]] = {}
+                for uid, b in zip(packing["piece_uid"].tolist(), packing["bin"].tolist()):
+                    held.setdefault(b, []).append(place[uid])
+                start.append(list(held.values()))
         bins = solver.evolve(start, population, generations)
         out, uid = [], own["piece_uid"].tolist()
         for b, held in enumerate(bins):
