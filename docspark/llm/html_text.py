@@ -21,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLOCK = frozenset(
@@ -270,9 +270,12 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for ``pages(page_id, url, html)``; one pass, no shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["page_id", "url", "text", "n_chars"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x if isinstance(x, str) else None) for x in batch["html"]]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(x) for x in texts]})
+            texts = [main_text(x.as_py()) for x in batch["html"]]
+            counts = [len(x) for x in texts]
+            yield pa.RecordBatch.from_arrays([batch["page_id"].cast(pa.int64()), batch["url"], pa.array(texts, pa.string()), pa.array(counts, pa.int64())], names=names)
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")
+    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
