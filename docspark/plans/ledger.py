@@ -287,6 +287,21 @@ FROM (SELECT DISTINCT user_id AS doc_id, unnest(['view-0', 'click-3', 'error-5']
 # --- streaming ---------------------------------------------------------------
 
 
+@query
+def artifact_upsert(spark, d):
+    """Artifacts of all documents, then new ones for every third: the others stay."""
+    storage = LE.Storage("v1", scratch_path(spark, "artifacts"))
+    docs = T.table(spark, d, "documents").select("doc_id", F.length("text").alias("chars"))
+    content = lambda chars: F.to_json(F.struct(chars.alias("chars"))).alias("content")
+    LE.write_artifacts(docs.select("doc_id", content(F.col("chars"))), storage, "blocks", buckets=16)
+    LE.write_artifacts(docs.filter(F.col("doc_id") % 3 == 0).select("doc_id", content(F.col("chars") + 1)), storage, "blocks", buckets=16)
+    return spark.read.parquet(storage.artifacts("blocks")).select("doc_id", "content")
+
+
+ORACLE["artifact_upsert"] = """
+SELECT doc_id, '{"chars":' || (length(text) + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END) || '}' AS content FROM documents"""
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Results of prose documents: any noise line sends a document to review."""
     lines = F.split("text", "\n", -1)

@@ -267,6 +267,33 @@ SELECT doc_id, block_id, CAST(n_sent AS BIGINT) AS n_sent, CAST(n_scored AS BIGI
 FROM counted WHERE n_sent <> n_scored"""
 
 
+def _table_scorer(rows):
+    """A model's stand-in: rows with cell marks are tables, the last of every batch gets an impossible confidence."""
+    out = rows[["doc_id", "block_id", "page_number"]].copy()
+    out["text_role"] = ["results_table" if "|" in t else "other" for t in rows["text"]]
+    out["hints"] = [["none"]] * len(out)
+    out["confidence"] = [7.0 if i == len(out) - 1 else 0.5 for i in range(len(out))]
+    out["rationale"] = "by the model"
+    return out
+
+
+@query
+def scored_blocks(spark, d):
+    """Blocks scored by a Python model, with what it got wrong set apart."""
+    accepted, wrong = R.profile_with_model(prose_blocks(spark, d), N.is_noise(F.col("text"), T.PROSE_NOISE), _table_scorer, size=25)
+    good = accepted.select("doc_id", "block_id", "text_role", F.lit(None).cast("string").alias("problem"))
+    return good.unionByName(wrong.select("doc_id", "block_id", F.lit(None).cast("string").alias("text_role"), "problem"))
+
+
+ORACLE["scored_blocks"] = f"""
+WITH {S.LINES}, marked AS (SELECT *, t <> '' AND {_NOISE_SQL} AS noise FROM (SELECT *, {S.strip("text")} AS t FROM lines)),
+sent AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS r, count(*) OVER (PARTITION BY doc_id) AS n FROM marked WHERE NOT noise),
+bad AS (SELECT *, r % 25 = 0 OR r = n AS wrong FROM sent)
+SELECT doc_id, block_id, '{NOISE_ROLE}' AS text_role, NULL AS problem FROM marked WHERE noise
+UNION ALL SELECT doc_id, block_id, CASE WHEN NOT wrong THEN CASE WHEN contains(text, '|') THEN 'results_table' ELSE 'other' END END,
+  CASE WHEN wrong THEN 'confidence' END FROM bad"""
+
+
 @query
 def role_legend(spark, d):
     return R.role_legend(prose_profiles(spark, d))
