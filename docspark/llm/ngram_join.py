@@ -45,6 +45,8 @@ SKETCH_CELLS, SKETCH_PARTS = 1 << 20, 64
 FILTER_BITS = 1 << 26
 #: Columns that hold the parities of 64 cells each.
 COARSE = tuple(f"b{i}" for i in range(8))
+#: Members of a signature up to which pairs are not tested by parities before they leave the join.
+SMALL_GROUP = 32
 #: Sets smaller than this use single tokens only.
 SMALLEST_CELLED = 32
 
@@ -405,26 +407,30 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
             mixed = placed.groupBy("signature").agg(
                 F.min("component").alias("c1"),
                 F.max("component").alias("c2"),
+                F.count("*").alias("held"),
                 F.min_by(F.struct("id", "n", "component"), F.struct((F.col("lead") == F.col("id")) | (F.col("component") == F.col("lead_component")), "rare", "n", "id")).alias("low"),
             )
-            in_groups = placed.join(mixed.where("c1 != c2").select("signature", "low"), "signature")
+            in_groups = placed.join(mixed.where("c1 != c2").select("signature", "low", "held"), "signature")
         if turn < star_rounds:
             lead = F.col("lead") if not turn else F.col("low.id")
             lead_n = F.col("lead_n") if not turn else F.col("low.n")
             apart = F.lit(True) if not turn else F.col("component") != F.col("low.component")
             ends = in_groups.where((F.col("id") != lead) & _close(F.col("n"), lead_n, percent) & apart).select(F.col("id").alias("x"), lead.alias("y"))
         else:
-            members = stage(in_groups.select("signature", "id", "n", "component").join(sketches.select("id", *COARSE), "id"), "jaccard-members")
-            left = members.select("signature", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", *COARSE)])
-            right = members.select("signature", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "component", *COARSE)])
-            apart = reduce(add, [F.bit_count(F.col(f"x_{b}").bitwiseXOR(F.col(f"y_{b}"))) for b in COARSE])
-            both = F.col("x_n") + F.col("y_n")
+            # members of small groups go without parities: they have few pairs, and zeros take no room
+            held = in_groups.select("signature", "id", "n", "component", "held")
+            large = held.where(F.col("held") > SMALL_GROUP).join(sketches.select("id", *COARSE), "id")
+            small = held.where(F.col("held") <= SMALL_GROUP).select("*", *[F.lit(0).cast("bigint").alias(b) for b in COARSE])
+            members = stage(large.select(*small.columns).unionByName(small).drop("held"), "jaccard-members")
+            left, right = members.alias("x"), members.alias("y")  # one shuffle serves both
+            apart = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in COARSE])
+            both = F.col("x.n") + F.col("y.n")
             most = both - 2 * F.ceil(both * percent / (100 + percent))  # tokens in one of two linked sets only
             ends = (
-                left.join(right, "signature")
-                .where((F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component")))
-                .where(_close(F.col("x_n"), F.col("y_n"), percent) & (apart <= most))
-                .select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
+                left.join(right, F.col("x.signature") == F.col("y.signature"))
+                .where((F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")))
+                .where(_close(F.col("x.n"), F.col("y.n"), percent) & (apart <= most))
+                .select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
             )
         pairs = ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if compared is not None:
