@@ -35,7 +35,7 @@ IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"\+\d{1,3}[^\p{L}\p{N}\n]{1,6}\d{3}[^\p{L}\p{N}\n]{1,6}\d{3}[ .-]?\d{4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
-CARD = r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])"
+CARD = r"(?<!\d)(?<!\d[.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d|-\d)"
 SECRET = r"(?<![\p{L}\p{N}])(?=[A-Fa-f]*\d)(?=\d*[A-Fa-f])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])"
 #: Every kind starts with a digit, a plus, a bracket or a hexadecimal letter; most places of a text are left at once.
 NUMBERS = "(?=[0-9+(A-Fa-f])(?:" + "|".join((SECRET, IP, DATE, PHONE, SSN, CARD)) + ")"

@@ -77,6 +77,8 @@ def test_leaves_the_rest_alone(spark):
         "12345 1234-5678 3.14159 1,000,000", "a@b @handle x@", "deadbeef 0123456789abcdef", "x" * 200_000 + " 7",
     ]
     assert rewritten(spark, same) == same
+    (out,) = rewritten(spark, ["room43 4532015112830366 7, also 4532-0151-1283-0366-"])
+    assert "4532" not in out and out.startswith("room43 ") and re.search(r" 7, also \d{4}-\d{4}-\d{4}-\d{4}-$", out)
     secret = '"04dbebab91ab85687d33eeaaf9ac699e1188f962"'
     (out,) = rewritten(spark, [f"token = {secret} end"])
     assert re.fullmatch(r'token = "[0-9a-f]{40}" end', out) and secret not in out
