@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A template is a set of words. A text block is a line; a line longer than
-``window`` words is cut into windows of that many words, half overlapping. A
+``window`` words is cut into windows of that many words, half overlapping. The
+words of a text of several lines are cut into such windows too, and those that
+span a line's end are blocks as well, so a hard-wrapped license is found. A
 block belongs to a template when it holds at least ``threshold`` of its words.
 
 The words of all templates are ordered by how often they stand in all documents,
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,8 +127,19 @@ def _phrase_places(index: Index, numbers: np.ndarray, rows: np.ndarray) -> list[
     return found
 
 
-def _template_blocks(index: Index, order: np.ndarray, numbers, rows, inner, line, line_len, window: int):
-    """Blocks that reach a template's threshold: row, first word of the block, its last word, template, containment."""
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per word its place in its run of equal keys, and the run's length."""
+    heads = np.flatnonzero(np.diff(keys, prepend=-1))
+    sizes = np.diff(np.append(heads, len(keys)))
+    return np.arange(len(keys)) - np.repeat(heads, sizes), np.repeat(sizes, sizes)
+
+
+def _template_blocks(index: Index, order: np.ndarray, numbers, rows, line, window: int, ends=None):
+    """Blocks that reach a template's threshold: row, first word of the block, its last word, template, containment.
+
+    Windows are cut from runs of equal ``line``; with ``ends`` only those count whose first and last word differ there.
+    """
+    inner, line_len = _runs(line)
     stride = window // 2
     known = np.flatnonzero(numbers >= 0)
     last = np.maximum(0, -(-(line_len[known] - window) // stride))  # number of the last window of the word's line
@@ -136,6 +150,10 @@ def _template_blocks(index: Index, order: np.ndarray, numbers, rows, inner, line
         ok = (k >= 0) & (k <= last)
         windows.append(np.stack([line[known][ok], k[ok], numbers[known][ok], known[ok]]))
     lines, ks, words, places = np.concatenate(windows, axis=1)
+    if ends is not None:
+        first = places - inner[places] + ks * stride
+        spans = ends[first] != ends[first + np.minimum(window, line_len[places] - ks * stride) - 1]
+        lines, ks, words, places = lines[spans], ks[spans], words[spans], places[spans]
     if not len(lines):
         return
     key = lines * (int(ks.max()) + 1) + ks
@@ -188,18 +206,14 @@ def scan(
                 bounds = np.searchsorted(rows, np.arange(len(block) + 1))
                 breaks = np.flatnonzero(block.data == 10)
                 line = np.searchsorted(breaks, s) + rows  # a text's end is a line's end
-                new = np.ones(len(s), bool)
-                new[1:] = line[1:] != line[:-1]
-                heads = np.flatnonzero(new)
-                sizes = np.diff(np.append(heads, len(s)))
-                inner = np.arange(len(s)) - np.repeat(heads, sizes)
-                line_len = np.repeat(sizes, sizes)
                 places: list[list] = [[] for _ in range(len(block))]
                 for at, label in _phrase_places(index, numbers, rows):
                     for i in at:
                         places[rows[i]].append({"label": label, "start": int(i - bounds[rows[i]])})
                 matches: list[list] = [[] for _ in range(len(block))]
-                for row, first, last, t, share in _template_blocks(index, order, numbers, rows, inner, line, line_len, window):
+                within = _template_blocks(index, order, numbers, rows, line, window)
+                across = _template_blocks(index, order, numbers, rows, rows, window, ends=line)
+                for row, first, last, t, share in chain(within, across):
                     start = int(bounds[row])
                     matches[row].append({"label": index.labels[t], "first": int(first) - start, "last": int(last) - start, "containment": float(share)})
                 where = pa.struct([("label", pa.string()), ("start", pa.int64())])

@@ -49,3 +49,21 @@ def test_odd_tables(spark):
     assert got[0]["matches"][0]["first"] == 0 and got[0]["matches"][0]["last"] == 5
     assert [r["n_words"] for r in got] == [6, 2, 2]
     assert L.scan(df.limit(0)).count() == 0
+
+
+def test_wrapped_templates_are_found(spark):
+    wrapped = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software",
+        "bsd": "Redistribution and use in source and binary forms, with or without\r\n * modification, are permitted",
+        "apache-2.0": "Licensed\nunder\nthe\nApache\nLicense,\nVersion\n2.0",
+    }
+    rows = list(enumerate(wrapped.values()))
+    rows += [(10 + i, "x y\n" * n + t + "\nz" * n) for n in (13, 30, 47) for i, t in enumerate(wrapped.values(), n)]
+    rows += [(900, "Permission is hereby granted, free of charge, to any"), (901, "person obtaining a copy of this software")]  # two texts
+    got = {r["doc_id"]: r for r in L.digest(L.scan(docs(spark, rows))).collect()}
+    for i, label in enumerate(wrapped):
+        assert got[i]["labels"] == label and got[i]["score"] == 1.0
+        assert all(got[10 + n + i]["labels"] == label for n in (13, 30, 47))
+    assert got[900]["labels"] == got[901]["labels"] == ""
+    (r,) = L.scan(docs(spark, [(1, "a b\n\n" + wrapped["mit"])])).collect()
+    assert [(m["label"], m["first"], m["last"]) for m in r["matches"]] == [("mit", 0, 17)]
