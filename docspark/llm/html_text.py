@@ -3,8 +3,11 @@
 Text nodes are the blocks of a page. Their root-to-leaf tag paths are collected
 per page; a path's text length and punctuation per node are smoothed along the
 page, fused, and compared with a threshold. Paths above it carry content. The
-article is the element that holds most of the content's text; of what stands
-there, nodes that are mostly links are dropped unless their path carries content.
+article's core is the element that holds most of the content's text, where text in
+<article> or <main> counts double. Its bounds are the smallest element that covers
+the core and every <article> or <main> with content. Within them, nodes whose path
+carries content are kept, and in the core and the articles also the other nodes
+that are not mostly links.
 
 Elements that are never article text (menus, page headers, footers, asides,
 forms, scripts and so on, by tag, role or class) are left out before.
@@ -242,24 +245,25 @@ def select_nodes(nodes: list[_Node], share: float = 0.4, most: float = 0.75) ->
     elements: dict[int, _Element] = {}
     for x in carrying:
         for e in _chain(x.element):
-            held[id(e)] = held.get(id(e), 0) + len(x.text)
+            held[id(e)] = held.get(id(e), 0) + len(x.text) * (2 if x.element.article else 1)
             elements[id(e)] = e
-    total = sum(len(x.text) for x in carrying)
-    articles = [k for k, e in elements.items() if e.tag == "article"] or [k for k, e in elements.items() if e.tag == "main"]
-    if articles:
-        container = max(articles, key=lambda k: held[k])
-    else:
-        depth = {k: sum(1 for _ in _chain(e)) for k, e in elements.items()}
-        wide = [k for k, e in elements.items() if held[k] >= most * total and e.tag != "p"]
-        container = max(wide, key=lambda k: depth[k])
-    inside = lambda x: any(id(e) == container for e in _chain(x.element))
-    if articles:
-        chosen = [x for x in nodes if inside(x)]
-        if not any(x.element.tag == "h1" for x in chosen):
-            first = nodes.index(chosen[0])
-            chosen = [x for x in nodes[:first] if x.element.tag == "h1" and x.element.article] + chosen
-        return chosen
-    return [x for x in nodes if inside(x) and (x.path in content or 2 * x.linked <= len(x.text))]
+    total = sum(len(x.text) * (2 if x.element.article else 1) for x in carrying)
+    depth = {k: sum(1 for _ in _chain(e)) for k, e in elements.items()}
+    core = max((k for k, e in elements.items() if held[k] >= most * total and e.tag != "p"), key=lambda k: depth[k])
+    around = list(_chain(elements[core]))
+    for e in elements.values():
+        if e.tag in ("article", "main") and not e.parent.article:
+            up = {id(u) for u in _chain(e)}
+            around = [u for u in around if id(u) in up]
+    bounds = {id(around[0])}
+    whole = {k for k, e in elements.items() if e.tag == "article"} or {k for k, e in elements.items() if e.tag == "main"}
+    whole.add(core)
+    inside = lambda x, ids: any(id(e) in ids for e in _chain(x.element))
+    keep = [inside(x, bounds) and (x.path in content or (2 * x.linked <= len(x.text) and inside(x, whole))) for x in nodes]
+    if True in keep and not any(k and x.element.tag == "h1" for k, x in zip(keep, nodes)):
+        first = keep.index(True)
+        keep[:first] = [x.element.tag == "h1" and x.element.article for x in nodes[:first]]
+    return [x for k, x in zip(keep, nodes) if k]
 
 
 def main_text(page: str | None) -> str:

@@ -49,3 +49,21 @@ def test_odd_rows(spark):
     got = H.extract(df.withColumn("text", df["url"])).collect()
     assert sorted(r["n_chars"] for r in got) == [0, 0, 4, 5, 99_999]
     assert H.extract(df.limit(0)).count() == 0
+
+
+LINKS = "<ul><li><a href=/1>Another story, of today</a></li><li><a href=/2>And one more</a></li></ul>"
+CARD = "<article><h3><a href=/c>Teaser</a></h3><p>A card, of words: with marks, so, it passes.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<main><article>{ARTICLE}{ARTICLE}{ARTICLE}{ARTICLE}</article><article><h2>Part</h2>{ARTICLE}</article></main>", " ".join([TEXT] * 4 + ["Part", TEXT])),
+        (f"<body><article>{ARTICLE}</article><article>{ARTICLE}</article><div><a href=/i>Imprint</a></div></body>", f"{TEXT} {TEXT}"),
+        (f"<main><p>A lead that sums it up, in full.</p><article>{ARTICLE}{ARTICLE}</article></main>", f"A lead that sums it up, in full. {TEXT} {TEXT}"),
+        (f"<main><h1>T</h1><div>{ARTICLE}{ARTICLE}</div>{CARD}</main>", f"T {TEXT} {TEXT} A card, of words: with marks, so, it passes."),
+        (f"<article>{ARTICLE}{LINKS}</article>", TEXT),
+    ],
+)
+def test_paths_choose_on_pages_with_articles(page, text):
+    assert H.main_text(page) == text
