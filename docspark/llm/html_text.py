@@ -10,7 +10,9 @@ carries content are kept, and in the core and the articles also the other nodes
 that are not mostly links.
 
 Elements that are never article text (menus, page headers, footers, asides,
-forms, scripts and so on, by tag, role or class) are left out before.
+forms, scripts and so on, by tag or role) are left out before. Class names and
+ids that sound like such an element are a hint: the element is left out unless it
+holds most of the page's unlinked text or an <article> or <main>, as `_settle` says.
 
 A null page is empty; a page without text gives the empty string. Unclosed and
 stray tags are repaired as browsers do. Repeated rows give repeated results; an
@@ -57,6 +59,10 @@ FURNITURE = frozenset(
 )
 KEEPING = frozenset("with has no without".split())
 CONTENT = frozenset("content article main post entry story text body".split())
+#: Of FURNITURE those whose elements are often longer than the article.
+TALK = frozenset("comment comments discussion disqus replies reply respond".split())
+#: How strongly class names and id hint: by a compound name, by a name of its own, by one of TALK.
+COMPOUND, NAMED, TALKING = 1, 2, 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -69,17 +75,18 @@ MARKS = re.compile(r"[.,;:!?…。、，；：！？]")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def _is_furniture(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is no part of an article, by its tag or attributes."""
+def _furniture(tag: str, rest: str, in_article: bool) -> tuple[bool, int]:
+    """Whether an element is surely no part of an article, and how strongly its names hint that it is none."""
     if tag in NEVER or (tag == "header" and not in_article):
-        return True
+        return True, 0
     if not rest.strip() or tag in ("html", "body", "main"):
-        return False
+        return False, 0
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
+        return True, 0
     if found.get("role", "").lower() in ROLES:
-        return True
+        return True, 0
+    hint = 0
     for name in f"{found.get('class', '')} {found.get('id', '')}".split():
         words = [w for w in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", name) if w]
         words = [w.lower() for w in words]
@@ -87,12 +94,41 @@ def _is_furniture(tag: str, rest: str, in_article: bool) -> bool:
             continue
         if words[-1] in FURNITURE or (words[0] in FURNITURE and words[-1] not in CONTENT):
             if tag not in HEADINGS and not (words[-1] == "header" and in_article):
-                return True
-    return False
+                hint = max(hint, COMPOUND if len(words) > 1 else TALKING if words[0] in TALK else NAMED)
+    return False, hint
+
+
+class _Hint:
+    """An element whose names hint at page furniture, and what stands in it."""
+
+    __slots__ = ("parent", "strength", "within", "unlinked", "article", "main", "dropped")
+
+    def __init__(self, parent: _Hint | None, strength: int, within: bool):
+        self.parent, self.strength, self.within, self.unlinked = parent, strength, within, 0
+        self.article = self.main = self.dropped = False
+
+
+def _settle(hints: list[_Hint], total: int, outside: bool) -> None:
+    """Drop hinted elements, which are listed outer ones first, but not
+
+    - one with <main>;
+    - one that is or holds an <article>, if only a compound name hints or no other article stands ``outside`` of all hints;
+    - one with most of the page's unlinked text, except where an article stands ``outside``: comments, and what a name of
+      its own marks beside it.
+    """
+    for h in reversed(hints):
+        if h.parent:
+            h.parent.unlinked += h.unlinked
+            h.parent.article |= h.article
+            h.parent.main |= h.main
+    for h in hints:
+        held = h.main or (h.article and (h.strength == COMPOUND or not outside))
+        most = 2 * h.unlinked > total and not (outside and (h.strength == TALKING or (h.strength == NAMED and not h.within)))
+        h.dropped = bool(h.parent and h.parent.dropped) or not (held or most)
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "link", "article")
+    __slots__ = ("tag", "path", "parent", "dropped", "hint", "link", "article")
 
     def __init__(self, tag: str, parent: _Element | None, dropped: bool):
         self.tag, self.parent = tag, parent
@@ -100,6 +136,7 @@ class _Element:
         up = parent.path if parent else ""
         self.path = f"{up}/{tag}" if block else up
         self.dropped = dropped or bool(parent and parent.dropped)
+        self.hint: _Hint | None = parent.hint if parent else None
         self.link = tag == "a" or bool(parent and parent.link)
         self.article = tag in ("article", "main") or bool(parent and parent.article)
 
@@ -119,10 +156,11 @@ class _Node:
 
 def text_nodes(page: str) -> list[_Node]:
     """The blocks of a page outside page furniture, in order, white space folded, references decoded."""
-    nodes: list[_Node] = []
+    found: list[tuple[list[tuple[str, _Element]], _Element]] = []
+    hints: list[_Hint] = []
+    total, outside = 0, False
     stack = [_Element("", None, False)]
-    buffer: list[str] = []
-    linked = 0
+    buffer: list[tuple[str, _Element]] = []
 
     def owner() -> _Element:
         e = stack[-1]
@@ -131,13 +169,9 @@ def text_nodes(page: str) -> list[_Node]:
         return e
 
     def flush() -> None:
-        nonlocal linked
         if buffer:
-            text = " ".join("".join(buffer).split())
-            if text:
-                nodes.append(_Node(text, owner(), linked))
+            found.append((buffer.copy(), owner()))
             buffer.clear()
-        linked = 0
 
     def close(names: set[str] | frozenset[str], stop: set[str] | frozenset[str], inline_only: bool = False) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -163,21 +197,27 @@ def text_nodes(page: str) -> list[_Node]:
                 continue
             if not stack[-1].dropped:
                 piece = html.unescape(piece) if "&" in piece else piece
-                buffer.append(piece)
-                if stack[-1].link:
-                    linked += len(piece.strip())
+                e = stack[-1]
+                buffer.append((piece, e))
+                if not e.link:
+                    size = len(piece.strip())
+                    total += size
+                    if e.hint:
+                        e.hint.unlinked += size
+                    elif e.article and size:
+                        outside = True
             continue
         tag = tag.lower()
         if m["end"]:
             if tag == "br":
-                buffer.append(" ")
+                buffer.append((" ", stack[-1]))
             elif tag in BLOCK:
                 close({tag}, frozenset())
             else:
                 close({tag}, frozenset(), inline_only=True)
             continue
         if tag == "br":
-            buffer.append(" ")
+            buffer.append((" ", stack[-1]))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
@@ -200,8 +240,23 @@ def text_nodes(page: str) -> list[_Node]:
                         break
         if tag not in VOID and not (m["rest"].endswith("/") and tag not in BLOCK):
             up = stack[-1]
-            stack.append(_Element(tag, up, _is_furniture(tag, m["rest"], up.article)))
+            dropped, hint = _furniture(tag, m["rest"], up.article)
+            e = _Element(tag, up, dropped)
+            if hint and not e.dropped:
+                e.hint = _Hint(up.hint, hint, up.article)
+                hints.append(e.hint)
+            if e.hint and not e.dropped and hint <= COMPOUND:
+                e.hint.article |= tag == "article"
+                e.hint.main |= tag == "main"
+            stack.append(e)
     flush()
+    _settle(hints, total, outside)
+    nodes: list[_Node] = []
+    for pieces, element in found:
+        kept = [(piece, e) for piece, e in pieces if not (e.hint and e.hint.dropped)]
+        text = " ".join("".join(piece for piece, _ in kept).split())
+        if text:
+            nodes.append(_Node(text, element, sum(len(piece.strip()) for piece, e in kept if e.link)))
     return nodes
 
 

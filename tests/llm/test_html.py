@@ -67,3 +67,22 @@ CARD = "<article><h3><a href=/c>Teaser</a></h3><p>A card, of words: with marks,
 )
 def test_paths_choose_on_pages_with_articles(page, text):
     assert H.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout sidebar-right'><div>{ARTICLE}</div></div>",
+        f"<div id='page' class='header-fixed'><article>{ARTICLE}</article></div>",
+        f"<article class='post category-social'>{ARTICLE}</article>",
+        f"<main><article class='post tag-newsletter comment-status-open'>{ARTICLE}</article></main>",
+        f"<div class='login-required'><p>{'Third, of many. ' * 9}</p></div><div class=ad>Buy, now!</div>",
+        f"<div class=widget>{ARTICLE}</div>",
+        f"<article>{ARTICLE}</article><div id=comments class=comments-area><article class=comment-body><p>{'I think, it is good, really. ' * 20}</p></article></div>",
+        f"<article>{ARTICLE}</article><div class=comments><p>{'I think, it is good, really. ' * 20}</p></div>",
+        f"<article>{ARTICLE}<p><span class='ad'>Buy, now!</span></p></article>",
+    ],
+)
+def test_names_are_only_hints(page):
+    want = " ".join(["Third, of many."] * 9) if "Third" in page else TEXT
+    assert H.main_text(page) == want
