@@ -14,8 +14,10 @@ tiles, so that no task holds more than two blocks of it and no pair is left out.
 
 The margin is given in deviations of the projected difference of two vectors at
 the threshold. With half of one, a split parts a pair exactly at 0.9 in about 3 %
-of cases and one at 0.95 in 1 %; all four trees part the first in about one case
-of six hundred at eight levels, and the second in one of forty thousand.
+of cases and one at 0.95 in 1 %. The number of trees follows from the number of
+different vectors, through the levels they need, so that at every size all trees
+part a pair at the threshold in at most one case of six hundred (``MISS``); there
+are four at least.
 
 Equal vectors are one node of the search. Vectors that are null, zero, or hold
 null or non-finite components link with nothing. Vectors of different lengths
@@ -26,6 +28,7 @@ empty result; labels and other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +48,13 @@ LEVELS = 5
 #: Directions tried for a split.
 TRIES = 4
 
+#: Part of the pairs at the threshold that all trees may part.
+MISS = 1 / 600
+#: Part of a node's vectors that go to one side, spill included.
+CHILD = 0.59
+#: Trees at least.
+TREES = 4
+
 ROWS = "tree int, node bigint, dense boolean, uid bigint, v binary"
 
 LEAF, DENSE = 255, 254
@@ -207,13 +217,40 @@ def leaves(points: DataFrame, kind: str, trees: int, margin: float, leaf: int) -
         now = routed.mapInArrow(_route(kind, margin), ROWS)
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 4, spill: float = 0.5, leaf: int = 1024, column: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """Rows ``uid, vec_id, rep, copies`` and links ``a, b`` between the representatives of different vectors."""
+def parted(threshold: float, spill: float) -> float:
+    """How often a split at the median parts a pair exactly at the threshold.
+
+    The projections of unit vectors deviate by 1, in units of one over the root of
+    their length, and the difference of the pair by d. The pair is parted where
+    the cut falls between its ends with a margin of ``spill`` * d on both sides.
+    """
+    d, z = math.sqrt(2 - 2 * threshold), 2 * spill
+    beyond = 2 * (math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * math.erfc(z / math.sqrt(2)) / 2)
+    return min(1.0, d * beyond / math.sqrt(2 * math.pi))
+
+
+def levels_for(n: int, leaf: int) -> int:
+    """Levels of splits until ``n`` vectors are in leaves."""
+    return max(0, math.ceil(math.log(max(n, 1) / leaf) / -math.log(CHILD)))
+
+
+def trees_for(n: int, leaf: int, threshold: float = 0.9, spill: float = 0.5) -> int:
+    """Trees that keep the part of missed pairs at the threshold below ``MISS`` among ``n`` vectors."""
+    missed = 1 - (1 - parted(threshold, spill)) ** levels_for(n, leaf)
+    return max(TREES, math.ceil(math.log(MISS) / math.log(missed))) if missed > 0 else TREES
+
+
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int | None = None, spill: float = 0.5, leaf: int = 1024, column: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """Rows ``uid, vec_id, rep, copies`` and links ``a, b`` between the representatives of different vectors.
+
+    Without ``trees`` their number follows from the number of different vectors.
+    """
     single = vectors.schema[column].dataType.elementType == T.FloatType()
     kind = "<f4" if single else "<f8"
     rows = stage(_clean(vectors, column, kind), "forest-clean")
     same = rows.where("v is not null").groupBy("v").agg(F.min("uid").alias("rep"), F.count("*").alias("copies"))
     reps = stage(same, "forest-reps")
+    trees = trees or trees_for(reps.count(), leaf, threshold, spill)
     margin = spill * float(np.sqrt(2 - 2 * threshold))
     found = leaves(reps.select(F.col("rep").alias("uid"), "v"), kind, trees, margin, leaf)
     blocks = F.ceil(F.col("rows") / leaf).cast("int")

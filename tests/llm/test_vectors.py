@@ -71,3 +71,12 @@ def test_odd_rows(spark):
     assert all(r["component_id"] == r["vec_id"] and r["kept"] for r in got if not r["n_links"])
     assert len(got) == 12
     assert V.digest(*V.near_vectors(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_more_vectors_get_more_trees():
+    part = V.parted(0.9, 0.5)
+    assert 0.028 < part < 0.031
+    for n in (10, 1024, 20_000, 100_000, 4_000_000, 20_000_000, 10**9):
+        trees = V.trees_for(n, 1024)
+        assert trees >= 4 and (1 - (1 - part) ** V.levels_for(n, 1024)) ** trees <= 1 / 600
+    assert V.trees_for(1000, 1024) == 4 < V.trees_for(4_000_000, 1024) < V.trees_for(10**9, 1024)
