@@ -32,9 +32,23 @@ ROUNDS = 8
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
-DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)"
-SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"\+\d{1,3}[^\p{L}\p{N}\n]{1,6}\d{3}[^\p{L}\p{N}\n]{1,6}\d{3}[ .-]?\d{4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+DATE = r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)"
+SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?<!\d)(?<!\d[ .-])\d{3} \d{2} \d{4}(?!\d|[.-]\d)"
+#: Country codes; no code begins another.
+CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: What may stand between two digits of a telephone number.
+GAP = r"[ .()/ ‐-―-]{0,3}"
+#: With a plus: groups of 3, 3 and 4 digits in any separators, eleven digits after +1, else 7 to 15 digits; national ones.
+PHONE = "|".join(
+    (
+        r"\+\d{1,3}[^\p{L}\p{N}\n]{1,6}\d{3}[^\p{L}\p{N}\n]{1,6}\d{3}[ .-]?\d{4}(?!\d)",
+        rf"\+1(?:{GAP}\d){{10}}(?!\d)",
+        rf"\+\d(?:{GAP}\d){{6,14}}(?!\d|[./-]\d)",
+        rf"\+\d(?:{GAP}\d){{6,14}}(?!\d)",
+        r"(?<![\d(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)",
+        r"(?<!\d)(?<!\d[.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d|[.-]\d)",
+    )
+)
 CARD = r"(?<!\d)(?<!\d[.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d|-\d)"
 SECRET = r"(?<![\p{L}\p{N}])(?=[A-Fa-f]*\d)(?=\d*[A-Fa-f])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])"
 #: Every kind starts with a digit, a plus, a bracket or a hexadecimal letter; most places of a text are left at once.
@@ -110,8 +124,10 @@ def _card(key: str, m: Column) -> Column:
 
 
 def _phone(key: str, m: Column) -> Column:
-    code = F.regexp_extract(m, r"^\+(\d{1,3})", 1)
-    own = F.substr(_digits(m), F.length(code) + 1)
+    """The digits after the country code, which is the same in all ways to write a number."""
+    digits = _digits(m)
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, f"^{CODE}", 0)).when(F.length(digits) == 11, F.lit("1")).otherwise("")
+    own = F.substr(digits, F.length(code) + 1)
     return refill(m, F.concat(code, permute_digits(key, "phone", own)))
 
 
@@ -128,6 +144,7 @@ def _ip(key: str, m: Column) -> Column:
 def _date(key: str, m: Column) -> Column:
     """Days first where the first number is above 12, else months first; with dots, days first."""
     iso, dotted = m.contains("-"), m.contains(".")
+    short = m.rlike(r"(?<!\d)\d(?!\d)")  # 3/7/2021: no zeros are filled in
     a, b, c = (F.regexp_extract(m, r"^(\d+)\D(\d+)\D(\d+)$", i).cast("int") for i in (1, 2, 3))
     parts = F.struct(
         F.when(iso, a).otherwise(c).alias("y"),
@@ -145,12 +162,15 @@ def _date(key: str, m: Column) -> Column:
         pair = feistel(key, F.lit("date"), F.floor(day / 773), day % 773, F.lit(189), F.lit(773))
         new = _bind(pair, lambda v: F.date_add(start, (v["l"] * 773 + v["r"]).cast("int")))
         # months first with a day up to 12 reads the same either way, so the result may be read either way too
-        shown = lambda d: (
-            F.when(iso, F.date_format(d, "yyyy-MM-dd"))
-            .when(dotted, F.date_format(d, "dd.MM.yyyy"))
-            .when(p["days_first"], F.date_format(d, "dd/MM/yyyy"))
-            .otherwise(F.date_format(d, "MM/dd/yyyy"))
-        )
+        def shown(d: Column) -> Column:
+            form = lambda long: F.when(short, F.date_format(d, long.replace("MM", "M").replace("dd", "d"))).otherwise(F.date_format(d, long))
+            return (
+                F.when(iso, form("yyyy-MM-dd"))
+                .when(dotted, form("dd.MM.yyyy"))
+                .when(p["days_first"], form("dd/MM/yyyy"))
+                .otherwise(form("MM/dd/yyyy"))
+            )
+
         return F.when(valid, _bind(new, shown)).otherwise(m)
 
     return _bind(parts, moved)

@@ -90,3 +90,25 @@ def test_plan_is_native_and_empty_table(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", out._jdf.queryExecution().executedPlan().toString())
     assert len({r["text"] for r in out.collect()}) == 1 and out.columns == df.columns
     assert P.pseudonymise(df.limit(0), "k").count() == 0
+
+
+def test_other_ways_to_write_numbers(spark):
+    phones = [
+        "+14155550123", "+1 415 555 0123", "+1.415.555.0123", "+1-415-555-0123", "+1 (415) 555-0123", "1-415-555-0123", "415.555.0123", "415 555 0123", "415-555-0123",
+        "(415) 555-0123", "(415)555.0123", "+44 20 7946 0958", "+442079460958", "+33 1 23 45 67 89", "+33123456789", "+49 30 123456", "+49 (0)30/123456", "+4930123456",
+    ]
+    texts = [f"call {p}, or mail" for p in [*phones, "123 45 6789", "123-45-6789"]]
+    out = rewritten(spark, texts)
+    digits = lambda s: re.sub(r"\D", "", s)
+    for a, b in zip(texts, out):
+        assert re.sub(r"\d", "9", a) == re.sub(r"\d", "9", b) and a != b, (a, b)
+    assert len({digits(t)[-10:] for t in out[:11]}) == 1
+    assert digits(out[11]) == digits(out[12]) != digits(out[13]) == digits(out[14])
+    assert digits(out[15]) == digits(out[17]) and digits(out[18]) == digits(out[19])
+    dates = ["3/7/2021", "03/07/2021", "2021-3-7", "2021-03-07", "7.3.2021"]
+    got = rewritten(spark, [f"on {d}." for d in dates])
+    days = [tuple(map(int, re.findall(r"\d+", t))) for t in got]
+    assert days[0] == days[1] and days[2] == days[3] and days[0] == (*days[2][1:], days[2][0]) == (days[4][1], days[4][0], days[4][2])
+    assert days[2] != (2021, 3, 7) and not re.search(r"\b0\d", got[0] + got[2] + got[4])
+    (kept,) = rewritten(spark, ["+33 1 23 45 67 89 2021-13-07 13/45/2025, 3/32/2021 +12345 1 + 2"])
+    assert kept.endswith(" 2021-13-07 13/45/2025, 3/32/2021 +12345 1 + 2")
