@@ -31,7 +31,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, special=True)
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

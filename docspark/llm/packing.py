@@ -187,14 +187,16 @@ def pack_documents(
     end_id: int = 2,
     well_filled: float = 0.99,
     with_ids: bool = False,
+    special: bool = False,
     **search: int,
 ) -> DataFrame:
     """All documents in sequences of at most ``capacity`` tokens: a row per piece with its sequence and its place there.
 
     ``well_filled`` is the fill from which a bin is final after the first
-    round; the documents of the others are packed again across blocks.
+    round; the documents of the others are packed again across blocks. With
+    ``special`` the strings of special tokens have the ids of these.
     """
-    cut = stage(tokens.pieces(docs, tokenizer, capacity, end_id, with_ids), "packing-pieces")
+    cut = stage(tokens.pieces(docs, tokenizer, capacity, end_id, with_ids, special), "packing-pieces")
     whole = cut.where(F.col("length") == capacity).select("piece_uid", (-F.col("piece_uid") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     first = stage(pack_rows(cut.where(F.col("length") < capacity), capacity, **search), "packing-first")
     fill = first.groupBy("block", "bin").agg(F.sum("length").alias("used"))

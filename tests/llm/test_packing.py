@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docspark.llm import packing, tokens
+import corpus_pipeline
+from docspark.llm import catalog, packing, tokens
 from tests.llm.helpers import docs
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,3 +72,20 @@ def test_solver_never_breaks_a_packing():
 
 def test_empty_table(spark):
     assert packing.pack_documents(docs(spark, []), PATH).count() == 0
+
+
+def test_registered_ids_are_the_tokenizers_at_its_defaults(spark, tmp_path):
+    model = Tokenizer.from_file(PATH)
+    texts = [t or "" for t in ODD] + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>\n", "x" * 3000 + "<|endoftext|>", "<|endoftext| >"]
+    assert model.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    table = docs(spark, list(enumerate(texts)))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (catalog.op2_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, table, str(tmp_path))):
+        rows = sorted(got.select("doc_id", "start", "length", "ids_crc32").collect())
+        for i, text in enumerate(texts):
+            ids = model.encode(text, add_special_tokens=False).ids + [2]
+            own = [r for r in rows if r["doc_id"] == i]
+            assert sum(r["length"] for r in own) == len(ids), text[:40]
+            for r in own:
+                part = ids[r["start"] : r["start"] + r["length"]]
+                assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes()), text[:40]
