@@ -376,8 +376,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
 
     Documents link when their sets of ``size``-word shingles have a Jaccard
     similarity of at least ``percent`` / 100. ``component_id`` is the smallest
-    ``doc_id`` that links lead to.
+    ``doc_id`` that links lead to. Below 50 signatures would not reach all
+    partners, so that is refused.
     """
+    if percent < 50:
+        raise ValueError(f"percent must be at least 50, not {percent}")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     scanned = stage(docs.mapInArrow(_scan(size), "doc_id bigint, n bigint, id bigint, part int, data binary, " + ", ".join(f"{b} bigint" for b in COARSE)), "jaccard-scan")

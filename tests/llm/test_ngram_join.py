@@ -90,3 +90,8 @@ def test_block_hashes_do_not_depend_on_the_place():
     h = bytewords.span_hashes(block.data, s, e)
     assert list(h[:3]) == list(h[53:56]) and len(set(h[:3])) == 3
     assert rows.tolist() == [0] * 3 + [3] * 53 + [4] * 2
+
+
+def test_low_percentages_are_refused():
+    with pytest.raises(ValueError, match="at least 50"):
+        J.jaccard_components(None, percent=49)
