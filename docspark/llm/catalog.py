@@ -8,7 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import decontam, html_text, language, licenses, ngram_join, oracles, packing, pseudonyms, quality, sharding, vector_forest
+from docspark.llm import (
+    decontam,
+    html_text,
+    language,
+    licenses,
+    ngram_join,
+    oracles,
+    packing,
+    prefix_trie,
+    pseudonyms,
+    quality,
+    ranked_search,
+    sharding,
+    toxicity,
+    vector_forest,
+)
+from docspark.sources.scratch import stage
 
 #: The secret of the pseudonyms; a real run brings its own.
 KEY = "an example key, not a secret"
@@ -76,6 +92,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+def op11_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, voted by its nearest labelled examples that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language.held_out())
+    labels = _table(spark, sf_dir, "labels").where(~language.held_out()).select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels), keep=("doc_id", "held_out"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"), "evidence")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the conversations, after starts are shared."""
+    turns = prefix_trie.number_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(prefix_trie.share_starts(stage(turns, "trie-turns")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -87,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_license_scan": op10_license_scan,
+    "op11_toxicity_neighbours": op11_toxicity_neighbours,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -94,4 +132,6 @@ ORACLE: dict[str, str] = {
     "op7_benchmark_decontamination": oracles.DECONTAMINATION,
     "op9_ngram_jaccard_join": oracles.jaccard(4, 85),
     "op10_license_scan": oracles.license_scan(),
+    "op12_ranked_search": oracles.RANKED_SEARCH,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }

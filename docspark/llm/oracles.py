@@ -71,3 +71,36 @@ z AS (SELECT x.doc_id, x.item_id, x.shift, x.c, x.first FROM o x JOIN o y ON x.d
   WHERE x.c >= x.need AND y.p - x.p < x.win AND least(x.n, x.shift + x.m) - greatest(0, x.shift) >= x.win),
 best AS (SELECT DISTINCT ON (doc_id, item_id) * FROM z ORDER BY doc_id, item_id, c DESC, shift)
 SELECT doc_id, item_id, CAST(first AS BIGINT) AS doc_start, CAST(first - shift AS BIGINT) AS item_start, CAST(c AS BIGINT) AS n_matched FROM best"""
+
+
+#: Every document against every item.
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+n AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM n),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+s AS (SELECT q.item_id, n.doc_id, n.r, sum(CAST(floor(1000 * ln((2.0::DOUBLE * big_n + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT)
+    * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 90 + (90 * n.n * big_n) // big_l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN df USING (t) JOIN n USING (r), total GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
+#: Prefixes as lists of turns; every node against every node below it.
+PREFIX_TRIE = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n::BIGINT], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+c AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, turns, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda s, b: xor(s >> 8, crc.t[(xor(s, b) & 255) + 1]))) % 4 AS h FROM c, crc),
+p AS (SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) AS path FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, len(path) AS n, unnest(range(len(path) + 1)) AS depth, path FROM p),
+nodes AS (SELECT depth, path[1:depth] AS node, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth) AS ends
+  FROM m GROUP BY depth, node),
+up AS (SELECT n.*, q.conv_id AS parent_conv_id, coalesce(len(regexp_extract_all(n.node[n.depth].text, '[^\x20\x09-\x0D]+')), 0) AS words
+  FROM nodes n LEFT JOIN nodes q ON q.depth = n.depth - 1 AND q.node = n.node[1:n.depth - 1]),
+kids AS (SELECT conv_id, depth, (SELECT count(*) FROM nodes k WHERE k.depth = u.depth + 1 AND k.node[1:u.depth] = u.node) AS n_children FROM up u),
+below AS (SELECT d.conv_id, d.depth, d.words, d.n_convs, k.n_children, unnest(list_transform(range(d.depth + 1), lambda i: {'n': i, 'node': d.node[1:i]})) AS a FROM up d JOIN kids k USING (conv_id, depth)),
+sums AS (SELECT a.n AS depth, a.node AS node, sum((n_convs - 1) * words)::BIGINT AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM below GROUP BY ALL)
+SELECT u.conv_id, u.depth, u.parent_conv_id, u.n_convs, k.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(u.ends, '')) AS ends_sha256
+FROM up u JOIN kids k USING (conv_id, depth) JOIN sums s ON s.depth = u.depth AND s.node = u.node"""
