@@ -233,6 +233,24 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _within(vocabulary):
+    """Examples with the places of the terms that are in the vocabulary instead of all hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary.value
+        for batch in batches:
+            hashes = batch["terms"].flatten().to_numpy().view(np.uint64)
+            place = np.searchsorted(words, hashes)
+            held = words[np.minimum(place, len(words) - 1)] == hashes if len(words) else np.zeros(len(hashes), bool)
+            sizes = batch["terms"].value_lengths().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), sizes)[held]
+            bounds = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+            found = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (place[held], batch["tf"].flatten().to_numpy()[held])]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], *found], names=["doc_id", "label", "terms", "tf"])
+
+    return run
+
+
 def _holders(vocabulary):
     """Per task: how many documents hold each term; in the row of place -1 all documents."""
 
@@ -282,25 +300,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
 
     def train(found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values(["doc_id", "label"], ignore_index=True)
-        places, tfs = [], []
-        for terms, tf in zip(found["terms"], found["tf"]):
-            hashes = np.asarray(terms, np.int64).view(np.uint64)
-            at = np.searchsorted(vocabulary, hashes)
-            held = vocabulary[np.minimum(at, len(vocabulary) - 1)] == hashes if len(vocabulary) else np.zeros(len(hashes), bool)
-            places.append(at[held])
-            tfs.append(np.asarray(tf)[held])
+        places = [np.asarray(terms, np.int64) for terms in found["terms"]]
+        tfs = [np.asarray(tf, np.int64) for tf in found["tf"]]
         index = build(vocabulary, idf, found["doc_id"].to_numpy(), found["label"].to_numpy(), places, tfs, weight)
         return pd.DataFrame({"index": [pickle.dumps(index)]})
 
-    # an example comes without the terms that are not in the vocabulary, so the bounded sample is small
-    kept = spark.createDataFrame([(int(t),) for t in vocabulary.view(np.int64)], "term bigint")
-    pairs = sample.select("doc_id", "label", F.monotonically_increasing_id().alias("row"), F.explode_outer(F.arrays_zip("terms", "tf")).alias("z"))
-    short = (
-        pairs.join(F.broadcast(kept), F.col("z.terms") == F.col("term"), "left")
-        .groupBy("row", "doc_id", "label")
-        .agg(F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.col("z")))).alias("z"))
-        .select("doc_id", "label", F.col("z.terms").alias("terms"), F.col("z.tf").alias("tf"))
-    )
+    short = sample.mapInArrow(_within(words), sample.schema)
     fitted = short.groupBy().applyInPandas(train, "index binary").collect()
     if fitted:
         return pickle.loads(fitted[0]["index"])
