@@ -273,6 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
     docs = docs.select("doc_id", "text")
     rated = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label"))
     in_class = {r["label"]: r["n"] for r in rated.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    weight = {y: in_class.get(y, 0) / max(1, min(per_class, in_class.get(y, 0))) for y in (0, 1)}
     some = [rated.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = some[0].unionByName(some[1])  # of bounded size
     sample = stage(
@@ -285,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
     rate = min(max(size["toxic"] / max(size["n"], 1), 1e-6), 1 - 1e-6)
     holders = sample.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("toxic"))
     above = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)))
-    telling = holders.where((F.col("n") >= HOLDERS) & (above >= SURE) & (F.col("toxic") >= SHARE * F.col("n")))
+    toxic, clean = F.col("toxic") * weight[1], (F.col("n") - F.col("toxic")) * weight[0]  # among all labelled documents
+    telling = holders.where((F.col("n") >= HOLDERS) & (above >= SURE) & (toxic >= SHARE * (toxic + clean)))
     rows = telling.orderBy(above.desc(), "term").limit(max_terms).select("term").collect()
     vocabulary = np.sort(np.array([r["term"] for r in rows], np.int64).view(np.uint64))
     words = spark.sparkContext.broadcast(vocabulary)
@@ -296,7 +298,6 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_term
         else:
             df[r["place"]] = r["docs"]
     idf = np.log((1 + n_docs) / (1 + df)) + 1
-    weight = {y: in_class.get(y, 0) / max(1, min(per_class, in_class.get(y, 0))) for y in (0, 1)}
 
     def train(found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values(["doc_id", "label"], ignore_index=True)

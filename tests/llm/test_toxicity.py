@@ -97,6 +97,6 @@ def test_nothing_to_learn_from(spark):
 def test_the_sample_is_bounded(spark):
     rows = [(i, "bad filthyword" if i % 2 else "good day") for i in range(200)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], LABEL)
-    index = T.fit(docs(spark, rows), labels, per_class=20)
-    assert len(index.ids) == 20 and set(index.counts_for) == {5.0}
+    index = T.fit(docs(spark, rows), labels, per_class=40)
+    assert len(index.ids) == 40 and set(index.counts_for) == {2.5}
     assert T.score(docs(spark, rows), index).where(F.col("doc_id") % 2 == 1).agg(F.min("score")).first()[0] > 0.9
