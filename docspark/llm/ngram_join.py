@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm import bytewords
-from docspark.llm.components import components
+from docspark.llm.components import components, contracted, labels
 from docspark.sources.scratch import stage
 
 #: Cells of the count sketch, and the rows it is sent in.
@@ -75,8 +75,8 @@ def shingle_sets(block: bytewords.Block, size: int) -> list[np.ndarray]:
         if hi - lo >= size:
             sets.append(np.unique(rolled[lo : hi - size + 1]))
         elif hi > lo:
-            few = (words[lo:hi] * _WEIGHTS[: hi - lo]).sum(dtype=np.uint64)
-            sets.append(bytewords.mix(np.array([few + np.uint64(hi - lo) * _WEIGHTS[-1]], np.uint64)))
+            few = (words[lo:hi] * _WEIGHTS[: hi - lo]).sum(dtype=np.uint64, keepdims=True)
+            sets.append(bytewords.mix(few + np.array([hi - lo], np.uint64) * _WEIGHTS[-1]))
         else:
             sets.append(np.zeros(0, np.uint64))
     return sets
@@ -289,27 +289,11 @@ def _send(size: int, wanted):
                     if bits[spot >> 3] >> (spot & 7) & 1 and p not in seen:
                         seen.add(p)
                         ids.append(p)
-                        sets.append(tokens.tobytes())
+                        sets.append(tokens)
                 if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "tokens"])
-
-    return run
-
-
-def _compare(percent: int):
-    """Pairs of sets that reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+                    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+                    held = pa.ListArray.from_arrays(pa.array(bounds), pa.array(_signed(np.concatenate(sets))))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), held], names=["id", "tokens"])
 
     return run
 
@@ -359,16 +343,22 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``a, b, linked`` for all ``pairs(a, b)`` of fingerprints; sets are taken from the texts."""
+    """``a, b, linked`` for all ``pairs(a, b)`` of fingerprints; sets are taken from the texts.
+
+    Two sets meet in one row and nowhere else, so memory holds two whole texts'
+    sets at most.
+    """
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     wanted = docs.sparkSession.sparkContext.broadcast(_filter_bits(ids))
-    sent = docs.select("text").mapInArrow(_send(size, wanted), "id bigint, tokens binary")
+    sent = docs.select("text").mapInArrow(_send(size, wanted), "id bigint, tokens array<bigint>")
     sets = stage(sent.join(ids.distinct(), "id", "left_semi").groupBy("id").agg(F.first("tokens").alias("tokens")), "jaccard-sets")
+    wanted.destroy()
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b"
     )
-    found = both.select("a", "b", "x", "y").mapInArrow(_compare(percent), "a bigint, b bigint, linked boolean")
-    return stage(found, "jaccard-compared")
+    shared = F.size(F.array_intersect("x", "y")).cast("bigint")
+    linked = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
+    return stage(both.select("a", "b", linked.alias("linked")), "jaccard-compared")
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_rounds: int = 2) -> DataFrame:
@@ -399,11 +389,13 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
         postings.join(shared, "signature").select("signature", "id", "n", "rare", F.col("low.id").alias("lead"), F.col("low.n").alias("lead_n")),
         "jaccard-groups",
     )
-    compared = None
+    levels.destroy()
+    compared = edges = None
     in_groups = groups
     for turn in range(star_rounds + 1):
-        if turn:  # members of groups that still hold several components
-            joined = components(compared.where("linked").select("a", "b"))
+        if turn:  # members of groups that still hold several components, as far as one round of contraction tells
+            edges = contracted(edges)
+            joined = labels(edges)
             placed = groups.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
             leads = joined.select(F.col("id").alias("lead"), F.col("component").alias("lead_component"))
             placed = placed.join(leads, "lead", "left").withColumn("lead_component", F.coalesce("lead_component", "lead"))
@@ -441,8 +433,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, star_r
         near = stage(_plausible(stage(pairs, "jaccard-pairs"), sketches, percent), "jaccard-near")
         done = _verify(docs, near, size, percent)
         compared = done if compared is None else compared.unionByName(done)
+        links = done.where("linked").select("a", "b")
+        edges = links if edges is None else edges.unionByName(links)
 
-    joined = components(compared.where("linked").select("a", "b"))
+    joined = components(edges)
     keyed = stage(
         nodes.where("n > 0").join(joined, "id", "left").select("doc_id", "n", F.coalesce("component", "id").alias("component")), "jaccard-nodes"
     )
