@@ -20,6 +20,8 @@ from docspark.functions.text import (
     squash,
     text_key,
 )
+from docspark.operators.models import isolated
+from docspark.sources.scratch import stage
 from docspark.vocab import (
     DROP_EXAMPLES,
     DROP_ROLES,
@@ -177,6 +179,38 @@ def recognise_with(pages: DataFrame, load: Callable[[], Recogniser]) -> DataFram
     )
 
 
+def recognise_models(pages: DataFrame, load: Callable[[], dict[str, Recogniser]]) -> tuple[DataFrame, DataFrame]:
+    """Mentions found by several models, and a quarantine of the pages on which one raised.
+
+    ``load`` runs once per task and returns the models by name; each maps a frame
+    ``(doc_id, page_number, text)`` to mentions ``(doc_id, page_number, text,
+    label, char_start, char_end)``. A page that makes a model raise is found by
+    halving and left out for that model only. The quarantine lists ``doc_id,
+    page_number, source_model, error``. All is written once, so that both parts
+    are of the same run.
+    """
+    id_type = pages.schema["doc_id"].dataType.simpleString()
+    columns = ["doc_id", "page_number", "text", "label", "source_model", "char_start", "char_end", "error"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models: dict[str, Recogniser] | None = None
+        for pdf in frames:
+            models = load() if models is None else models
+            for name, model in models.items():
+                for rows, found, error in isolated(model, pdf):
+                    if found is None:
+                        bad = {"doc_id": rows["doc_id"], "page_number": rows["page_number"], "source_model": name, "error": error}
+                        yield pd.DataFrame(bad).reindex(columns=columns).astype(object)
+                    elif len(found):
+                        yield found.assign(source_model=name, error=None)[columns].astype(object)
+
+    rows = pages.select("doc_id", "page_number", "text").filter(F.length(squash(F.col("text"))) > 0)
+    schema = f"doc_id {id_type}, page_number int, text string, label string, source_model string, char_start int, char_end int, error string"
+    found = stage(rows.mapInPandas(run, schema), "model-mentions")
+    bad = found.where("error is not null").select("doc_id", "page_number", "source_model", "error")
+    return found.where("error is null").drop("error"), bad
+
+
 # --- attribution to blocks ---------------------------------------------------
 
 
@@ -185,15 +219,29 @@ def block_at(spans: Column, offset: Column) -> Column:
     return F.get(F.filter(spans, lambda s: (s["start"] <= offset) & (offset < s["end"])), F.lit(0))
 
 
+def first_spans(spans: DataFrame) -> DataFrame:
+    """``doc_id, page_number, block_id, start, end`` of the offsets at which each span is the first that holds them.
+
+    Spans are taken in the order of their start, then end, then block. What
+    an earlier span covers is taken off, so the result does not overlap, and a span
+    of which nothing is left goes.
+    """
+    earlier = Window.partitionBy("doc_id", "page_number").orderBy("start", "end", "block_id").rowsBetween(Window.unboundedPreceding, -1)
+    free = F.greatest(F.col("start"), F.max("end").over(earlier))  # greatest skips the null of the first span
+    cut = spans.filter(F.col("end") > F.col("start")).select("doc_id", "page_number", "block_id", free.alias("start"), "end")
+    return cut.filter(F.col("start") < F.col("end"))
+
+
 def attach_blocks(entities: DataFrame, spans: DataFrame, width: int = 1024) -> DataFrame:
-    """Join mentions to the block span that holds their start, null if none does.
+    """Join mentions to the first block span that holds their start, null if none does.
 
-    A range join on ``(doc_id, page_number, offset bucket)``: a span is listed
-    in every bucket it touches, a mention sits in one, so a page with very many
+    Spans are made disjoint first, so every mention stays one row. Then a range
+    join on ``(doc_id, page_number, offset bucket)``: a span is listed in every
+    bucket it touches, a mention sits in one, so a page with very many
     mentions spreads over its buckets and few pairs are compared.
     """
     keys = ["doc_id", "page_number", "_bucket"]
-    bucketed = spans.filter(F.col("end") > F.col("start")).select(
+    bucketed = first_spans(spans).select(
         "doc_id",
         "page_number",
         F.col("block_id"),

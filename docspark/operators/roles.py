@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.operators.models import FIRST_WAIT, IN_FLIGHT, TRIES, in_flight, with_retries
 from docspark.operators.running import number_in_order
 from docspark.sources.scratch import stage
 from docspark.vocab import (
@@ -24,6 +25,7 @@ PROFILE_SCHEMA = (
     "doc_id {id_type}, block_id string, page_number int, text_role string, "
     "hints array<string>, confidence double, rationale string"
 )
+PROFILE_COLUMNS = ["doc_id", "block_id", "page_number", "text_role", "hints", "confidence", "rationale"]
 
 
 NOISE_RATIONALE = "Pre-tagged as noise by pattern."
@@ -140,7 +142,9 @@ def accept_scores(sent: DataFrame, scored: DataFrame) -> tuple[DataFrame, DataFr
     keys = ["doc_id", "block_id"]
     wrong = parity_violations(sent, scored).select(*keys, "problem")
     wrong = wrong.unionByName(vocabulary_violations(scored).select(*keys, "problem"))
-    return scored.join(wrong, keys, "left_anti"), wrong
+    bad = wrong.select(*keys).distinct().alias("w")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
+    return scored.alias("s").join(bad, same, "left_anti"), wrong
 
 
 def profile_with_model(
@@ -153,7 +157,7 @@ def profile_with_model(
 
     The model's answers are written once, so that both parts are of the same run.
     """
-    tagged = blocks.withColumn("_noise", noise)
+    tagged = blocks.withColumn("_noise", F.coalesce(noise, F.lit(False)))
     sent = tagged.filter(~F.col("_noise"))
     accepted, wrong = accept_scores(sent, stage(score_blocks(sent, scorer, size), "scored-blocks"))
     return noise_profiles(tagged.filter("_noise")).drop("ord").unionByName(accepted), wrong
@@ -183,36 +187,61 @@ def score_blocks(
     blocks: DataFrame,
     scorer: Callable[[pd.DataFrame], pd.DataFrame],
     size: int = SCORER_BATCH_SIZE,
+    at_once: int = IN_FLIGHT,
+    tries: int = TRIES,
+    first_wait: float = FIRST_WAIT,
 ) -> DataFrame:
     """Run a scorer on batches of at most ``size`` blocks of one document.
 
-    ``scorer`` maps a frame of payload rows to a frame of profile rows. Only
-    this step leaves the JVM. Check the result with :func:`parity_violations`
-    and :func:`vocabulary_violations`.
+    ``scorer`` maps a frame of payload rows to a frame of profile rows. A task
+    has at most ``at_once`` calls open, in threads; a call that raises is tried
+    again after growing waits, and a batch whose last try fails is left out, so
+    that its blocks show up as missing. Only this step leaves the JVM. Check the
+    result with :func:`parity_violations` and :func:`vocabulary_violations`.
     """
     id_type = blocks.schema["doc_id"].dataType.simpleString()
     payload = batches(scorer_payload(blocks), size)
-    return payload.groupBy("doc_id", "batch").applyInPandas(
-        lambda pdf: scorer(pdf.sort_values("ord")), PROFILE_SCHEMA.format(id_type=id_type)
-    )
+
+    def calls(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The batches of a task, of which each comes whole and in order."""
+        held: list[pd.DataFrame] = []
+        for pdf in frames:
+            parts = pdf.groupby(["doc_id", "batch"], sort=False, dropna=False)
+            for _, part in parts:
+                if held and not _same_batch(held[-1], part):
+                    yield pd.concat(held, ignore_index=True)
+                    held = []
+                held.append(part)
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = with_retries(scorer, tries, first_wait)
+        for _, profiles, failed in in_flight(calls(frames), call, at_once):
+            if failed is None:
+                yield profiles[PROFILE_COLUMNS].astype(object)
+
+    ordered = payload.repartition("doc_id", "batch").sortWithinPartitions("doc_id", "batch", "ord")
+    return ordered.mapInPandas(run, PROFILE_SCHEMA.format(id_type=id_type))
+
+
+def _same_batch(a: pd.DataFrame, b: pd.DataFrame) -> bool:
+    x, y = a.iloc[-1], b.iloc[0]
+    return x["batch"] == y["batch"] and (x["doc_id"] == y["doc_id"] or (pd.isna(x["doc_id"]) and pd.isna(y["doc_id"])))
 
 
 def parity_violations(sent: DataFrame, scored: DataFrame) -> DataFrame:
-    """Block ids sent but not scored exactly once, or scored but never sent."""
+    """Block ids sent but not scored exactly once, or scored but never sent; a null id is an id like others."""
     keys = ["doc_id", "block_id"]
-    a = sent.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_sent"))
-    b = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_scored"))
-    both = a.join(b, keys, "full_outer").select(
-        *keys,
-        F.coalesce("n_sent", F.lit(0)).alias("n_sent"),
-        F.coalesce("n_scored", F.lit(0)).alias("n_scored"),
-    )
+    one, none = F.lit(1), F.lit(0)
+    both = sent.select(*keys, one.alias("s"), none.alias("r")).unionByName(scored.select(*keys, none.alias("s"), one.alias("r")))
+    counted = both.groupBy(*keys).agg(F.sum("s").alias("n_sent"), F.sum("r").alias("n_scored"))
     problem = (
         F.when(F.col("n_scored") == 0, F.lit("missing"))
         .when(F.col("n_sent") == 0, F.lit("extra"))
         .when(F.col("n_sent") != F.col("n_scored"), F.lit("count"))
     )
-    return both.withColumn("problem", problem).filter(F.col("problem").isNotNull())
+    return counted.withColumn("problem", problem).filter(F.col("problem").isNotNull())
 
 
 def vocabulary_violations(profiles: DataFrame) -> DataFrame:
@@ -220,12 +249,12 @@ def vocabulary_violations(profiles: DataFrame) -> DataFrame:
     known = F.array(*map(F.lit, (*SECTIONS, NO_SECTION)))
     hints = F.col("hints")
     problem = (
-        F.when(~F.col("text_role").isin(*TEXT_ROLES), F.lit("text_role"))
+        F.when(~F.coalesce(F.col("text_role").isin(*TEXT_ROLES), F.lit(False)), F.lit("text_role"))
         .when(F.coalesce(F.size(hints), F.lit(0)) <= 0, F.lit("no hints"))
         .when(F.size(F.array_except(hints, known)) > 0, F.lit("hint"))
         .when(F.array_contains(hints, NO_SECTION) & (F.size(hints) > 1), F.lit("none not alone"))
-        .when(~F.col("confidence").between(0.0, 1.0), F.lit("confidence"))
-        .when(F.col("page_number") < 1, F.lit("page_number"))
+        .when(~F.coalesce(F.col("confidence").between(0.0, 1.0), F.lit(False)), F.lit("confidence"))
+        .when(F.coalesce(F.col("page_number"), F.lit(0)) < 1, F.lit("page_number"))
     )
     return profiles.withColumn("problem", problem).filter(F.col("problem").isNotNull())
 

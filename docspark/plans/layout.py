@@ -319,6 +319,28 @@ SELECT doc_id, 'The' AS query, ord, block_id, page_number, 'page_' || page_numbe
 FROM ranked WHERE rank <= 3"""
 
 
+_OPENING = r"^[^ \n]+ [^ \n]+ [^ \n]+"
+
+
+@query
+def search_many(spark, d):
+    """The first three words of every benchmark item, searched for in all blocks at once."""
+    asked = T.table(spark, d, "benchmark").select(F.regexp_extract("text", _OPENING, 0).alias("query"))
+    return SE.search_all(prose_blocks(spark, d), asked).drop("section_path")
+
+
+ORACLE["search_many"] = f"""
+WITH {S.LINES},
+asked AS (SELECT DISTINCT regexp_extract(text, '{_OPENING}') AS query FROM benchmark WHERE regexp_extract(text, '{_OPENING}') <> ''),
+hits AS (
+  SELECT *, unnest(list_transform(range(1, len(p)), lambda k:
+           CAST(list_sum(list_transform(p[1:k], lambda x: length(x))) + length(query) * (k - 1) AS BIGINT))) AS match_start
+  FROM (SELECT lines.*, query, string_split(lower(text), lower(query)) AS p FROM lines JOIN asked ON contains(lower(text), lower(query))))
+SELECT doc_id, query, ord, block_id, page_number, match_start, match_start + length(query) AS match_end,
+       substr(text, greatest(match_start - 40, 0) + 1, match_start + length(query) + 40 - greatest(match_start - 40, 0)) AS excerpt
+FROM hits"""
+
+
 def _page_requests(spark, d) -> DataFrame:
     """One request per document for page 1 to 3, some beyond the last page."""
     return T.documents(spark, d).select("doc_id", (F.col("doc_id") % 3 + 1).cast("int").alias("page_number"))

@@ -343,6 +343,30 @@ mentions AS (
 _MENTIONS = _mentions_sql()
 
 
+def _load_recognisers():
+    """Stand-ins for two models: one takes the start of a page, the other its end and fails on some pages."""
+
+    def head(rows):
+        text = rows["text"].str[:5]
+        return rows[["doc_id", "page_number"]].assign(text=text, label="HEAD", char_start=0, char_end=text.str.len())
+
+    def tail(rows):
+        if ((rows["doc_id"] * 7 + rows["page_number"]) % 10 == 3).any():
+            raise ValueError("unreadable page")
+        text, n = rows["text"].str[-4:], rows["text"].str.len()
+        return rows[["doc_id", "page_number"]].assign(text=text, label="TAIL", char_start=n - text.str.len(), char_end=n)
+
+    return {"head": head, "tail": tail}
+
+
+@query
+def model_mentions(spark, d):
+    """Mentions by two Python models; a page on which one of them fails costs its mentions there and nothing else."""
+    mentions, bad = E.recognise_models(prose_pages(spark, d), _load_recognisers)
+    names = ["doc_id", "page_number", "source_model", "text", "char_start", "char_end", "error"]
+    return mentions.withColumn("error", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True).select(*names)
+
+
 @query
 def entity_mentions(spark, d):
     return prose_mentions(spark, d).select(
@@ -355,6 +379,15 @@ WITH {_MENTIONS}
 SELECT doc_id, page_number, seq, text, label, source_model, char_start, char_end, excerpt FROM mentions"""
 
 
+ORACLE["model_mentions"] = f"""
+WITH {S.LINES}, {_TAGGED}, clean AS (SELECT * FROM ({S.page_texts(where=f"NOT {_NOISE_SQL}")}) WHERE {S.strip("text")} <> ''),
+tails AS (SELECT *, (doc_id * 7 + page_number) % 10 = 3 AS bad FROM clean)
+SELECT doc_id, page_number, 'head' AS source_model, left(text, 5) AS text, CAST(0 AS BIGINT) AS char_start, length(left(text, 5)) AS char_end, NULL AS error FROM clean
+UNION ALL
+SELECT doc_id, page_number, 'tail', CASE WHEN NOT bad THEN right(text, 4) END, CASE WHEN NOT bad THEN greatest(length(text) - 4, 0) END,
+       CASE WHEN NOT bad THEN length(text) END, CASE WHEN bad THEN 'ValueError: unreadable page' END FROM tails"""
+
+
 @query
 def entity_blocks(spark, d):
     """Attribution by the bucketed range join, from tables of mentions and spans."""

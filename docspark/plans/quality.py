@@ -9,6 +9,7 @@ from docspark.operators import audit as A
 from docspark.operators import entities as E
 from docspark.operators import fields as FI
 from docspark.operators import ledger as LE
+from docspark.operators import models as M
 from docspark.operators import routing as RO
 from docspark.operators import validate as V
 from docspark.plans import prose, sqltext as S
@@ -89,6 +90,50 @@ def validate_records(spark, d):
     return V.violation_rows(checked(spark, d)).select("doc_id", "section", F.array_join("loc", ".").alias("loc"), "rule", "msg")
 
 
+def _load_answerer():
+    """A model's stand-in: the prompt is the record; some first answers are wrong, some stay wrong, and it fails on some prompts."""
+
+    def model(rows):
+        answers = []
+        for key, prompt in zip(rows["doc_id"], rows["prompt"]):
+            record, _, again = prompt.partition("\n\n")
+            if not again and key % 11 == 4:
+                raise TimeoutError("no reply")
+            if key % 7 == 3:
+                record = record.replace('"total_pages":2', '"total_pages":"2"')
+            elif not again and key % 5 == 1:
+                record = "I found no record."
+            elif not again and key % 5 == 2:
+                record = record.replace('"total_pages":2', '"total_pages":0')
+            answers.append(f"Here it is:\n```json\n{record}\n```" if key % 2 else record)
+        return rows[["doc_id"]].assign(answer=answers)
+
+    return model
+
+
+@query
+def model_answers(spark, d):
+    """Records by a model, checked, asked for once more with what was wrong, or set apart."""
+    gold = gold_records(spark, d)
+    prompts = gold.select("doc_id", FI.record_json(gold).alias("prompt"))
+    found = M.checked_answers(prompts, _load_answerer)
+    return found.select(
+        "doc_id",
+        "outcome",
+        "tries",
+        F.get_json_object("record", "$.Practice_City").alias("city"),
+        F.get_json_object("record", "$.total_pages").alias("total_pages"),
+        F.array_join("problems", "; ").alias("problems"),
+    )
+
+
+ORACLE["model_answers"] = f"""
+SELECT doc_id, CASE WHEN bad THEN 'quarantined' WHEN late THEN 'corrected' ELSE 'accepted' END AS outcome,
+       CAST(CASE WHEN bad OR late THEN 2 ELSE 1 END AS BIGINT) AS tries, CASE WHEN NOT bad THEN Practice_City END AS city,
+       CASE WHEN NOT bad THEN '2' END AS total_pages, CASE WHEN bad THEN 'total_pages: expected integer, got string' ELSE '' END AS problems
+FROM (SELECT *, doc_id % 7 = 3 AS bad, doc_id % 11 = 4 OR doc_id % 5 IN (1, 2) AS late FROM ({GOLD_SQL}))"""
+
+
 def _violations_sql() -> str:
     k, live = "c_custkey", "c_custkey % 101 <> 100"
     rows: list[tuple[str, str, str, str, str]] = [

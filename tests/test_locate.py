@@ -140,10 +140,16 @@ def test_search_first_hits_of_a_large_document(spark):
 def test_search_for_a_table_of_queries(spark):
     rows = [("d", 0, "b0", 1, "p", "İİİ the cat. The CAT?"), ("d", 1, "b1", 1, "p", "no"), ("e", 0, "b0", 1, "p", None)]
     df = spark.createDataFrame(rows, "doc_id string, ord int, block_id string, page_number int, section_path string, text string")
-    asked = spark.createDataFrame([("the",), ("cat",), ("cat",), ("",), (None,), ("cat?",)], "query string")
+    asked = spark.createDataFrame([("the",), ("cat",), ("cat",), ("",), (None,), ("cat?",), ("nowhere",), ("cat. xyz",)], "query string")
+    want = [("cat", 8, 11), ("cat", 17, 20), ("cat?", 17, 21), ("the", 4, 7), ("the", 13, 16)]
     for size in (100, 1):
-        got = sorted((r["query"], r["match_start"], r["match_end"]) for r in SE.search_all(df, asked, max_queries=size).collect())
-        assert got == [("cat", 8, 11), ("cat", 17, 20), ("cat?", 17, 21), ("the", 4, 7), ("the", 13, 16)]
+        found = SE.search_all(df, asked, grams_at_once=size)
+        assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["query"], r["match_start"], r["match_end"]) for r in found.collect()) == want
+    short = spark.createDataFrame([("?",), ("no",), ("the",)], "query string")
+    got = sorted((r["query"], r["match_start"]) for r in SE.search_all(df, short).collect())
+    assert got == [("?", 20), ("no", 0), ("the", 4), ("the", 13)]
+    assert SE.search_all(df, asked.limit(0)).count() == 0 == SE.search_all(df.limit(0), asked).count()
 
 
 def test_state_read_allows_three_tables(spark):
