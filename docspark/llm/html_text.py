@@ -9,13 +9,16 @@ the core and every <article> or <main> with content. Within them, nodes whose pa
 carries content are kept, and in the core and the articles also the other nodes
 that are not mostly links.
 
-Elements that are never article text (menus, page headers, footers, asides,
-forms, scripts and so on, by tag or role) are left out before. Class names and
-ids that sound like such an element are a hint: the element is left out unless it
-holds most of the page's unlinked text or an <article> or <main>, as `_settle` says.
+Elements that are never article text (footers, controls, scripts and so on, by
+tag or role) are left out before. Menus, page headers, asides and forms, and
+class names and ids that sound like such an element, are a hint: the element is
+left out unless it holds most of the page's unlinked text or an <article> or
+<main>, as `_settle` says. So a form around a whole page costs nothing.
 
 A null page is empty; a page without text gives the empty string. Unclosed and
-stray tags are repaired as browsers do. Repeated rows give repeated results; an
+stray tags are repaired as browsers do: what cannot stand in <head> ends it. An
+<article> or <main> also ends a menu or page header that is still open.
+Repeated rows give repeated results; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -36,9 +39,13 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
 NEVER = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head iframe input menu nav noscript object option script select style svg template"
+    "audio button canvas datalist dialog embed footer head iframe input label legend menu noscript option script select style svg template"
     " textarea title video".split()
 )
+#: What may stand in <head>; any other start tag and any text ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements that an <article> or <main> ends.
+BEFORE_CONTENT = frozenset("nav header".split())
 #: Elements that a new one of the same kind closes, and where the search for it ends.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -63,6 +70,8 @@ CONTENT = frozenset("content article main post entry story text body".split())
 TALK = frozenset("comment comments discussion disqus replies reply respond".split())
 #: How strongly class names and id hint: by a compound name, by a name of its own, by one of TALK.
 COMPOUND, NAMED, TALKING = 1, 2, 3
+#: Elements that hint by their tag; a header does outside of articles.
+HINTING = {"form": COMPOUND, "object": COMPOUND, "aside": NAMED, "nav": NAMED, "header": NAMED}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -77,16 +86,16 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 def _furniture(tag: str, rest: str, in_article: bool) -> tuple[bool, int]:
     """Whether an element is surely no part of an article, and how strongly its names hint that it is none."""
-    if tag in NEVER or (tag == "header" and not in_article):
+    if tag in NEVER:
         return True, 0
+    hint = 0 if tag == "header" and in_article else HINTING.get(tag, 0)
     if not rest.strip() or tag in ("html", "body", "main"):
-        return False, 0
+        return False, hint
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(rest)}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return True, 0
     if found.get("role", "").lower() in ROLES:
         return True, 0
-    hint = 0
     for name in f"{found.get('class', '')} {found.get('id', '')}".split():
         words = [w for w in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", name) if w]
         words = [w.lower() for w in words]
@@ -184,6 +193,14 @@ def text_nodes(page: str) -> list[_Node]:
             if tag in stop or (inline_only and tag in BLOCK):
                 return
 
+    def end_open(tags: frozenset[str]) -> None:
+        """End the outermost open element of these, if there is one."""
+        for i in range(1, len(stack)):
+            if stack[i].tag in tags:
+                flush()
+                del stack[i:]
+                return
+
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.match(page, at)
@@ -195,6 +212,8 @@ def text_nodes(page: str) -> list[_Node]:
                 piece = html.escape(piece[9:].removesuffix("]]>"))
             elif len(piece) > 1 and piece[0] == "<":
                 continue
+            if stack[-1].tag == "head" and piece.strip():
+                stack.pop()
             if not stack[-1].dropped:
                 piece = html.unescape(piece) if "&" in piece else piece
                 e = stack[-1]
@@ -216,6 +235,10 @@ def text_nodes(page: str) -> list[_Node]:
             else:
                 close({tag}, frozenset(), inline_only=True)
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            stack.pop()
+        if tag in ("article", "main"):
+            end_open(BEFORE_CONTENT)
         if tag == "br":
             buffer.append((" ", stack[-1]))
             continue

@@ -86,3 +86,38 @@ def test_paths_choose_on_pages_with_articles(page, text):
 def test_names_are_only_hints(page):
     want = " ".join(["Third, of many."] * 9) if "Third" in page else TEXT
     assert H.main_text(page) == want
+
+
+MENU = "<ul><li><a href=/>Home</a></li><li><a href=/about>About us</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=utf-8><body><article>{ARTICLE}</article>",
+        f"<html><head><title>T</title>{ARTICLE}",
+        f"<head><link rel=x href=y><script>1</script><div>{ARTICLE}</div>",
+        f"<body><form action=/ method=post><div id=top><a href=/>Home</a></div><article>{ARTICLE}</article><input type=hidden></form></body>",
+        f"<body><form id=aspnetForm><div class=page><div>{ARTICLE}</div></div></form></body>",
+        f"<body><form>{MENU}<main>{ARTICLE}</main><label>Search, here.</label><button>Go</button></form></body>",
+        f"<body><nav>{MENU}<article>{ARTICLE}</article>",
+        f"<body><nav>{MENU}<main>{ARTICLE}</main></nav>",
+        f"<body><nav>{MENU}<div class=post>{ARTICLE}</div>",
+        f"<body><header><h2>Site</h2><p>Motto.</p><article>{ARTICLE}</article>",
+        f"<body><aside>{MENU}<p>Side, note.</p></aside><div>{ARTICLE}</div>",
+        f"<body><div class=wrap><aside><article><p>Teaser, short.</p></article></aside><article>{ARTICLE}</article></div>",
+        f"<body><object><p>Your browser, is old.</p></object><section>{ARTICLE}</section>",
+        f"<body><table><tr><td>{MENU}</td><td>{ARTICLE}</td></tr></table>",
+        f"<body><center><table><tr><td><font size=2>{ARTICLE}</font></td></tr></table></center>",
+        f"<BODY><DIV ID=main>{ARTICLE.replace('<p>', '<P>').replace('</p>', '')}</DIV>{MENU}",
+        f"<div>{MENU}</div><div><div><div>{ARTICLE}</div></div></div><footer><p>All, rights.</p></footer>",
+        f"<section><header><h3>Nothing</h3></header></section><section>{ARTICLE}</section><form><p>Subscribe, now.</p><input></form>",
+        f"<div>{ARTICLE}<form><label>Name, please</label><textarea>x, y</textarea><p>Send, it.</p></form></div>",
+        f"<div role=main>{ARTICLE}</div><div role=complementary><p>More, to read. And more.</p></div>",
+    ],
+)
+def test_no_layout_loses_its_article(page):
+    got = H.main_text(page)
+    assert TEXT in got
+    for other in ("Motto", "Teaser", "Subscribe", "Send, it", "All, rights", "Search, here", "Side, note", "browser"):
+        assert other not in got
