@@ -27,6 +27,10 @@ class Storage:
     def extractions(self) -> str:
         return f"{self.root.rstrip('/')}/extractions_{self.version}"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root.rstrip('/')}/rejected_{self.version}"
+
     def artifacts(self, kind: str) -> str:
         return f"{self.root.rstrip('/')}/artifacts_{self.version}/{kind}"
 

@@ -66,7 +66,11 @@ def ingest(
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         key = _batch_key(spark, batch_id)
-        new = first_copies(batch)
+        nameless = F.col("doc_id").isNull()
+        rejected = batch.where(nameless).select(F.lit("doc_id is required").alias("reject_reason"), F.to_json(F.struct("*")).alias("row"))
+        if not rejected.isEmpty():
+            _write_batch(rejected, storage.rejected, key)
+        new = first_copies(batch.where(~nameless))
         if folder_exists(spark, storage.runs):
             done = read_ledger(spark, storage.runs, run_columns).filter(
                 (F.col("batch") != key) & (F.col("pipeline_version") == storage.version)

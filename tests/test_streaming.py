@@ -46,3 +46,13 @@ def test_each_document_once(spark, tmp_path):
     assert len(folders) >= 6 and not any("None" in f for f in folders)
     # another version runs everything again
     assert run(spark, inbox, Storage("v2", str(tmp_path / "out")), tmp_path / "cp3")[0] == ["a", "c", "d", "e"]
+
+
+def test_rows_without_an_id_are_set_apart(spark, tmp_path):
+    inbox, storage, checkpoint = tmp_path / "in", Storage("v1", str(tmp_path / "out")), tmp_path / "cp"
+    inbox.mkdir()
+    arrive(inbox, "1.json", [("a", "good"), (None, "first"), (None, "second"), (None, "second")])
+    for _ in range(2):
+        assert run(spark, inbox, storage, checkpoint) == (["a"], ["a"])
+        rejected = [(r["reject_reason"], json.loads(r["row"])["text"]) for r in spark.read.parquet(storage.rejected).collect()]
+        assert sorted(rejected) == [("doc_id is required", t) for t in ("first", "second", "second")]
