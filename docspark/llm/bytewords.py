@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once. Larger texts make a block of their own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
