@@ -34,27 +34,32 @@ SELECT vec_id, coalesce(k.n, 0) AS n_links, component_id, vec_id = component_id
 FROM v JOIN least ON id = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM both_ways GROUP BY a) k ON k.a = vec_id"""
 
 
-def license_scan(threshold: float = 0.9, window: int = 64) -> str:
-    """Every window of every line against every template, every word against every phrase."""
+def license_scan(threshold: float = 0.9) -> str:
+    """Every run of words that starts with a template's word against that template, every word against every phrase."""
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-    listed = lambda text: "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
-    phrases = " UNION ALL ".join(f"SELECT '{label}' AS label, {listed(p)} AS p" for label, p in licenses.PHRASES)
-    templates = " UNION ALL ".join(f"SELECT '{label}' AS label, list_distinct({listed(t)}) AS t" for label, t in licenses.TEMPLATES)
-    step = window // 2
+    listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    phrases = " UNION ALL ".join(f"SELECT '{label}' AS label, {listed(licenses.words_of(p))} AS p" for label, p in licenses.PHRASES)
+    templates = " UNION ALL ".join(f"SELECT {i} AS t, '{label}' AS label, {listed(licenses.words_of(text))} AS s" for i, (label, text) in enumerate(licenses.TEMPLATES))
     return f"""
-WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents), w AS (SELECT doc_id, regexp_extract_all(t, {word}) AS w FROM d),
-ph AS ({phrases}), te AS ({templates}),
-places AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i FROM w, ph WHERE list_has_all(w, p)),
-lines AS (SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), {word}) AS w FROM d),
-blocks AS (SELECT doc_id, list_distinct(w[k * {step} + 1:k * {step} + {window}]) AS b
-  FROM (SELECT doc_id, w, unnest(range(1 + greatest(0, CAST(ceil((len(w) - {window}) / {step}) AS BIGINT)))) AS k FROM lines WHERE len(w) > 0)),
-found AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS c FROM blocks, te WHERE list_has_any(b, t) AND len(list_intersect(b, t)) >= ceil(len(t) * {threshold} - 1e-9)),
-base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
-al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS c
-  FROM (SELECT doc_id, label, 1.0::DOUBLE AS c FROM places UNION ALL SELECT doc_id, label, c FROM found) GROUP BY doc_id)
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_LOWER} AS t FROM documents), w AS (SELECT doc_id, r, regexp_extract_all(t, {word}) AS w FROM d),
+ph AS ({phrases}),
+te AS (SELECT t, label, s, list_distinct(s) AS words, list_distinct(list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1])) AS pairs,
+  CAST(ceil(len(list_distinct(s)) * {threshold} - 1e-9) AS BIGINT) AS need FROM ({templates})),
+places AS (SELECT r, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i FROM w, ph WHERE list_has_all(w, p)),
+tw AS (SELECT t, unnest(words) AS x FROM te), tp AS (SELECT t, unnest(pairs) AS y FROM te),
+dw AS (SELECT r, unnest(range(len(w))) AS p, unnest(w) AS x, unnest(list_transform(range(len(w)), lambda i: w[i + 1] || ' ' || w[i + 2])) AS y FROM w),
+hits AS (SELECT r, t, p, dw.x, tp.y, len(te.words) AS size, len(te.pairs) - 2 * (len(te.words) - need) AS need_pairs, need, len(s) + len(te.words) - need AS win
+  FROM dw JOIN tw USING (x) JOIN te USING (t) LEFT JOIN tp USING (t, y)),
+full_ones AS (SELECT *, count(*) OVER (PARTITION BY r, t ORDER BY p RANGE BETWEEN CURRENT ROW AND win - 1 FOLLOWING) AS n FROM hits),
+held AS (SELECT f.r, f.t, f.p, f.size, f.need, f.need_pairs, count(DISTINCT h.x) AS n, count(DISTINCT h.y) FILTER (WHERE h.p < f.p + f.win - 1) AS n_pairs
+  FROM full_ones f JOIN hits h ON h.r = f.r AND h.t = f.t AND h.p >= f.p AND h.p < f.p + f.win WHERE f.n >= f.need GROUP BY ALL),
+found AS (SELECT r, label, n / size AS c FROM held JOIN te USING (t) WHERE n >= held.need AND n_pairs >= need_pairs),
+base AS (SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS c
+  FROM (SELECT r, label, 1.0::DOUBLE AS c FROM places UNION ALL SELECT r, label, c FROM found) GROUP BY r)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base, base.lo AS first_word, base.hi AS last_word,
   coalesce(base.labels, '') AS base_labels, coalesce(al.labels, '') AS labels, coalesce(al.c, 0.0)::DOUBLE AS score
-FROM w LEFT JOIN base USING (doc_id) LEFT JOIN al USING (doc_id)"""
+FROM w LEFT JOIN base USING (r) LEFT JOIN al USING (r)"""
 
 
 #: Every alignment of a document and an item, by the tokens that agree.
