@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.text import first_words, last_words, match_key, words
+from docspark.sources.scratch import stage
 
 ANCHOR_WORDS = 6
+
+#: Longs of the filter of passage keys: 1 MB, whatever the number of passages.
+FILTER_LONGS = 1 << 17
 _SEP = "\x01"
 
 
@@ -128,7 +132,29 @@ def _run_key(w: Column, start: Column, length: Column) -> Column:
     return F.struct(F.xxhash64(run).alias("a"), F.xxhash64(run, F.lit(1)).alias("b"))
 
 
-def locate_passages(passages: DataFrame, docs: DataFrame) -> DataFrame:
+def _key_filter(keys: DataFrame) -> DataFrame:
+    """One row with a Bloom filter of the keys ``a``, ``b``: an array of longs, two bits a key, of a fixed size.
+
+    The bits of a long are combined before they are shuffled. With very many keys
+    the filter fills up and lets more through; results do not depend on it.
+    """
+    bit = lambda c: F.struct(F.pmod(c, F.lit(FILTER_LONGS)).cast("int").alias("at"), _bit_no(c).alias("bit"))
+    bits = keys.select(F.explode(F.array(bit(F.col("a")), bit(F.col("b")))).alias("x"))
+    longs = bits.groupBy(F.col("x.at").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, x.bit)")).alias("v"))
+    filled = longs.unionByName(keys.sparkSession.range(FILTER_LONGS).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("bigint").alias("v")))
+    merged = filled.groupBy("at").agg(F.bit_or("v").alias("v"))
+    return merged.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("bits"))
+
+
+def _bit_no(key: Column) -> Column:
+    return F.shiftrightunsigned(key, 58).cast("int")
+
+
+def _in_filter(bits: Column, key: Column) -> Column:
+    return F.getbit(F.get(bits, F.pmod(key, F.lit(FILTER_LONGS)).cast("int")), _bit_no(key)) == 1
+
+
+def locate_passages(passages: DataFrame, docs: DataFrame, rows_per_task: int = 200_000) -> DataFrame:
     """Where passages occur in documents, token-aligned: exact, by head, by tail.
 
     ``passages(item_id, text)``, ``docs(doc_id, text)``. A passage is covered
@@ -138,6 +164,12 @@ def locate_passages(passages: DataFrame, docs: DataFrame) -> DataFrame:
     crossed with documents and no text is looked at again. Passages shorter
     than six words are one run of their own length.
 
+    Runs of documents are probed against a Bloom filter of the passages' keys
+    before they leave their task, and runs of lengths that no passage has are
+    not listed. The ones that pass are written and counted by key; a key of more
+    than ``rows_per_task`` runs is spread over as many parts as that takes, and
+    its passages are repeated for each part.
+
     Per pair the whole text wins over the head, the head over the tail; of
     several heads the first counts, of several tails the last.
     """
@@ -145,10 +177,6 @@ def locate_passages(passages: DataFrame, docs: DataFrame) -> DataFrame:
     p = p.filter(F.size("w") > 0).select(
         "item_id", "w", F.size("w").alias("n_words"), F.least(F.size("w"), F.lit(ANCHOR_WORDS)).alias("run")
     )
-    # at most six values, whatever the number of passages
-    lengths = sorted(r[0] for r in p.select("run").distinct().collect())
-    if not lengths:
-        lengths = [ANCHOR_WORDS]
     tail = F.col("n_words") - F.col("run")
     offsets = F.array_distinct(F.concat(F.sequence(F.lit(0), tail, F.col("run")), F.array(tail)))
     cover = p.select(
@@ -156,27 +184,36 @@ def locate_passages(passages: DataFrame, docs: DataFrame) -> DataFrame:
     ).select(
         "item_id", "run", "n_words", "n_cover", "offset", _run_key(F.col("w"), F.col("offset"), F.col("run")).alias("key")
     )
+    cover = stage(cover.select("*", "key.a", "key.b").drop("key"), "cover")
+    lengths = cover.agg(F.collect_set("run").alias("lengths")).scalar()
+    bits = _key_filter(cover).scalar()
     d = docs.select("doc_id", words(match_key(F.col("text"))).alias("w"))
+    none = F.array().cast("array<struct<run:int,pos:int,key:struct<a:bigint,b:bigint>>>")
 
     def keyed(length: int) -> Column:
-        at = F.when(
-            F.size("w") >= length, F.sequence(F.lit(0), F.size("w") - length)
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            at,
+        runs = F.transform(
+            F.sequence(F.lit(0), F.size("w") - length),
             lambda i: F.struct(
                 F.lit(length).alias("run"), i.alias("pos"), _run_key(F.col("w"), i, F.lit(length)).alias("key")
             ),
         )
+        return F.when((F.size("w") >= length) & F.array_contains(lengths, length), runs).otherwise(none)
 
-    runs = d.select(
-        "doc_id", F.size("w").alias("n_doc"), F.inline_outer(F.concat(*[keyed(n) for n in lengths]))
+    listed = d.select(
+        "doc_id", F.size("w").alias("n_doc"), F.inline_outer(F.concat(*[keyed(n) for n in range(1, ANCHOR_WORDS + 1)]))
     ).select("doc_id", "n_doc", "run", "pos", F.col("key.a").alias("a"), F.col("key.b").alias("b"))
-    cover = cover.select("*", F.col("key.a").alias("a"), F.col("key.b").alias("b")).drop("key")
+    runs = stage(listed.filter(F.col("a").isNotNull() & _in_filter(bits, F.col("a")) & _in_filter(bits, F.col("b"))), "runs")
+    keys = ["run", "a", "b"]
+    parts = runs.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("parts"))
+    frequent = parts.filter(F.col("parts") > 1)
+    part = F.coalesce(F.pmod(F.xxhash64("doc_id", "pos"), F.col("parts")).cast("int"), F.lit(0))
+    runs = runs.join(frequent, keys, "left").select("doc_id", "n_doc", "pos", *keys, part.alias("part"))
+    all_parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    cover = cover.join(frequent, keys, "left").select("item_id", "n_words", "n_cover", "offset", *keys, F.explode_outer(all_parts).alias("part"))
     start = F.col("pos") - F.col("offset")
     is_tail = F.col("offset") == F.col("n_words") - F.col("run")
     lined_up = (
-        runs.join(cover, ["run", "a", "b"])
+        runs.join(cover, [*keys, "part"])
         .groupBy("item_id", "doc_id", "n_words", "n_doc", start.alias("start"))
         .agg(
             (F.count(F.lit(1)) == F.max("n_cover")).alias("whole"),

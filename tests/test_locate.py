@@ -45,6 +45,23 @@ def test_passages_equal_brute_force(spark):
             if hit:
                 want[i, j] = hit
     assert got == want and len(want) > 50
+    spread = L.locate_passages(p, d, rows_per_task=5).collect()
+    assert {(r["item_id"], r["doc_id"]): (r["found"], r["first_word"], r["end_word"]) for r in spread} == want
+    assert L.locate_passages(p.limit(0), d).count() == 0 == L.locate_passages(p, d.limit(0)).count()
+
+
+def test_few_runs_leave_their_task(spark):
+    words = [f"w{i}" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id int, text string")
+    passages = spark.createDataFrame([(i, " ".join(words[i * 100 : i * 100 + 12])) for i in range(100)], "item_id int, text string")
+    kept = []
+    write = L.stage
+    L.stage = lambda df, name: kept.append(write(df, name)) or kept[-1]
+    try:
+        assert L.locate_passages(passages, docs).filter("found = 'exact'").count() == 100
+    finally:
+        L.stage = write
+    assert 200 <= kept[1].count() < 230  # of 30,000
 
 
 def test_passage_of_a_third_of_all_documents(spark):
@@ -56,6 +73,9 @@ def test_passage_of_a_third_of_all_documents(spark):
     out = L.locate_passages(items, docs)
     got = {(r["item_id"], r["found"]): r["count"] for r in out.groupBy("item_id", "found").count().collect()}
     assert got == {(1, "exact"): 1000, (2, "prefix"): 1000}
+    many = spark.range(400).select(F.col("id").alias("item_id"), F.concat(F.lit(hot), F.lit(" n"), "id").alias("text"))
+    spread = L.locate_passages(many, docs, rows_per_task=100)
+    assert spread.groupBy("found").count().collect() == [("prefix", 400 * 1000)]
     assert "Cartesian" not in out._jdf.queryExecution().executedPlan().toString()
 
 
