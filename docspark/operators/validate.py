@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.vocab import ENVELOPE_COUNT, SECTION_RULES, Rule
+from docspark.vocab import ENVELOPE, SECTION_RULES, Rule
 
 ROOT = "<root>"
 _NONE = "CAST(NULL AS STRING)"
@@ -44,16 +44,21 @@ def _text_or_null(v: str | None) -> str:
     return _NONE if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _texts_or_null(v: Sequence[str] | None) -> str:
+    return "CAST(NULL AS ARRAY<STRING>)" if v is None else f"array({', '.join(map(_text_or_null, v))})"
+
+
 def _number_or_null(v: float | None) -> str:
     return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({v} AS DOUBLE)"
 
 
 def _rules_literal(rules: Sequence[Rule]) -> str:
     rows = [
-        f"named_struct('no', {i}, 'field', '{r.field}', 'types', array({', '.join(map(_text_or_null, r.types))}), "
+        f"named_struct('no', {i}, 'field', {_text_or_null(r.field)}, 'types', array({', '.join(map(_text_or_null, r.types))}), "
         f"'required', {str(r.required).lower()}, 'lo', {_number_or_null(r.minimum)}, 'hi', {_number_or_null(r.maximum)}, "
         f"'pattern', {_text_or_null(r.pattern)}, 'format', {_text_or_null(r.format)}, 'distinct', {str(r.unique).lower()}, "
-        f"'item', {_text_or_null(r.items if isinstance(r.items, str) else None)}, 'item_lo', {_number_or_null(r.item_minimum)})"
+        f"'item', {_text_or_null(r.items if isinstance(r.items, str) else None)}, 'item_lo', {_number_or_null(r.item_minimum)}, "
+        f"'choices', {_texts_or_null(r.choices)})"
         for i, r in enumerate(rules)
     ]
     return "array(" + ", ".join(rows) + ")"
@@ -78,7 +83,7 @@ def _error(section: str, loc: str, rule: str, msg: str) -> str:
     return f"named_struct('section', {section}, 'loc', {loc}, 'rule', '{rule}', 'msg', {msg})"
 
 
-def _check_object(section: str, members: str, rules: Sequence[Rule], path: str, depth: int, check_dates: bool) -> str:
+def _check_object(section: str, members: str, rules: Sequence[Rule], path: str, depth: int, check_dates: bool, is_open: bool = False) -> str:
     """SQL for the errors of an object given as ``map<string,variant>``."""
     r, v = f"r{depth}", f"v{depth}"
     typed = f"{v}.t"
@@ -103,6 +108,9 @@ def _check_object(section: str, members: str, rules: Sequence[Rule], path: str,
         when(f"{typed} = 'string' AND {v}.r.pattern IS NOT NULL AND NOT rlike({as_text}, coalesce({v}.r.pattern, ''))", "pattern", f"concat('does not match ', {v}.r.pattern)"),
         when(f"{typed} = 'array' AND {v}.r.distinct AND size(array_distinct(transform({as_array}, e -> to_json(e)))) < size({as_array})", "uniqueItems", "'has repeated items'"),
     ]
+    if any(x.choices is not None for x in rules):
+        allowed = f"array_contains({v}.r.choices, to_json({val}))"
+        checks.append(when(f"{typed} <> 'missing' AND {fits} AND NOT {allowed}", "enum", f"concat('not one of ', array_join({v}.r.choices, ', '))"))
     if check_dates:
         ok = f"(rlike({as_text}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND try_to_date({as_text}, 'yyyy-MM-dd') IS NOT NULL)"
         checks.append(when(f"{typed} = 'string' AND {v}.r.format = 'date' AND NOT {ok}", "format", "'not an ISO date'"))
@@ -111,7 +119,7 @@ def _check_object(section: str, members: str, rules: Sequence[Rule], path: str,
         f"named_struct('r', {r}, 'x', {members}[{r}.field], 'k', schema_of_variant({members}[{r}.field]))), "
         f"{v} -> named_struct('r', {v}.r, 'x', {v}.x, 't', {_json_type(val, v + '.k')})), {v} -> array_compact(array({', '.join(checks)}))))"
     )
-    parts = [own]
+    parts = [own] if rules else []
     if any(isinstance(x.items, str) for x in rules):
         e = f"e{depth}"
         item_loc = f"concat({path}, array({v}.r.field, CAST(i AS STRING)))"
@@ -126,40 +134,57 @@ def _check_object(section: str, members: str, rules: Sequence[Rule], path: str,
     for x in rules:
         if isinstance(x.items, tuple):
             e, m = f"e{depth}", f"m{depth}"
-            item_loc = f"concat({path}, array('{x.field}', CAST(i AS STRING)))"
-            inner = _check_object(section, m, x.items, item_loc, depth + 1, check_dates)
+            name = _text_or_null(x.field)
+            item_loc = f"concat({path}, array({name}, CAST(i{depth} AS STRING)))"
+            inner = _check_object(section, m, x.items, item_loc, depth + 1, check_dates, x.open)
             as_map = f"try_variant_get({e}, '$', 'map<string,variant>')"
             not_object = f"array({_error(section, item_loc, 'type', repr('expected object'))})"
             parts.append(
-                f"flatten(transform(coalesce(try_variant_get({members}['{x.field}'], '$', 'array<variant>'), array()), ({e}, i) -> "
+                f"flatten(transform(coalesce(try_variant_get({members}[{name}], '$', 'array<variant>'), array()), ({e}, i{depth}) -> "
                 f"IF({_json_type(e)} <> 'object', {not_object}, flatten(transform(array({as_map}), {m} -> {inner})))))"
             )
-    known = "array(" + ", ".join(f"'{x.field}'" for x in rules) + ")"
+    for x in rules:
+        if x.members:
+            m, name = f"m{depth}", _text_or_null(x.field)
+            as_map = f"try_variant_get({members}[{name}], '$', 'map<string,variant>')"
+            inner = _check_object(section, m, x.members, f"concat({path}, array({name}))", depth + 1, check_dates, x.open)
+            parts.append(f"flatten(transform(filter(array({as_map}), {m} -> {m} IS NOT NULL), {m} -> {inner}))")
+    if is_open and parts:
+        return f"concat({', '.join(parts)})"
+    known = "CAST(array(" + ", ".join(_text_or_null(x.field) for x in rules) + ") AS array<string>)"
+    if is_open:
+        known = f"map_keys({members})"
     extra_error = _error(section, f"concat({path}, array(k))", "additionalProperties", "'unknown field'")
     parts.append(f"transform(array_sort(array_except(map_keys({members}), {known})), k -> {extra_error})")
     return f"concat({', '.join(parts)})"
 
 
-def check_envelopes(df: DataFrame, column: str = "envelope", check_dates: bool = False) -> DataFrame:
+def check_envelopes(df: DataFrame, column: str = "envelope", check_dates: bool = False, schema: Rule = ENVELOPE) -> DataFrame:
     """Add ``errors``: one entry per breach, in schema order.
 
     An entry is ``struct<section, loc array<string>, rule, msg>``. Text that is
     no JSON object gives one error. ``check_dates`` also enforces the declared
-    date format.
+    date format. ``schema`` is the rule of the envelope, the declared one or one
+    from :func:`docspark.operators.schema.compile_schema`; members that have
+    members themselves are its sections.
     """
     parts = []
-    for name, rules in SECTION_RULES.items():
-        missing = _error(f"'{name}'", f"array('{name}')", "required", "'section missing from envelope'")
-        wrong = _error(f"'{name}'", f"array('{name}')", "type", "'section is not an object'")
-        inner = _check_object(f"'{name}'", "sec", rules, "CAST(array() AS array<string>)", 0, check_dates)
-        members = f"try_variant_get(root['{name}'], '$', 'map<string,variant>')"
-        body = f"CASE WHEN root['{name}'] IS NULL THEN array({missing}) WHEN sec IS NULL THEN array({wrong}) ELSE {inner} END"
+    sections = [x for x in schema.members if x.members]
+    for x in sections:
+        name = _text_or_null(x.field)
+        missing = _error(name, f"array({name})", "required", "'section missing from envelope'")
+        wrong = _error(name, f"array({name})", "type", "'section is not an object'")
+        absent = f"array({missing})" if x.required else f"filter(array({missing}), y -> false)"
+        inner = _check_object(name, "sec", x.members, "CAST(array() AS array<string>)", 0, check_dates, x.open)
+        members = f"try_variant_get(root[{name}], '$', 'map<string,variant>')"
+        void = f"WHEN schema_of_variant(root[{name}]) = 'VOID' THEN filter(array({wrong}), y -> false) " if "null" in x.types else ""
+        body = f"CASE WHEN root[{name}] IS NULL THEN {absent} {void}WHEN sec IS NULL THEN array({wrong}) ELSE {inner} END"
         parts.append(_bind(members, "sec", body))
-    known = "array('count_of_extracted_objects', " + ", ".join(f"'{n}'" for n in SECTION_RULES) + ")"
-    others = f"map_filter(root, (k, x) -> NOT array_contains({known}, k) OR k = 'count_of_extracted_objects')"
-    outer = _check_object(f"'{ROOT}'", "sec", (ENVELOPE_COUNT,), "CAST(array() AS array<string>)", 0, check_dates)
+    names = "CAST(array(" + ", ".join(_text_or_null(x.field) for x in sections) + ") AS array<string>)"
+    others = f"map_filter(root, (k, x) -> NOT array_contains({names}, k))"
+    outer = _check_object(f"'{ROOT}'", "sec", [x for x in schema.members if not x.members], "CAST(array() AS array<string>)", 0, check_dates, schema.open)
     unreadable = _error(f"'{ROOT}'", "CAST(array() AS array<string>)", "type", "'not a JSON object'")
-    errors = f"CASE WHEN root IS NULL THEN array({unreadable}) ELSE concat({', '.join(parts)}, {_bind(others, 'sec', outer)}) END"
+    errors = f"CASE WHEN root IS NULL THEN array({unreadable}) ELSE concat({', '.join([*parts, _bind(others, 'sec', outer)])}) END"
     root = f"try_variant_get(try_parse_json(`{column}`), '$', 'map<string,variant>')"
     return df.withColumn("errors", F.expr(_bind(root, "root", errors)))
 

@@ -229,7 +229,9 @@ class Rule:
 
     ``types`` holds JSON type names; ``"null"`` marks a nullable property.
     ``items`` describes array elements: either a JSON type name or the rules
-    of an object element.
+    of an object element. ``members`` are the rules of an object property;
+    ``open`` objects, or object elements, may have undeclared members.
+    ``choices`` are the allowed values as JSON.
     """
 
     field: str
@@ -243,6 +245,10 @@ class Rule:
     unique: bool = False
     items: str | tuple["Rule", ...] | None = None
     item_minimum: float | None = None
+    members: tuple["Rule", ...] | None = None
+    open: bool = False
+    choices: tuple[str, ...] | None = None
+    description: str = ""
 
 
 def _text(*names: str, **kw) -> tuple[Rule, ...]:
@@ -327,3 +333,11 @@ SECTION_RULES: dict[str, tuple[Rule, ...]] = {
     ),
 }
 ENVELOPE_COUNT = Rule("count_of_extracted_objects", ("integer",), mode="DERIVED", minimum=0)
+
+#: The whole envelope: its count, then its sections.
+ENVELOPE = Rule(
+    "<root>",
+    ("object",),
+    mode="",
+    members=(ENVELOPE_COUNT, *(Rule(name, ("object",), mode="", members=rules) for name, rules in SECTION_RULES.items())),
+)
