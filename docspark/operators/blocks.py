@@ -230,51 +230,55 @@ def without_geometry(blocks: DataFrame) -> DataFrame:
 def flatten_tree(nodes: DataFrame) -> DataFrame:
     """Depth-first flatten of ``nodes(node_id, parent_id, pos, kind, page, text, bbox)``.
 
-    Walks one level per round by joining the previous level with its
-    children, so a parent with very many children is split like any skewed
-    join. Every level is written before the next one reads it, so a deep tree
-    costs one join per level. A node is emitted if it has text or a box, but its children are
+    Paths double in length each round: a node knows the path up to some ancestor,
+    and takes over what that ancestor knows. A tree of depth n takes log2(n)
+    rounds, each written before the next one reads it, and a node that has met its
+    root is not touched again. Rounds move ids and paths; texts are joined once, at
+    the end. A node is emitted if it has text or a box, but its children are
     walked in any case. ``path`` is ``page_<n>/<kind>/<kind>...``; ``order_key``
     is the array of child positions, which sorts depth first.
 
     Trees of any depth are walked to the end. Nodes that no root leads to are not
-    part of a tree; :func:`loose_nodes` gives them. Raises ValueError where a
-    repeated ``node_id`` makes a node its own ancestor.
+    part of a tree; :func:`loose_nodes` gives them. Rows that are repeated whole
+    count once as parents. Raises ValueError where a repeated ``node_id`` or a
+    circle makes a node its own ancestor.
     """
-    level = nodes.filter(F.col("parent_id").isNull()).select(
+    given = [F.col(c) for c in ("node_id", "parent_id", "pos", "kind", "page", "text", "bbox")]
+    keyed = nodes.select("*", F.xxhash64(*given).alias("row_a"), F.xxhash64(*given, F.lit(1)).alias("row_b"))
+    page = F.concat(F.lit("page_"), F.coalesce("page", F.lit(1)).cast("string"))
+    steps = keyed.select(
+        "row_a",
+        "row_b",
         "node_id",
-        "page",
-        "text",
-        "bbox",
-        F.concat(F.lit("page_"), F.coalesce("page", F.lit(1)), F.lit("/"), F.col("kind")).alias("path"),
+        F.col("parent_id").alias("above"),
+        F.when(F.col("parent_id").isNull(), F.concat_ws("/", page, "kind")).otherwise(F.concat_ws("/", "kind")).alias("path"),
         F.array(F.col("pos").cast("long")).alias("order_key"),
-    )
-    children = nodes.filter(F.col("parent_id").isNotNull())
-    found, depth, most = level, 0, None
-    while True:
-        parent = level.select(
-            F.col("node_id").alias("parent_id"),
-            F.col("path").alias("up"),
-            F.col("order_key").alias("above"),
+    ).distinct()
+    met_root, to_go = F.col("above").isNull(), F.col("above").isNotNull()
+    step = stage(steps, "tree")
+    rooted, reach, most = step.filter(met_root), 1, None
+    while not step.filter(to_go).isEmpty():
+        most = step.count() if most is None else most
+        if reach > most or not step.filter(F.col("above") == F.col("node_id")).isEmpty():
+            raise ValueError("a node is its own ancestor")
+        known = rooted.unionByName(step.filter(to_go)).select(
+            F.col("node_id").alias("above"), F.col("above").alias("next"), F.col("path").alias("up"), F.col("order_key").alias("keys")
         )
-        below = children.join(parent, "parent_id").select(
+        joined = step.filter(to_go).join(known, "above").select(
+            "row_a",
+            "row_b",
             "node_id",
-            "page",
-            "text",
-            "bbox",
-            F.concat_ws("/", "up", "kind").alias("path"),
-            F.concat("above", F.array(F.col("pos").cast("long"))).alias("order_key"),
+            F.col("next").alias("above"),
+            F.concat_ws("/", "up", "path").alias("path"),
+            F.concat("keys", "order_key").alias("order_key"),
         )
-        level = stage(below, "tree")
-        if level.isEmpty():
-            break
-        found, depth = found.unionByName(level), depth + 1
-        if depth % 64 == 0:  # no path is longer than there are nodes
-            most = nodes.count() if most is None else most
-            if depth >= most:
-                raise ValueError("a node is its own ancestor")
+        step, reach = stage(joined, "tree"), reach * 2
+        rooted = rooted.unionByName(step.filter(met_root))
     has_text = F.coalesce(F.col("text"), F.lit("")) != ""
-    return found.filter(has_text | (F.coalesce(F.size("bbox"), F.lit(0)) > 0))
+    emitted = keyed.filter(has_text | (F.coalesce(F.size("bbox"), F.lit(0)) > 0))
+    return emitted.select("row_a", "row_b", "node_id", "page", "text", "bbox").join(
+        rooted.drop("node_id"), ["row_a", "row_b"]
+    ).select("node_id", "page", "text", "bbox", "path", "order_key")
 
 
 def loose_nodes(nodes: DataFrame) -> DataFrame:

@@ -125,11 +125,23 @@ def test_tree_order_and_empty_nodes(spark):
 def test_trees_of_any_depth(spark):
     schema = "node_id string, parent_id string, pos int, kind string, page int, text string, bbox array<double>"
     chain = [(f"n{i}", f"n{i - 1}" if i else None, 0, "text", 1, f"t{i}" if i % 50 == 0 else "", None) for i in range(201)]
-    deep = B.flatten_tree(spark.createDataFrame(chain, schema)).collect()
+    rounds, write = [], B.stage
+    B.stage = lambda df, name: rounds.append(name) or write(df, name)
+    try:
+        deep = B.flatten_tree(spark.createDataFrame(chain, schema)).collect()
+    finally:
+        B.stage = write
+    assert len(rounds) == 1 + 8  # 2**8 > 200
     assert sorted(len(r["order_key"]) for r in deep) == [1, 51, 101, 151, 201]
     loop = [("r", None, 0, "text", 1, "r", None), ("a", "r", 0, "text", 1, "a", None), ("a", "a", 0, "text", 1, "a", None)]
-    with pytest.raises(ValueError):
-        B.flatten_tree(spark.createDataFrame(loop, schema))
+    ring = [(f"n{i}", f"n{(i + 1) % 3}", 0, "text", 1, "", None) for i in range(3)]
+    for bad in (loop, ring):
+        with pytest.raises(ValueError):
+            B.flatten_tree(spark.createDataFrame(bad, schema))
+    twice = [("r", None, 0, "text", 1, "r", None), ("r", None, 0, "text", 1, "r", None), ("a", "r", 0, "text", 1, "a", None), (None, "r", 1, "text", 1, "n", None)]
+    got = B.flatten_tree(spark.createDataFrame(twice, schema)).collect()
+    assert sorted(r["text"] for r in got) == ["a", "n", "r", "r"]
+    assert B.flatten_tree(spark.createDataFrame([], schema)).count() == 0
 
 
 def test_batches_of_one_very_large_document(spark):
