@@ -30,13 +30,17 @@ def html_blocks(spark, d):
     return LA.html_blocks(T.spread(T.table(spark, d, "pages").select("page_id", "html")))
 
 
-_TAG = f"'{LA.HTML_TEXT}'"
+_SHOWN = f"'</text>' || regexp_replace(html, '{LA.HTML_HIDDEN}', '</text>', 'g')"
+_VOID = "', '".join(LA.HTML_VOID)
 
 ORACLE["html_blocks"] = f"""
-SELECT page_id AS doc_id, i - 1 AS ord, page_id || '-' || (i - 1) AS block_id, 'page_1/' || tag AS section_path, text
-FROM (SELECT page_id, unnest(regexp_extract_all(html, {_TAG}, 1)) AS tag,
-             unnest(regexp_extract_all(html, {_TAG}, 2)) AS text,
-             generate_subscripts(regexp_extract_all(html, {_TAG}, 1), 1) AS i FROM pages)"""
+WITH nodes AS (
+  SELECT page_id, lower(tag) AS tag, text, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS ord
+  FROM (SELECT page_id, unnest(regexp_extract_all(h, '{LA.HTML_TEXT}', 1)) AS tag, unnest(regexp_extract_all(h, '{LA.HTML_TEXT}', 2)) AS text,
+               generate_subscripts(regexp_extract_all(h, '{LA.HTML_TEXT}', 1), 1) AS i FROM (SELECT page_id, {_SHOWN} AS h FROM pages))
+  WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '')
+SELECT page_id AS doc_id, ord, page_id || '-' || ord AS block_id,
+       'page_1/' || CASE WHEN starts_with(tag, '/') OR tag IN ('{_VOID}') THEN 'text' ELSE tag END AS section_path, text FROM nodes"""
 
 
 def market_tree(spark: SparkSession, d: str) -> DataFrame:

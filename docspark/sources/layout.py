@@ -8,27 +8,36 @@ from pyspark.sql import functions as F
 from docspark.operators.blocks import envelope
 from docspark.sources.scratch import stage
 
-# fixed values: tags whose own text makes a block
-HTML_TAGS = ("title", "h1", "p", "li", "a", "b", "div", "footer")
+#: What holds no text: comments, scripts and styles whole, declarations.
+HTML_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[!?][^>]*>"
 
-#: One of these tags, whole, and the text behind it.
-HTML_TEXT = "<(" + "|".join(HTML_TAGS) + r")(?:[\s/][^>]*)?>([^<]+)"
+#: A tag, and the text behind it; a bare < belongs to the text.
+HTML_TEXT = r"<(/?[a-zA-Z][a-zA-Z0-9-]*)[^>]*>((?:[^<]+|<[^a-zA-Z/!?])+)"
+
+#: Tags that hold no text of their own.
+HTML_VOID = ("br", "hr", "img", "input", "wbr", "meta", "link")
 
 
 def html_blocks(pages: DataFrame) -> DataFrame:
-    """Leaf text of marked-up pages as blocks, in order of appearance.
+    """All text of marked-up pages as blocks, in order of appearance.
 
-    ``pages(page_id, html)``. A block is an opening tag followed by text.
+    ``pages(page_id, html)``. A block is a piece of text between two tags that
+    is more than white space. Its path names the tag that opens in front of it;
+    text behind a closing tag, or a tag without content, is ``text``. Comments,
+    scripts and styles are no text.
     """
-    pattern = HTML_TEXT
-    tags = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
-    texts = F.regexp_extract_all("html", F.lit(pattern), F.lit(2))
-    found = pages.select("page_id", F.posexplode_outer(F.arrays_zip(tags.alias("tag"), texts.alias("text"))).alias("ord", "b"))
+    shown = F.concat(F.lit("</text>"), F.regexp_replace("html", HTML_HIDDEN, "</text>"))
+    tags = F.regexp_extract_all(shown, F.lit(HTML_TEXT), F.lit(1))
+    texts = F.regexp_extract_all(shown, F.lit(HTML_TEXT), F.lit(2))
+    pairs = F.filter(F.arrays_zip(tags.alias("tag"), texts.alias("text")), lambda b: F.regexp_like(b["text"], F.lit(r"[^ \t\r\n]")))
+    found = pages.select("page_id", F.posexplode_outer(pairs).alias("ord", "b"))
+    tag = F.lower("b.tag")
+    tag = F.when(tag.startswith("/") | tag.isin(*HTML_VOID), F.lit("text")).otherwise(tag)
     return found.filter(F.col("b").isNotNull()).select(
         F.col("page_id").alias("doc_id"),
         "ord",
         F.concat_ws("-", F.col("page_id").cast("string"), F.col("ord").cast("string")).alias("block_id"),
-        F.concat(F.lit("page_1/"), F.col("b.tag")).alias("section_path"),
+        F.concat(F.lit("page_1/"), tag).alias("section_path"),
         F.col("b.text").alias("text"),
     )
 
