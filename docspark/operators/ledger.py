@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docspark.sources.scratch import stage
 from docspark.vocab import UNSCORED_FIELDS
@@ -134,29 +137,103 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+MANIFESTS = "manifests"
+
+
+def artifact_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest manifest of an artifact table: its number, buckets, schema, and the folder of each bucket."""
+    files, folder = _list(spark, f"{path}/{MANIFESTS}"), f"{path}/{MANIFESTS}"
+    found = [f for f in files if f.endswith(".json")]
+    if not found:
+        return None
+    return json.loads(spark.read.text(f"{folder}/{max(found)}", wholetext=True).first()[0])
+
+
+def read_artifact_table(spark: SparkSession, path: str) -> DataFrame:
+    """The artifacts of the newest manifest; what a write has not finished is not seen."""
+    now = artifact_manifest(spark, path)
+    if now is None:
+        raise FileNotFoundError(f"no artifacts in {path}")
+    return _read_buckets(spark, path, now, now["folders"])
+
+
+def _read_buckets(spark: SparkSession, path: str, manifest: dict, buckets: Iterable[str]) -> DataFrame:
+    schema = StructType.fromJson(manifest["schema"])
+    folders = [f"{path}/{manifest['folders'][b]}/doc_bucket={b}" for b in buckets]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _list(spark: SparkSession, path: str) -> list[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _switch(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Make a manifest the newest one: written beside, then renamed, so a reader sees all of it or nothing."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    beside = Path(f"{path}/{MANIFESTS}/{uuid.uuid4().hex}.tmp")
+    fs = beside.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(beside, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    place = Path(f"{path}/{MANIFESTS}/{manifest['number']:010d}.json")
+    if fs.exists(place) or not fs.rename(beside, place):
+        fs.delete(beside, False)
+        raise RuntimeError(f"another write of {path} was faster")
+
+
 def write_artifacts(artifacts: DataFrame, storage: Storage, kind: str, buckets: int = 256) -> None:
     """Put in or replace the artifacts of one kind of the documents written; those of others stay.
 
-    One folder per hash bucket, never one per document. Only the buckets of
-    these documents are read, merged, written to the shared scratch folder, and
-    then put in place whole.
+    One folder per hash bucket, never one per document. Only the buckets of these
+    documents are read and merged. They are written to a version folder of their
+    own, and a manifest that names the folder of every bucket is switched last:
+    readers see the old artifacts or the new ones, whatever fails in between. Of
+    several rows of one document the greatest stays. One writer at a time; one
+    that sees another's manifest in its place fails. The number of buckets is
+    that of the first write. Old folders stay for
+    readers that hold an older manifest until :func:`remove_old_artifacts`.
+    """
+    path, spark = storage.artifacts(kind), artifacts.sparkSession
+    now = artifact_manifest(spark, path)
+    buckets = now["buckets"] if now else buckets
+    rest = [c for c in artifacts.columns if c != "doc_id"]
+    one = artifacts.groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+    bucket = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(buckets)), F.lit(0)).cast("int")
+    new = stage(one.withColumn("doc_bucket", bucket), "artifacts-new")
+    touched = [str(r[0]) for r in new.select("doc_bucket").distinct().collect()]  # at most one per bucket
+    merged = new
+    if now:
+        old = _read_buckets(spark, path, now, [b for b in touched if b in now["folders"]])
+        kept = old.join(new.select("doc_id").distinct(), "doc_id", "left_anti")
+        merged = kept.withColumn("doc_bucket", bucket).unionByName(new, allowMissingColumns=True)
+    number = now["number"] + 1 if now else 1
+    version = f"version-{number:010d}-{uuid.uuid4().hex[:8]}"
+    spread = merged.repartition("doc_bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(8)))
+    spread.write.partitionBy("doc_bucket").parquet(f"{path}/{version}")
+    folders = (now["folders"] if now else {}) | dict.fromkeys(touched, version)
+    schema = json.loads(merged.drop("doc_bucket").schema.json())
+    _switch(spark, path, {"number": number, "buckets": buckets, "schema": schema, "folders": folders})
+
+
+def remove_old_artifacts(spark: SparkSession, storage: Storage, kind: str) -> int:
+    """Delete the version folders that the newest manifest does not name, and older manifests.
+
+    For times when nobody writes or reads an older state. Gives the number of folders deleted.
     """
     path = storage.artifacts(kind)
-    spark = artifacts.sparkSession
-    bucketed = artifacts.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-    if folder_exists(spark, path):
-        bucketed = stage(bucketed, "artifacts-new")
-        touched = [r[0] for r in bucketed.select("doc_bucket").distinct().collect()]  # at most one per bucket
-        old = spark.read.parquet(path).filter(F.col("doc_bucket").isin(touched))
-        kept = old.join(bucketed.select("doc_id").distinct(), "doc_id", "left_anti")
-        bucketed = stage(kept.unionByName(bucketed, allowMissingColumns=True), "artifacts-merged")
-    (
-        bucketed.repartition("doc_bucket", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(8)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("doc_bucket")
-        .parquet(path)
-    )
+    now = artifact_manifest(spark, path)
+    if now is None:
+        return 0
+    used = set(now["folders"].values())
+    old = [v for v in _list(spark, path) if v.startswith("version-") and v not in used]
+    newest = f"{now['number']:010d}.json"
+    stale = [f"{MANIFESTS}/{m}" for m in _list(spark, f"{path}/{MANIFESTS}") if m != newest]
+    for name in [*stale, *old]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(old)
 
 
 def merged_artifacts(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -295,13 +295,51 @@ def artifact_upsert(spark, d):
     content = lambda chars: F.to_json(F.struct(chars.alias("chars"))).alias("content")
     LE.write_artifacts(docs.select("doc_id", content(F.col("chars"))), storage, "blocks", buckets=16)
     LE.write_artifacts(docs.filter(F.col("doc_id") % 3 == 0).select("doc_id", content(F.col("chars") + 1)), storage, "blocks", buckets=16)
-    return spark.read.parquet(storage.artifacts("blocks")).select("doc_id", "content")
+    return LE.read_artifact_table(spark, storage.artifacts("blocks")).select("doc_id", "content")
 
 
 ORACLE["artifact_upsert"] = """
 SELECT doc_id, '{"chars":' || (length(text) + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END) || '}' AS content FROM documents"""
 
 
+@query
+def artifact_content(spark, d):
+    """JSON artifacts read back from their table as variants, some of them cut short."""
+    storage = LE.Storage("v1", scratch_path(spark, "artifacts"))
+    k = F.col("event_id")
+    content = F.when(k % 9 == 4, F.left("props", F.length("props") - 1)).otherwise(F.col("props"))
+    LE.write_artifacts(T.table(spark, d, "events").select(k.alias("doc_id"), content.alias("content")), storage, "props", buckets=16)
+    back = FS.parsed_artifacts(FS.read_artifacts(spark, storage.artifacts("props").removesuffix("/props"), "props"))
+    return back.select("doc_id", F.try_variant_get("content", "$.k", "bigint").alias("k"), F.col("content").isNull().alias("unreadable"))
+
+
+ORACLE["artifact_content"] = """
+SELECT event_id AS doc_id, CASE WHEN event_id % 9 <> 4 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k, event_id % 9 = 4 AS unreadable FROM events"""
+
+
+@query
+def latest_extractions(spark, d):
+    """Orders as extractions of their customers in JSON lines files, some lines cut: the last one of each that can be read."""
+    path = scratch_path(spark, "extractions")
+    row = F.struct(
+        F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("extraction_id"),
+        F.col("o_custkey").cast("string").alias("doc_id"),
+        F.col("o_orderpriority").alias("genomic_pathology_extraction"),
+        F.col("o_orderdate").cast("date").cast("string").alias("extracted_at"),
+    )
+    line = F.to_json(row)
+    cut = F.when(F.col("o_orderkey") % 13 == 5, F.left(line, F.length(line) - 4)).otherwise(line)
+    T.table(spark, d, "orders").select(cut.alias("value")).write.text(path)
+    return FS.read_latest_extractions(spark, path).select("doc_id", "extraction_id", "genomic_pathology_extraction", "extracted_at")
+
+
+ORACLE["latest_extractions"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS doc_id, 'x' || o_orderkey AS extraction_id, o_orderpriority AS genomic_pathology_extraction,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS extracted_at
+FROM orders WHERE o_orderkey % 13 <> 5
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, 'x' || o_orderkey DESC) = 1"""
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Results of prose documents: any noise line sends a document to review."""
     lines = F.split("text", "\n", -1)

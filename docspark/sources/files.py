@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.text import is_blank
-from docspark.operators.ledger import latest_per_key, recent_runs
+from docspark.operators.ledger import latest_per_key, read_artifact_table, recent_runs
 
 CORRUPT = "_corrupt_record"
 
@@ -198,8 +198,8 @@ def metadata_of(envelope: Column) -> Column:
 
 
 def read_artifacts(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """The artifact table of one kind."""
-    return spark.read.parquet(f"{root}/{kind}")
+    """The artifact table of one kind, as its newest manifest has it."""
+    return read_artifact_table(spark, f"{root}/{kind}")
 
 
 def parsed_artifacts(artifacts: DataFrame) -> DataFrame:

@@ -107,6 +107,27 @@ def test_ledger_rows_and_artifacts(spark, tmp_path):
     back = FS.parsed_artifacts(FS.read_artifacts(spark, f"{tmp_path}/artifacts_v1", "blocks"))
     got = {r["doc_id"]: r["t"] for r in back.select("doc_id", F.to_json("content").alias("t")).collect()}
     assert len(got) == 51 and got["d1"] == "[2]" and got["d2"] == "[1]" and got["e"] is None
+    switch = LE._switch
+    LE._switch = lambda *a: 1 / 0  # between write and switch
+    try:
+        LE.write_artifacts(spark.createDataFrame([("d1", "[3]"), ("f", "[3]")], new.schema), storage, "blocks")
+        raise AssertionError("expected ZeroDivisionError")
+    except ZeroDivisionError:
+        pass
+    finally:
+        LE._switch = switch
+    table = lambda: {r["doc_id"]: r["content"] for r in LE.read_artifact_table(spark, storage.artifacts("blocks")).collect()}
+    assert len(table()) == 51 and table()["d1"] == "[2]"
+    held = LE.read_artifact_table(spark, storage.artifacts("blocks"))
+    twice = spark.createDataFrame([("d1", "[4]", 1), ("d1", "[5]", 2), (None, "[]", 3)], "doc_id string, content string, n int")
+    LE.write_artifacts(twice, storage, "blocks")
+    assert held.count() == 51 and table()["d1"] == "[5]" and len(table()) == 52
+    seen = LE.artifact_manifest(spark, storage.artifacts("blocks"))
+    with pytest.raises(RuntimeError):
+        LE._switch(spark, storage.artifacts("blocks"), seen)
+    before = table()
+    assert LE.remove_old_artifacts(spark, storage, "blocks") >= 1 and table() == before
+    assert LE.remove_old_artifacts(spark, storage, "blocks") == 0 == LE.remove_old_artifacts(spark, storage, "none")
     kinds = spark.createDataFrame([("a", "blocks")], "doc_id string, kind string")
     present = FS.artifact_presence(results, kinds, ("blocks", "pages")).collect()
     assert {(r["doc_id"], r["kind"]) for r in present if r["present"]} == {("a", "blocks")} and len(present) == 6
@@ -228,3 +249,20 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     with pytest.raises(ValueError):
         scratch_root(cluster)
     assert scratch_root(shared) == "hdfs://x/y"
+
+
+def test_all_text_of_marked_up_pages(spark):
+    pages = [
+        (1, "lead <p>a <b>b</b> tail</p><td>cell</td><h2>Head</h2><span>s</span>"),
+        (2, "<!DOCTYPE html><!-- <p>no</p> --><script>if (a<b) x()</script ><STYLE>p{}</STYLE><P CLASS='x'>1 < 2 &amp; 3<br>4 \n</P>\n<div> </div>"),
+        (3, ""),
+        (4, None),
+        (5, "plain"),
+        (6, "<p>" + "long " * 200_000 + "</p>"),
+    ]
+    got = LA.html_blocks(spark.createDataFrame(pages, "page_id int, html string")).orderBy("doc_id", "ord").collect()
+    found = lambda d: [(r["section_path"][7:], r["text"]) for r in got if r["doc_id"] == d]
+    assert found(1) == [("text", "lead "), ("p", "a "), ("b", "b"), ("text", " tail"), ("td", "cell"), ("h2", "Head"), ("span", "s")]
+    assert found(2) == [("p", "1 < 2 &amp; 3"), ("text", "4 \n")]
+    assert found(3) == found(4) == [] and found(5) == [("text", "plain")] and len(found(6)[0][1]) == 1_000_000
+    assert [r["ord"] for r in got if r["doc_id"] == 1] == list(range(7))
