@@ -226,6 +226,18 @@ SELECT doc_id, block_id, page_number, ord, text_role, {_HINT_SQL} AS hints, CAST
 FROM tagged"""
 
 
+@query
+def merged_roles(spark, d):
+    """The scored blocks put back among the blocks of their document, with the position they were read at."""
+    profiles = prose_profiles(spark, d).filter(F.col("text_role") != NOISE_ROLE).select("doc_id", "block_id", "page_number", "ord", "text_role")
+    return R.merge_in_order(prose_blocks(spark, d), profiles).select("doc_id", "block_id", "ord", "page_number", "text_role")
+
+
+ORACLE["merged_roles"] = f"""
+WITH {S.LINES}, {_TAGGED}
+SELECT doc_id, block_id, ord, page_number, text_role FROM tagged WHERE text_role <> '{NOISE_ROLE}'"""
+
+
 @query
 def role_batches(spark, d):
     blocks = prose_blocks(spark, d).filter(~N.is_noise(F.col("text"), T.PROSE_NOISE))
