@@ -6,7 +6,7 @@ row per field, ``value`` null where nothing was extracted.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,17 +39,22 @@ def missed_fields(cands: DataFrame, rows: DataFrame) -> DataFrame:
     return offers.join(rows.filter(F.col("value").isNotNull()).select("doc_id", "field"), ["doc_id", "field"], "left_anti")
 
 
-def spurious_fields(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Values that the block they cite does not contain, or that cite no known block.
+def grounded_fields(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Fields whose value is contained in a block that they cite.
 
-    The inner join comes first: it can be planned from the side of the few
-    values, which an outer join could not, so the block texts need not travel.
+    An inner join: it can be planned from the side of the few values, which an
+    outer join could not, so the block texts need not travel.
     """
     cited = rows.filter(F.col("value").isNotNull()).select("doc_id", "field", "value", "block_id")
     texts = blocks.select("doc_id", "block_id", F.col("text").alias("block_text"))
     found = F.contains(text_key(F.col("block_text")), text_key(F.col("value")))
-    grounded = texts.join(cited, ["doc_id", "block_id"]).filter(found).select("doc_id", "field")
-    return cited.join(grounded, ["doc_id", "field"], "left_anti")
+    return texts.join(cited, ["doc_id", "block_id"]).filter(found).select("doc_id", "field")
+
+
+def spurious_fields(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Values that the block they cite does not contain, or that cite no known block."""
+    cited = rows.filter(F.col("value").isNotNull()).select("doc_id", "field", "value", "block_id")
+    return cited.join(grounded_fields(rows, blocks), ["doc_id", "field"], "left_anti")
 
 
 def checklist_misses(cands: DataFrame, rows: DataFrame) -> DataFrame:
@@ -72,36 +77,63 @@ def audit(
 ) -> DataFrame:
     """One audit row per document.
 
-    All findings are tagged and united, so one aggregation counts them all.
-    Confidence and provenance are no extracted values.
+    Everything the audit knows is a tagged row: a candidate or a value under its
+    text, an offer, a value or a grounded value under its field. One aggregation by
+    document and tag finds what is missing on either side, a second one counts,
+    so no anti join shuffles the candidates again. Confidence and provenance are
+    no extracted values.
     """
-    kinds = ("documents", "candidates", "extracted", "missed", "vague", "spurious", "checklist_misses")
-
-    def tag(df: DataFrame, kind: str) -> DataFrame:
-        return df.select("doc_id", F.lit(kind).alias("kind"))
-
-    missed = missed_fields(cands, rows)
-    values = rows.filter(F.col("value").isNotNull() & ~F.col("field").isin(*UNSCORED_FIELDS))
+    filled = rows.filter(F.col("value").isNotNull())
+    offer = F.struct("text_key", "text", "evidence_block")
+    offers = cands.filter(F.col("field_hint").isNotNull())
     parts = [
-        tag(docs, "documents"),
-        tag(cands, "candidates"),
-        tag(values, "extracted"),
-        missed.select("doc_id", F.when(F.col("evidence_block").isNotNull(), F.lit("missed")).otherwise(F.lit("vague")).alias("kind")),
-        tag(spurious_fields(rows, blocks), "spurious"),
-        tag(checklist_misses(cands, rows), "checklist_misses"),
+        _tagged(docs, "document", F.lit("")),
+        _tagged(cands, "text", F.col("text_key"), seen=1),
+        _tagged(filled, "text", text_key(F.col("value")), valued=1),
+        _tagged(offers, "field", F.col("field_hint"), seen=1, offer=offer),
+        _tagged(filled, "field", F.col("field"), valued=1),
+        _tagged(grounded_fields(rows, blocks), "field", F.col("field"), grounded=1),
     ]
-    all_rows = parts[0]
+    tags = parts[0]
     for p in parts[1:]:
-        all_rows = all_rows.unionByName(p)
-    counts = all_rows.groupBy("doc_id").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
+        tags = tags.unionByName(p)
+    sums = [F.sum(c).alias(c) for c in ("seen", "valued", "grounded")]
+    found = tags.groupBy("doc_id", "kind", "key").agg(*sums, F.min("offer").alias("offer"))
+    kind, value = F.col("kind"), F.col("valued")
+    unmet = (F.col("seen") > 0) & (value == 0)
+    block = F.col("offer.evidence_block")
+
+    def total(when: Column, what: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(when, what)), F.lit(0)).alias(name)
+
+    counts = found.groupBy("doc_id").agg(
+        F.count_if(kind == "document").alias("documents"),
+        total(kind == "text", F.col("seen"), "candidates"),
+        total((kind == "field") & ~F.col("key").isin(*UNSCORED_FIELDS), value, "extracted"),
+        F.count_if((kind == "field") & unmet & block.isNotNull()).alias("missed"),
+        F.count_if((kind == "field") & unmet & block.isNull()).alias("vague"),
+        total((kind == "field") & (F.col("grounded") == 0), value, "spurious"),
+        total((kind == "text") & unmet, F.col("seen"), "checklist_misses"),
+    )
     return counts.filter(F.col("documents") > 0).select(
         "doc_id",
-        *kinds[1:],
+        "candidates",
+        "extracted",
+        "missed",
+        "vague",
+        "spurious",
+        "checklist_misses",
         (F.col("missed") + F.col("vague") + F.col("checklist_misses") == 0).alias("coverage_ok"),
         coverage_gap(F.col("candidates"), F.col("extracted"), tolerance).alias("gap_signal"),
     )
 
 
+def _tagged(df: DataFrame, kind: str, key: Column, seen: int = 0, valued: int = 0, grounded: int = 0, offer: Column | None = None) -> DataFrame:
+    none = F.lit(None).cast("struct<text_key:string,text:string,evidence_block:string>")
+    counts = [F.lit(n).cast("bigint").alias(c) for n, c in ((seen, "seen"), (valued, "valued"), (grounded, "grounded"))]
+    return df.select("doc_id", F.lit(kind).alias("kind"), key.alias("key"), *counts, (none if offer is None else offer).alias("offer"))
+
+
 def choose_policy(audits: DataFrame) -> DataFrame:
     """Add ``conflict`` and, for conflicts, the resolution ``policy``.
 
@@ -130,12 +162,12 @@ def reextract_hints(missed: DataFrame, spurious: DataFrame) -> DataFrame:
     )
 
 
-def team_verdicts(policies: DataFrame) -> DataFrame:
+def team_verdicts(policies: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Outcome of the team per document, from policy and number of hints.
 
     ``policies`` has ``conflict, policy, hints, reasoning``. Accepted and
     re-extracted records are committed; a re-extraction without a hint and a
-    fact check go to review.
+    fact check go to review. ``keep`` names other columns to carry along.
     """
     p = F.col("policy")
     why = F.coalesce("reasoning", F.lit(""))
@@ -154,6 +186,7 @@ def team_verdicts(policies: DataFrame) -> DataFrame:
         F.when(flag, F.lit("sme_flag")).otherwise(F.lit("committed")).alias("team_verdict"),
         reason.alias("team_reason"),
         (F.col("conflict") & (p == "RE_EXTRACT") & ~no_hints).alias("rerun"),
+        *keep,
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docspark.operators import ledger as LE
 from docspark.operators import noise as N
 from docspark.operators import routing as RO
-from docspark.plans import prose, sqltext as S
+from docspark.plans import prose, quality, sqltext as S
 from docspark.sources import files as FS
 from docspark.sources import tables as T
 from docspark.sources.scratch import scratch_path
@@ -376,3 +376,25 @@ d AS (SELECT doc_id, bool_or(t <> '' AND {prose._NOISE_SQL}) AS noisy, count(*)
 SELECT doc_id, 'v1' AS pipeline_version, CASE WHEN noisy THEN 'sme_flag' ELSE 'auto_accept' END AS verdict,
        CASE WHEN noisy THEN 'noise found' ELSE 'clean' END AS verdict_reason,
        CASE WHEN NOT noisy THEN '{{"lines":' || n || ',"chars":' || chars || '}}' END AS envelope FROM d"""
+
+
+@query
+def ingest_documents(spark, d):
+    """Documents as a file stream through the whole plan into the ledgers: the stored verdicts equal those of the batch."""
+    root = scratch_path(spark, "ingest")
+    storage = LE.Storage("v1", root)
+    arrivals = (
+        spark.readStream.schema("doc_id bigint, text string").option("pathGlobFilter", "documents.parquet").parquet(d)
+    )
+    IN.ingest(arrivals, quality.prose_results, storage, f"{root}/checkpoint").awaitTermination()
+    runs = IN.read_ledger(spark, storage.runs, IN.RUN_COLUMNS.format(id="bigint"))
+    extractions = IN.read_ledger(spark, storage.extractions, IN.EXTRACTION_COLUMNS.format(id="bigint"))
+    stored = quality.result_columns(extractions.select("run_id", F.col("genomic_pathology_extraction").alias("envelope")))
+    return runs.join(stored, "run_id", "left").select(
+        "doc_id", "pipeline_version", "verdict", "verdict_reason", "verifier_scorecards", "practice", "last_name", "pages"
+    )
+
+
+ORACLE["ingest_documents"] = f"""{quality._RESULTS}
+SELECT doc_id, 'v1' AS pipeline_version, verdict, verdict_reason, verifier_scorecards, CASE WHEN verdict = 'auto_accept' THEN practice END AS practice,
+       CASE WHEN verdict = 'auto_accept' THEN last_name END AS last_name, CASE WHEN verdict = 'auto_accept' THEN pages END AS pages FROM results"""

@@ -36,16 +36,14 @@ def prose_blocks(spark: SparkSession, d: str) -> DataFrame:
     return B.blocks_from_text(T.documents(spark, d))
 
 
-def prose_pages(spark: SparkSession, d: str) -> DataFrame:
+def clean_pages(docs: DataFrame) -> DataFrame:
     """Clean pages whose spans carry the role of their block."""
-    return B.pages_from_text(
-        T.documents(spark, d), drop=_noise, describe=_describe, span_type=SPANS_WITH_ROLE
-    )
+    return B.pages_from_text(docs, drop=_noise, describe=_describe, span_type=SPANS_WITH_ROLE)
 
 
-def prose_mentions(spark: SparkSession, d: str) -> DataFrame:
+def placed_mentions(docs: DataFrame) -> DataFrame:
     """Mentions with the block they start in and its role; no shuffle up to here."""
-    found = E.recognise(prose_pages(spark, d).drop("block_ids"), T.PROSE_PATTERNS)
+    found = E.recognise(clean_pages(docs).drop("block_ids"), T.PROSE_PATTERNS)
     span = E.block_at(F.col("block_spans"), F.col("char_start"))
     placed = found.withColumn("span", span).select(
         "*", "span.block_id", F.coalesce("span.text_role", F.lit("")).alias("text_role")
@@ -53,12 +51,26 @@ def prose_mentions(spark: SparkSession, d: str) -> DataFrame:
     return placed.withColumn("hints", R.hints_of(F.col("text_role"), T.PROSE_ROLES)).drop("span", "block_spans")
 
 
+def candidates_of(docs: DataFrame) -> DataFrame:
+    """The candidates of ``docs(doc_id, text)``, from text to fold."""
+    gated = E.gate(placed_mentions(docs), T.PROSE_TABLES)
+    return E.candidates(E.resolve_sections(gated, T.PROSE_TABLES), T.PROSE_TABLES)
+
+
+def prose_pages(spark: SparkSession, d: str) -> DataFrame:
+    return clean_pages(T.documents(spark, d))
+
+
+def prose_mentions(spark: SparkSession, d: str) -> DataFrame:
+    return placed_mentions(T.documents(spark, d))
+
+
 def prose_gated(spark: SparkSession, d: str) -> DataFrame:
     return E.gate(prose_mentions(spark, d), T.PROSE_TABLES)
 
 
 def prose_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return E.candidates(E.resolve_sections(prose_gated(spark, d), T.PROSE_TABLES), T.PROSE_TABLES)
+    return candidates_of(T.documents(spark, d))
 
 
 # --- blocks and pages --------------------------------------------------------
