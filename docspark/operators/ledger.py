@@ -133,6 +133,11 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
@@ -140,15 +145,20 @@ def append(rows: DataFrame, path: str) -> None:
 MANIFESTS = "manifests"
 
 
-def artifact_manifest(spark: SparkSession, path: str) -> dict | None:
-    """The newest manifest of an artifact table: its number, buckets, schema, and the folder of each bucket."""
-    files, folder = _list(spark, f"{path}/{MANIFESTS}"), f"{path}/{MANIFESTS}"
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest manifest of a table."""
+    files, folder = list_folder(spark, f"{path}/{MANIFESTS}"), f"{path}/{MANIFESTS}"
     found = [f for f in files if f.endswith(".json")]
     if not found:
         return None
     return json.loads(spark.read.text(f"{folder}/{max(found)}", wholetext=True).first()[0])
 
 
+def artifact_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest manifest of an artifact table: its number, buckets, schema, and the folder of each bucket."""
+    return read_manifest(spark, path)
+
+
 def read_artifact_table(spark: SparkSession, path: str) -> DataFrame:
     """The artifacts of the newest manifest; what a write has not finished is not seen."""
     now = artifact_manifest(spark, path)
@@ -163,13 +173,14 @@ def _read_buckets(spark: SparkSession, path: str, manifest: dict, buckets: Itera
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def _list(spark: SparkSession, path: str) -> list[str]:
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no such folder."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _switch(spark: SparkSession, path: str, manifest: dict) -> None:
+def switch_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
     """Make a manifest the newest one: written beside, then renamed, so a reader sees all of it or nothing."""
     Path = spark._jvm.org.apache.hadoop.fs.Path
     beside = Path(f"{path}/{MANIFESTS}/{uuid.uuid4().hex}.tmp")
@@ -214,7 +225,7 @@ def write_artifacts(artifacts: DataFrame, storage: Storage, kind: str, buckets:
     spread.write.partitionBy("doc_bucket").parquet(f"{path}/{version}")
     folders = (now["folders"] if now else {}) | dict.fromkeys(touched, version)
     schema = json.loads(merged.drop("doc_bucket").schema.json())
-    _switch(spark, path, {"number": number, "buckets": buckets, "schema": schema, "folders": folders})
+    switch_manifest(spark, path, {"number": number, "buckets": buckets, "schema": schema, "folders": folders})
 
 
 def remove_old_artifacts(spark: SparkSession, storage: Storage, kind: str) -> int:
@@ -227,12 +238,11 @@ def remove_old_artifacts(spark: SparkSession, storage: Storage, kind: str) -> in
     if now is None:
         return 0
     used = set(now["folders"].values())
-    old = [v for v in _list(spark, path) if v.startswith("version-") and v not in used]
+    old = [v for v in list_folder(spark, path) if v.startswith("version-") and v not in used]
     newest = f"{now['number']:010d}.json"
-    stale = [f"{MANIFESTS}/{m}" for m in _list(spark, f"{path}/{MANIFESTS}") if m != newest]
+    stale = [f"{MANIFESTS}/{m}" for m in list_folder(spark, f"{path}/{MANIFESTS}") if m != newest]
     for name in [*stale, *old]:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        delete_folder(spark, f"{path}/{name}")
     return len(old)
 
 

@@ -378,6 +378,25 @@ SELECT doc_id, 'v1' AS pipeline_version, CASE WHEN noisy THEN 'sme_flag' ELSE 'a
        CASE WHEN NOT noisy THEN '{{"lines":' || n || ',"chars":' || chars || '}}' END AS envelope FROM d"""
 
 
+@query
+def merged_ledger(spark, d):
+    """Events as run rows of four batches, the first three merged, the last one read by its hash buckets."""
+    path = LE.Storage("v1", scratch_path(spark, "merged")).runs
+    columns = IN.RUN_COLUMNS.format(id="bigint")
+    e = event_runs(spark, d).withColumn("run_id", F.col("run_id").cast("string"))
+    for n in range(4):
+        if n == 3:
+            IN.compact(spark, path, columns, buckets=16)
+        IN.write_batch(LE.run_rows(e.where(F.col("doc_id") % 4 == n), LE.Storage("v1", "/ledger")), path, f"b{n}", buckets=16)
+    old = IN.read_ledger(spark, path, columns).where("batch <> 'b3'")
+    new = IN.read_ledger(spark, path, columns, range(16)).where("batch = 'b3'")
+    return old.unionByName(new).groupBy("doc_id", "batch").agg(F.count("*").alias("runs"), F.max("latency_ms").alias("slowest"))
+
+
+ORACLE["merged_ledger"] = f"""
+WITH {_RUNS} SELECT doc_id, 'b' || doc_id % 4 AS batch, count(*) AS runs, max(latency_ms) AS slowest FROM runs GROUP BY ALL"""
+
+
 @query
 def ingest_documents(spark, d):
     """Documents as a file stream through the whole plan into the ledgers: the stored verdicts equal those of the batch."""

@@ -1,8 +1,10 @@
 import json
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from docspark.operators.ledger import Storage
+from docspark.operators.ledger import Storage, run_rows
 from docspark.streaming import ingest as IN
 
 
@@ -56,3 +58,69 @@ def test_rows_without_an_id_are_set_apart(spark, tmp_path):
         assert run(spark, inbox, storage, checkpoint) == (["a"], ["a"])
         rejected = [(r["reject_reason"], json.loads(r["row"])["text"]) for r in spark.read.parquet(storage.rejected).collect()]
         assert sorted(rejected) == [("doc_id is required", t) for t in ("first", "second", "second")]
+
+
+COLUMNS = IN.RUN_COLUMNS.format(id="bigint")
+
+
+def run_batch(spark, path, key, ids, buckets=8):
+    results = spark.createDataFrame([(i, "auto_accept") for i in ids], "doc_id bigint, verdict string")
+    IN.write_batch(run_rows(results, Storage("v1", "/ledger")), path, key, buckets)
+
+
+def stored(spark, path, buckets=None):
+    return sorted((r["doc_id"], r["batch"]) for r in IN.read_ledger(spark, path, COLUMNS, buckets).collect())
+
+
+def test_a_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    run_batch(spark, path, "q-0", range(100))
+    run_batch(spark, path, "q-1", range(100, 150))
+    IN.compact(spark, path, COLUMNS, buckets=8)
+    run_batch(spark, path, "q-2", range(150, 200))
+    ids = spark.range(200).select("id", IN.bucket_of(F.col("id"), 8).alias("b"))
+    want = sorted(r["id"] for r in ids.filter("b IN (2, 5)").collect())
+    read = IN.read_ledger(spark, path, COLUMNS, [2, 5])
+    assert sorted(r["doc_id"] for r in read.collect()) == want
+    scans = [line for line in read._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all(re.search(r"PartitionFilters: \[doc_bucket#\d+ IN \(2,5\)\]", line) for line in scans)
+    assert stored(spark, path, []) == []
+
+
+def test_merging_keeps_every_row_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    run_batch(spark, path, "q-0", [1, 2, 3])
+    run_batch(spark, path, "q-1", [4])
+    want = [(1, "q-0"), (2, "q-0"), (3, "q-0"), (4, "q-1")]
+
+    def fails(*_):
+        raise OSError("no manifest")
+
+    with monkeypatch.context() as m:
+        m.setattr(IN, "switch_manifest", fails)
+        with pytest.raises(OSError):
+            IN.compact(spark, path, COLUMNS)
+    assert stored(spark, path) == want
+    assert IN.compact(spark, path, COLUMNS) == 2 and stored(spark, path) == want
+    assert IN.compact(spark, path, COLUMNS) == 0
+    # a merged batch is replayed: its folder is written anew, and its rows are still there once
+    run_batch(spark, path, "q-1", [4])
+    assert stored(spark, path) == want
+    run_batch(spark, path, "q-2", [5, 6])
+    want += [(5, "q-2"), (6, "q-2")]
+    assert IN.compact(spark, path, COLUMNS) == 1 and stored(spark, path) == want
+    assert IN.remove_merged(spark, path) == 3 + 2 and stored(spark, path) == want
+    assert len(list((tmp_path / "runs" / "_bases").iterdir())) == 1
+    assert IN.compact(spark, path, COLUMNS) == 0 and IN.remove_merged(spark, path) == 0
+
+
+def test_merged_documents_do_not_run_again(spark, tmp_path):
+    inbox, storage, checkpoint = tmp_path / "in", Storage("v1", str(tmp_path / "out")), tmp_path / "cp"
+    inbox.mkdir()
+    arrive(inbox, "1.json", [("a", "good"), ("b", "bad")])
+    assert run(spark, inbox, storage, checkpoint) == (["a", "b"], ["a"])
+    IN.compact(spark, storage.runs, IN.RUN_COLUMNS.format(id="string"))
+    IN.compact(spark, storage.extractions, IN.EXTRACTION_COLUMNS.format(id="string"))
+    IN.remove_merged(spark, storage.runs)
+    arrive(inbox, "2.json", [("a", "again"), ("b", "good now"), ("c", "good")])
+    assert run(spark, inbox, storage, checkpoint) == (["a", "b", "c"], ["a", "c"])

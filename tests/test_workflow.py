@@ -106,7 +106,7 @@ def test_stream_equals_batch_whatever_fails_between_the_ledgers(spark, tmp_path,
     inbox.mkdir()
     for n, part in enumerate((DOCS[:5], DOCS[5:10])):
         (inbox / f"{n}.json").write_text("\n".join(json.dumps({"doc_id": d, "text": t}) for d, t in part))
-    write, failures = IN._write_batch, []
+    write, failures = IN.write_batch, []
 
     def failing(rows, path, *rest):
         if path == storage.runs and len(failures) < 2:
@@ -114,7 +114,7 @@ def test_stream_equals_batch_whatever_fails_between_the_ledgers(spark, tmp_path,
             raise OSError("the second ledger is away")
         write(rows, path, *rest)
 
-    monkeypatch.setattr(IN, "_write_batch", failing)
+    monkeypatch.setattr(IN, "write_batch", failing)
 
     def start():
         stream = spark.readStream.schema("doc_id string, text string").option("maxFilesPerTrigger", 1).json(str(inbox))
