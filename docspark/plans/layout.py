@@ -27,7 +27,7 @@ def query(fn):
 
 @query
 def html_blocks(spark, d):
-    return LA.html_blocks(T.spread(T.table(spark, d, "pages").select("page_id", "html")))
+    return LA.html_blocks(T.table(spark, d, "pages").select("page_id", "html"))
 
 
 _SHOWN = f"'</text>' || regexp_replace(html, '{LA.HTML_HIDDEN}', '</text>', 'g')"
@@ -376,7 +376,7 @@ WHERE (doc_id, doc_id % 3 + 1) NOT IN (SELECT (doc_id, page_number) FROM lines)"
 
 @query
 def layout_lookup(spark, d):
-    blocks = LA.html_blocks(T.spread(T.table(spark, d, "pages").select("page_id", "html"))).withColumn("page_number", F.lit(1))
+    blocks = LA.html_blocks(T.table(spark, d, "pages").select("page_id", "html")).withColumn("page_number", F.lit(1))
     return SE.layout_lookup(blocks, 1, "page_1/p").select("doc_id", "block_id", "text")
 
 

@@ -340,6 +340,11 @@ FROM orders WHERE o_orderkey % 13 <> 5
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, 'x' || o_orderkey DESC) = 1"""
 
 
+def arriving(spark: SparkSession, d: str) -> DataFrame:
+    """The documents as a file stream. The path is a pattern, since a stream takes a single file only by a pattern, and a folder too."""
+    return spark.readStream.schema("doc_id bigint, text string").parquet(f"{d}/documents.parque[t]")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Results of prose documents: any noise line sends a document to review."""
     lines = F.split("text", "\n", -1)
@@ -358,10 +363,7 @@ def ingest_stream(spark, d):
     """Documents as a file stream into the ledgers, read back from there."""
     root = scratch_path(spark, "ingest")
     storage = LE.Storage("v1", root)
-    arrivals = (
-        spark.readStream.schema("doc_id bigint, text string").option("pathGlobFilter", "documents.parquet").parquet(d)
-    )
-    IN.ingest(arrivals, judge, storage, f"{root}/checkpoint").awaitTermination()
+    IN.ingest(arriving(spark, d), judge, storage, f"{root}/checkpoint").awaitTermination()
     runs = IN.read_ledger(spark, storage.runs, IN.RUN_COLUMNS.format(id="bigint"))
     extractions = IN.read_ledger(spark, storage.extractions, IN.EXTRACTION_COLUMNS.format(id="bigint"))
     return runs.join(extractions.select("run_id", F.col("genomic_pathology_extraction").alias("envelope")), "run_id", "left").select(
@@ -402,10 +404,7 @@ def ingest_documents(spark, d):
     """Documents as a file stream through the whole plan into the ledgers: the stored verdicts equal those of the batch."""
     root = scratch_path(spark, "ingest")
     storage = LE.Storage("v1", root)
-    arrivals = (
-        spark.readStream.schema("doc_id bigint, text string").option("pathGlobFilter", "documents.parquet").parquet(d)
-    )
-    IN.ingest(arrivals, quality.prose_results, storage, f"{root}/checkpoint").awaitTermination()
+    IN.ingest(arriving(spark, d), quality.prose_results, storage, f"{root}/checkpoint").awaitTermination()
     runs = IN.read_ledger(spark, storage.runs, IN.RUN_COLUMNS.format(id="bigint"))
     extractions = IN.read_ledger(spark, storage.extractions, IN.EXTRACTION_COLUMNS.format(id="bigint"))
     stored = quality.result_columns(extractions.select("run_id", F.col("genomic_pathology_extraction").alias("envelope")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.sources.tables import spread, table
+from docspark.sources.tables import table
 
 FIRST = ("ORVEN", "Tilda", "Mirka", "Pavo")
 LAST = ("QUILLON", "Brandt", "Osei", "Lindqvar", "Farrow")
@@ -28,7 +28,7 @@ def _date(base: str, days: Column) -> Column:
 
 
 def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     k, nation = F.col("c_custkey"), F.col("c_nationkey")
     text = k.cast("string")
     segment = F.initcap("c_mktsegment")
@@ -106,7 +106,7 @@ def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The right record of each report, from the key alone."""
-    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     k, nation = F.col("c_custkey"), F.col("c_nationkey")
     text = k.cast("string")
     none = F.lit(None).cast("string")

@@ -124,3 +124,11 @@ def test_merged_documents_do_not_run_again(spark, tmp_path):
     IN.remove_merged(spark, storage.runs)
     arrive(inbox, "2.json", [("a", "again"), ("b", "good now"), ("c", "good")])
     assert run(spark, inbox, storage, checkpoint) == (["a", "b", "c"], ["a", "c"])
+
+
+def test_a_table_of_many_files_arrives_whole(spark, small, tmp_path):
+    from docspark.plans import ledger
+
+    spark.read.parquet(f"{small}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {r["doc_id"]: r["verdict"] for r in ledger.ingest_stream(spark, small).collect()}
+    assert want and {r["doc_id"]: r["verdict"] for r in ledger.ingest_stream(spark, str(tmp_path)).collect()} == want
