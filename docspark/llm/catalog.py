@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +28,12 @@ from docspark.sources.scratch import stage
 #: The secret of the pseudonyms; a real run brings its own.
 KEY = "an example key, not a secret"
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+def tokenizer_file() -> str:
+    """Where the tokenizer lies; only packing needs it, so nothing else fails where it is missing."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +51,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, special=True)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file(), special=True)
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

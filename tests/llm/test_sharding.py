@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -30,6 +32,32 @@ def test_changed_weights_move_rows_only_into_grown_subtrees(spark):
         assert region(b) == 1 if region(a) != 1 else (rack(b) == 2 if rack(a) != 2 else b == 5)
 
 
+def plain_descent(key, node, path=""):
+    """The way of a key by the definition of the draws, in plain Python."""
+    if not node.children:
+        return node.shard
+
+    def draw(child):
+        digits = hashlib.md5(f"{key}|{path}/{child.name}".encode()).hexdigest()[:13]
+        return -math.log((int(digits, 16) + 0.5) / 2**52) / child.weight
+
+    won = min(node.children, key=draw)
+    return plain_descent(key, won, f"{path}/{won.name}")
+
+
+def test_every_row_of_a_table_by_the_definition(spark, small):
+    table = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in table.collect()}
+    for weights in (None, [1.0, 2.5, 0.25, 4.0] * 4):
+        first, grown = S.tree(16, weights=weights), S.tree(17, weights=[*weights, 1.0] if weights else None)
+        got = S.assign(table, 16, weights).collect()
+        assert len(got) == len(texts)
+        for r in got:
+            text = texts[r["doc_id"]]
+            want = (plain_descent(r["doc_id"], first), plain_descent(r["doc_id"], grown), len(text) + 1, zlib.crc32(text))
+            assert (r["shard"], r["grown_shard"], r["size"], r["text_crc32"]) == want
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 5), (None, "é" * 10, 6), (None, "é" * 10, 6), (2, "", 7), (3, "x" * 300_000, 8)]
     got = S.assign(docs(spark, rows, "doc_id bigint, text string, shard bigint"), 4).collect()
