@@ -33,7 +33,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences of 1024 tokens."""
-    return packing.pack_documents(docs, catalog.TOKENIZER, special=True)
+    return packing.pack_documents(docs, catalog.tokenizer_file(), special=True)
 
 
 STAGES = [
