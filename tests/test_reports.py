@@ -1,6 +1,10 @@
 """Records and runs of the printed reports: how the work is spread and what the planner may broadcast."""
 
+from pyspark.sql import functions as F
+
 from docspark.operators import fields as FI
+from docspark.plans import quality, reports
+from docspark.sources.reports import customers, gold_records, report_blocks
 
 
 def plan_of(df):
@@ -16,3 +20,19 @@ def test_citations_are_never_broadcast(spark):
     found = FI.fabricated_citations(cited, blocks)
     assert "Broadcast" not in plan_of(found) and "SortMergeJoin" in plan_of(found)
     assert sorted(tuple(r) for r in found.select("doc_id", "field", "block_id").collect()) == [(1, "g", "1-9"), (2, "f", "1-0"), (2, "h", "2-1x")]
+
+
+def test_customers_are_spread_before_they_become_reports(spark, small):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert customers(spark, small).rdd.getNumPartitions() == least
+    rows = customers(spark, small).count()
+    assert customers(spark, small, per_task=5).rdd.getNumPartitions() == max(least, -(-rows // 5))
+    for made in (report_blocks(spark, small), gold_records(spark, small)):
+        used = made.select(F.spark_partition_id().alias("p"), "doc_id").distinct().groupBy("doc_id").count()
+        assert made.rdd.getNumPartitions() == least and used.filter("count > 1").isEmpty()
+
+
+def test_records_are_folded_where_their_customer_lies(spark, small):
+    """The only shuffle is that of the customers, not of the blocks."""
+    for name, of in (("record_fields", reports), ("provenance", reports), ("validate_records", quality), ("scorecards", quality)):
+        assert plan_of(of.QUERIES[name](spark, small)).count("Exchange hashpartitioning") == 1, name
