@@ -85,8 +85,8 @@ def key_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("\x1f", *cols), 256)
 
 
-def run_rows(results: DataFrame, storage: Storage, completed_at: Column | None = None) -> DataFrame:
-    """Run rows for ``results``: one for every document, accepted or not."""
+def run_rows(results: DataFrame, storage: Storage, completed_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Run rows for ``results``: one for every document, accepted or not. ``keep`` names other columns to carry along."""
     have = results.columns
 
     def col(name: str, kind: str, default=None) -> Column:
@@ -110,14 +110,19 @@ def run_rows(results: DataFrame, storage: Storage, completed_at: Column | None =
         cards.alias("verifier_scorecards"),
         prefix.alias("artifacts_gcs_prefix"),
         (F.current_timestamp() if completed_at is None else completed_at).alias("completed_at"),
+        *keep,
     )
 
 
+def is_stored() -> Column:
+    """Whether a result has an extraction row: accepted, and with an envelope."""
+    return F.coalesce((F.col("verdict") == "auto_accept") & F.col("envelope").isNotNull(), F.lit(False))
+
+
 def extraction_rows(results: DataFrame, storage: Storage, extracted_at: Column | None = None) -> DataFrame:
     """Extraction rows: only for accepted documents that have an envelope."""
-    accepted = (F.col("verdict") == "auto_accept") & F.col("envelope").isNotNull()
     run_id = F.col("run_id") if "run_id" in results.columns else key_id("doc_id", F.lit(storage.version), F.lit("run"))
-    return results.filter(accepted).select(
+    return results.filter(is_stored()).select(
         key_id("doc_id", F.lit(storage.version), F.lit("extraction")).alias("extraction_id"),
         run_id.alias("run_id"),
         "doc_id",

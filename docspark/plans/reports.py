@@ -13,7 +13,6 @@ from docspark.operators import routing as RO
 from docspark.operators import validate as V
 from docspark.sources import tables as T
 from docspark.sources.reports import GOLD_SQL, report_blocks
-from docspark.sources.scratch import stage
 from docspark.vocab import NOISE_ROLE, RECORD_FIELDS
 
 QUERIES: dict = {}
@@ -187,11 +186,9 @@ def report_results(spark: SparkSession, d: str) -> DataFrame:
 @query
 def report_runs(spark, d):
     """Run rows of all reports, with the record's city where an extraction is stored."""
-    storage = LE.Storage("v1", "/ledger")
-    results = stage(report_results(spark, d), "results")
-    runs = LE.run_rows(results, storage)
-    stored = LE.extraction_rows(results, storage).select("run_id", F.get_json_object("genomic_pathology_extraction", "$.report_metadata.Practice_City").alias("city"))
-    return runs.join(stored, "run_id", "left").select(
+    city = F.when(LE.is_stored(), F.get_json_object("envelope", "$.report_metadata.Practice_City"))
+    results = report_results(spark, d).withColumn("city", city)
+    return LE.run_rows(results, LE.Storage("v1", "/ledger"), keep=["city"]).select(
         "doc_id", "run_id", "verdict", "verdict_reason", "verifier_scorecards", "artifacts_gcs_prefix", "city"
     )
 

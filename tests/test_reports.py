@@ -36,3 +36,8 @@ def test_records_are_folded_where_their_customer_lies(spark, small):
     """The only shuffle is that of the customers, not of the blocks."""
     for name, of in (("record_fields", reports), ("provenance", reports), ("validate_records", quality), ("scorecards", quality)):
         assert plan_of(of.QUERIES[name](spark, small)).count("Exchange hashpartitioning") == 1, name
+
+
+def test_report_runs_need_no_join(spark, small):
+    plan = plan_of(reports.QUERIES["report_runs"](spark, small))
+    assert "Join" not in plan and plan.count("FileScan") == 1 and "customer.parquet" in plan
