@@ -20,6 +20,8 @@ T = TypeVar("T")
 R = TypeVar("R")
 #: Calls that one task has open at most, tries of a call, and the seconds of the first and the longest wait between them.
 IN_FLIGHT, TRIES, FIRST_WAIT, LONGEST_WAIT = 3, 3, 2.0, 10.0
+#: Rows of small results that are handed back to Spark together.
+GATHERED_ROWS = 2_000
 
 
 def with_retries(call: Callable[[T], R], tries: int = TRIES, first_wait: float = FIRST_WAIT, longest_wait: float = LONGEST_WAIT) -> Callable[[T], R]:
@@ -77,6 +79,22 @@ def isolated(model: Callable[[pd.DataFrame], pd.DataFrame], rows: pd.DataFrame)
                 waiting += [part.iloc[half:], part.iloc[:half]]
 
 
+def gathered(frames: Iterable[pd.DataFrame], rows: int = GATHERED_ROWS) -> Iterator[pd.DataFrame]:
+    """Small frames joined to larger ones of about ``rows`` rows, since each frame handed back to Spark has a cost of its own."""
+    held: list[pd.DataFrame] = []
+    n = 0
+    for f in frames:
+        if f.empty:
+            continue
+        held.append(f)
+        n += len(f)
+        if n >= rows:
+            yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+
+
 def answers_of(prompts: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]) -> DataFrame:
     """``doc_id, answer, error`` of a model for ``prompts(doc_id, prompt)``, over Arrow batches.
 
@@ -85,16 +103,19 @@ def answers_of(prompts: DataFrame, load: Callable[[], Callable[[pd.DataFrame], p
     """
     id_type = prompts.schema["doc_id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
         for pdf in frames:
             model = model or load()
             for rows, found, error in isolated(model, pdf):
                 if found is None:
-                    yield pd.DataFrame({"doc_id": rows["doc_id"], "answer": None, "error": error})
+                    yield pd.DataFrame({"doc_id": rows["doc_id"], "answer": None, "error": error}, dtype=object)
                 else:
                     yield found[["doc_id", "answer"]].assign(error=None).astype(object)
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return gathered(each(frames))
+
     return prompts.select("doc_id", "prompt").mapInPandas(run, f"doc_id {id_type}, answer string, error string")
 
 

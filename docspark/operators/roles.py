@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.operators.models import FIRST_WAIT, IN_FLIGHT, TRIES, in_flight, with_retries
+from docspark.operators.models import FIRST_WAIT, IN_FLIGHT, TRIES, gathered, in_flight, with_retries
 from docspark.operators.running import number_in_order
 from docspark.sources.scratch import stage
 from docspark.vocab import (
@@ -216,10 +216,8 @@ def score_blocks(
             yield pd.concat(held, ignore_index=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = with_retries(scorer, tries, first_wait)
-        for _, profiles, failed in in_flight(calls(frames), call, at_once):
-            if failed is None:
-                yield profiles[PROFILE_COLUMNS].astype(object)
+        done = in_flight(calls(frames), with_retries(scorer, tries, first_wait), at_once)
+        return gathered(profiles[PROFILE_COLUMNS].astype(object) for _, profiles, failed in done if failed is None)
 
     ordered = payload.repartition("doc_id", "batch").sortWithinPartitions("doc_id", "batch", "ord")
     return ordered.mapInPandas(run, PROFILE_SCHEMA.format(id_type=id_type))

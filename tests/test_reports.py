@@ -1,8 +1,10 @@
 """Records and runs of the printed reports: how the work is spread and what the planner may broadcast."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from docspark.operators import fields as FI
+from docspark.operators import models as M
 from docspark.plans import quality, reports
 from docspark.sources.reports import customers, gold_records, report_blocks
 
@@ -41,3 +43,11 @@ def test_records_are_folded_where_their_customer_lies(spark, small):
 def test_report_runs_need_no_join(spark, small):
     plan = plan_of(reports.QUERIES["report_runs"](spark, small))
     assert "Join" not in plan and plan.count("FileScan") == 1 and "customer.parquet" in plan
+
+
+def test_small_results_are_handed_back_together():
+    frames = [pd.DataFrame({"a": [i] * n}) for i, n in enumerate([1, 0, 3, 2, 9, 1])]
+    out = list(M.gathered(iter(frames), rows=4))
+    assert [len(f) for f in out] == [4, 11, 1]
+    assert pd.concat(out)["a"].tolist() == pd.concat(frames)["a"].tolist()
+    assert list(M.gathered(iter([]))) == [] and list(M.gathered(iter([pd.DataFrame({"a": []})]))) == []
