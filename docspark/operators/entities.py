@@ -20,7 +20,7 @@ from docspark.functions.text import (
     squash,
     text_key,
 )
-from docspark.operators.models import isolated
+from docspark.operators.models import gathered, isolated
 from docspark.sources.scratch import stage
 from docspark.vocab import (
     DROP_EXAMPLES,
@@ -192,7 +192,7 @@ def recognise_models(pages: DataFrame, load: Callable[[], dict[str, Recogniser]]
     id_type = pages.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "page_number", "text", "label", "source_model", "char_start", "char_end", "error"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models: dict[str, Recogniser] | None = None
         for pdf in frames:
             models = load() if models is None else models
@@ -204,6 +204,9 @@ def recognise_models(pages: DataFrame, load: Callable[[], dict[str, Recogniser]]
                     elif len(found):
                         yield found.assign(source_model=name, error=None)[columns].astype(object)
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return gathered(each(frames))
+
     rows = pages.select("doc_id", "page_number", "text").filter(F.length(squash(F.col("text"))) > 0)
     schema = f"doc_id {id_type}, page_number int, text string, label string, source_model string, char_start int, char_end int, error string"
     found = stage(rows.mapInPandas(run, schema), "model-mentions")
