@@ -200,9 +200,9 @@ def recognise_models(pages: DataFrame, load: Callable[[], dict[str, Recogniser]]
                 for rows, found, error in isolated(model, pdf):
                     if found is None:
                         bad = {"doc_id": rows["doc_id"], "page_number": rows["page_number"], "source_model": name, "error": error}
-                        yield pd.DataFrame(bad).reindex(columns=columns).astype(object)
+                        yield pd.DataFrame(bad, dtype=object).reindex(columns=columns)
                     elif len(found):
-                        yield found.assign(source_model=name, error=None)[columns].astype(object)
+                        yield found.assign(source_model=name, error=None)[columns]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return gathered(each(frames))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -79,20 +79,24 @@ def isolated(model: Callable[[pd.DataFrame], pd.DataFrame], rows: pd.DataFrame)
                 waiting += [part.iloc[half:], part.iloc[:half]]
 
 
-def gathered(frames: Iterable[pd.DataFrame], rows: int = GATHERED_ROWS) -> Iterator[pd.DataFrame]:
-    """Small frames joined to larger ones of about ``rows`` rows, since each frame handed back to Spark has a cost of its own."""
-    held: list[pd.DataFrame] = []
+def gathered(frames: Iterable[pd.DataFrame], rows: int = GATHERED_ROWS, columns: Sequence[str] | None = None) -> Iterator[pd.DataFrame]:
+    """Small frames joined, by all their columns or the given ones, to larger ones of about ``rows`` rows, since each frame handed back to Spark has a cost of its own.
+
+    Values are kept as they are, in object columns: an integer beside a null stays one.
+    """
+    held: dict[str, list] = {}
     n = 0
     for f in frames:
         if f.empty:
             continue
-        held.append(f)
+        for c in f.columns if columns is None else columns:
+            held.setdefault(c, []).extend(f[c].tolist())
         n += len(f)
         if n >= rows:
-            yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
-            held, n = [], 0
-    if held:
-        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+            yield pd.DataFrame(held, dtype=object)
+            held, n = {}, 0
+    if n:
+        yield pd.DataFrame(held, dtype=object)
 
 
 def answers_of(prompts: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]) -> DataFrame:
@@ -111,7 +115,7 @@ def answers_of(prompts: DataFrame, load: Callable[[], Callable[[pd.DataFrame], p
                 if found is None:
                     yield pd.DataFrame({"doc_id": rows["doc_id"], "answer": None, "error": error}, dtype=object)
                 else:
-                    yield found[["doc_id", "answer"]].assign(error=None).astype(object)
+                    yield found[["doc_id", "answer"]].assign(error=None)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return gathered(each(frames))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,11 +158,15 @@ def profile_with_model(
     """Profiles by a model, which never gets to see the noise blocks, and the quarantine of its answers.
 
     The model's answers are written once, so that both parts are of the same run.
+    So are the ids of the blocks with their noise mark, which all but the model
+    works on: texts are cut and matched once for them and once for the model.
     """
-    tagged = blocks.withColumn("_noise", F.coalesce(noise, F.lit(False)))
-    sent = tagged.filter(~F.col("_noise"))
-    accepted, wrong = accept_scores(sent, stage(score_blocks(sent, scorer, size), "scored-blocks"))
-    return noise_profiles(tagged.filter("_noise")).drop("ord").unionByName(accepted), wrong
+    marked = blocks.withColumn("_noise", F.coalesce(noise, F.lit(False)))
+    ids = stage(marked.select("doc_id", "block_id", "page_number", "ord", "_noise"), "marked-blocks")
+    sent = ids.filter("not _noise")
+    scored = score_blocks(marked.filter("not _noise"), scorer, size, narrow=sent)
+    accepted, wrong = accept_scores(sent, stage(scored, "scored-blocks"))
+    return noise_profiles(ids.filter("_noise")).drop("ord").unionByName(accepted), wrong
 
 
 def scorer_payload(blocks: DataFrame, max_chars: int | None = None) -> DataFrame:
@@ -174,10 +180,13 @@ def scorer_payload(blocks: DataFrame, max_chars: int | None = None) -> DataFrame
     return blocks.select("doc_id", "block_id", "page_number", "ord", "section_path", capped.alias("text"))
 
 
-def batches(blocks: DataFrame, size: int = SCORER_BATCH_SIZE) -> DataFrame:
-    """Give each block its batch number: ``size`` consecutive blocks of a document."""
+def batches(blocks: DataFrame, size: int = SCORER_BATCH_SIZE, narrow: DataFrame | None = None) -> DataFrame:
+    """Give each block its batch number: ``size`` consecutive blocks of a document.
+
+    ``narrow`` may give the same blocks with ``doc_id`` and ``ord`` alone.
+    """
     return (
-        number_in_order(blocks, "doc_id", "ord")
+        number_in_order(blocks, "doc_id", "ord", narrow=narrow)
         .withColumn("batch", F.floor(F.col("row_no") / size))
         .drop("row_no")
     )
@@ -190,6 +199,7 @@ def score_blocks(
     at_once: int = IN_FLIGHT,
     tries: int = TRIES,
     first_wait: float = FIRST_WAIT,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Run a scorer on batches of at most ``size`` blocks of one document.
 
@@ -198,31 +208,42 @@ def score_blocks(
     again after growing waits, and a batch whose last try fails is left out, so
     that its blocks show up as missing. Only this step leaves the JVM. Check the
     result with :func:`parity_violations` and :func:`vocabulary_violations`.
+    ``narrow`` is as in :func:`batches`.
     """
     id_type = blocks.schema["doc_id"].dataType.simpleString()
-    payload = batches(scorer_payload(blocks), size)
+    payload = batches(scorer_payload(blocks), size, narrow)
 
     def calls(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The batches of a task, of which each comes whole and in order."""
-        held: list[pd.DataFrame] = []
+        held: pd.DataFrame | None = None
         for pdf in frames:
-            parts = pdf.groupby(["doc_id", "batch"], sort=False, dropna=False)
-            for _, part in parts:
-                if held and not _same_batch(held[-1], part):
-                    yield pd.concat(held, ignore_index=True)
-                    held = []
-                held.append(part)
-        if held:
-            yield pd.concat(held, ignore_index=True)
+            for a, b in pairwise(_batch_cuts(pdf)):
+                part = pdf.iloc[a:b]
+                if held is None:
+                    held = part
+                elif a == 0 and _same_batch(held, part):
+                    held = pd.concat([held, part], ignore_index=True)
+                else:
+                    yield held.reset_index(drop=True)
+                    held = part
+        if held is not None:
+            yield held.reset_index(drop=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done = in_flight(calls(frames), with_retries(scorer, tries, first_wait), at_once)
-        return gathered(profiles[PROFILE_COLUMNS].astype(object) for _, profiles, failed in done if failed is None)
+        return gathered((profiles for _, profiles, failed in done if failed is None), columns=PROFILE_COLUMNS)
 
     ordered = payload.repartition("doc_id", "batch").sortWithinPartitions("doc_id", "batch", "ord")
     return ordered.mapInPandas(run, PROFILE_SCHEMA.format(id_type=id_type))
 
 
+def _batch_cuts(pdf: pd.DataFrame) -> list[int]:
+    """Where the batches of an ordered frame begin, and its end."""
+    doc, batch = pd.factorize(pdf["doc_id"], use_na_sentinel=False)[0], pdf["batch"].to_numpy()
+    inner = np.flatnonzero((doc[1:] != doc[:-1]) | (batch[1:] != batch[:-1])) + 1
+    return [0, *inner.tolist(), len(pdf)] if len(pdf) else []
+
+
 def _same_batch(a: pd.DataFrame, b: pd.DataFrame) -> bool:
     x, y = a.iloc[-1], b.iloc[0]
     return x["batch"] == y["batch"] and (x["doc_id"] == y["doc_id"] or (pd.isna(x["doc_id"]) and pd.isna(y["doc_id"])))

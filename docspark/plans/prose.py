@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -293,12 +294,16 @@ FROM counted WHERE n_sent <> n_scored"""
 
 def _table_scorer(rows):
     """A model's stand-in: rows with cell marks are tables, the last of every batch gets an impossible confidence."""
-    out = rows[["doc_id", "block_id", "page_number"]].copy()
-    out["text_role"] = ["results_table" if "|" in t else "other" for t in rows["text"]]
-    out["hints"] = [["none"]] * len(out)
-    out["confidence"] = [7.0 if i == len(out) - 1 else 0.5 for i in range(len(out))]
-    out["rationale"] = "by the model"
-    return out
+    n = len(rows)
+    return pd.DataFrame(
+        {c: rows[c].to_numpy() for c in ("doc_id", "block_id", "page_number")}
+        | {
+            "text_role": ["results_table" if "|" in t else "other" for t in rows["text"].tolist()],
+            "hints": [["none"]] * n,
+            "confidence": [0.5] * (n - 1) + [7.0],
+            "rationale": "by the model",
+        }
+    )
 
 
 @query

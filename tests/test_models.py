@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docspark.operators import entities as E
 from docspark.operators import models as M
 from docspark.operators import roles as R
+from docspark.sources.scratch import stage
 from tests.test_quality import record
 
 
@@ -209,3 +210,29 @@ def test_spans_equal_a_plain_search(spark):
         (d, o, next((b for a, e, b in sorted((a, e, b) for dd, _, b, a, e in spans if dd == d) if a <= o < e), None) or "") for d, _, o in mentions
     )
     assert sorted((r["doc_id"], r["char_start"], r["block_id"] or "") for r in E.attach_blocks(m, s, 16).collect()) == want
+
+
+def test_batches_are_whole_across_frames_and_values_stay_as_they_are():
+    """Calls get whole batches however Arrow cuts the rows; an integer beside a null of another small frame is no float."""
+    def rows(*ids):
+        return pd.DataFrame([(d, b) for d, b in ids], columns=["doc_id", "batch"], dtype=object)
+
+    frame = rows((1, 0), (1, 0), (1, 1), (None, 1), (None, 1), (2, 1))
+    assert R._batch_cuts(frame) == [0, 2, 3, 5, 6] and R._batch_cuts(frame[:0]) == []
+    small = [pd.DataFrame({"a": [2**53 + 1], "b": [1]}), pd.DataFrame({"a": [None], "b": [2]}, dtype=object)]
+    joined = list(M.gathered(iter(small), columns=["a"]))
+    assert len(joined) == 1 and joined[0]["a"].tolist() == [2**53 + 1, None] and list(joined[0]) == ["a"]
+
+
+def test_texts_are_cut_twice_for_a_model(spark, monkeypatch):
+    """Once for the ids of the blocks and once for the model; the rest works on the ids that were written."""
+    monkeypatch.setattr(R, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    staged: list[str] = []
+    blocks = sent_blocks(spark, 30)
+
+    def scorer(rows):
+        return rows[["doc_id", "block_id", "page_number"]].assign(text_role="other", hints=[["none"]] * len(rows), confidence=0.5, rationale="")
+
+    accepted, wrong = R.profile_with_model(blocks, F.col("ord") % 10 == 3, scorer, size=7)
+    assert staged == ["marked-blocks", "scored-blocks"] and accepted.count() == blocks.count() and wrong.isEmpty()
+    assert all("docspark-" in f for df in (accepted, wrong) for f in df.inputFiles())
