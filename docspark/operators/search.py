@@ -55,46 +55,43 @@ def text_search(blocks: DataFrame, query: str, max_results: int | None = 5) -> D
     return found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= max_results)
 
 
-#: Characters of the keys by which literals and blocks meet, and rows of such keys that one pass broadcasts at most.
-GRAM, GRAMS_AT_ONCE = 3, 1_000_000
+#: Characters of the keys by which literals and blocks meet, and characters of literals that one pass broadcasts at most, about.
+GRAM, GRAMS_AT_ONCE = 8, 1_000_000
 
 
 def _with_grams(rows: DataFrame, text: str, sizes: Sequence[int]) -> DataFrame:
-    """``rows`` with the distinct runs of so many lower-case characters of a text in ``_grams``."""
+    """``rows`` with the distinct runs of so many lower-case characters of a text in ``_grams``.
 
-    def runs(chars: Column, n: int) -> Column:
-        at = F.when(F.size(chars) >= n, F.sequence(F.lit(0), F.size(chars) - n))
-        found = F.transform(at, lambda i: F.concat(*[F.get(chars, i + j) for j in range(n)]))
-        return F.coalesce(found, F.array().cast("array<string>"))
-
-    chars = F.array(F.split(F.coalesce(F.lower(text), F.lit("")), ""))  # bound once, inside one expression
-    return rows.withColumn("_grams", F.get(F.transform(chars, lambda c: F.array_distinct(F.concat(*[runs(c, n) for n in sizes]))), F.lit(0)))
+    A look-ahead gives the run at every place in one scan.
+    """
+    low = F.coalesce(F.lower(text), F.lit(""))
+    runs = [F.regexp_extract_all(low, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
+    return rows.withColumn("_grams", F.array_distinct(runs[0] if len(runs) == 1 else F.concat(*runs)))
 
 
 def search_all(blocks: DataFrame, queries: DataFrame, grams_at_once: int = GRAMS_AT_ONCE) -> DataFrame:
     """All occurrences of many literals at once: ``queries(query)``, whatever their number.
 
-    A literal meets the blocks by its rarest run of three characters (shorter
-    literals by themselves): the runs of the literals are counted in the blocks,
-    then each block's distinct runs join the chosen ones, and only such pairs are
-    searched. What is broadcast are runs of literals, at most about
-    ``grams_at_once`` rows a pass. Offsets and excerpts are those of
+    A literal meets the blocks by one run of eight characters, of its own the one
+    that fewest literals hold (shorter literals by themselves): each block's distinct
+    runs join the chosen ones, and only such pairs are searched. Blocks are read once
+    a pass. What is broadcast are literals with their key, at most about
+    ``grams_at_once`` characters a pass. Offsets and excerpts are those of
     :func:`text_search`. Null and empty queries find nothing.
     """
     asked = queries.select("query").filter(F.coalesce(F.col("query"), F.lit("")) != "").distinct()
-    size = asked.agg(F.coalesce(F.sum(F.length("query")), F.lit(0)).alias("n"), F.coalesce(F.min(F.length(F.lower("query"))), F.lit(GRAM)).alias("least")).collect()[0]
+    size = asked.agg(F.coalesce(F.sum(F.length("query")), F.lit(0)).alias("n"), F.collect_set(F.least(F.length(F.lower("query")), F.lit(GRAM))).alias("sizes")).collect()[0]
     parts = max(1, -(-size["n"] // grams_at_once))
-    sizes = range(min(GRAM, max(1, size["least"])), GRAM + 1)
+    sizes = sorted(size["sizes"]) or [GRAM]
     keyed = _with_grams(asked, "query", sizes).withColumn("_whole", F.length(F.lower("query")))
     exact = keyed.select("query", "_whole", F.explode_outer("_grams").alias("_gram")).filter(F.length("_gram") == F.least("_whole", F.lit(GRAM)))
+    held = exact.groupBy("_gram").agg(F.count("*").alias("_n"))
+    keys = stage(exact.join(held, "_gram").groupBy("query").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram")), "search-keys")
     of_blocks = _with_grams(blocks, "text", sizes)
     hit = F.col("hit")
     out = None
     for part in range(parts):
-        some = exact.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == part)
-        wanted = some.select("_gram").distinct()
-        counts = of_blocks.select(F.explode_outer("_grams").alias("_gram")).join(F.broadcast(wanted), "_gram").groupBy("_gram").agg(F.count("*").alias("_n"))
-        chosen = stage(some.join(counts, "_gram").groupBy("query").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram")), "search-keys")
+        chosen = keys.filter(F.pmod(F.xxhash64("query"), F.lit(parts)) == part)
         pairs = of_blocks.withColumn("_gram", F.explode_outer("_grams")).drop("_grams").join(F.broadcast(chosen), "_gram")
         found = (
             pairs.filter(F.contains(F.lower("text"), F.lower("query")))

@@ -172,6 +172,21 @@ def test_search_for_a_table_of_queries(spark):
     assert SE.search_all(df, asked.limit(0)).count() == 0 == SE.search_all(df.limit(0), asked).count()
 
 
+def test_blocks_are_read_once_to_search_for_a_table_of_queries(spark, tmp_path, monkeypatch):
+    """The keys of the queries follow from the queries alone; all lengths and wide characters meet."""
+    texts = ["a \U0001F600 smile, and a SMILE AGAIN", "smile again " * 3, "ile"]
+    rows = [("d", i, f"b{i}", 1, "p", t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id string, ord int, block_id string, page_number int, section_path string, text string").write.parquet(f"{tmp_path}/blocks")
+    read: list[str] = []
+    monkeypatch.setattr(SE, "stage", lambda df, name: read.extend(df.inputFiles()) or df)
+    asked = spark.createDataFrame([("ile",), ("\U0001F600 s",), ("smile again",), ("smile agony",)], "query string")
+    found = SE.search_all(spark.read.parquet(f"{tmp_path}/blocks"), asked)
+    scans = found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    got = sorted((r["ord"], r["query"], r["match_start"]) for r in found.collect())
+    assert got == sorted((i, q, m) for i, t in enumerate(texts) for q in ("ile", "\U0001F600 s", "smile again") for m in range(len(t)) if t.lower().startswith(q, m))
+    assert not any("/blocks/" in f for f in read) and scans == 1
+
+
 def test_state_read_allows_three_tables(spark):
     df = spark.range(1)
     assert SE.state_read({"doc_profile": df}, "doc_profile") is df
