@@ -67,6 +67,15 @@ def match_key(c: Column) -> Column:
     return _collapse(F.lower(F.coalesce(c, F.lit(""))), _OTHER_BLANKS + PUNCTUATION)
 
 
+def joined_match_keys(words: Column, mark: str) -> Column:
+    """The match keys of an array of words with a mark between them; a null word counts as an empty one.
+
+    The joined text goes through the steps once, not each word by itself; ``mark`` is neither blank nor punctuation.
+    """
+    key = match_key(F.array_join(words, mark, ""))
+    return F.replace(F.replace(key, F.lit(" " + mark), F.lit(mark)), F.lit(mark + " "), F.lit(mark))
+
+
 def words(key: Column) -> Column:
     """Words of a text that already went through a key function."""
     return F.filter(F.split(key, " "), lambda w: w != "")

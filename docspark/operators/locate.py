@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.functions.text import first_words, last_words, match_key, words
+from docspark.functions.text import first_words, joined_match_keys, last_words, match_key, words
 from docspark.sources.scratch import stage
 
 ANCHOR_WORDS = 6
@@ -14,6 +14,9 @@ ANCHOR_WORDS = 6
 FILTER_LONGS = 1 << 17
 _SEP = "\x01"
 
+#: Consecutive words of a page whose boxes share a row.
+STRETCH = 64
+
 
 # --- blocks in the words of their page ---------------------------------------
 
@@ -40,11 +43,10 @@ def locate_blocks(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     so it may start inside a word. ``found`` is ``exact``, ``prefix``,
     ``suffix`` or null.
     """
-    keys = F.transform("words", match_key)
     normal = pages.select(
         "doc_id",
         "page_number",
-        F.array_join(keys, _SEP).alias("marked"),
+        joined_match_keys(F.col("words"), _SEP).alias("marked"),
         F.size("words").alias("n_page"),
     ).withColumn("line", F.replace("marked", F.lit(_SEP), F.lit(" ")))
     target = blocks.select("doc_id", "page_number", "block_id", match_key(F.col("text")).alias("t"))
@@ -101,25 +103,29 @@ def range_boxes(ranges: DataFrame, boxes: DataFrame) -> DataFrame:
     """Box around a word range, normalised by the page size and clamped to 0..1.
 
     ``boxes(doc_id, page_number, idx, x0, y0, x1, y1, page_w, page_h)``. The
-    words of a range are listed, so the join is on the word index.
+    boxes of ``STRETCH`` consecutive words share a row, so a range meets the few
+    stretches it touches and not each of its words.
     """
-    listed = ranges.filter(F.col("found").isNotNull()).select(
-        "doc_id",
-        "page_number",
-        "block_id",
-        F.explode_outer(F.sequence("first_word", "last_word")).alias("idx"),
-    )
     w = F.when(F.coalesce("page_w", F.lit(0.0)) == 0.0, F.lit(1.0)).otherwise(F.col("page_w"))
     h = F.when(F.coalesce("page_h", F.lit(0.0)) == 0.0, F.lit(1.0)).otherwise(F.col("page_h"))
-    return (
-        listed.join(boxes, ["doc_id", "page_number", "idx"])
-        .groupBy("doc_id", "page_number", "block_id")
-        .agg(
-            F.greatest(F.lit(0.0), F.min(F.col("x0") / w)).alias("x0"),
-            F.greatest(F.lit(0.0), F.min(F.col("y0") / h)).alias("y0"),
-            F.least(F.lit(1.0), F.max(F.col("x1") / w)).alias("x1"),
-            F.least(F.lit(1.0), F.max(F.col("y1") / h)).alias("y1"),
-        )
+    box = F.struct(
+        "idx", (F.col("x0") / w).alias("x0"), (F.col("y0") / h).alias("y0"), (F.col("x1") / w).alias("x1"), (F.col("y1") / h).alias("y1")
+    )
+    page = ["doc_id", "page_number"]
+    stretches = boxes.groupBy(*page, F.floor(F.col("idx") / STRETCH).alias("stretch")).agg(F.collect_list(box).alias("boxes"))
+    low, high = F.least("first_word", "last_word"), F.greatest("first_word", "last_word")
+    touched = ranges.filter(F.col("found").isNotNull()).select(
+        *page, "block_id", low.alias("low"), high.alias("high"),
+        F.explode_outer(F.sequence(F.floor(low / STRETCH), F.floor(high / STRETCH))).alias("stretch"),
+    )
+    hits = F.filter("boxes", lambda b: (b["idx"] >= F.col("low")) & (b["idx"] <= F.col("high")))
+    met = touched.join(stretches, [*page, "stretch"]).withColumn("hits", hits).filter(F.size("hits") > 0)
+    ends = met.select(*page, "block_id", *[pick(F.col("hits")[c]).alias(c) for c, pick in (("x0", F.array_min), ("y0", F.array_min), ("x1", F.array_max), ("y1", F.array_max))])
+    return ends.groupBy(*page, "block_id").agg(
+        F.greatest(F.lit(0.0), F.min("x0")).alias("x0"),
+        F.greatest(F.lit(0.0), F.min("y0")).alias("y0"),
+        F.least(F.lit(1.0), F.max("x1")).alias("x1"),
+        F.least(F.lit(1.0), F.max("y1")).alias("y1"),
     )
 
 

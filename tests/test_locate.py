@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from docspark.functions.text import joined_match_keys, match_key
 from docspark.operators import locate as L
 from docspark.operators import search as SE
 
@@ -135,6 +136,27 @@ def test_boxes_are_normalised_and_clamped(spark):
     assert [tuple(r) for r in L.range_boxes(ranges, boxes).collect()] == [("d", 1, "b", 0.0, 0.05, 1.0, 0.15)]
 
 
+def test_ranges_meet_stretches_of_boxes(spark):
+    """Ranges over several stretches, gaps and words without a box; a range meets its stretches, not each word."""
+    at = [i for i in range(300) if i % 7]
+    boxes = spark.createDataFrame([("d", 1, i, i / 1000, 0.5, i / 1000 + 0.1, 0.6, 1.0, None) for i in at], "doc_id string, page_number int, idx int, x0 double, y0 double, x1 double, y1 double, page_w double, page_h double")
+    spans = [(0, 0), (1, 1), (60, 70), (5, 290), (63, 64), (299, 305), (400, 410), (70, 65)]
+    ranges = spark.createDataFrame([("d", 1, f"{a}-{b}", "exact", a, b) for a, b in spans], "doc_id string, page_number int, block_id string, found string, first_word int, last_word int")
+    out = L.range_boxes(ranges, boxes)
+    inside = {f"{a}-{b}": [i for i in at if min(a, b) <= i <= max(a, b)] for a, b in spans}
+    assert {r["block_id"]: (r["x0"], r["x1"]) for r in out.collect()} == {k: (v[0] / 1000, v[-1] / 1000 + 0.1) for k, v in inside.items() if v}
+    assert L.STRETCH > 1 and "FLOOR((cast(idx" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_a_page_are_keyed_together(spark):
+    """As each word by itself, also for words of marks alone, null words and Greek capitals at an end."""
+    words = ["Ab.", "(", None, "x-Y", "", "\u039f\u03a3", "\u03a3", "a  b", "\u200b\u3000Q", "..."]
+    df = spark.createDataFrame([(words,), ([],), (words[1:2],), (words[::-1],)], "w array<string>")
+    one_by_one = F.array_join(F.transform("w", match_key), "\x01")
+    rows = df.select(joined_match_keys(F.col("w"), "\x01").alias("a"), one_by_one.alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows] and rows[0]["a"].startswith("ab\x01\x01\x01x y\x01")
+
+
 def test_search_first_hits_of_a_large_document(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("doc_id"),
