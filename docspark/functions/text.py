@@ -78,7 +78,7 @@ def joined_match_keys(words: Column, mark: str) -> Column:
 
 def words(key: Column) -> Column:
     """Words of a text that already went through a key function."""
-    return F.filter(F.split(key, " "), lambda w: w != "")
+    return F.array_remove(F.split(key, " "), "")
 
 
 def first_words(key: Column, n: int) -> Column:

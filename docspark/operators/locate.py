@@ -132,10 +132,13 @@ def range_boxes(ranges: DataFrame, boxes: DataFrame) -> DataFrame:
 # --- passages in a corpus ----------------------------------------------------
 
 
-def _run_key(w: Column, start: Column, length: Column) -> Column:
-    """128-bit key of a run of words, so equal keys mean equal words."""
-    run = F.array_join(F.slice(w, start + 1, length), " ")
-    return F.struct(F.xxhash64(run).alias("a"), F.xxhash64(run, F.lit(1)).alias("b"))
+def _run_key(w: Column, start: Column, run: Column) -> list[Column]:
+    """128-bit key ``a``, ``b`` of a run of at most six words, so equal keys of runs of a length mean equal words.
+
+    Words are hashed one after the other where they stand; the hash skips the nulls of shorter runs.
+    """
+    run_words = [F.when(run > i, F.get(w, start + i)) for i in range(ANCHOR_WORDS)]
+    return [F.xxhash64(*run_words).alias("a"), F.xxhash64(F.lit(1), *run_words).alias("b")]
 
 
 def _key_filter(keys: DataFrame) -> DataFrame:
@@ -164,8 +167,8 @@ def locate_passages(passages: DataFrame, docs: DataFrame, rows_per_task: int = 2
     """Where passages occur in documents, token-aligned: exact, by head, by tail.
 
     ``passages(item_id, text)``, ``docs(doc_id, text)``. A passage is covered
-    by runs of six words. Documents list all their runs as a short key and a
-    position, and the two sides meet in one equi-join on the key. A passage
+    by runs of six words. Documents give the key and the position of their runs,
+    and the two sides meet in one equi-join on the key. A passage
     occurs where all its runs line up at one start. So passages are never
     crossed with documents and no text is looked at again. Passages shorter
     than six words are one run of their own length.
@@ -187,28 +190,20 @@ def locate_passages(passages: DataFrame, docs: DataFrame, rows_per_task: int = 2
     offsets = F.array_distinct(F.concat(F.sequence(F.lit(0), tail, F.col("run")), F.array(tail)))
     cover = p.select(
         "item_id", "w", "run", "n_words", F.size(offsets).alias("n_cover"), F.explode_outer(offsets).alias("offset")
-    ).select(
-        "item_id", "run", "n_words", "n_cover", "offset", _run_key(F.col("w"), F.col("offset"), F.col("run")).alias("key")
-    )
-    cover = stage(cover.select("*", "key.a", "key.b").drop("key"), "cover")
+    ).select("item_id", "run", "n_words", "n_cover", "offset", *_run_key(F.col("w"), F.col("offset"), F.col("run")))
+    cover = stage(cover, "cover")
     lengths = cover.agg(F.collect_set("run").alias("lengths")).scalar()
     bits = _key_filter(cover).scalar()
     d = docs.select("doc_id", words(match_key(F.col("text"))).alias("w"))
-    none = F.array().cast("array<struct<run:int,pos:int,key:struct<a:bigint,b:bigint>>>")
-
-    def keyed(length: int) -> Column:
-        runs = F.transform(
-            F.sequence(F.lit(0), F.size("w") - length),
-            lambda i: F.struct(
-                F.lit(length).alias("run"), i.alias("pos"), _run_key(F.col("w"), i, F.lit(length)).alias("key")
-            ),
-        )
-        return F.when((F.size("w") >= length) & F.array_contains(lengths, length), runs).otherwise(none)
-
-    listed = d.select(
-        "doc_id", F.size("w").alias("n_doc"), F.inline_outer(F.concat(*[keyed(n) for n in range(1, ANCHOR_WORDS + 1)]))
-    ).select("doc_id", "n_doc", "run", "pos", F.col("key.a").alias("a"), F.col("key.b").alias("b"))
-    runs = stage(listed.filter(F.col("a").isNotNull() & _in_filter(bits, F.col("a")) & _in_filter(bits, F.col("b"))), "runs")
+    # plain generators and expressions over the words in place: no text is built for a run, and all of it is compiled
+    starts = F.when(F.size("w") >= F.col("run"), F.sequence(F.lit(0), F.size("w") - F.col("run")))
+    listed = (
+        d.select("doc_id", "w", F.explode_outer(lengths).alias("run"))
+        .select("doc_id", "w", "run", F.explode_outer(starts).alias("pos"))
+        .filter(F.col("pos").isNotNull())
+        .select("doc_id", F.size("w").alias("n_doc"), "run", "pos", *_run_key(F.col("w"), F.col("pos"), F.col("run")))
+    )
+    runs = stage(listed.filter(_in_filter(bits, F.col("a")) & _in_filter(bits, F.col("b"))), "runs")
     keys = ["run", "a", "b"]
     parts = runs.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("parts"))
     frequent = parts.filter(F.col("parts") > 1)

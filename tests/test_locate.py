@@ -65,6 +65,19 @@ def test_few_runs_leave_their_task(spark):
     assert 200 <= kept[1].count() < 230  # of 30,000
 
 
+def test_runs_are_keyed_without_building_their_text(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id int, text string")
+    passages = spark.createDataFrame([(1, "b c d e f g")], "item_id int, text string")
+    plans = []
+    write = L.stage
+    L.stage = lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name)
+    try:
+        assert [tuple(r) for r in L.locate_passages(passages, docs).collect()] == [(1, 1, "exact", 1, 7)]
+    finally:
+        L.stage = write
+    assert "xxhash64" in plans[1] and "array_join" not in plans[1] and "slice(" not in plans[1]
+
+
 def test_passage_of_a_third_of_all_documents(spark):
     hot = " ".join(f"w{i}" for i in range(14))
     docs = spark.range(3000).select(
