@@ -17,6 +17,7 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 _OTHER_BLANKS = BLANKS.replace(" ", "")
+_NOT_BLANK = "[^" + "".join(f"\\u{ord(b):04x}" for b in BLANKS) + "]"
 
 # fixed value: zero-width marks and punctuation ignored, as blanks are, when matching text
 PUNCTUATION = "\u200b\u200c\u200d\u2060\ufeff" + ".,:;!?()[]{}\"'/\\-\u2013\u2014"
@@ -38,8 +39,8 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for null, empty and all-blank text."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    """True for null, empty and all-blank text; a look at the first character that is no blank."""
+    return F.coalesce(~c.rlike(_NOT_BLANK), F.lit(True))
 
 
 def _collapse(c: Column, blanks: str) -> Column:

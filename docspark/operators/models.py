@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -79,19 +79,24 @@ def isolated(model: Callable[[pd.DataFrame], pd.DataFrame], rows: pd.DataFrame)
                 waiting += [part.iloc[half:], part.iloc[:half]]
 
 
-def gathered(frames: Iterable[pd.DataFrame], rows: int = GATHERED_ROWS, columns: Sequence[str] | None = None) -> Iterator[pd.DataFrame]:
+def gathered(frames: Iterable[pd.DataFrame | Mapping[str, list]], rows: int = GATHERED_ROWS, columns: Sequence[str] | None = None) -> Iterator[pd.DataFrame]:
     """Small frames joined, by all their columns or the given ones, to larger ones of about ``rows`` rows, since each frame handed back to Spark has a cost of its own.
 
-    Values are kept as they are, in object columns: an integer beside a null stays one.
+    A frame may also be a mapping from column names to lists of one length. Values are kept as they are, in object
+    columns: an integer beside a null stays one.
     """
     held: dict[str, list] = {}
     n = 0
     for f in frames:
-        if f.empty:
+        lists = {c: f[c].tolist() if isinstance(f, pd.DataFrame) else f[c] for c in (f if columns is None else columns)}
+        sizes = {len(x) for x in lists.values()}
+        if len(sizes) > 1:
+            raise ValueError(f"columns of different lengths: { {c: len(x) for c, x in lists.items()} }")
+        if sizes <= {0}:
             continue
-        for c in f.columns if columns is None else columns:
-            held.setdefault(c, []).extend(f[c].tolist())
-        n += len(f)
+        for c, x in lists.items():
+            held.setdefault(c, []).extend(x)
+        n += sizes.pop()
         if n >= rows:
             yield pd.DataFrame(held, dtype=object)
             held, n = {}, 0

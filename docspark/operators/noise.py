@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.text import is_blank, lines_with_ends, prefix_sums, strip
-from docspark.vocab import NOISE_PATTERNS
+from docspark.vocab import NOISE_NEEDS, NOISE_PATTERNS
 
 Patterns = Sequence[tuple[str, str]]
+# what looks at the text around a match, or gives nothing back once taken
+_AROUND = re.compile(r"[$^]|\(\?<?[=!>]|[*+?}]\+")
+_ESCAPED = re.compile(r"\\[^pP]")
+_LOOKING = frozenset("AzZGBRXQE")
 
 
 def noise_name(text: Column, patterns: Patterns = NOISE_PATTERNS) -> Column:
@@ -22,8 +29,27 @@ def noise_name(text: Column, patterns: Patterns = NOISE_PATTERNS) -> Column:
     return out
 
 
+def _free(regex: str) -> bool:
+    """Whether a match stays one when blanks are put around the text: no anchors, look-arounds or possessive parts."""
+    escapes = set("".join(x[1] for x in _ESCAPED.findall(regex)))
+    bare = re.sub(r"\[\^?\]?[^\]]*\]", "", _ESCAPED.sub("e", regex))
+    return "&&" not in regex and not escapes & _LOOKING and not _AROUND.search(bare)
+
+
 def is_noise(text: Column, patterns: Patterns = NOISE_PATTERNS) -> Column:
-    return noise_name(text, patterns).isNotNull()
+    """Whether any pattern occurs in the stripped text.
+
+    What occurs there occurs in the whole text too, unless the pattern looks
+    around. So few lines are stripped at all: those on which a pattern hits.
+    Patterns with a literal in ``NOISE_NEEDS`` are tried on lines that hold it.
+    """
+    if not patterns or not all(_free(regex) for _, regex in patterns):
+        return noise_name(text, patterns).isNotNull()
+    by_need: dict[str | None, list[Column]] = {}
+    for _, regex in patterns:
+        by_need.setdefault(NOISE_NEEDS.get(regex), []).append(text.rlike(regex))
+    hits = [reduce(or_, found) if need is None else F.contains(text, F.lit(need)) & reduce(or_, found) for need, found in by_need.items()]
+    return F.when(reduce(or_, hits), noise_name(text, patterns).isNotNull()).otherwise(F.lit(False))
 
 
 def noise_blocks(blocks: DataFrame, patterns: Patterns = NOISE_PATTERNS) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -295,15 +294,12 @@ FROM counted WHERE n_sent <> n_scored"""
 def _table_scorer(rows):
     """A model's stand-in: rows with cell marks are tables, the last of every batch gets an impossible confidence."""
     n = len(rows)
-    return pd.DataFrame(
-        {c: rows[c].to_numpy() for c in ("doc_id", "block_id", "page_number")}
-        | {
-            "text_role": ["results_table" if "|" in t else "other" for t in rows["text"].tolist()],
-            "hints": [["none"]] * n,
-            "confidence": [0.5] * (n - 1) + [7.0],
-            "rationale": "by the model",
-        }
-    )
+    return {c: rows[c].tolist() for c in ("doc_id", "block_id", "page_number")} | {
+        "text_role": ["results_table" if "|" in t else "other" for t in rows["text"].tolist()],
+        "hints": [["none"]] * n,
+        "confidence": [0.5] * (n - 1) + [7.0],
+        "rationale": ["by the model"] * n,
+    }
 
 
 @query

@@ -236,3 +236,20 @@ def test_texts_are_cut_twice_for_a_model(spark, monkeypatch):
     accepted, wrong = R.profile_with_model(blocks, F.col("ord") % 10 == 3, scorer, size=7)
     assert staged == ["marked-blocks", "scored-blocks"] and accepted.count() == blocks.count() and wrong.isEmpty()
     assert all("docspark-" in f for df in (accepted, wrong) for f in df.inputFiles())
+
+
+def test_a_scorer_may_answer_in_lists(spark):
+    """Columns as lists cost less than a frame for a small batch, and give the same profiles."""
+    blocks = sent_blocks(spark)
+
+    def lists(rows):
+        n = len(rows)
+        ids = {c: rows[c].tolist() for c in ("doc_id", "block_id", "page_number")}
+        return ids | {"text_role": ["other"] * n, "hints": [["none"]] * n, "confidence": [0.5] * n, "rationale": [str(n)] * n}
+
+    def frame(rows):
+        return pd.DataFrame(lists(rows))
+
+    got, want = (sorted(tuple(map(str, r)) for r in R.score_blocks(blocks, f, size=30).collect()) for f in (lists, frame))
+    assert got == want and len(got) == 140
+    assert [f["a"].tolist() for f in M.gathered([{"a": [1, None]}, {"a": []}, pd.DataFrame({"a": [2]})])] == [[1, None, 2]]

@@ -5,6 +5,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docspark.functions import answers, dates, identifiers, text
+from docspark.operators import noise as N
+from docspark.operators import roles as R
+from docspark.sources import tables as T
 
 ALPHABET = "ab A.\t\n\r\x0b\x1c\x85\xa0\u2003\u2028\u200b\u3000\xe9-'\"\\"
 
@@ -125,3 +128,26 @@ def test_very_many_matches_in_one_text(spark):
     r = spans.select(F.size("s").alias("n"), F.element_at("s", -1).alias("last")).first()
     assert r["n"] == n and (r["last"]["start"], r["last"]["end"]) == (2 * n - 2, 2 * n - 1)
     assert time.time() - start < 60
+
+
+def test_cheap_tests_come_first_and_change_nothing(spark):
+    """Lines are stripped only where a pattern hits, and patterns with a needed literal are tried only where it stands."""
+    noisy = [
+        " ** INBOUND NOTIFICATION : FAX RECEIVED SUCCESSFULLY **", "time received x remote csid y duration\t", "01.02.2024 10:11:12 Page: 1 of 2",
+        "Page: 1 of 2 Sender: a Recipient: +1234567", " 2024 at 10:11 AM x Received", "x ## y $$ z", "2024 at 10:11 x OK ",
+    ]
+    plain = ["", " \t", None, "  ", "a plain line", "at 10:11", "# one & one", "Page: 1", "\x1c", "a\n\nb"]
+    lines = spark.createDataFrame([(t,) for t in noisy + plain], "text string")
+    t = F.col("text")
+    around = (("whole", r"^a plain line$"), ("tail", r"(?<! )b$"), ("taken", r" ++a"), ("blank", r"^$"), ("lead", r" +2024"))
+    for patterns in (T.PROSE_NOISE, N.NOISE_PATTERNS, around, (("lead", r" 2024"), ("gap", r"\sat\s")), ()):
+        rows = lines.select("text", N.is_noise(t, patterns).alias("got"), N.noise_name(t, patterns).isNotNull().alias("want")).collect()
+        assert all(r["got"] == r["want"] for r in rows), [r for r in rows if r["got"] != r["want"]]
+    assert lines.filter(N.is_noise(t, T.PROSE_NOISE)).count() == len(noisy)
+    assert lines.filter(text.is_blank(t) != (F.coalesce(text.strip(t), F.lit("")) == "")).isEmpty()
+    texts = ["a@mail x", "+1 (2", "@x + (", "1234567890123", "1.2.3.4", "token = 1", "5 = 6", "Abcdefghijk", "released under", ""]
+    slow = [R.RoleRule(r.role, r.pattern, r.hints, r.confidence) for r in T.PROSE_ROLES]
+    rows = spark.createDataFrame([(x,) for x in texts], "text string").select(R.role_of(t, T.PROSE_ROLES).alias("got"), R.role_of(t, slow).alias("want")).collect()
+    assert all(r["got"] == r["want"] for r in rows) and len({r["got"] for r in rows}) == 5
+    plan = lines.select(N.is_noise(t, T.PROSE_NOISE))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(text" in plan and plan.index("RLIKE") < plan.index("trim")
