@@ -13,6 +13,7 @@ from docspark.functions.text import (
     context,
     contains_any,
     cut,
+    let,
     occurs,
     pieces_and_hits,
     quoted,
@@ -104,34 +105,37 @@ def recognise(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     """
     models = list(dict.fromkeys(p.model for p in patterns))
     text = F.col("text")
-
-    def cut_up(i: int, p: Pattern) -> Column:
-        gaps, hits = pieces_and_hits(text, p.regex)
-        found = F.struct(
-            F.lit(models.index(p.model)).alias("model_no"),
-            F.lit(i).alias("pattern_no"),
-            F.lit(p.label).alias("label"),
-            F.lit(p.model).alias("model"),
-            gaps.alias("gaps"),
-            hits.alias("hits"),
-        )
-        return F.when(occurs(text, p.regex, p.needs), found)
+    # patterns with the same expression share its matches
+    alike: dict[tuple[str, str | None], list[tuple[int, Pattern]]] = {}
+    for i, p in enumerate(patterns):
+        alike.setdefault((p.regex, p.needs), []).append((i, p))
+
+    def cut_up(regex: str, needs: str | None, of: list[tuple[int, Pattern]]) -> Column:
+        gaps, hits = pieces_and_hits(text, regex)
+        who = [
+            F.struct(F.lit(models.index(p.model)).alias("model_no"), F.lit(i).alias("pattern_no"), F.lit(p.label).alias("label"), F.lit(p.model).alias("model"))
+            for i, p in of
+        ]
+        return F.when(occurs(text, regex, needs), F.struct(F.array(*who).alias("who"), gaps.alias("gaps"), hits.alias("hits")))
 
     def placed(x: Column) -> Column:
-        return F.transform(
-            spans_between(x["gaps"], x["hits"]),
-            lambda s: F.struct(
-                x["model_no"].alias("model_no"),
-                s["start"].alias("char_start"),
-                x["pattern_no"].alias("pattern_no"),
-                s["end"].alias("char_end"),
-                s["text"].alias("text"),
-                x["label"].alias("label"),
-                x["model"].alias("source_model"),
-            ),
-        )
+        def of_pattern(spans: Column, w: Column) -> Column:
+            return F.transform(
+                spans,
+                lambda s: F.struct(
+                    w["model_no"].alias("model_no"),
+                    s["start"].alias("char_start"),
+                    w["pattern_no"].alias("pattern_no"),
+                    s["end"].alias("char_end"),
+                    s["text"].alias("text"),
+                    w["label"].alias("label"),
+                    w["model"].alias("source_model"),
+                ),
+            )
+
+        return let(spans_between(x["gaps"], x["hits"]), lambda spans: F.flatten(F.transform(x["who"], lambda w: of_pattern(spans, w))))
 
-    cuts = F.array_compact(F.array(*[cut_up(i, p) for i, p in enumerate(patterns)]))
+    cuts = F.array_compact(F.array(*[cut_up(regex, needs, of) for (regex, needs), of in alike.items()]))
     found = F.array_sort(F.flatten(F.transform(cuts, placed)))
     others = [c for c in pages.columns if c != "text"]
     hit = F.col("hit")

@@ -164,3 +164,18 @@ def test_text_repeated_in_one_document_costs_one_row_per_task(spark):
     assert out.agg(F.sum("n_occurrences")).first()[0] == 60_000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_equal_expressions_are_scanned_once(spark):
+    """Patterns of several models with the same expression share its matches; the mentions are those of each by itself."""
+    pages = spark.createDataFrame([(1, 1, "a@b.de, 12 and c@d.org"), (1, 2, "no 7"), (2, 1, ""), (3, 1, None)], "doc_id int, page_number int, text string")
+    mail, number = r"[a-z]+@[a-z.]+", r"[0-9]+"
+    patterns = [E.Pattern("one", "MAIL", mail, "@"), E.Pattern("two", "NUM", number), E.Pattern("two", "POST", mail, "@"), E.Pattern("one", "ADDR", mail)]
+    kept = ["doc_id", "page_number", "text", "label", "source_model", "char_start", "char_end", "excerpt", "left_text"]
+    found = E.recognise(pages, patterns)
+    alone = [r for p in patterns for r in E.recognise(pages, [p]).select(*kept).collect()]
+    assert sorted(map(tuple, found.select(*kept).collect())) == sorted(map(tuple, alone)) and len(alone) == 8
+    order = [(r["seq"], r["label"]) for r in found.filter("doc_id = 1 and page_number = 1").orderBy("seq").collect()]
+    assert order == list(enumerate(["MAIL", "ADDR", "MAIL", "ADDR", "POST", "NUM", "POST"]))
+    plan = E.recognise(pages, patterns[:3])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2
