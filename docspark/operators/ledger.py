@@ -199,6 +199,9 @@ def switch_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
         raise RuntimeError(f"another write of {path} was faster")
 
 
+_switch = switch_manifest
+
+
 def write_artifacts(artifacts: DataFrame, storage: Storage, kind: str, buckets: int = 256) -> None:
     """Put in or replace the artifacts of one kind of the documents written; those of others stay.
 
@@ -230,7 +233,7 @@ def write_artifacts(artifacts: DataFrame, storage: Storage, kind: str, buckets:
     spread.write.partitionBy("doc_bucket").parquet(f"{path}/{version}")
     folders = (now["folders"] if now else {}) | dict.fromkeys(touched, version)
     schema = json.loads(merged.drop("doc_bucket").schema.json())
-    switch_manifest(spark, path, {"number": number, "buckets": buckets, "schema": schema, "folders": folders})
+    _switch(spark, path, {"number": number, "buckets": buckets, "schema": schema, "folders": folders})
 
 
 def remove_old_artifacts(spark: SparkSession, storage: Storage, kind: str) -> int:
