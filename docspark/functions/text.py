@@ -5,6 +5,7 @@ Offsets are 0-based, half open and counted in characters, as ``length`` does.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -157,6 +158,27 @@ def spans_between(gaps: Column, hits: Column) -> Column:
     return let(F.filter(pairs, lambda x: x["hit"].isNotNull()), place)
 
 
+# what looks at the text around a match, or gives nothing back once taken
+_AROUND = re.compile(r"[$^]|\(\?<?[=!>]|[*+?}]\+")
+_CLASS = re.compile(r"\[\^?\]?[^\]]*\]")
+_FLAGS = re.compile(r"\(\?(?!:|i\))")
+
+
+def stays_in_line(regex: str) -> bool:
+    """Whether every match lies within one line and stays a match if blanks or other lines are put around or taken away.
+
+    Errs on the side of no: takes no anchors, look-arounds or possessive parts, no classes that are negated, joined or
+    nested, and no escapes but those of punctuation, ``\\b``, ``\\d``, ``\\w`` and ``\\S``.
+    """
+    escapes = set(re.findall(r"\\(.)", regex, re.DOTALL))
+    plain = re.sub(r"\\.", "e", regex, flags=re.DOTALL)
+    classes = _CLASS.findall(plain)
+    bare = _CLASS.sub("", plain)
+    if any(x.isalnum() and x not in "bdwS" for x in escapes) or any(ord(x) < 32 for x in regex) or "&&" in regex:
+        return False
+    return not (any(x.startswith("[^") or "[" in x[1:] for x in classes) or _AROUND.search(bare) or _FLAGS.search(bare))
+
+
 def occurs(c: Column, pattern: str, needs: str | None = None) -> Column:
     """Whether a pattern occurs; ``needs`` is a literal part of every match, looked for first."""
     return c.rlike(pattern) if needs is None else F.contains(c, F.lit(needs)) & c.rlike(pattern)

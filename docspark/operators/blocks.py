@@ -27,13 +27,14 @@ SPAN_ROWS = "array<struct<block_id:string,start:int,end:int>>"
 # --- documents to blocks -----------------------------------------------------
 
 
-def _line_structs(text: Column, doc_id: Column, lines_per_page: int) -> Column:
+def _line_structs(text: Column, doc_id: Column, lines_per_page: int, mark: BlockPredicate | None = None) -> Column:
     def line(t: Column, i: Column) -> Column:
         return F.struct(
             i.alias("ord"),
             F.concat_ws("-", doc_id.cast("string"), i.cast("string")).alias("block_id"),
             (F.floor(i / lines_per_page) + 1).cast("int").alias("page_number"),
             t.alias("text"),
+            *([mark(t).alias("marked")] if mark else []),
         )
 
     return F.transform(F.split(text, "\n", -1), line)
@@ -55,19 +56,23 @@ def blocks_from_text(docs: DataFrame, lines_per_page: int = 5) -> DataFrame:
     )
 
 
-def page_groups_from_text(docs: DataFrame, lines_per_page: int = 5) -> DataFrame:
-    """One row per page with its blocks as an array, cut inside each document row."""
-    lines = _line_structs(F.col("text"), F.col("doc_id"), lines_per_page)
+def page_groups_from_text(docs: DataFrame, lines_per_page: int = 5, mark: BlockPredicate | None = None) -> DataFrame:
+    """One row per page with its blocks as an array, cut inside each document row.
+
+    With ``mark``, a predicate on the text of a line, blocks carry it as ``marked``, and pages without a marked block are left out.
+    """
+    lines = _line_structs(F.col("text"), F.col("doc_id"), lines_per_page, mark)
     last = F.floor((F.size("lines") - 1) / lines_per_page).cast("int")
     cuts = F.transform(
         F.sequence(F.lit(0), last),
         lambda p: F.slice(F.col("lines"), p * lines_per_page + 1, lines_per_page),
     )
-    return (
+    pages = (
         docs.select("doc_id", lines.alias("lines"))
         .select("doc_id", F.posexplode_outer(cuts).alias("p", "blocks"))
         .select("doc_id", (F.col("p") + 1).alias("page_number"), "blocks")
     )
+    return pages.filter(F.exists("blocks", lambda b: b["marked"])) if mark else pages
 
 
 def page_groups_from_blocks(blocks: DataFrame) -> DataFrame:
@@ -153,8 +158,8 @@ def assemble_pages(
     )
 
 
-def pages_from_text(docs: DataFrame, lines_per_page: int = 5, **kw) -> DataFrame:
-    return assemble_pages(page_groups_from_text(docs, lines_per_page), **kw)
+def pages_from_text(docs: DataFrame, lines_per_page: int = 5, mark: BlockPredicate | None = None, **kw) -> DataFrame:
+    return assemble_pages(page_groups_from_text(docs, lines_per_page, mark), **kw)
 
 
 def pages_from_blocks(blocks: DataFrame, **kw) -> DataFrame:

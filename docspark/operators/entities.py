@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +17,6 @@ from docspark.functions.text import (
     cut,
     let,
     occurs,
-    pieces_and_hits,
     quoted,
     spans_between,
     squash,
@@ -96,6 +97,18 @@ class Tables:
 # --- recognition -------------------------------------------------------------
 
 
+def patterns_of(patterns: Sequence[Pattern], tables: Tables, section: str) -> list[Pattern]:
+    """The patterns whose mentions may belong to a section."""
+    return [p for p in patterns if section in tables.label_sections.get(p.label, ())]
+
+
+def any_occurs(text: Column, patterns: Sequence[Pattern]) -> Column:
+    """Whether any pattern occurs in a text. A literal is looked for first, and equal expressions once."""
+    distinct = dict.fromkeys((p.regex, p.needs) for p in patterns)
+    by_need = sorted(distinct, key=lambda x: x[1] is None)
+    return reduce(or_, [F.coalesce(occurs(text, regex, needs), F.lit(False)) for regex, needs in by_need], F.lit(False))
+
+
 def recognise(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
     """Mentions found by patterns, with context cut from the page.
 
@@ -111,12 +124,16 @@ def recognise(pages: DataFrame, patterns: Sequence[Pattern]) -> DataFrame:
         alike.setdefault((p.regex, p.needs), []).append((i, p))
 
     def cut_up(regex: str, needs: str | None, of: list[tuple[int, Pattern]]) -> Column:
-        gaps, hits = pieces_and_hits(text, regex)
         who = [
             F.struct(F.lit(models.index(p.model)).alias("model_no"), F.lit(i).alias("pattern_no"), F.lit(p.label).alias("label"), F.lit(p.model).alias("model"))
             for i, p in of
         ]
-        return F.when(occurs(text, regex, needs), F.struct(F.array(*who).alias("who"), gaps.alias("gaps"), hits.alias("hits")))
+
+        def around(hits: Column) -> Column:
+            return F.when(F.size(hits) > 0, F.struct(F.array(*who).alias("who"), F.split(text, regex, -1).alias("gaps"), hits.alias("hits")))
+
+        found = let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), around)
+        return found if needs is None else F.when(F.contains(text, F.lit(needs)), found)
 
     def placed(x: Column) -> Column:
         def of_pattern(spans: Column, w: Column) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docspark.functions.text import stays_in_line
 from docspark.operators import blocks as B
 from docspark.operators import entities as E
 from docspark.operators import noise as N
@@ -41,9 +44,23 @@ def clean_pages(docs: DataFrame) -> DataFrame:
     return B.pages_from_text(docs, drop=_noise, describe=_describe, span_type=SPANS_WITH_ROLE)
 
 
-def placed_mentions(docs: DataFrame) -> DataFrame:
+def mention_pages(docs: DataFrame, patterns: Sequence[E.Pattern]) -> DataFrame:
+    """Clean pages on which a pattern occurs; the spans carry the role of the blocks that hold a match, null for others.
+
+    Where matches stay within a line, the lines tell which pages these are, so noise and roles are tried on few of them.
+    """
+    if not all(stays_in_line(p.regex) for p in patterns):
+        return clean_pages(docs)
+
+    def describe(b: Column) -> list[Column]:
+        return [F.when(b["marked"], R.role_of(b["text"], T.PROSE_ROLES)).alias("text_role")]
+
+    return B.pages_from_text(docs, mark=lambda t: E.any_occurs(t, patterns), drop=_noise, describe=describe, span_type=SPANS_WITH_ROLE)
+
+
+def placed_mentions(docs: DataFrame, patterns: Sequence[E.Pattern] = T.PROSE_PATTERNS) -> DataFrame:
     """Mentions with the block they start in and its role; no shuffle up to here."""
-    found = E.recognise(clean_pages(docs).drop("block_ids"), T.PROSE_PATTERNS)
+    found = E.recognise(mention_pages(docs, patterns).drop("block_ids"), patterns)
     span = E.block_at(F.col("block_spans"), F.col("char_start"))
     placed = found.withColumn("span", span).select(
         "*", "span.block_id", F.coalesce("span.text_role", F.lit("")).alias("text_role")
@@ -51,10 +68,12 @@ def placed_mentions(docs: DataFrame) -> DataFrame:
     return placed.withColumn("hints", R.hints_of(F.col("text_role"), T.PROSE_ROLES)).drop("span", "block_spans")
 
 
-def candidates_of(docs: DataFrame) -> DataFrame:
-    """The candidates of ``docs(doc_id, text)``, from text to fold."""
-    gated = E.gate(placed_mentions(docs), T.PROSE_TABLES)
-    return E.candidates(E.resolve_sections(gated, T.PROSE_TABLES), T.PROSE_TABLES)
+def candidates_of(docs: DataFrame, section: str | None = None) -> DataFrame:
+    """The candidates of ``docs(doc_id, text)``, from text to fold; those of one section need only its patterns."""
+    patterns = T.PROSE_PATTERNS if section is None else E.patterns_of(T.PROSE_PATTERNS, T.PROSE_TABLES, section)
+    gated = E.gate(placed_mentions(docs, patterns), T.PROSE_TABLES)
+    found = E.candidates(E.resolve_sections(gated, T.PROSE_TABLES), T.PROSE_TABLES)
+    return found if section is None else E.of_section(found, section)
 
 
 def prose_pages(spark: SparkSession, d: str) -> DataFrame:

@@ -27,12 +27,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/docspark-{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write a result that several steps use, and read it back.
 
     Its cost is paid once, a lost executor costs nothing but its tasks, and the
-    planner knows the size of the table it reads.
+    planner knows the size of the table it reads. With ``rows_per_file`` the files are small, so they are dealt evenly
+    to the tasks that read them, where a row is much work.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,6 +25,9 @@ from docspark.sources.scratch import stage
 #: Hash buckets of the run ledger.
 BUCKETS = 64
 
+#: Rows in a file of the documents of a batch.
+ARRIVED_ROWS = 2000
+
 RUN_COLUMNS = (
     "run_id string, doc_id {id}, pipeline_version string, verdict string, verdict_reason string, cost_usd double, "
     "latency_ms bigint, otel_trace_id string, preprocessing_errors string, verifier_scorecards string, "
@@ -175,7 +178,7 @@ def ingest(
             # the ledger meets the ids of the batch first, so what the texts meet is no longer than the batch
             known = done.select("doc_id").join(ids.select("doc_id"), "doc_id", "left_semi")
             new = new.join(known, "doc_id", "left_anti")
-        results = process(stage(new, "arrived")).persist()
+        results = process(stage(new, "arrived", ARRIVED_ROWS)).persist()
         try:
             write_batch(extraction_rows(results, storage), storage.extractions, key)
             write_batch(run_rows(results, storage), storage.runs, key, buckets)

@@ -3,7 +3,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from docspark.functions.text import stays_in_line
 from docspark.operators import entities as E
+from docspark.operators import roles as R
+from docspark.plans import prose
+from docspark.sources import tables as T
 from docspark.vocab import HintRule
 
 PAGES = "doc_id string, page_number int, text string, block_spans array<struct<block_id:string,start:int,end:int>>"
@@ -179,3 +183,37 @@ def test_equal_expressions_are_scanned_once(spark):
     assert order == list(enumerate(["MAIL", "ADDR", "MAIL", "ADDR", "POST", "NUM", "POST"]))
     plan = E.recognise(pages, patterns[:3])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 2
+
+
+def test_only_pages_with_a_match_are_cleaned(spark):
+    """Candidates of one section look for its patterns only, on the pages that hold one; they equal those of all pages."""
+    texts = [
+        "Krankenhaus\n\n  Muenchenstadt und\t\nplain\nmail a@b.de to Regensburgen\nAb licensed under c@d.org\n1\n2\n3\n4",
+        "nothing\nhere 192.168.0.1\n\n### junk ### Augsburgische\nx",
+        "## Nuernbergische ##\n Oberammergau was\n4111111111111111 e@mail1.example",
+        "",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    section = "report_metadata"
+    every = E.recognise(prose.clean_pages(docs).drop("block_ids"), T.PROSE_PATTERNS).withColumn("span", E.block_at(F.col("block_spans"), F.col("char_start")))
+    every = every.select("*", "span.block_id", F.coalesce("span.text_role", F.lit("")).alias("text_role")).drop("span", "block_spans")
+    assert sorted(map(str, prose.placed_mentions(docs).drop("hints").collect())) == sorted(map(str, every.collect()))
+    placed = every.withColumn("hints", R.hints_of(F.col("text_role"), T.PROSE_ROLES))
+    want = E.of_section(E.candidates(E.resolve_sections(E.gate(placed, T.PROSE_TABLES), T.PROSE_TABLES), T.PROSE_TABLES), section)
+    found = prose.candidates_of(docs, section)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() >= 5
+    assert not re.search(r"regexp_extract_all\([^,]*, \[0-9\]", found._jdf.queryExecution().optimizedPlan().toString())
+    pages = prose.mention_pages(docs, E.patterns_of(T.PROSE_PATTERNS, T.PROSE_TABLES, section))
+    assert sorted((r["doc_id"], r["page_number"]) for r in pages.collect()) == [(0, 1), (0, 2), (1, 1), (2, 1)]
+
+
+def test_patterns_that_leave_their_line(spark):
+    """Patterns that look around or may take a line break are tried on all pages."""
+    for regex in (r"a\sb", "^a", "a$", "[^a]", "(?s)a.b", "a++", "a\nb", "(?<=x)a", "[a[b]]", r"\Wx", r"\Qa", "[a&&b]"):
+        assert not stays_in_line(regex), regex
+    for regex in (r"a.b", "(?i)abc", "(?:a|b)+", r"[A-Z][a-z]{9,}", r"\+1 \([0-9]{3}\)", r"\bNo\.\d+"):
+        assert stays_in_line(regex), regex
+    docs = spark.createDataFrame([(1, "a\nb"), (2, "a b"), (3, "c")], "doc_id bigint, text string")
+    over = E.Pattern("m", "ORG", r"a\sb")
+    assert sorted((r["doc_id"], r["text"]) for r in prose.placed_mentions(docs, [over]).collect()) == [(1, "a\nb"), (2, "a b")]

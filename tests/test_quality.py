@@ -7,7 +7,7 @@ from docspark.operators import fields as FI
 from docspark.operators import routing as RO
 from docspark.operators import score as SC
 from docspark.operators import validate as V
-from docspark.vocab import RECORD_FIELDS
+from docspark.vocab import RECORD_FIELDS, SECTION_RULES
 
 
 def record(**changes):
@@ -218,3 +218,13 @@ def test_single_sections(spark):
     ]
     df = spark.createDataFrame(rows, "section string, candidate string, want int")
     assert all(len(r["errors"]) == r["want"] and r["ok"] == (r["want"] == 0) for r in V.check_sections(df).collect())
+
+
+def test_flagged_records_are_not_checked(spark):
+    """Where ``unless`` holds the JSON is not looked at; all others are checked as ever, a null condition included."""
+    rows = [("good", json.dumps(envelope(record())), True), ("bad", "no JSON", True), ("seen", "no JSON", False), ("unsure", "no JSON", None)]
+    df = spark.createDataFrame(rows, "doc_id string, envelope string, skip boolean")
+    got = {r["doc_id"]: r["n"] for r in V.check_envelopes(df, unless=F.col("skip")).select("doc_id", F.size("errors").alias("n")).collect()}
+    assert got == {"good": 0, "bad": 0, "seen": 1, "unsure": 1}
+    kinds = {k for rule in SECTION_RULES.values() for r in rule for k in r.types} | {"missing", "boolean", "object", "number", "integer", "null", "string", "array"}
+    assert not [(a, b) for a in kinds for b in kinds if a != b and a in b]

@@ -132,3 +132,20 @@ def test_a_table_of_many_files_arrives_whole(spark, small, tmp_path):
     spark.read.parquet(f"{small}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     want = {r["doc_id"]: r["verdict"] for r in ledger.ingest_stream(spark, small).collect()}
     assert want and {r["doc_id"]: r["verdict"] for r in ledger.ingest_stream(spark, str(tmp_path)).collect()} == want
+
+
+def test_arrived_documents_lie_in_small_files(spark, tmp_path, monkeypatch):
+    """The rows of a batch are dealt to many files, so the tasks that read them are even."""
+    monkeypatch.setattr(IN, "ARRIVED_ROWS", 5)
+    files, inbox = [], tmp_path / "in"
+    inbox.mkdir()
+    arrive(inbox, "1.json", [(str(i), "ok") for i in range(100)])
+
+    def look(docs):
+        files.append(len(docs.inputFiles()))
+        return process(docs)
+
+    stream = spark.readStream.schema("doc_id string, text string").json(str(inbox))
+    storage = Storage("v1", str(tmp_path / "out"))
+    IN.ingest(stream, look, storage, str(tmp_path / "checkpoint")).awaitTermination()
+    assert files[0] >= 20 and IN.read_ledger(spark, storage.runs, IN.RUN_COLUMNS.format(id="string")).count() == 100
